@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, exact_dedup, jaccard_join, mixing, packing, pii, repeated_passages, token_counts
+from . import embedding_dedup, exact_dedup, jaccard_join, language_id, mixing, packing, pii, repeated_passages, token_counts, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,11 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similarity_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.severity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
@@ -43,12 +48,17 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = language_id.fit(table(spark, sf_dir, "documents"))
+    return language_id.page_languages(table(spark, sf_dir, "pages"), model).select("page_id", "language", "chance", "accepted")
+
+
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.personal_data(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", F.size("terms").cast("long").alias("n_term"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_dedup, op2_embedding_dedup, op3_jaccard_join, op5_packing, op6_repeated_passages, op7_mixing, op8_token_counts, op10_personal_data)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_dedup, op2_embedding_dedup, op3_jaccard_join, op4_toxicity, op5_packing, op6_repeated_passages, op7_mixing, op8_token_counts, op9_language_id, op10_personal_data)}
 
 SQL: dict[str, str] = {
     "op1_exact_dedup": r"""
