@@ -104,7 +104,7 @@ def fit_ordinal(row: np.ndarray, feature: np.ndarray, grade: np.ndarray, feature
     return w, np.concatenate([base, base + np.cumsum(np.exp(gaps))])
 
 
-def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", sample_rows: int = 6000, odds: float = 3.0, surprise: float = 12.0, grades: int = 3) -> OrdinalModel:
+def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", sample_rows: int = 6000, odds: float = 3.0, surprise: float = 20.0, grades: int = 3) -> OrdinalModel:
     """The model from a bounded sample of labelled documents."""
     known = labels.select(F.col(doc_id).alias(f"l{MARK}"), F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)").groupBy(f"l{MARK}").agg(F.max("toxic").alias("toxic"))
     shares = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
@@ -133,12 +133,14 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
     size = np.array([p.shape[1] for p in pairs])
     row = np.repeat(np.arange(len(pairs)), size)
     slot, many = np.concatenate(pairs, axis=1)
-    in_toxic = np.bincount(slot, toxic[row], SLOTS)
-    in_all = np.bincount(slot, minlength=SLOTS)
-    n1, n0 = toxic.sum(), (1 - toxic).sum()
+    held = np.arange(len(pairs)) % 5 == 4
+    own = ~held[row]
+    in_toxic = np.bincount(slot[own], toxic[row[own]], SLOTS)
+    in_all = np.bincount(slot[own], minlength=SLOTS)
+    n1, n0 = toxic[~held].sum(), (1 - toxic[~held]).sum()
     lift = np.log((in_toxic + 0.5) / (n1 + 1)) - np.log((in_all - in_toxic + 0.5) / (n0 + 1))
     # only what speaks for toxicity, and too often for chance: what is rare in toxic text must not outweigh an insult
-    expected = in_all * (n1 / len(toxic))
+    expected = in_all * (n1 / (n1 + n0))
     surprise_of = 2 * in_toxic * np.log(np.maximum(in_toxic, 1e-9) / np.maximum(expected, 1e-9))
     chosen_slots = np.flatnonzero((lift >= odds) & (surprise_of >= surprise))
     number = np.full(SLOTS, -1)
@@ -148,8 +150,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
     density = np.bincount(row[telling], many[telling], len(pairs)) / np.maximum(1, np.bincount(row, many, len(pairs)))
     bounds = np.quantile(density[toxic == 1], np.arange(1, grades) / grades)
     grade = np.where(toxic == 1, 1 + np.searchsorted(bounds, density, "right"), 0)
-    held = np.arange(len(pairs)) % 5 == 4
-    train = ~held[row] & used
+    train = own & used
     place = np.cumsum(~held) - 1
     own_grade = grade[~held]
     top = int(own_grade.max())
