@@ -15,6 +15,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .runtime import trim
+
 CAP = 255
 BUCKET_VALUES = 4_000_000
 FLUSH = 2_000_000
@@ -49,10 +51,10 @@ class Blocks:
         return pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([value[edges[k] : edges[k + 1]].tobytes() for k in some], pa.binary())], names=["bucket", "block"])
 
 
-def hash_table(rows: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray]], about: int, max_slots: int, levels: bool, spare: int = 4) -> np.ndarray:
+def hash_table(rows: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray]], about: int, max_slots: int, levels: bool, spare: int = 4, least: int = 2) -> np.ndarray:
     """A table over the hashes that `hashes` gives for each batch of `rows`; `about` is how many to expect.
 
-    With `levels` it has a byte a slot, 8 * log2(count); else packed bits, set where the count is 2 or more.
+    With `levels` it has a byte a slot, 8 * log2(count); else packed bits, set where the count is `least`, 1 or 2, or more.
     """
     bucket_bits = bits_for(about // BUCKET_VALUES + 1, 0, 16)
     slot_bits = bits_for(spare * about, 16, max_slots.bit_length() - 1)
@@ -66,6 +68,7 @@ def hash_table(rows: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.n
                 if blocks.add(h):
                     yield blocks.flush()
         yield blocks.flush()
+        trim()
 
     def fill(group: pa.Table) -> pa.Table:
         values = np.sort(np.concatenate([np.frombuffer(b.as_buffer(), "<u4") for b in group.column("block")]))
@@ -77,7 +80,7 @@ def hash_table(rows: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.n
             out = np.minimum(255, 8 * np.log2(np.maximum(counts, 1))).astype(np.uint8)
         else:
             flags = np.zeros(1 << slice_bits, np.uint8)
-            flags[slot[n > 1]] = 1
+            flags[slot[n >= least]] = 1
             out = np.packbits(flags, bitorder="little")
         return pa.table({"bucket": group.column("bucket")[:1], "slice": pa.array([out.tobytes()], pa.binary())})
 

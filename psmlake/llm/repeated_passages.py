@@ -3,10 +3,10 @@
 A passage of `width` bytes has an anchor: of its `GRAM`-byte strings the one with the smallest hash.  Equal passages
 have equal anchors at equal places, so only windows whose anchor occurs again can repeat.
 
-1. One pass counts anchors (`hash_counts`); the next sends those that may repeat, with the bytes of the windows they
-   anchor (the context), to the bucket of their hash.  A context that a batch holds again goes without its bytes.
-2. A bucket groups equal contexts.  All but a context's first place are repeats as a whole.  Where an anchor has several contexts,
-   their first places are ordered and met by halves: the earlier contexts of all anchors form a run-length
+1. One pass counts anchors (`hash_counts`); the next sends those that may repeat, with a hash of the windows' bytes they
+   anchor (the context), to the bucket of their hash.
+2. A bucket groups equal contexts.  All but a context's first place are repeats as a whole.  Contexts whose anchor has several
+   are noted in another table, and a third pass sends their bytes.  Their first places are ordered and met by halves: the earlier contexts of all anchors form a run-length
    index, the later ones stream their matching statistics against it, and starts that match `width` bytes or more are repeats.
    An anchor's byte carries a mark of its half in that index, so a match stays within its anchor and
    before its place.
@@ -25,18 +25,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import hash_counts
 from .run_length_index import RunLengthIndex
-from .runtime import MARK, partitions_for, written
+from .runtime import MARK, partitions_for, trim, written
 from .text_kernels import BYTE_WORD, U64, mix, powers, slices
 
 GRAM = 40
 PLACE_BITS = 24
 PIECE = 4 << 20
-LANES = 8192
+LANES = 4096
+BUCKET_ANCHORS = 300_000
 NULL_ID = (1 << 63) - 1
 PLACE = U64((1 << PLACE_BITS) - 1)
 
@@ -88,12 +90,49 @@ def anchored(texts: pa.Array, width: int) -> Iterator[tuple[int, int, np.ndarray
             yield row, 0, offsets, Anchors(data, offsets, width)
 
 
-ROW = np.dtype([("code", "<u8"), ("context", "<u8"), ("doc", "<i8"), ("text", "<i8"), ("low", "<i4"), ("off", "u1"), ("many", "u1"), ("held", "u1")])
+ROW = np.dtype([("code", "<u8"), ("context", "<u8"), ("doc", "<i8"), ("text", "<i8"), ("low", "<i4"), ("off", "u1"), ("many", "u1")])
 SPAN = np.dtype([("doc", "<i8"), ("text", "<i8"), ("begin", "<i4"), ("end", "<i4")])
 
 
-def _send(docs: DataFrame, seen, width: int, bucket_bits: int) -> DataFrame:
-    """(bucket, rows, bytes): the runs whose anchor may repeat."""
+def packed(rows: np.ndarray) -> bytes:
+    """Field after field, which compresses better than row after row."""
+    return b"".join(rows[f].tobytes() for f in rows.dtype.names)
+
+
+def unpacked(blobs: pa.ChunkedArray, kind: np.dtype) -> np.ndarray:
+    parts = []
+    for blob in blobs:
+        data = blob.as_buffer()
+        out = np.zeros(data.size // kind.itemsize, kind)
+        at = 0
+        for f in kind.names:
+            out[f] = np.frombuffer(data, kind[f], len(out), at)
+            at += len(out) * kind[f].itemsize
+        parts.append(out)
+    return np.concatenate(parts) if parts else np.zeros(0, kind)
+
+
+def by_part(part: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """The parts that have rows, and where each part's rows begin; `part` is sorted."""
+    edges = np.searchsorted(part, np.arange(parts + 1))
+    return np.flatnonzero(np.diff(edges)), edges
+
+
+def needed_key(rows: np.ndarray) -> np.ndarray:
+    return mix(rows["code"] ^ mix(rows["context"] + U64(0x8CB92BA72F3D8DD7)))
+
+
+def same_context(rows: np.ndarray) -> np.ndarray:
+    """Whether each row has the context of the one before."""
+    out = np.zeros(len(rows), bool)
+    out[1:] = True
+    for f in ("code", "context", "off", "many"):
+        out[1:] &= rows[f][1:] == rows[f][:-1]
+    return out
+
+
+def _send(docs: DataFrame, seen: Broadcast, width: int, bucket_bits: int, needed: Broadcast | None = None) -> DataFrame:
+    """(bucket, rows, bytes): the runs whose anchor may repeat; with `needed`, of those contexts the first of each slice, with its bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = seen.value
@@ -102,76 +141,77 @@ def _send(docs: DataFrame, seen, width: int, bucket_bits: int) -> DataFrame:
             hashes = batch.column(1).to_numpy(zero_copy_only=False)
             for first, shift, offsets, own in anchored(batch.column(2), width):
                 pick = np.flatnonzero(hash_counts.repeated(table, own.code)) if len(own.code) else np.zeros(0, np.int64)
+                rows = np.zeros(len(pick), ROW)
+                rows["code"], rows["off"], rows["many"] = own.code[pick], own.at[pick] - own.low[pick], own.high[pick] - own.low[pick] + 1
+                rows["context"] = own.context_code(pick, width) if len(pick) else 0
+                if needed is not None:
+                    few = hash_counts.repeated(needed.value, needed_key(rows))
+                    rows, pick = rows[few], pick[few]
                 if not len(pick):
                     continue
                 doc = first + np.searchsorted(offsets, own.low[pick], "right") - 1
-                begin = offsets[doc - first]
-                rows = np.zeros(len(pick), ROW)
-                rows["code"], rows["context"] = own.code[pick], own.context_code(pick, width)
-                rows["doc"], rows["text"] = ids[doc], hashes[doc]
-                rows["low"] = own.low[pick] - begin + shift
-                rows["off"], rows["many"] = own.at[pick] - own.low[pick], own.high[pick] - own.low[pick] + 1
-                order = np.lexsort((rows["many"], rows["off"], rows["context"], rows["code"]))
-                rows, pick = rows[order], pick[order]
-                new = np.concatenate([[True], (rows["code"][1:] != rows["code"][:-1]) | (rows["context"][1:] != rows["context"][:-1]) | (rows["off"][1:] != rows["off"][:-1]) | (rows["many"][1:] != rows["many"][:-1])])
-                rows["held"] = new
+                rows["doc"], rows["text"], rows["low"] = ids[doc], hashes[doc], own.low[pick] - offsets[doc - first] + shift
+                if needed is None:
+                    order = np.argsort(rows["code"] >> U64(64 - bucket_bits), kind="stable") if bucket_bits else np.arange(len(rows))
+                    rows = rows[order]
+                else:
+                    order = np.lexsort((rows["low"], rows["text"], rows["doc"], rows["many"], rows["off"], rows["context"], rows["code"]))
+                    order = order[~same_context(rows[order])]
+                    rows, pick = rows[order], pick[order]
                 bucket = (rows["code"] >> U64(64 - bucket_bits)).astype(np.int64) if bucket_bits else np.zeros(len(rows), np.int64)
-                edges = np.searchsorted(bucket, np.arange((1 << bucket_bits) + 1))
-                some = np.flatnonzero(np.diff(edges))
-                blobs, texts = [], []
-                for k in some:
-                    cut = slice(edges[k], edges[k + 1])
-                    held = pick[cut][rows["held"][cut] == 1]
-                    size = own.high[held] - own.low[held] + width
-                    at = np.repeat(own.low[held] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-                    blobs.append(rows[cut].tobytes())
-                    texts.append(own.data[at].tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(blobs, pa.binary()), pa.array(texts, pa.binary())], names=["bucket", "rows", "bytes"])
+                some, edges = by_part(bucket, 1 << bucket_bits)
+                texts = [None] * len(some)
+                if needed is not None:
+                    for n, k in enumerate(some):
+                        held = pick[edges[k] : edges[k + 1]]
+                        size = own.high[held] - own.low[held] + width
+                        texts[n] = own.data[np.repeat(own.low[held] - (np.cumsum(size) - size), size) + np.arange(size.sum())].tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([packed(rows[edges[k] : edges[k + 1]]) for k in some], pa.binary()), pa.array(texts, pa.binary())], names=["bucket", "rows", "bytes"])
+            trim()
 
     return docs.mapInArrow(run, "bucket int, rows binary, bytes binary")
 
 
-def repeats(rows: np.ndarray, data: np.ndarray, width: int) -> np.ndarray:
-    """The spans of a bucket's windows that stand earlier.  `data` holds the bytes of the rows with `held`, in order."""
-    size = np.where(rows["held"] == 1, rows["many"].astype(np.int64) + width - 1, 0)
-    at = np.cumsum(size) - size
-    order = np.lexsort((rows["low"], rows["text"], rows["doc"], rows["many"], rows["off"], rows["context"], rows["code"]))
-    rows, at, held = rows[order], at[order], rows["held"][order]
-    same = np.ones(len(rows), bool)
-    same[0] = False
-    for f in ("code", "context", "off", "many"):
-        same[1:] &= rows[f][1:] == rows[f][:-1]
+def whole_repeats(rows: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Spans of all runs whose context has an earlier place, and keys of the contexts whose anchor has others."""
+    rows = rows[np.lexsort((rows["low"], rows["text"], rows["doc"], rows["many"], rows["off"], rows["context"], rows["code"]))]
+    same = same_context(rows)
     head = np.flatnonzero(~same)
-    of = np.cumsum(~same) - 1
-    # a row that repeats its document's id and text stands at the same place and is no repeat of it
-    twin = np.zeros(len(rows), bool)
-    for k in (1,):
-        twin[k:] = same[k:] & (rows["doc"][k:] == rows["doc"][:-k]) & (rows["text"][k:] == rows["text"][:-k]) & (rows["low"][k:] == rows["low"][:-k])
+    # rows that repeat a document's id and text stand at its first row's place
+    twin = same.copy()
+    for f in ("doc", "text", "low"):
+        twin[1:] &= rows[f][1:] == rows[f][:-1]
     lead = np.flatnonzero(~twin)
-    first_of_twin = lead[np.searchsorted(lead, np.arange(len(rows)), "right") - 1]
-    later = ~np.isin(first_of_twin, head)
-    out = np.zeros(int(later.sum()), SPAN)
+    later = ~np.isin(lead[np.searchsorted(lead, np.arange(len(rows)), "right") - 1], head)
     gone = rows[later]
-    out["doc"], out["text"], out["begin"] = gone["doc"], gone["text"], gone["low"]
-    out["end"] = gone["low"] + gone["many"] + width - 1
-    spans = [out]
-
-    # of each context: its first place, and where one of its rows holds the bytes
-    byte_at = np.full(len(head), -1, np.int64)
-    byte_at[of[held == 1]] = at[held == 1]
+    spans = np.zeros(len(gone), SPAN)
+    spans["doc"], spans["text"], spans["begin"] = gone["doc"], gone["text"], gone["low"]
+    spans["end"] = gone["low"] + gone["many"] + width - 1
     firsts = rows[head]
+    new = np.concatenate([[True], firsts["code"][1:] != firsts["code"][:-1]]) if len(firsts) else np.zeros(0, bool)
+    anchor = np.cumsum(new) - 1
+    several = np.bincount(anchor)[anchor] > 1 if len(firsts) else new
+    return spans, needed_key(firsts[several])
+
+
+def partial_repeats(rows: np.ndarray, data: np.ndarray, width: int) -> np.ndarray:
+    """Spans of windows that stand in an earlier context of their anchor.  `data` holds the rows' contexts, one after another."""
+    size = rows["many"].astype(np.int64) + width - 1
+    at = np.cumsum(size) - size
+    order = np.lexsort((rows["low"], rows["text"], rows["doc"], rows["many"], rows["off"], rows["context"], rows["code"]))
+    order = order[~same_context(rows[order])]
+    firsts, byte_at = rows[order], at[order]
     anchor = np.cumsum(np.concatenate([[True], firsts["code"][1:] != firsts["code"][:-1]])) - 1
-    many = np.bincount(anchor)
-    keep = np.flatnonzero(many[anchor] > 1)
-    if len(keep):
-        firsts, byte_at, anchor = firsts[keep], byte_at[keep], anchor[keep]
-        place = firsts["low"].astype(np.int64) + firsts["off"]
-        order = np.lexsort((place, firsts["text"], firsts["doc"], anchor))
-        firsts, byte_at, anchor = firsts[order], byte_at[order], anchor[order]
-        begin = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
-        rank = np.arange(len(anchor)) - np.repeat(begin, np.diff(np.append(begin, len(anchor))))
-        spans.append(_later_matches(firsts, byte_at, anchor, rank, data, width))
-    return np.concatenate(spans)
+    keep = np.flatnonzero(np.bincount(anchor)[anchor] > 1)
+    if not len(keep):
+        return np.zeros(0, SPAN)
+    firsts, byte_at, anchor = firsts[keep], byte_at[keep], anchor[keep]
+    place = firsts["low"].astype(np.int64) + firsts["off"]
+    order = np.lexsort((place, firsts["text"], firsts["doc"], anchor))
+    firsts, byte_at, anchor = firsts[order], byte_at[order], anchor[order]
+    begin = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
+    rank = np.arange(len(anchor)) - np.repeat(begin, np.diff(np.append(begin, len(anchor))))
+    return _later_matches(firsts, byte_at, anchor, rank, data, width)
 
 
 def _symbols(pick: np.ndarray, firsts: np.ndarray, byte_at: np.ndarray, mark: np.ndarray, data: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -232,29 +272,41 @@ def repeated_spans(docs: DataFrame, width: int, max_slots: int) -> DataFrame:
     about = 2 * (stats[0] or 0) // (width - GRAM + 2)
     table = hash_counts.hash_table(docs.select(docs.columns[2]), lambda batch: (own.code for _, _, _, own in anchored(batch.column(0), width)), about, max_slots, levels=False)
     seen = spark.sparkContext.broadcast(table)
-    bucket_bits = hash_counts.bits_for(about // 400_000 + 1, 0, 20)
+    bucket_bits = hash_counts.bits_for(about // BUCKET_ANCHORS + 1, 0, 20)
     shards = partitions_for(about, 2_000_000)
 
-    def find(group: pa.Table) -> pa.Table:
-        rows = np.concatenate([np.frombuffer(b.as_buffer(), ROW) for b in group.column("rows")])
-        data = np.concatenate([np.frombuffer(b.as_buffer(), np.uint8) for b in group.column("bytes")])
-        spans = repeats(rows, data, width)
+    def dealt(spans: np.ndarray) -> tuple[list[int], list[bytes]]:
         shard = (mix(spans["doc"].astype(np.int64).view(U64) ^ spans["text"].astype(np.int64).view(U64)) % U64(shards)).astype(np.int64)
         order = np.lexsort((spans["begin"], spans["doc"], shard))
-        spans, shard = spans[order], shard[order]
-        edges = np.searchsorted(shard, np.arange(shards + 1))
-        some = np.flatnonzero(np.diff(edges))
-        return pa.table({"shard": pa.array(some.astype(np.int32)), "spans": pa.array([spans[edges[k] : edges[k + 1]].tobytes() for k in some], pa.binary())})
+        some, edges = by_part(shard[order], shards)
+        return some.tolist(), [packed(spans[order[edges[k] : edges[k + 1]]]) for k in some]
+
+    def whole(group: pa.Table) -> pa.Table:
+        spans, keys = whole_repeats(unpacked(group.column("rows"), ROW), width)
+        part, blobs = dealt(spans)
+        trim()
+        return pa.table({"shard": pa.array([*part, -1], pa.int32()), "spans": pa.array([*blobs, keys.tobytes()], pa.binary())})
+
+    def partial(group: pa.Table) -> pa.Table:
+        data = np.concatenate([np.frombuffer(b.as_buffer(), np.uint8) for b in group.column("bytes")])
+        part, blobs = dealt(partial_repeats(unpacked(group.column("rows"), ROW), data, width))
+        trim()
+        return pa.table({"shard": pa.array(part, pa.int32()), "spans": pa.array(blobs, pa.binary())})
 
     def unite(group: pa.Table) -> pa.Table:
-        spans = merged(np.concatenate([np.frombuffer(b.as_buffer(), SPAN) for b in group.column("spans")]))
+        spans = merged(unpacked(group.column("spans"), SPAN))
         cut = np.flatnonzero(np.concatenate([[True], (spans["doc"][1:] != spans["doc"][:-1]) | (spans["text"][1:] != spans["text"][:-1])]))
         edge = np.append(cut, len(spans))
         pairs = np.stack([spans["begin"], spans["end"]], 1).astype("<i4")
+        trim()
         return pa.table({"doc": pa.array(spans["doc"][cut].copy()), "hash": pa.array(spans["text"][cut].copy()), "spans": pa.array([pairs[a:b].tobytes() for a, b in zip(edge, edge[1:], strict=False)], pa.binary())})
 
-    found = _send(docs, seen, width, bucket_bits).groupBy("bucket").applyInArrow(find, "shard int, spans binary")
-    return found.groupBy("shard").applyInArrow(unite, "doc long, hash long, spans binary")
+    first = written(_send(docs, seen, width, bucket_bits).groupBy("bucket").applyInArrow(whole, "shard int, spans binary"))
+    keys = first.where("shard < 0").select("spans")
+    many = (keys.agg(F.sum(F.octet_length("spans"))).first()[0] or 0) // 8
+    needed = spark.sparkContext.broadcast(hash_counts.hash_table(keys, lambda batch: (np.frombuffer(x.as_buffer(), "<u8") for x in batch.column(0)), many, max_slots, levels=False, spare=16, least=1))
+    second = _send(docs, seen, width, bucket_bits, needed).groupBy("bucket").applyInArrow(partial, "shard int, spans binary")
+    return first.where("shard >= 0").unionByName(second).groupBy("shard").applyInArrow(unite, "doc long, hash long, spans binary")
 
 
 def without_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 100, max_slots: int = 1 << 27, keep_text: bool = False) -> DataFrame:

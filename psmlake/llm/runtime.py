@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import shutil
 import tempfile
 import uuid
@@ -49,6 +51,12 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+def trim() -> None:
+    """Give freed memory back: a Python worker lives on, and an executor's other workers need it."""
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries do without
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def partitions_for(total: int, each: int, least: int = 1) -> int:
     """How many parts hold `total` at about `each` a part."""
     return max(least, -(-int(total or 0) // each))
