@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import MARK
+from .runtime import MARK, bounded_batches, written
 from .text_kernels import U64, Words, mix, slices
 
 SLOTS = 1 << 18
@@ -106,6 +106,7 @@ def fit_ordinal(row: np.ndarray, feature: np.ndarray, grade: np.ndarray, feature
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", sample_rows: int = 6000, odds: float = 3.0, surprise: float = 20.0, grades: int = 3) -> OrdinalModel:
     """The model from a bounded sample of labelled documents."""
+    bounded_batches(docs.sparkSession)
     known = labels.select(F.col(doc_id).alias(f"l{MARK}"), F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)").groupBy(f"l{MARK}").agg(F.max("toxic").alias("toxic"))
     shares = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     order = F.xxhash64(f"l{MARK}", F.lit(11))
@@ -125,29 +126,53 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(blobs, pa.binary())], names=["id", "toxic", "features"])
 
     kind = joined.schema[0].dataType.simpleString()
-    got = joined.select(f"id{MARK}", f"text{MARK}", "toxic").mapInArrow(features, f"id {kind}, toxic int, features binary").orderBy("id", "features").limit(2 * sample_rows).toArrow()
-    toxic = got.column("toxic").to_numpy().astype(np.int64)
-    if len(toxic) < 10 or not 0 < toxic.sum() < len(toxic):
+    sample = written(joined.select(f"id{MARK}", f"text{MARK}", "toxic").mapInArrow(features, f"id {kind}, toxic int, features binary").withColumn("held", F.pmod(F.xxhash64("id", F.lit(23)), F.lit(5)) == 4))
+    train = sample.where("not held")
+    n1, n0 = (train.where(F.col("toxic") == k).count() for k in (1, 0))
+    if n1 < 5 or n0 < 5:
         return OrdinalModel(np.zeros(SLOTS), np.full(grades, 60.0), 0.5)
-    pairs = [np.frombuffer(b.as_buffer(), "<i4").reshape(2, -1) for b in got.column("features")]
-    size = np.array([p.shape[1] for p in pairs])
-    row = np.repeat(np.arange(len(pairs)), size)
-    slot, many = np.concatenate(pairs, axis=1)
-    held = np.arange(len(pairs)) % 5 == 4
-    own = ~held[row]
-    in_toxic = np.bincount(slot[own], toxic[row[own]], SLOTS)
-    in_all = np.bincount(slot[own], minlength=SLOTS)
-    n1, n0 = toxic[~held].sum(), (1 - toxic[~held]).sum()
+
+    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            total = np.zeros((2, SLOTS), np.int64)
+            for toxic_, blob in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                own = np.frombuffer(blob.as_buffer(), "<i4").reshape(2, -1)[0]
+                total[0, own] += toxic_
+                total[1, own] += 1
+            some = np.flatnonzero(total[1])
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[0, some]), pa.array(total[1, some])], names=["slot", "toxic", "n"])
+
+    counts = train.select("toxic", "features").mapInArrow(slots, "slot long, toxic long, n long").groupBy("slot").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n")).where("toxic > 2").orderBy("slot").limit(SLOTS).toArrow()
+    in_toxic, in_all = np.zeros(SLOTS), np.zeros(SLOTS)
+    in_toxic[counts.column("slot").to_numpy()], in_all[counts.column("slot").to_numpy()] = counts.column("toxic").to_numpy(), counts.column("n").to_numpy()
     lift = np.log((in_toxic + 0.5) / (n1 + 1)) - np.log((in_all - in_toxic + 0.5) / (n0 + 1))
     # only what speaks for toxicity, and too often for chance: what is rare in toxic text must not outweigh an insult
     expected = in_all * (n1 / (n1 + n0))
     surprise_of = 2 * in_toxic * np.log(np.maximum(in_toxic, 1e-9) / np.maximum(expected, 1e-9))
     chosen_slots = np.flatnonzero((lift >= odds) & (surprise_of >= surprise))
+    if not len(chosen_slots):
+        return OrdinalModel(np.zeros(SLOTS), np.full(grades, 60.0), 0.5)
     number = np.full(SLOTS, -1)
     number[chosen_slots] = np.arange(len(chosen_slots))
+    telling = docs.sparkSession.sparkContext.broadcast(chosen_slots.astype(np.int32))
+
+    def chosen_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size, blobs = [], []
+            for blob in batch.column(3):
+                own = np.frombuffer(blob.as_buffer(), "<i4").reshape(2, -1)
+                size.append(int(own[1].sum()))
+                blobs.append(own[:, np.isin(own[0], telling.value)].tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(size, pa.int64()), pa.array(blobs, pa.binary())], names=["id", "toxic", "held", "size", "features"])
+
+    got = sample.select("id", "toxic", "held", "features").mapInArrow(chosen_only, f"id {kind}, toxic int, held boolean, size long, features binary").orderBy("id", "size", "features").limit(2 * sample_rows).toArrow()
+    toxic, held = got.column("toxic").to_numpy().astype(np.int64), got.column("held").to_numpy()
+    pairs = [np.frombuffer(b.as_buffer(), "<i4").reshape(2, -1) for b in got.column("features")]
+    row = np.repeat(np.arange(len(pairs)), [p.shape[1] for p in pairs])
+    slot, many = np.concatenate(pairs, axis=1)
+    own = ~held[row]
     used = number[slot] >= 0
-    telling = used
-    density = np.bincount(row[telling], many[telling], len(pairs)) / np.maximum(1, np.bincount(row, many, len(pairs)))
+    density = np.bincount(row[used], many[used], len(pairs)) / np.maximum(1, got.column("size").to_numpy())
     bounds = np.quantile(density[toxic == 1], np.arange(1, grades) / grades)
     grade = np.where(toxic == 1, 1 + np.searchsorted(bounds, density, "right"), 0)
     train = own & used
@@ -163,9 +188,8 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
     model = OrdinalModel(weights, theta, 0.5)
     s = np.bincount(row, weights[slot], len(pairs))
     severity = model.exceeding(s).sum(1)
-    # the held part weighs as the labels do, not as the sample's halves
-    usual = (shares[0] / shares[1]) / (n0 / n1)
-    model.cut = best_cut(severity[held], toxic[held], usual)
+    if toxic[held].any():  # the held part weighs as the labels do, not as the sample's halves
+        model.cut = best_cut(severity[held], toxic[held], (shares[0] / shares[1]) / (n0 / n1))
     return model
 
 
@@ -182,6 +206,7 @@ def best_cut(severity: np.ndarray, toxic: np.ndarray, usual: float = 1.0) -> flo
 
 def severity(docs: DataFrame, model: OrdinalModel, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per row: doc_id, severity (expected grade), grade (the likeliest), toxic."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
