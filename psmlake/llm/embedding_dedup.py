@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .components import components
-from .runtime import written
+from .runtime import bounded_batches, written
 
 BIN = 0.02
 LEADING = 4
@@ -96,6 +96,7 @@ def embedding_groups(
 ) -> DataFrame:
     """One row per row: vec_id, n_links, component_id, kept."""
     spark = vectors.sparkSession
+    bounded_batches(vectors.sparkSession)
     whole = F.col("e").isNotNull() & F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("e", lambda x: x != 0)
     rows = vectors.select(F.col(f"`{vec_id}`").alias("id"), F.col(f"`{embedding}`").cast("array<double>").alias("e"), F.col(f"`{label}`").cast("string").alias("label"))
     rows = rows.withColumn("fit", F.coalesce(whole & F.col("label").isNotNull(), F.lit(False))).withColumn("e", F.transform("e", lambda x: x + F.lit(0.0)))

@@ -19,7 +19,7 @@ from .runtime import trim
 
 CAP = 255
 BUCKET_VALUES = 4_000_000
-FLUSH = 2_000_000
+FLUSH = 1_000_000
 
 
 def bits_for(n: int, least: int, most: int) -> int:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from . import hash_counts
 from .components import components
-from .runtime import MARK, partitions_for, written
+from .runtime import MARK, bounded_batches, partitions_for, trim, written
 from .text_kernels import U64, mix, shingle_sets
 
 GROUP_BYTES = 16 << 20
@@ -126,6 +126,7 @@ def _sets(docs: DataFrame, doc_id: str, text: str, width: int, t: Fraction, seen
                     yield part(i + 1, start)
                     start, weight = i + 1, 0
             yield part(len(batch), start)
+            trim()
 
     slim = docs.select(F.col(f"`{doc_id}`").alias(f"id{MARK}"), F.col(f"`{text}`").alias(f"text{MARK}"))
     return slim.mapInArrow(run, f"id{MARK} {slim.schema[0].dataType.simpleString()}, n long, ka long, kb long, goes_on boolean, tokens binary")
@@ -177,6 +178,7 @@ def _proved(pairs: DataFrame, classes: DataFrame, t: Fraction, order: Broadcast)
             partners = [i for i in rows_ if b[i] is not None]
             trie = OrderedSets([sets[i] for i in partners])
             out += [(x, b[partners[k]]) for k in trie.reaching(probe_, t)]
+        trim()
         return pa.table({"a": pa.array([p[0] for p in out], pa.int64()), "b": pa.array([p[1] for p in out], pa.int64())})
 
     return rows.groupBy("part").applyInArrow(join, "a long, b long")
@@ -184,6 +186,7 @@ def _proved(pairs: DataFrame, classes: DataFrame, t: Fraction, order: Broadcast)
 
 def similarity_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 5, threshold: Fraction = Fraction(4, 5), max_slots: int = 1 << 27) -> DataFrame:
     """One row per row of `docs`: doc_id, n_shingles, component_id."""
+    bounded_batches(docs.sparkSession)
     spark, t = docs.sparkSession, threshold
     size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
     texts = docs.select(F.col(f"`{text}`").alias(f"text{MARK}"))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import MARK, written
+from .runtime import MARK, bounded_batches, trim, written
 from .text_kernels import LOWER, slices
 
 SLOTS = 1 << 16
@@ -69,6 +69,7 @@ def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def fit(docs: DataFrame, text: str = "text", label: str = "lang", doc_id: str = "doc_id", sample_rows: int = 4000) -> TrigramModel:
     """Trigram counts of each label over a sample taken in the order of a hash of the id; whole texts, counted on executors."""
+    bounded_batches(docs.sparkSession)
     named = docs.where(F.col(f"`{label}`").isNotNull() & (F.trim(f"`{label}`") != "") & F.col(f"`{text}`").isNotNull())
     ids = named.select(F.xxhash64(F.col(f"`{doc_id}`"), F.lit(5)).alias("h")).orderBy("h").limit(sample_rows).agg(F.max("h")).first()[0]
     sample = named.where(F.xxhash64(F.col(f"`{doc_id}`"), F.lit(5)) <= F.lit(ids if ids is not None else 0)).select(F.lower(F.trim(f"`{label}`")).alias("lang"), F.col(f"`{text}`").alias("text"))
@@ -83,6 +84,7 @@ def fit(docs: DataFrame, text: str = "text", label: str = "lang", doc_id: str =
                 each = np.repeat(own, np.diff(ends))
                 for l in np.unique(own):
                     total[l] = total.get(l, 0) + np.bincount(slot[each == l], minlength=SLOTS)
+            trim()
             yield pa.RecordBatch.from_arrays([pa.array([str(k) for k in total], pa.string()), pa.array([v.astype("<i8").tobytes() for v in total.values()], pa.binary())], names=["lang", "counts"])
 
     def add(group: pa.Table) -> pa.Table:
@@ -108,6 +110,7 @@ def _sums(df: DataFrame, keys: list[str], own: str, k: int) -> DataFrame:
 
 def identify(df: DataFrame, model: TrigramModel, text: Column, declared: Column | None = None, suffix: Column | None = None, host: Column | None = None, parent: Column | None = None, accept: float = 0.5, prefix: str = "") -> DataFrame:
     """`df` with {prefix}language, {prefix}chance and {prefix}accepted added; its columns keep their names and values."""
+    bounded_batches(df.sparkSession)
     names = [F.col(f"`{c}`") for c in df.columns]
     shared = df.sparkSession.sparkContext.broadcast(model)
     k = len(model.languages) + 1
@@ -116,6 +119,7 @@ def identify(df: DataFrame, model: TrigramModel, text: Column, declared: Column
     @F.arrow_udf("array<double>")
     def evidence(texts: pa.Array) -> pa.Array:
         values = shared.value.evidence(texts)
+        trim()
         return pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * values.shape[1]), pa.array(values.ravel()))
 
     key = lambda x: F.nullif(F.lower(F.trim(x)), F.lit("")) if x is not None else F.lit(None).cast("string")

@@ -155,8 +155,10 @@ def mixed(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: s
     whole = F.array_repeat(F.lit(True), F.col(f"p.epochs{MARK}").cast("int"))
     part = F.when(F.size(f"p.ranges{MARK}") > 0, F.array(F.lit(False))).otherwise(F.expr("cast(array() as array<boolean>)"))
     both = both.select(*[F.col(f"d.`{c}`") for c in names], F.col(f"p.ranges{MARK}"), F.explode(F.concat(whole, part)).alias(f"whole{MARK}"))
-    words = f"regexp_extract_all(`{text}`, '[^\\\\x20\\\\x09-\\\\x0D]+', 0)"
-    cut = F.expr(f"array_join(flatten(transform(ranges{MARK}, r -> slice({words}, cast(r.begin + 1 as int), cast(r.end - r.begin as int)))), ' ')")
+    # the words are taken out once a row: a lambda's argument is a value, while an expression inside it runs for every range
+    words = F.array(F.regexp_extract_all(F.col(f"`{text}`"), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    part_of = lambda w: F.array_join(F.flatten(F.transform(f"ranges{MARK}", lambda r: F.slice(w, (r["begin"] + 1).cast("int"), (r["end"] - r["begin"]).cast("int")))), " ")
+    cut = F.transform(words, part_of)[0]
     out = both.withColumn(text, F.when(F.col(f"whole{MARK}"), F.col(f"`{text}`")).otherwise(cut))
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.when(F.col(f"whole{MARK}"), F.col("n_chars")).otherwise(F.length(text).cast(docs.schema["n_chars"].dataType)))

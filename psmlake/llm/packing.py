@@ -13,8 +13,10 @@ like any other; an empty table gives an empty table.
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .runtime import MARK, partitions_for, written
+from .runtime import MARK, bounded_batches, partitions_for, trim, written
 
 CLOSING_ID = 0
 MOST_BUCKETS = 1024
@@ -33,11 +35,9 @@ class Encoder:
     """Ids of a text as the tokenizers library gives them; texts without special strings go through the same vocabulary as ranks."""
 
     def __init__(self, path: str, ranks_path: str | None):
-        from tokenizers import Tokenizer
-
-        self.exact = Tokenizer.from_file(path)
-        self.fast = None
-        self.special = [t.content for t in self.exact.get_added_tokens_decoder().values()]
+        self.path, self.fast = path, None
+        with open(path, encoding="utf-8") as f:
+            self.special = [t["content"] for t in json.load(f)["added_tokens"]]
         if ranks_path:
             import public_tokenizers
             import tiktoken
@@ -46,6 +46,13 @@ class Encoder:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    @cached_property
+    def exact(self) -> object:
+        """Loaded where a text needs it; it takes far more memory than the ranks."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def ids(self, text: str) -> np.ndarray:
         if self.fast is None or any(s in text for s in self.special):
             return np.asarray(self.exact.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -121,8 +128,11 @@ def _tokenized(docs: DataFrame, text: str, doc_id: str, path: str, ranks_path: s
                 n[i] = len(ids)
                 sums += [zlib.crc32(ids[a : a + size].tobytes()) for a in range(0, len(ids), size)]
                 ends[i + 1] = len(sums)
+            trim()
             crcs = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.asarray(sums, np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), crcs], names=[f"id{MARK}", "n", "crcs"])
+        _encoders.clear()  # the worker lives on and may have other work
+        trim()
 
     slim = docs.select(F.col(f"`{doc_id}`").alias(f"id{MARK}"), F.col(f"`{text}`").alias(f"text{MARK}"))
     return slim.mapInArrow(run, f"id{MARK} {slim.schema[0].dataType.simpleString()}, n long, crcs array<long>")
@@ -130,6 +140,7 @@ def _tokenized(docs: DataFrame, text: str, doc_id: str, path: str, ranks_path: s
 
 def packed(docs: DataFrame, path: str, ranks_path: str | None = None, text: str = "text", doc_id: str = "doc_id", size: int = 1024, bucket_rows: int = 20_000) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+    bounded_batches(docs.sparkSession)
     rows = _tokenized(docs, text, doc_id, path, ranks_path, size)
     rows = written(rows.withColumn("rest", (F.col("n") % size).cast("int")).withColumn("full", F.expr(f"n div {size}")))
     hist = rows.groupBy("rest").agg(F.count("*").alias("rows"), F.sum("full").alias("full")).orderBy("rest").collect()

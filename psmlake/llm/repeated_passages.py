@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from . import hash_counts
 from .run_length_index import RunLengthIndex
-from .runtime import MARK, partitions_for, trim, written
+from .runtime import MARK, bounded_batches, partitions_for, trim, written
 from .text_kernels import BYTE_WORD, U64, mix, powers, slices
 
 GRAM = 40
@@ -311,6 +311,7 @@ def repeated_spans(docs: DataFrame, width: int, max_slots: int) -> DataFrame:
 
 def without_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 100, max_slots: int = 1 << 27, keep_text: bool = False) -> DataFrame:
     """One row per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans ([begin, end) pairs, 32-bit), and kept (bytes) on request."""
+    bounded_batches(docs.sparkSession)
     slim = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("h"), F.col(f"`{text}`").alias(f"text{MARK}"))
     spans = written(repeated_spans(slim, width, max_slots))
     both = slim.join(spans, (F.coalesce("id", F.lit(NULL_ID)) == F.col("doc")) & (F.col("h") == F.col("hash")), "left").select("id", f"text{MARK}", "spans")

@@ -5,16 +5,18 @@ from __future__ import annotations
 import atexit
 import contextlib
 import ctypes
-import re
 import shutil
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Suffix for working columns, so that a column of the caller cannot clash.
 MARK = "__llm"
 BATCH_BYTES = 8 << 20
+#: Fixed value: the setting where nobody changed it.
+USUAL_BATCH = "67108864b"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -56,13 +58,13 @@ def _remove(spark: SparkSession, path: str) -> None:
 def bounded_batches(spark: SparkSession) -> None:
     """Keep the batches that Python workers get within BATCH_BYTES, for this session: whole documents are large rows."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    set_bytes = re.sub("[^0-9-]", "", spark.conf.get(key, "-1"))
-    if not 0 < int(set_bytes or -1) <= BATCH_BYTES:
+    if spark.conf.get(key) == USUAL_BATCH:  # a size that someone chose stays
         spark.conf.set(key, str(BATCH_BYTES))
 
 
 def trim() -> None:
     """Give freed memory back: a Python worker lives on, and an executor's other workers need it."""
+    pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # other C libraries do without
         ctypes.CDLL(None).malloc_trim(0)
 
