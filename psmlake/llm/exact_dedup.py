@@ -81,12 +81,18 @@ def exact_groups(df: DataFrame, text: str = "text", doc_id: str = "doc_id", max_
     once = tested.where(~F.col(flag)).select(ID, F.col(ID).alias("keep_id"), F.lit(1).cast("long").alias("group_size"), D)
     again = tested.where(flag).drop(flag)
     groups = again.groupBy(F.col(D).alias(GROUP)).agg(F.min(ID).alias("keep_id"), F.count("*").alias("group_size"))
-    again = again.join(groups, F.col(D) == F.col(GROUP)).select(ID, "keep_id", "group_size", D)
+    again = _beside(again, groups).select(ID, "keep_id", "group_size", D)
     return once.unionByName(again).select(
         F.col(ID).alias(doc_id), "keep_id", "group_size", F.coalesce(F.col(ID) == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"), F.col(D).alias("text_sha256")
     )
 
 
+def _beside(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows with their group.  A second key, made from the first, has both sides shuffled for the join itself, so that adaptive execution may split a group that holds many rows."""
+    rows, groups = rows.withColumn(f"near{MARK}", F.xxhash64(D)), groups.withColumn(f"there{MARK}", F.xxhash64(GROUP))
+    return rows.join(groups, (F.col(D) == F.col(GROUP)) & (F.col(f"near{MARK}") == F.col(f"there{MARK}")))
+
+
 def drop_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", max_filter_bits: int = 1 << 27) -> DataFrame:
     """The rows of `df` without later copies of a text; columns as given.
 
@@ -94,7 +100,7 @@ def drop_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", m
     the groups; the row with the smallest id stays (nulls last), one of them where ids tie.
     """
     names = [F.col(f"`{c}`") for c in df.columns]
-    flag, n, least = f"again{MARK}", f"n{MARK}", f"least{MARK}"
+    flag, least = f"again{MARK}", f"least{MARK}"
     marked = df.withColumn(D, digest(F.col(f"`{text}`")))
     slim = written(marked.select(D))
     bits = filter_bits(slim.count(), max_filter_bits)
@@ -102,7 +108,6 @@ def drop_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", m
     tested = possibly_repeated(marked, D, filters, bits, flag)
     again = tested.where(flag).drop(flag)
     groups = again.groupBy(F.col(D).alias(GROUP)).agg(F.min(f"`{doc_id}`").alias(least))
-    groups = groups.withColumn(n, F.lit(True))
-    kept = again.join(groups, (F.col(D) == F.col(GROUP)) & F.col(f"`{doc_id}`").eqNullSafe(F.col(least)))
+    kept = _beside(again, groups).where(F.col(f"`{doc_id}`").eqNullSafe(F.col(least)))
     kept = kept.dropDuplicates([D])
     return tested.where(~F.col(flag)).select(*names).unionByName(kept.select(*names))
