@@ -82,7 +82,7 @@ def sainte_lague(seats: int, weights: Sequence[float], caps: Sequence[int]) -> l
 
 def mix_plan(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source", weights: Sequence[int] = WEIGHTS, share: Fraction = Fraction(3, 2), most: int = 2,
-    block_words: int = 64, seed: int = 7, shard_rows: int = 20_000, max_sources: int = 10_000,
+    block_words: int = 64, seed: int = 7, shard_rows: int = 4_000, max_sources: int = 10_000,
 ) -> DataFrame:
     """One row per document: doc_id, key, size, source_size, target, taken, epochs, ranges.
 
