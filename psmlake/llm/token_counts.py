@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import MARK
+from .runtime import MARK, bounded_batches
 
 SPACE_CLASS = r"\x09-\x0D\x20\x85\xA0  -     　"
 _counters: dict[tuple[str, int], PrefixCounter] = {}
@@ -213,6 +213,7 @@ def token_counts(docs: DataFrame, path: str, text: str = "text", doc_id: str = "
             size = np.fromiter((len(t) if t.isascii() else len(t.encode()) for t in texts), np.int64, len(texts))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size), pa.array(tokens), pa.array(tokens > limit)], names=[f"id{MARK}", "n_bytes", "n_tokens", "over_limit"])
 
+    bounded_batches(docs.sparkSession)
     slim = docs.select(F.col(f"`{doc_id}`").alias(f"id{MARK}"), F.col(f"`{text}`").alias(f"text{MARK}"))
     kind = slim.schema[0].dataType.simpleString()
     return slim.mapInArrow(count, f"id{MARK} {kind}, n_bytes long, n_tokens long, over_limit boolean").withColumnRenamed(f"id{MARK}", doc_id)
