@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame
 from .runtime import trim
 
 CAP = 255
-BUCKET_VALUES = 4_000_000
-FLUSH = 1_000_000
+BUCKET_VALUES = 2_000_000
+FLUSH = 500_000
 
 
 def bits_for(n: int, least: int, most: int) -> int:

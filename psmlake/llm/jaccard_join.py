@@ -34,7 +34,7 @@ from .components import components
 from .runtime import MARK, bounded_batches, partitions_for, trim, written
 from .text_kernels import U64, mix, shingle_sets
 
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 8 << 20
 MEMBERS = 256
 BLOCK = 64
 
@@ -184,7 +184,7 @@ def _proved(pairs: DataFrame, classes: DataFrame, t: Fraction, order: Broadcast)
     return rows.groupBy("part").applyInArrow(join, "a long, b long")
 
 
-def similarity_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 5, threshold: Fraction = Fraction(4, 5), max_slots: int = 1 << 27) -> DataFrame:
+def similarity_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 5, threshold: Fraction = Fraction(4, 5), max_slots: int = 1 << 26) -> DataFrame:
     """One row per row of `docs`: doc_id, n_shingles, component_id."""
     bounded_batches(docs.sparkSession)
     spark, t = docs.sparkSession, threshold

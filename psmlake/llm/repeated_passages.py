@@ -309,7 +309,7 @@ def repeated_spans(docs: DataFrame, width: int, max_slots: int) -> DataFrame:
     return first.where("shard >= 0").unionByName(second).groupBy("shard").applyInArrow(unite, "doc long, hash long, spans binary")
 
 
-def without_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 100, max_slots: int = 1 << 27, keep_text: bool = False) -> DataFrame:
+def without_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 100, max_slots: int = 1 << 26, keep_text: bool = False) -> DataFrame:
     """One row per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans ([begin, end) pairs, 32-bit), and kept (bytes) on request."""
     bounded_batches(docs.sparkSession)
     slim = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("h"), F.col(f"`{text}`").alias(f"text{MARK}"))

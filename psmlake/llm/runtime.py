@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Suffix for working columns, so that a column of the caller cannot clash.
 MARK = "__llm"
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 #: Fixed value: the setting where nobody changed it.
 USUAL_BATCH = "67108864b"
 
@@ -41,7 +41,7 @@ def written(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.parquet(path)
     atexit.register(_remove, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -64,6 +64,7 @@ def bounded_batches(spark: SparkSession) -> None:
 
 def trim() -> None:
     """Give freed memory back: a Python worker lives on, and an executor's other workers need it."""
+    pa.set_memory_pool(pa.system_memory_pool())  # others keep what they once held
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # other C libraries do without
         ctypes.CDLL(None).malloc_trim(0)

@@ -46,7 +46,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-def slices(texts: pa.Array, most: int = (1 << 19) - 2) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def slices(texts: pa.Array, most: int = (1 << 18) - 2) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets) for runs of rows with at most `most` bytes, or one longer row."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
