@@ -17,7 +17,7 @@ def read_records(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     Records are split by the reader itself, so a database of any size is read in parallel; `ord` rises with the place in the file.
     """
     text = spark.read.option("lineSep", "\n>").text([paths] if isinstance(paths, str) else list(paths))
-    text = text.select(F.regexp_replace(F.ltrim(F.lit(">"), F.col("value")), "\r", "").alias("r"), F.col("_metadata.file_name").alias("database"), F.monotonically_increasing_id().alias("ord"))
+    text = text.select(F.regexp_replace(F.ltrim(F.col("value"), F.lit(">")), "\r", "").alias("r"), F.col("_metadata.file_name").alias("database"), F.monotonically_increasing_id().alias("ord"))
     text = text.where(F.trim("r") != "")
     header = F.substring_index("r", "\n", 1)
     body = F.when(F.instr("r", "\n") > 0, F.expr("substring(r, instr(r, '\\n') + 1)")).otherwise("")
