@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import math
+import numbers
 from pathlib import Path
 
 import duckdb
+import pandas as pd
 import pytest
 
 from psmlake import queries
@@ -23,12 +24,15 @@ def duck():
     return con
 
 
+def shown(value):
+    if pd.api.types.is_scalar(value) and pd.isna(value):
+        return "null"
+    return f"{float(value):.6g}" if isinstance(value, numbers.Number) else str(value)
+
+
 def canon(frame):
     frame = frame[sorted(frame.columns)]
-    rows = []
-    for r in frame.itertuples(index=False):
-        rows.append(tuple("null" if v is None or (isinstance(v, float) and math.isnan(v)) else f"{float(v):.6g}" if isinstance(v, (int, float)) or hasattr(v, "dtype") and v.dtype.kind in "fiu" else str(v) for v in r))
-    return sorted(frame.columns), sorted(rows)
+    return list(frame.columns), sorted(tuple(map(shown, r)) for r in frame.itertuples(index=False))
 
 
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
