@@ -241,6 +241,8 @@ def _later_matches(firsts: np.ndarray, byte_at: np.ndarray, anchor: np.ndarray,
             index = RunLengthIndex(*_symbols(against, firsts, byte_at, mark, data, width))
             found = index.matching_statistics(*_symbols(own, firsts, byte_at, mark, data, width)) >= width
             gone[own, : found.shape[1]] |= found
+            del index, found  # before the next index is built
+            trim()
     i, j = np.nonzero(gone)
     if not len(i):
         return np.zeros(0, SPAN)
