@@ -1,9 +1,10 @@
 """Mixing sources to target weights by Sainte-Lague apportionment.
 
 Every source's words are dealt, in a seeded order, over shards; a shard's words of one source
-form a cell, cut into blocks of `block_words`.  Sainte-Lague apportionment (highest quotients w / (2k + 1)) gives
-each source its number of blocks and then each cell its integer quota.  A cell takes all its blocks
-once for every full epoch in its quota and, of the rest, those with the smallest seeded hash.
+form a cell.  The cells of a source stand one behind the other, and all its words are cut into blocks of `block_words`,
+only the last of them shorter; a block belongs to the cell where it starts.  Sainte-Lague apportionment (highest quotients
+w / (2k + 1)) gives each source its number of blocks.  A source takes all its blocks once for every full epoch in that
+number; the rest is apportioned to its cells, each of which takes those of its blocks with the smallest seeded hash.
 The driver holds one number for each source and each cell: at most `max_sources` and 1024 times as many.
 
 Defined results: a null text has size 0 and is taken 0 times; a null source is a source of its own,
@@ -16,6 +17,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Sequence
 from fractions import Fraction
+from itertools import accumulate, pairwise
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -108,30 +110,35 @@ def mix_plan(
         sizes[place[c["source"]]] += c["words"]
         by_source[place[c["source"]]].append((c["shard"], c["words"]))
     goal = targets(sizes, [weights[i % len(weights)] for i in range(len(names))], share, most)
-    quota = sainte_lague(round(sum(goal) / block_words), [float(g) for g in goal], [most * -(-s // block_words) for s in sizes])
+    blocks = [-(-s // block_words) for s in sizes]
+    wanted = [g * b / s if s else Fraction(0) for g, b, s in zip(goal, blocks, sizes, strict=True)]
+    quota = sainte_lague(round(sum(wanted)), [float(w) for w in wanted], [most * b for b in blocks])
     table = []
     for i, (name, own) in enumerate(zip(names, by_source, strict=True)):
-        blocks = [-(-w // block_words) for _, w in own]
-        for (shard, _), n, q in zip(own, blocks, sainte_lague(quota[i], [float(w) for _, w in own], [most * b for b in blocks]), strict=True):
-            table.append((i, name, sizes[i], float(goal[i]), shard, n, q // n if n else 0, q % n if n else 0))
-    cell = spark.createDataFrame(table, "cell_source int, name string, source_size long, target double, cell_shard int, blocks long, epochs long, extra long")
+        before = [0, *accumulate(w for _, w in own)]
+        first = [-(-w // block_words) for w in before]
+        counts = [b - a for a, b in pairwise(first)]
+        epochs, extra = divmod(quota[i], blocks[i]) if blocks[i] else (0, 0)
+        for (shard, _), at, f, n, q in zip(own, before, first, counts, sainte_lague(extra, [float(n) for n in counts], counts), strict=False):  # before and first have one more
+            table.append((i, name, sizes[i], float(goal[i]), shard, at, f, n, epochs, extra, q))
+    cell = spark.createDataFrame(table, "cell_source int, name string, source_size long, target double, cell_shard int, cell_at long, first long, blocks long, epochs long, extra long, own_extra long")
     rows = rows.join(cell, rows.source.eqNullSafe(cell.name) & (F.col("shard") == F.col("cell_shard")))
     order = Window.partitionBy("cell_source", "shard").orderBy("key", "doc_id", "size")
-    rows = rows.withColumn("at", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
-    rows = written(rows.select("doc_id", "key", "size", "source_size", "target", "epochs", "extra", "cell_source", "shard", "at"))
+    rows = rows.withColumn("at", F.col("cell_at") + F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
+    rows = written(rows.select("doc_id", "key", "size", "source_size", "target", "epochs", "extra", "cell_source", "at"))
 
-    ranked = cell.where("extra > 0").select("cell_source", F.col("cell_shard").alias("shard"), "extra", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
-    by_hash = Window.partitionBy("cell_source", "shard").orderBy(F.xxhash64(F.lit(seed), "cell_source", "shard", "block"), "block")
-    chosen = ranked.withColumn("rank", F.row_number().over(by_hash)).where("rank <= extra").select("cell_source", "shard", "block")
+    ranked = cell.where("own_extra > 0").select("cell_source", F.col("cell_shard").alias("shard"), "own_extra", F.explode(F.sequence("first", F.col("first") + F.col("blocks") - 1)).alias("block"))
+    by_hash = Window.partitionBy("cell_source", "shard").orderBy(F.xxhash64(F.lit(seed), "cell_source", "block"), "block")
+    chosen = ranked.withColumn("rank", F.row_number().over(by_hash)).where("rank <= own_extra").select("cell_source", "block")
 
     width = F.lit(block_words).cast("long")
-    pieces = rows.where("extra > 0 and size > 0").select("cell_source", "shard", "at", "size", F.explode(F.expr(f"sequence(at div {block_words}, (at + size - 1) div {block_words})")).alias("block"))
+    pieces = rows.where("extra > 0 and size > 0").select("cell_source", "at", "size", F.explode(F.expr(f"sequence(at div {block_words}, (at + size - 1) div {block_words})")).alias("block"))
     begin = F.greatest(F.lit(0).cast("long"), F.col("block") * width - F.col("at"))
     end = F.least(F.col("size"), (F.col("block") + 1) * width - F.col("at"))
-    hit = pieces.join(chosen, ["cell_source", "shard", "block"]).select("cell_source", "shard", "at", begin.alias("begin"), end.alias("end"))
-    hit = hit.groupBy("cell_source", "shard", "at").agg(F.sum(F.col("end") - F.col("begin")).alias("partial"), F.sort_array(F.collect_list(F.struct("begin", "end"))).alias("ranges"))
+    hit = pieces.join(chosen, ["cell_source", "block"]).select("cell_source", "at", begin.alias("begin"), end.alias("end"))
+    hit = hit.groupBy("cell_source", "at").agg(F.sum(F.col("end") - F.col("begin")).alias("partial"), F.sort_array(F.collect_list(F.struct("begin", "end"))).alias("ranges"))
     hit = hit.withColumnRenamed("at", f"at{MARK}").withColumn("some", F.lit(True))
-    out = rows.withColumn(f"at{MARK}", F.when(F.col("size") > 0, F.col("at"))).join(hit, ["cell_source", "shard", f"at{MARK}"], "left")
+    out = rows.withColumn(f"at{MARK}", F.when(F.col("size") > 0, F.col("at"))).join(hit, ["cell_source", f"at{MARK}"], "left")
     return out.select(
         "doc_id", "key", "size", "source_size", "target", (F.col("epochs") * F.col("size") + F.coalesce("partial", F.lit(0))).alias("taken"), "epochs", F.coalesce("ranges", F.expr("cast(array() as array<struct<begin:bigint,end:bigint>>)")).alias("ranges")
     )

@@ -290,6 +290,17 @@ def test_mixing_plan(spark):
     assert words == sum(r.taken for r in got)
 
 
+def test_mixing_takes_small_sources_whole_over_many_shards(spark):
+    rng = random.Random(3)
+    rows = [(i, say(rng, 100), "en", "small", 0) for i in range(300)] + [(1000 + i, say(rng, 150), "en", "big", 0) for i in range(1800)] + [(9000, say(rng, 10), "en", "tiny", 0)]
+    got = mixing.mix_plan(frame(spark, rows), shard_rows=1).collect()
+    assert {r.source_size for r in got} == {30_000, 270_000, 10}
+    for size in (30_000, 270_000, 10):
+        own = [r for r in got if r.source_size == size]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 64, size
+    assert all(r.taken == r.epochs * r.size + sum(x.end - x.begin for x in r.ranges) and all(0 <= x.begin < x.end <= r.size for x in r.ranges) for r in got)
+
+
 def test_personal_data_base_spans():
     text = "mail a.b@x.org, ip 10.0.0.1 999.1.1.1 1.2.3.4.5 card 4111 1111-1111 1111 and 4111111111111112 call +1 (988) 555-2485 +12"
     got = pii.base_spans(text)
