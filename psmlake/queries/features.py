@@ -79,7 +79,7 @@ def carried_ms1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _spectra(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    rows = _peptides(spark, sf_dir).where("Scan % 40 = 0").withColumn("psm_id", F.xxhash64(*PEP_TIE))
+    rows = _peptides(spark, sf_dir).withColumn("psm_id", F.xxhash64(*PEP_TIE))
     peaks = F.transform(F.sequence(F.lit(1), F.lit(120)), lambda k: 100.0 + k * 7.3 + F.pmod(F.col("Scan") * k, F.lit(97)) / 10)
     heights = F.transform(F.sequence(F.lit(1), F.lit(120)), lambda k: 10.0 + F.pmod(F.col("Scan") * k * k, F.lit(1013)).cast("double"))
     scans = rows.select("sample", "Scan").distinct()
@@ -88,6 +88,7 @@ def _spectra(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def spectral_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of every PSM from the spectrum of its scan."""
     rows, spectra = _spectra(spark, sf_dir)
     return spectral.extract(rows, spectra, tolerance=0.5)
 

@@ -101,3 +101,28 @@ def test_selected_features_vary(spark):
     holes = spark.createDataFrame([(1.0,), (None,), (float("nan"),), (3.0,)], "a double")
     fill = engineer.medians(holes, ["a"])
     assert [r.a for r in engineer.imputed(holes, fill).collect()] == [1.0, 2.0, 2.0, 3.0]
+
+
+def lineitems(spark, path, n):
+    """A small lineitem table, two to a scan; the path of its folder."""
+    rng = np.random.default_rng(5)
+    rows = [(f"{1995 + i % 7}-03-04", 1 + i // 2, 1 + i % 2, int(rng.integers(1, 40)), int(rng.integers(1, 9)), float(rng.integers(1, 51)), float(rng.integers(0, 11)) / 100, float(rng.integers(900, 90000)), float(rng.integers(0, 9)) / 100, "R" if rng.random() < 0.4 else "N") for i in range(n)]
+    docs = spark.createDataFrame(rows, "d string, l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_discount double, l_extendedprice double, l_tax double, l_returnflag string")
+    docs.withColumn("l_shipdate", F.col("d").cast("date")).drop("d").write.parquet(f"{path}/lineitem.parquet")
+    return str(path)
+
+
+def test_spectral_features_of_every_psm(spark, tmp_path):
+    from psmlake.operators import spectral
+    from psmlake.queries import features
+
+    folder = lineitems(spark, tmp_path, 150)
+    got = {r.psm_id: r.asDict() for r in features.spectral_features(spark, folder).collect()}
+    rows = features._peptides(spark, folder).withColumn("psm_id", F.xxhash64(*features.PEP_TIE)).collect()
+    assert len(rows) == 150 and set(got) == {r.psm_id for r in rows}
+    k = np.arange(1, 121)
+    for r in rows:
+        want = spectral.features(r.Peptide, r.Charge, 100.0 + k * 7.3 + (r.Scan * k % 97) / 10, 10.0 + (r.Scan * k * k % 1013), 500.0, tolerance=0.5)
+        assert want["spectral_feature_error"] is None and got[r.psm_id]["spectral_feature_error"] is None
+        for c in (*spectral.COUNTS, *spectral.VALUES):
+            assert got[r.psm_id][c] == pytest.approx(want[c], abs=1e-9), c
