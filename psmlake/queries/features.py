@@ -33,14 +33,28 @@ def rank_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(rows.groupBy("sample", "n_psms_in_scan", "is_singleton_scan").agg(F.count("*").alias("n"), F.avg("delta_score").alias("delta"), F.avg("delta_score_norm").alias("norm")), "delta", "norm")
 
 
-def learned_peptides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Peptide figures learned on even scans, applied to odd ones."""
+def _learnable(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = engineer.stateless(_peptides(spark, sf_dir).drop("ElutionTime", "MSGFDB_SpecEValue", "PrecursorMZ", "ParentIonIntensity").withColumn("ParentIonIntensity", F.lit(1.0)), ("Scan", "Charge", "Peptide", "Protein", "tax"))
-    rows = rows.drop("ParentIonIntensity")
-    out = engineer.transform(rows.where("Scan % 2 = 1"), engineer.fit(rows.where("Scan % 2 = 0")))
+    return rows.drop("ParentIonIntensity")
+
+
+def _learned(out: DataFrame) -> DataFrame:
     return rounded(out.groupBy("sample", "is_decoy").agg(F.avg("peptide_best").alias("best"), F.avg("peptide_n").alias("seen"), F.avg("mass_error_z").alias("z"), F.count("*").alias("n")), "best", "seen", "z", digits=5)
 
 
+def learned_peptides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Peptide figures learned on even scans, applied to odd ones; learned_peptides_crossed() gives them to all rows."""
+    rows = _learnable(spark, sf_dir)
+    return _learned(engineer.transform(rows.where("Scan % 2 = 1"), engineer.fit(rows.where("Scan % 2 = 0"))))
+
+
+def learned_peptides_crossed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Peptide figures of every row, learned on the scans of the other parity."""
+    rows = _learnable(spark, sf_dir)
+    halves = [engineer.transform(rows.where(f"Scan % 2 = {k}"), engineer.fit(rows.where(f"Scan % 2 = {1 - k}"))) for k in (0, 1)]
+    return _learned(halves[0].unionByName(halves[1]))
+
+
 def coelution_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events within half a minute: the bucketed range join, each event against all."""
     rows = table(spark, sf_dir, "events").select("event_id", ((F.unix_micros(F.col("ts").cast("timestamp")) % 86400000000) / 6e7).alias("ElutionTime"))
@@ -98,20 +112,20 @@ def retention_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _peptides(spark, sf_dir)
     core = peptide.core_both_flanks(F.col("Peptide"))
     rows = rows.withColumn("ElutionTime", 30 + 1.5 * peptide.retention_score(core) + (F.col("MSGFScore") - 25) / 50)
-    model = rt.fit(rows, most=5_000)
+    model = rt.fit(rows)
     return rounded(qc.rt_agreement(rt.predict(rows, model), "ElutionTime", "rt_pred", ("sample",)), "median_error", "mad", "mae", "normalised_mae", "pearson", digits=3)
 
 
 def rescoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two folds, one small model each: area under the curve before and after."""
-    rows = _peptides(spark, sf_dir).where("Scan % 20 = 0").drop("QValue")
-    scored, _ = rescore.cross_validated(rows, PEP_TIE, 2, 1, most_trees=3)
+    """All rows, with the operator's own folds, members and trees: area under the curve before and after."""
+    rows = _peptides(spark, sf_dir).drop("QValue")
+    scored, _ = rescore.cross_validated(rows, PEP_TIE)
     done = rescore.combined(scored, PEP_TIE)
     before, after = qc.roc_auc(done, "MSGFScore"), qc.roc_auc(done, "xpec_score")
     return before.select(F.lit("before").alias("stage"), "auc").unionByName(after.select(F.lit("after").alias("stage"), "auc"))
 
 
-QUERIES = {f.__name__: f for f in (residue_features, rank_gaps, learned_peptides, coelution_density, fold_balance, spectrum_figures, longest_runs, carried_ms1, spectral_features, retention_model, rescoring)}
+QUERIES = {f.__name__: f for f in (residue_features, rank_gaps, learned_peptides, learned_peptides_crossed, coelution_density, fold_balance, spectrum_figures, longest_runs, carried_ms1, spectral_features, retention_model, rescoring)}
 
 _PEP = f"""{PSM_SQL}, pep AS (SELECT sample, Scan, Charge, 'K.' || translate(Peptide, '0123456789', 'KRPMSTYLFW') || 'AGIDEVKPR.A' AS Peptide, translate(Peptide, '0123456789', 'KRPMSTYLFW') || 'AGIDEVKPR' AS core, Protein, is_decoy, score AS MSGFScore, tax * 100 - 4 AS DelM_PPM, ParentIonIntensity, tax FROM psm)"""
 _KD = "CASE r WHEN 'A' THEN 1.8 WHEN 'R' THEN -4.5 WHEN 'N' THEN -3.5 WHEN 'D' THEN -3.5 WHEN 'C' THEN 2.5 WHEN 'Q' THEN -3.5 WHEN 'E' THEN -3.5 WHEN 'G' THEN -0.4 WHEN 'H' THEN -3.2 WHEN 'I' THEN 4.5 WHEN 'L' THEN 3.8 WHEN 'K' THEN -3.9 WHEN 'M' THEN 1.9 WHEN 'F' THEN 2.8 WHEN 'P' THEN -1.6 WHEN 'S' THEN -0.8 WHEN 'T' THEN -0.7 WHEN 'W' THEN -0.9 WHEN 'Y' THEN -1.3 WHEN 'V' THEN 4.2 END::DOUBLE"
@@ -129,6 +143,10 @@ SQL = {
         e AS (SELECT Charge, median(DelM_PPM) AS md, stddev_pop(DelM_PPM) AS sd FROM tr WHERE is_decoy = 0 GROUP BY ALL)
         SELECT sample, p.is_decoy, round(avg(coalesce(m.best, f.q, 0)), 5) AS best, round(avg(least(5, coalesce(m.n, 0))), 5) AS seen, round(avg(coalesce((DelM_PPM - md) / nullif(sd, 0), 0)), 5) AS z, count(*) AS n
         FROM (SELECT * FROM pep WHERE Scan % 2 = 1) p LEFT JOIN m USING (core, is_decoy) LEFT JOIN f USING (is_decoy) LEFT JOIN e USING (Charge) GROUP BY ALL""",
+    "learned_peptides_crossed": f"""WITH {_PEP}, tr AS (SELECT *, 1 - Scan % 2 AS half FROM pep), m AS (SELECT half, core, is_decoy, max(MSGFScore) AS best, count(*) AS n FROM tr GROUP BY ALL), f AS (SELECT half, is_decoy, quantile_cont(best, 0.25) AS q FROM m GROUP BY ALL),
+        e AS (SELECT half, Charge, median(DelM_PPM) AS md, stddev_pop(DelM_PPM) AS sd FROM tr WHERE is_decoy = 0 GROUP BY ALL)
+        SELECT sample, p.is_decoy, round(avg(coalesce(m.best, f.q, 0)), 5) AS best, round(avg(least(5, coalesce(m.n, 0))), 5) AS seen, round(avg(coalesce((DelM_PPM - md) / nullif(sd, 0), 0)), 5) AS z, count(*) AS n
+        FROM (SELECT *, Scan % 2 AS half FROM pep) p LEFT JOIN m USING (half, core, is_decoy) LEFT JOIN f USING (half, is_decoy) LEFT JOIN e USING (half, Charge) GROUP BY ALL""",
     "coelution_density": f"WITH e AS (SELECT event_id, {_DAY} AS t FROM events) SELECT event_id, count(*) OVER (ORDER BY t RANGE BETWEEN 0.5 PRECEDING AND 0.5 FOLLOWING) AS n FROM e",
     "fold_balance": f"""WITH {_PEP}, k AS (SELECT Scan, CASE WHEN max(is_decoy) = 0 THEN 'target' WHEN min(is_decoy) = 1 THEN 'decoy' ELSE 'mixed' END AS kind FROM pep GROUP BY Scan)
         SELECT kind, count(*) AS scans, least(5, count(*)) AS folds, 1 AS even FROM k GROUP BY kind""",

@@ -126,3 +126,30 @@ def test_spectral_features_of_every_psm(spark, tmp_path):
         assert want["spectral_feature_error"] is None and got[r.psm_id]["spectral_feature_error"] is None
         for c in (*spectral.COUNTS, *spectral.VALUES):
             assert got[r.psm_id][c] == pytest.approx(want[c], abs=1e-9), c
+
+
+def test_rescoring_query_scores_every_row_with_the_usual_models(spark, tmp_path, monkeypatch):
+    from psmlake.queries import features
+
+    folder, asked, scored = lineitems(spark, tmp_path, 120), [], []
+    fit, combined = rescore.fit_members, rescore.combined
+    monkeypatch.setattr(rescore, "fit_members", lambda train, names, members, seed, n, trees: asked.append((members, trees)) or fit(train, names, 1, seed, n, 1))
+    monkeypatch.setattr(rescore, "combined", lambda rows, tie: scored.append(rows.count()) or combined(rows, tie))
+    got = {r.stage: r.auc for r in features.rescoring(spark, folder).collect()}
+    assert set(got) == {"before", "after"}
+    assert scored == [120] and asked == [(5, rescore.MOST_TREES)] * 5
+
+
+def test_retention_query_uses_the_usual_calibration(spark, tmp_path, monkeypatch):
+    from psmlake.queries import features
+
+    asked, fit = [], rt.fit
+    monkeypatch.setattr(rt, "fit", lambda rows, most=rt.MOST_POINTS: asked.append(most) or fit(rows, most))
+    assert features.retention_model(spark, lineitems(spark, tmp_path, 150)).count() > 0
+    assert asked == [rt.MOST_POINTS]
+
+
+def test_crossed_peptide_figures_reach_all_rows(spark, tmp_path):
+    from psmlake.queries import features
+
+    assert sum(r.n for r in features.learned_peptides_crossed(spark, lineitems(spark, tmp_path, 150)).collect()) == 150
