@@ -1,16 +1,17 @@
 """Personal data: fixed patterns, and terms that disclose a protected entity.
 
-Entities are what the patterns find (e-mail, IP, card and phone number).  A term, a word beside an entity, discloses
-it as far as the corpus lets one infer the entity from it: with n(x) documents holding x, n(t, e) distinct contexts
-that hold both and N documents in all, the disclosure of t for e is
+Entities are what the patterns find (e-mail, IP, card and phone number).  A term, a word anywhere in a document that holds an
+entity, discloses it as far as the corpus lets one infer the entity from it: with n(x) documents holding x, n(t, e) distinct contexts
+of e in documents that hold both and N documents in all, the disclosure of t for e is
 
     PMI(t; e) / IC(e) = log(n(t, e) N / (n(t) n(e))) / log(N / n(e))
 
 It is 1 where the term occurs with the entity only.  Terms at or above `threshold` with
-`support` or more distinct contexts become spans of kind `term`; `sanitised` puts the kind's name in a
-span's place (generalisation) or takes terms at or above `removal` out.  Repeated contexts count once, so copies of a document disclose
-nothing.  Term counts come from all documents; candidate terms are looked up in rounds of `round_terms`, so the list a
-task holds is bounded.
+`support` or more distinct contexts become spans of kind `term` at all their places in all documents, those without the entity
+too; `sanitised` puts the kind's name in a span's place (generalisation) or takes terms at or above `removal` out.  A document's context of an
+entity is the words beside it, `reach` on either side of each of its places; repeated contexts count once, so copies of a document
+disclose nothing.  Term counts come from all documents; candidate terms are looked up in rounds of
+`round_terms`, so the list a task holds is bounded.  Terms that disclose are broadcast, 16 bytes each.
 
 Defined results: a null text counts as empty and holds nothing; ids may be null or repeat, each row gets its own spans; an
 empty table gives an empty table.
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .runtime import MARK, bounded_batches, written
@@ -87,54 +88,75 @@ def term_hash(terms: list[str]) -> np.ndarray:
     return Words(np.frombuffer(b"".join(data), np.uint8), offsets, lower=False).hashes() if terms else np.zeros(0, np.uint64)
 
 
-def beside(text: str, start: int, end: int, reach: int) -> list[tuple[str, int, int]]:
-    """(term, start, end) of up to `reach` words on either side of a span, edges of punctuation cut off."""
+def term_at(text: str, a: int, b: int) -> tuple[str, int, int] | None:
+    """(term, start, end) of the word at [a, b), edges of punctuation cut off; None where it is short or has a digit."""
+    while a < b and text[a] in EDGE:
+        a += 1
+    while a < b and text[b - 1] in EDGE:
+        b -= 1
+    return None if b - a < 3 or DIGIT.search(text, a, b) else (_lower(text[a:b]), a, b)
+
+
+def beside(text: str, start: int, end: int, reach: int) -> list[str]:
+    """Terms of up to `reach` words on either side of a span."""
     left = text.rfind("\n", 0, start) + 1
     words = [(m.start(), m.end()) for m in WORD.finditer(text, max(left, start - 40 * reach), start)][-reach:]
     m_end = min(len(text), end + 40 * reach)
     words += [(m.start(), m.end()) for m in WORD.finditer(text, end, m_end)][:reach]
-    out = []
-    for a, b in words:
-        while a < b and text[a] in EDGE:
-            a += 1
-        while a < b and text[b - 1] in EDGE:
-            b -= 1
-        if b - a >= 3 and not any("0" <= c <= "9" for c in text[a:b]):
-            out.append((_lower(text[a:b]), a, b))
+    return [t[0] for t in (term_at(text, a, b) for a, b in words) if t]
+
+
+def covered(text: str, spans: list[tuple[str, int, int]]) -> np.ndarray:
+    """Whether each code point is in a span."""
+    out = np.zeros(len(text), bool)
+    for _, a, b in spans:
+        out[a:b] = True
     return out
 
 
-def scan(docs: DataFrame, text: str, doc_id: str, reach: int) -> DataFrame:
-    """One row per row: id, row key, counts, spans, and each entity's neighbours."""
+def terms_of(text: str, spans: list[tuple[str, int, int]]) -> list[str]:
+    """The distinct terms of the text outside its spans."""
+    taken = covered(text, spans)
+    found = (term_at(text, m.start(), m.end()) for m in WORD.finditer(text))
+    return sorted({t[0] for t in found if t and not taken[t[1] : t[2]].any()})
+
+
+def _digest(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little", signed=True)
+
+
+def scan(docs: DataFrame, text: str, reach: int) -> DataFrame:
+    """One row per row: row key, the entities held with their contexts, and, where there are any, the hashes of all terms."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols: dict[str, list] = {k: [] for k in (*KINDS, "base", "near")}
-            for t in batch.column(1):
+            held, terms = [], []
+            for t in batch.column(0):
                 text = t.as_py() or ""
                 spans = base_spans(text)
-                for k in KINDS:
-                    cols[k].append(sum(s[0] == k for s in spans))
-                cols["base"].append(joined(spans))
-                near = []
+                own: dict[int, set[str]] = {}
                 for kind, a, b in spans:
-                    entity = int.from_bytes(hashlib.blake2b(f"{kind}:{_lower(text[a:b])}".encode(), digest_size=8).digest(), "little", signed=True)
-                    terms = beside(text, a, b, reach)
-                    if terms:
-                        context = int.from_bytes(hashlib.blake2b(" ".join(x[0] for x in terms).encode(), digest_size=8).digest(), "little", signed=True)
-                        hashes = term_hash([x[0] for x in terms]).view(np.int64).tolist()
-                        near += [{"entity": entity, "term": h, "context": context, "start": x[1], "end": x[2]} for h, x in zip(hashes, terms, strict=True)]
-                cols["near"].append(near)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(cols[k], pa.int64()) for k in KINDS], pa.array(cols["base"], pa.string()), pa.array(cols["near"], NEAR)], names=[f"id{MARK}", *KINDS, "base", "near"]
-            )
+                    own.setdefault(_digest(f"{kind}:{_lower(text[a:b])}"), set()).add(" ".join(beside(text, a, b, reach)))
+                held.append([{"entity": e, "context": _digest("\n".join(sorted(c)))} for e, c in own.items()])
+                terms.append(term_hash(terms_of(text, spans)).view(np.int64) if own else [])
+            yield pa.RecordBatch.from_arrays([pa.array(held, HELD), pa.array(terms, pa.list_(pa.int64()))], names=["held", "terms"])
+
+    slim = docs.select(F.col(f"`{text}`").alias(f"text{MARK}"))
+    return slim.mapInArrow(find, "held array<struct<entity:bigint,context:bigint>>, terms array<bigint>").withColumn("row", F.monotonically_increasing_id())
 
-    slim = docs.select(F.col(f"`{doc_id}`").alias(f"id{MARK}"), F.col(f"`{text}`").alias(f"text{MARK}"))
-    out = slim.mapInArrow(find, f"id{MARK} {slim.schema[0].dataType.simpleString()}, {', '.join(f'{k} long' for k in KINDS)}, base string, near array<struct<entity:bigint,term:bigint,context:bigint,start:int,end:int>>")
-    return out.withColumn("row", F.monotonically_increasing_id())
 
+HELD = pa.list_(pa.struct([("entity", pa.int64()), ("context", pa.int64())]))
 
-NEAR = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("context", pa.int64()), ("start", pa.int32()), ("end", pa.int32())]))
+
+def trimmed(w: Words) -> Words:
+    """The words with edges of punctuation cut off."""
+    for edge, step in ((w.starts, 1), (w.ends, -1)):
+        while True:
+            cut = (w.starts < w.ends) & IS_EDGE[w.data[np.minimum(edge - (step < 0), len(w.data) - 1)]] if len(edge) else np.zeros(0, bool)
+            if not cut.any():
+                break
+            edge += step * cut
+    return w
 
 
 def document_counts(docs: DataFrame, text: str, terms: np.ndarray) -> DataFrame:
@@ -146,13 +168,7 @@ def document_counts(docs: DataFrame, text: str, terms: np.ndarray) -> DataFrame:
         for batch in batches:
             total = np.zeros(len(known), np.int64)
             for _, data, offsets in slices(batch.column(0)):
-                w = Words(data, offsets)
-                for edge, step in ((w.starts, 1), (w.ends, -1)):
-                    while True:
-                        cut = (w.starts < w.ends) & IS_EDGE[w.data[np.minimum(edge - (step < 0), len(w.data) - 1)]] if len(edge) else np.zeros(0, bool)
-                        if not cut.any():
-                            break
-                        edge += step * cut
+                w = trimmed(Words(data, offsets))
                 code = w.hashes()
                 at = np.minimum(np.searchsorted(known, code), len(known) - 1)
                 hit = np.flatnonzero(known[at] == code)
@@ -167,11 +183,22 @@ def document_counts(docs: DataFrame, text: str, terms: np.ndarray) -> DataFrame:
 
 def disclosing(docs: DataFrame, found: DataFrame, text: str, threshold: float, support: int, round_terms: int) -> DataFrame:
     """(entity, term, disclosure) at or above the threshold."""
-    near = found.select(F.explode("near").alias("x")).select("x.*")
-    contexts = near.select("entity", "term", "context").distinct()
-    pairs = written(contexts.groupBy("entity", "term").agg(F.count("*").alias("n_pair")).where(F.col("n_pair") >= support))
-    entities = contexts.select("entity", "context").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    total = found.count()
+    held = found.select("row", F.explode("held").alias("x")).select("row", "x.*")
+    entities = written(held.select("entity", "context").distinct().groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= support))
+    own = held.join(entities, "entity").groupBy("row").agg(F.collect_list(F.struct("entity", "context")).alias("own"))
+    both = found.where(F.size("terms") > 0).select("row", "terms").join(own, "row")
+    both = both.select("own", F.explode("terms").alias("term")).select("term", F.explode("own").alias("x")).select("x.entity", "term", "x.context")
+    # counted by entity and term, contexts made distinct first: an entity in many documents is dealt out by its terms
+    pairs = written(both.distinct().groupBy("entity", "term").agg(F.count("*").alias("n_pair")).where(F.col("n_pair") >= support))
+    total_d = F.lit(float(max(found.count(), 1)))
+
+    def share(n_term: str) -> Column:
+        pmi = F.log(F.col("n_pair") * total_d / (F.greatest(n_term, "n_pair") * F.col("n_entity")))
+        return F.when(F.col("n_entity") < total_d, pmi / F.log(total_d / F.col("n_entity"))).otherwise(0.0)
+
+    # n(t) is at least the number of entities' documents that hold t: what is too common there cannot reach the threshold
+    least = found.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_least"))
+    pairs = written(pairs.join(least, "term").join(entities, "entity").where(share("n_least") >= threshold).drop("n_least"))
     candidates = written(pairs.select("term").distinct())
     n = candidates.count()
     rounds = -(-n // round_terms)
@@ -183,23 +210,60 @@ def disclosing(docs: DataFrame, found: DataFrame, text: str, threshold: float, s
             counts = part if counts is None else counts.unionByName(part)
     if counts is None:
         return found.sparkSession.createDataFrame([], "entity long, term long, disclosure double")
-    scored = pairs.join(counts, "term").join(entities, "entity")
-    total_d = F.lit(float(max(total, 1)))
-    pmi = F.log(F.col("n_pair") * total_d / (F.greatest("n_term", "n_pair") * F.col("n_entity")))
-    share = F.when(F.col("n_entity") < total_d, pmi / F.log(total_d / F.col("n_entity"))).otherwise(0.0)
-    return written(scored.select("entity", "term", share.alias("disclosure")).where(F.col("disclosure") >= threshold))
+    return written(pairs.join(counts, "term").select("entity", "term", share("n_term").alias("disclosure")).where(F.col("disclosure") >= threshold))
+
+
+def marked(docs: DataFrame, text: str, doc_id: str, terms: np.ndarray, disclosure: np.ndarray) -> DataFrame:
+    """One row per row: id, counts, spans, and every place of the given term hashes (sorted) outside those spans."""
+    wanted = docs.sparkSession.sparkContext.broadcast((terms, disclosure))
+
+    def places(texts: pa.Array) -> dict[int, list[tuple[int, int, float]]]:
+        known, shares = wanted.value
+        out: dict[int, list[tuple[int, int, float]]] = {}
+        if not len(known):
+            return out
+        for first, data, offsets in slices(texts):
+            w = trimmed(Words(data, offsets))
+            code = w.hashes()
+            at = np.minimum(np.searchsorted(known, code), len(known) - 1)
+            hit = np.flatnonzero(known[at] == code)
+            if len(hit):
+                row = np.searchsorted(w.first, hit, "right") - 1
+                points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+                begin, end = points[w.starts[hit]] - points[offsets[row]], points[w.ends[hit]] - points[offsets[row]]
+                for r, a, b, share in zip((first + row).tolist(), begin.tolist(), end.tolist(), shares[at[hit]].tolist(), strict=True):
+                    out.setdefault(r, []).append((a, b, share))
+        return out
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cols: dict[str, list] = {k: [] for k in (*KINDS, "base", "terms")}
+            found = places(batch.column(1))
+            for i, t in enumerate(batch.column(1)):
+                text = t.as_py() or ""
+                spans = base_spans(text)
+                for k in KINDS:
+                    cols[k].append(sum(s[0] == k for s in spans))
+                cols["base"].append(joined(spans))
+                taken = covered(text, spans) if i in found else None
+                cols["terms"].append([{"start": a, "end": b, "disclosure": d} for a, b, d in found.get(i, ()) if not taken[a:b].any()])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(cols[k], pa.int64()) for k in KINDS], pa.array(cols["base"], pa.string()), pa.array(cols["terms"], TERMS)], names=[f"id{MARK}", *KINDS, "base", "terms"])
+
+    slim = docs.select(F.col(f"`{doc_id}`").alias(f"id{MARK}"), F.col(f"`{text}`").alias(f"text{MARK}"))
+    return slim.mapInArrow(find, f"id{MARK} {slim.schema[0].dataType.simpleString()}, {', '.join(f'{k} long' for k in KINDS)}, base string, terms array<struct<start:int,end:int,disclosure:double>>")
+
+
+TERMS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("disclosure", pa.float64())]))
 
 
 def personal_data(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = 0.9, support: int = 3, reach: int = 4, round_terms: int = 1_000_000) -> DataFrame:
-    """One row per row: doc_id, n_email, n_ip, n_card, n_phone, base, terms (array of disclosure, start, end), spans."""
+    """One row per row: doc_id, n_email, n_ip, n_card, n_phone, base, terms (array of start, end, disclosure), spans."""
     bounded_batches(docs.sparkSession)
-    found = written(scan(docs, text, doc_id, reach))
-    flagged = disclosing(docs, found, text, threshold, support, round_terms)
-    near = found.select("row", F.explode("near").alias("x")).select("row", "x.*")
-    terms = near.join(flagged, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max("disclosure").alias("disclosure"))
-    terms = terms.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end", "disclosure"))).alias("terms"))
-    none = F.expr("cast(array() as array<struct<start:int,end:int,disclosure:double>>)")
-    out = found.join(terms, "row", "left").withColumn("terms", F.coalesce("terms", none))
+    found = written(scan(docs, text, reach))
+    flagged = disclosing(docs, found, text, threshold, support, round_terms).groupBy("term").agg(F.max("disclosure").alias("disclosure")).toArrow()
+    code, share = flagged.column("term").to_numpy().astype(np.int64).view(np.uint64), flagged.column("disclosure").to_numpy()
+    order = np.argsort(code)
+    out = marked(docs, text, doc_id, code[order], share[order])
     more = F.expr("array_join(transform(terms, t -> concat('term:', t.start, ':', t.end)), ',')")
     spans = F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), F.when(F.size("terms") > 0, more))
     return out.select(F.col(f"id{MARK}").alias(doc_id), *[F.col(k).alias(f"n_{k}") for k in KINDS], F.sha2(F.encode("base", "UTF-8"), 256).alias("base_sha256"), spans.alias("spans"), "base", "terms")
@@ -220,8 +284,8 @@ def sanitise(text: str, spans: str, removed: frozenset[tuple[int, int]] = frozen
 def sanitised(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", removal: float = 1.0, **how: object) -> DataFrame:
     """`docs`' ids and texts with personal data generalised and the most disclosing terms removed; ids must be unique."""
     data = personal_data(docs, text, doc_id, **how)  # type: ignore[arg-type]
-    marked = data.select(F.col(doc_id).alias(f"id{MARK}"), "spans", F.expr(f"transform(filter(terms, t -> t.disclosure >= {float(removal)}), t -> struct(t.start, t.end))").alias("gone")).where("spans != ''")
-    both = docs.select(F.col(f"`{doc_id}`").alias(doc_id), F.col(f"`{text}`").alias(text)).join(marked, F.col(doc_id) == F.col(f"id{MARK}"), "left")
+    gone = data.select(F.col(doc_id).alias(f"id{MARK}"), "spans", F.expr(f"transform(filter(terms, t -> t.disclosure >= {float(removal)}), t -> struct(t.start, t.end))").alias("gone")).where("spans != ''")
+    both = docs.select(F.col(f"`{doc_id}`").alias(doc_id), F.col(f"`{text}`").alias(text)).join(gone, F.col(doc_id) == F.col(f"id{MARK}"), "left")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

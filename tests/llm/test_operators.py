@@ -328,6 +328,22 @@ def test_terms_that_disclose(spark):
     assert clean[100] == rows[6][1]
 
 
+def test_terms_that_disclose_anywhere(spark):
+    rng = random.Random(4)
+    after = lambda: "".join(rng.choice("abcdefgh") for _ in range(7))
+    rows = [(i, f"é Zanzibar, {say(rng, 30)}\n\nNext line. ZANZIBAR {say(rng, 200)} write to boss@firm.com {after()} {say(rng, 20)} (boss@firm.com)") for i in range(60)]
+    rows += [(100 + i, f"{say(rng, 30)} next line write to noon") for i in range(600)] + [(900, f"ü {say(rng, 9)} (zanzibar) {say(rng, 9)}")]
+    copied = f"Timbuktu {say(rng, 40)} mail to other@firm.com today"
+    rows += [(1000 + i, f"{copied} {i}") for i in range(5)]
+    got = {r.doc_id: r for r in pii.personal_data(frame(spark, rows, "doc_id long, text string")).collect()}
+    shown = {i: [t[int(a) : int(b)] for k, a, b in (s.split(":") for s in got[i].spans.split(",") if s) if k == "term"] for i, t in rows}
+    assert all(shown[i] == ["Zanzibar", "ZANZIBAR"] for i in range(60))
+    assert shown[900] == ["zanzibar"]  # a document without the entity
+    assert not any(shown[100 + i] for i in range(600))
+    assert not any(shown[1000 + i] for i in range(5))  # copies disclose nothing
+    assert got[0].n_email == 2 and all(0.9 <= x.disclosure <= 1 for i in range(60) for x in got[i].terms)
+
+
 def test_toxicity_learns_grades_and_holds_out(spark):
     rng = random.Random(2)
     insults = ["rotter", "blackguard", "knave"]
