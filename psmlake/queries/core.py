@@ -55,10 +55,18 @@ def fdr_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("sample", kind.alias("kind")).agg(F.count("*").alias("n"))
 
 
+def _chances(rows: DataFrame) -> DataFrame:
+    return rows.select("sample", *TIE, "is_decoy", (F.col("score") / 50).alias("p"), scores.evidence(F.col("ParentIonIntensity"), F.lit(30000.0)).alias("e"))
+
+
 def alpha_tuning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sample of 1995 only; alpha_tuning_by_sample() tunes every sample."""
     rows = psm(spark, sf_dir).where("sample = '1995'")
-    rows = rows.select(*TIE, "is_decoy", (F.col("score") / 50).alias("p"), scores.evidence(F.col("ParentIonIntensity"), F.lit(30000.0)).alias("e"))
-    return fdr.tune_alpha(rows, "p", "e", TIE, threshold=0.05)
+    return fdr.tune_alpha(_chances(rows), "p", "e", TIE, threshold=0.05)
+
+
+def alpha_tuning_by_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fdr.tune_alpha(_chances(psm(spark, sf_dir)), "p", "e", TIE, threshold=0.05, by=("sample",))
 
 
 def best_per_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,7 +143,7 @@ def decoy_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("by_prefix", "anywhere", "all_of").agg(F.count("*").alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (flagship, fdr_psm, fdr_peptide, fdr_plus_one, fdr_peptide_plus_one, fdr_gains, fdr_overlap, alpha_tuning, best_per_scan, prepare_sics, filter_psms, metric_directions, peptide_level, distinct_counts, merge_shared, peptide_crosstab, uniqueness, annotated, corrected_parts, decoy_rules)}
+QUERIES = {f.__name__: f for f in (flagship, fdr_psm, fdr_peptide, fdr_plus_one, fdr_peptide_plus_one, fdr_gains, fdr_overlap, alpha_tuning, alpha_tuning_by_sample, best_per_scan, prepare_sics, filter_psms, metric_directions, peptide_level, distinct_counts, merge_shared, peptide_crosstab, uniqueness, annotated, corrected_parts, decoy_rules)}
 
 _CORE = "translate(Peptide, '0123456789', 'ACDEFGHIKL')"
 _PLUS = f"""ranked AS (SELECT *, sum(is_decoy) OVER w AS d, sum(1 - is_decoy) OVER w AS t FROM src
@@ -188,4 +196,10 @@ SQL = {
         f AS (SELECT *, CASE WHEN t = 0 THEN 1.0 ELSE least(1.0, d / t) END AS fdr FROM r),
         q AS (SELECT *, min(fdr) OVER (PARTITION BY alpha ORDER BY s DESC, {TIE_SQL} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS q FROM f)
         SELECT alpha, count(*) FILTER (is_decoy = 0 AND q < 0.05) AS n_ids FROM q GROUP BY alpha""",
+    "alpha_tuning_by_sample": f"""WITH {PSM_SQL}, base AS (SELECT sample, {TIE_SQL}, is_decoy, score / 50 AS p, least(1.0, greatest(0.0, 1 - exp(-(ln(2.0) / 30000.0) * ParentIonIntensity))) AS e FROM psm),
+        grid AS (SELECT *, least(1.0, greatest(0.0, 1 - (1 - least(1.0, alpha) * p) * (1 - e), CASE WHEN e >= 0.7 THEN 0.8 * e ELSE 0.0 END)) AS s FROM base, (VALUES (0.25::DOUBLE), (0.5::DOUBLE), (0.75::DOUBLE), (1.0::DOUBLE), (1.5::DOUBLE), (2.0::DOUBLE)) v(alpha)),
+        r AS (SELECT *, sum(is_decoy) OVER w AS d, sum(1 - is_decoy) OVER w AS t FROM grid WINDOW w AS (PARTITION BY sample, alpha ORDER BY s DESC, {TIE_SQL} ROWS UNBOUNDED PRECEDING)),
+        f AS (SELECT *, CASE WHEN t = 0 THEN 1.0 ELSE least(1.0, d / t) END AS fdr FROM r),
+        q AS (SELECT *, min(fdr) OVER (PARTITION BY sample, alpha ORDER BY s DESC, {TIE_SQL} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS q FROM f)
+        SELECT sample, alpha, count(*) FILTER (is_decoy = 0 AND q < 0.05) AS n_ids FROM q GROUP BY ALL""",
 }

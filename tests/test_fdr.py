@@ -65,3 +65,12 @@ def test_inputs_are_checked(spark, scores, decoys):
 
 def test_empty_table(spark):
     assert fdr.estimate_fdr(frame(spark, [], []), "score", ["id"]).count() == 0
+
+
+def test_alpha_is_tuned_for_each_sample(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, "abc"[i % 3], float(rng.random()), float(rng.random()), int(rng.random() < 0.2)) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, sample string, p double, e double, is_decoy int")
+    got = {(r.sample, r.alpha): r.n_ids for r in fdr.tune_alpha(df, "p", "e", ("id",), threshold=0.2, by=("sample",)).collect()}
+    want = {(s, r.alpha): r.n_ids for s in "abc" for r in fdr.tune_alpha(df.where(f"sample = '{s}'"), "p", "e", ("id",), threshold=0.2).collect()}
+    assert got == want and len(got) == 18
