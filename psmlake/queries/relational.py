@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from psmlake.operators import annotate, coverage, digest, qc, rollup, sequences, sic_merge
@@ -31,13 +31,26 @@ def requires_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def coverage_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as proteins: the words of benchmark items as peptides, found at every place in the documents that are said to hold them."""
+    """English documents as proteins: four fixed pieces as peptides, found at every place; coverage_of_benchmark() takes all documents and benchmark's words."""
     docs = table(spark, sf_dir, "documents").where("lang = 'en'").select(F.col("source").alias("sample"), F.col("doc_id").cast("string").alias("Protein"), F.upper(F.regexp_replace("text", "[^A-Za-z]", "")).alias("Sequence"))
     cores = F.array(F.lit("THE"), F.lit("TION"), F.lit("ANTH"), F.lit("THETHE"))
     rows = docs.select("Protein", "sample", F.explode(cores).alias("c")).select("Protein", "sample", F.concat(F.lit("-."), F.col("c"), F.lit(".-")).alias("PeptideFlanked"), F.lit(1.0).alias("intensity"))
     return rounded(coverage.coverage(rows, docs, min_num_pep=1), "coverage")
 
 
+def _letters(text: str) -> Column:
+    return F.upper(F.regexp_replace(text, "[^A-Za-z]", ""))
+
+
+def coverage_of_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as proteins: the words of benchmark items as peptides, found at every place in the documents that have them among their words."""
+    words = lambda df, *names: df.select(*names, F.explode(F.split("text", r"[\x20\x09-\x0D]+")).alias("w")).select(*names, _letters("w").alias("c")).where("c != ''").distinct()
+    docs = table(spark, sf_dir, "documents").select(F.col("source").alias("sample"), F.col("doc_id").cast("string").alias("Protein"), "text", _letters("text").alias("Sequence"))
+    rows = words(docs, "Protein", "sample").join(words(table(spark, sf_dir, "benchmark")), "c")
+    rows = rows.select("Protein", "sample", F.concat(F.lit("-."), F.col("c"), F.lit(".-")).alias("PeptideFlanked"), F.lit(1.0).alias("intensity"))
+    return rounded(coverage.coverage(rows, docs, min_num_pep=1), "coverage")
+
+
 def digest_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Letters of all documents as proteins; each piece ends after K or R without P behind, or at the end."""
     docs = table(spark, sf_dir, "documents").select(F.upper(F.regexp_replace("text", "[^A-Za-z]", "")).alias("Sequence"))
@@ -110,7 +123,7 @@ def top_proteins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "rollup_sum": _rollup("sum"), "rollup_reference": _rollup("rrollup"), "rollup_reference_grubbs": _rollup("rrollup", alpha=0.05), "rollup_z": _rollup("zrollup"), "rollup_top": _rollup("qrollup"), "rollup_weighted": _rollup("dwrollup"),
-    **{f.__name__: f for f in (rollup_facts, requires_unique, coverage_of_documents, digest_count, merge_sics, database_dedup, database_ids, genes, tic, histogram, z_density, auc, average_precision, residual_stats, top_proteins)},
+    **{f.__name__: f for f in (rollup_facts, requires_unique, coverage_of_documents, coverage_of_benchmark, digest_count, merge_sics, database_dedup, database_ids, genes, tic, histogram, z_density, auc, average_precision, residual_stats, top_proteins)},
 }
 
 _GRID = "grid AS (SELECT Protein, sample FROM (SELECT DISTINCT Protein FROM ann), (SELECT DISTINCT sample FROM ann))"
@@ -144,6 +157,14 @@ SQL = {
         cells AS (SELECT DISTINCT Protein, sample, unnest(generate_series(i, i + length(c) - 1)) AS p FROM hits),
         n AS (SELECT Protein, sample, count(*) AS n FROM cells GROUP BY ALL)
         SELECT d.Protein, d.sample, 4 AS num_pep, round(100.0 * coalesce(n, 0) / length(s), 6) AS coverage FROM d LEFT JOIN n USING (Protein, sample) WHERE length(s) > 0""",
+    "coverage_of_benchmark": """WITH d AS (SELECT CAST(doc_id AS VARCHAR) AS Protein, source AS sample, text, upper(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS s FROM documents),
+        b AS (SELECT DISTINCT upper(regexp_replace(w, '[^A-Za-z]', '', 'g')) AS c FROM (SELECT unnest(string_split_regex(text, '[\\x20\\x09-\\x0D]+')) AS w FROM benchmark)),
+        w AS (SELECT DISTINCT Protein, upper(regexp_replace(w, '[^A-Za-z]', '', 'g')) AS c FROM (SELECT Protein, unnest(string_split_regex(text, '[\\x20\\x09-\\x0D]+')) AS w FROM d)),
+        pep AS (SELECT Protein, c FROM w JOIN b USING (c) WHERE c <> ''), m AS (SELECT Protein, count(*) AS num_pep FROM pep GROUP BY Protein), l AS (SELECT DISTINCT length(c) AS n FROM pep),
+        places AS (SELECT Protein, n, s, unnest(generate_series(1, length(s) - n + 1)) AS i FROM d, l WHERE length(s) >= n),
+        hits AS (SELECT Protein, i, n FROM (SELECT Protein, i, n, substr(s, i, n) AS c FROM places) JOIN pep USING (Protein, c)),
+        cells AS (SELECT DISTINCT Protein, unnest(generate_series(i, i + n - 1)) AS p FROM hits), k AS (SELECT Protein, count(*) AS k FROM cells GROUP BY Protein)
+        SELECT Protein, sample, num_pep, round(100.0 * k / length(s), 6) AS coverage FROM d JOIN m USING (Protein) JOIN k USING (Protein)""",
     "digest_count": """WITH d AS (SELECT upper(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS s FROM documents),
         f AS (SELECT unnest(string_split(regexp_replace(regexp_replace(s, '([KR])', '\\1|', 'g'), '\\|P', 'P', 'g'), '|')) AS p FROM d)
         SELECT count(*) AS n_peptides, 'full' AS kind FROM f WHERE length(p) BETWEEN 6 AND 40

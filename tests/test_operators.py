@@ -240,3 +240,13 @@ def test_spectral_features_by_hand():
 @pytest.mark.parametrize(("mz", "intensity", "peptide_", "error"), [(None, None, "PEPK", "scan_not_found"), ([], [], "PEPK", "empty_spectrum"), ([1.0], [1.0], "P", "peptide_too_short"), ([1.0], [], "PEPK", "missing_spectrum_data")])
 def test_spectral_errors_are_values(mz, intensity, peptide_, error):
     assert spectral.features(peptide_, 2, mz, intensity)["spectral_feature_error"] == error
+
+
+def test_coverage_of_benchmark_takes_all_languages_and_benchmark_words(spark, tmp_path):
+    from psmlake.queries import relational
+
+    docs = [(1, "Ein Haus, zwei Hausboote", "de", "s"), (2, "haus", None, "s"), (3, "nothing here", "en", "t"), (4, None, "en", "t")]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "Haus! BOOT")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {r.Protein: (r.sample, r.num_pep, r.coverage) for r in relational.coverage_of_benchmark(spark, str(tmp_path)).collect()}
+    assert got == {"1": ("s", 1, pytest.approx(100 * 8 / 20, abs=1e-5)), "2": ("s", 1, 100.0)}
