@@ -5,7 +5,7 @@ from __future__ import annotations
 import brute
 import corpus_pipeline
 import pytest
-from test_operators import DOCS, corpus, frame
+from test_corpus_operators import DOCS, corpus, frame
 
 
 @pytest.fixture(scope="module")
