@@ -1,20 +1,24 @@
 """Personal data: fixed patterns, and terms that disclose a protected entity.
 
-Entities are what the patterns find (e-mail, IP, card and phone number).  A term, a word anywhere in a document that holds an
-entity, discloses it as far as the corpus lets one infer the entity from it: with n(x) documents holding x, n(t, e) distinct contexts
-of e in documents that hold both and N documents in all, the disclosure of t for e is
+Protected entities are what the patterns find (e-mail, IP, card and phone number) and secrets (runs of key characters with letters
+and digits whose characters carry `SECRET_BITS` bits or more each), each by itself and each kind as a whole.  A term, a word
+anywhere in a document outside those spans, discloses an entity as far as the corpus lets one infer the entity from it: with n(x)
+documents holding x and N documents in all, the disclosure of t for e is
 
     PMI(t; e) / IC(e) = log(n(t, e) N / (n(t) n(e))) / log(N / n(e))
 
-It is 1 where the term occurs with the entity only.  Terms at or above `threshold` with
-`support` or more distinct contexts become spans of kind `term` at all their places in all documents, those without the entity
-too; `sanitised` puts the kind's name in a span's place (generalisation) or takes terms at or above `removal` out.  A document's context of an
-entity is the words beside it, `reach` on either side of each of its places; repeated contexts count once, so copies of a document
-disclose nothing.  Term counts come from all documents; candidate terms are looked up in rounds of
-`round_terms`, so the list a task holds is bounded.  Terms that disclose are broadcast, 16 bytes each.
+It is 1 where the term occurs with the entity only.  Terms at or above `threshold` for some entity, beside which they stand in
+`support` or more distinct contexts, become spans of kind `term` at all their places in all documents, those without the entity
+too; `sanitised` puts the kind's name in a span's place (generalisation) or takes terms at or above `removal` out.  A document's
+context of an entity is the terms beside it, `reach` on either side of each of its places, and for a kind also which entities they are;
+repeated contexts count once, so copies of a document alone disclose nothing.
 
-Defined results: a null text counts as empty and holds nothing; ids may be null or repeat, each row gets its own spans; an
-empty table gives an empty table.
+One pass over all texts gives the entities, their documents' terms, and every term's number of documents (combined in the task,
+then by term).  A term with n(t) > N (n(e) / N) ** threshold cannot disclose e, so common terms never meet rare entities.
+Up to `max_terms` disclosing terms are broadcast, 16 bytes each; more are marked in rounds of that many.
+
+Defined results: a null text counts as empty and holds nothing; ids may be null or repeat, each row gets its own spans; a text of any length is read in
+time in proportion to it, as each pattern is extended from its '@', dots, digits or '+' and never from every character; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -28,245 +32,328 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import MARK, bounded_batches, written
-from .text_kernels import Words, slices
+from .runtime import MARK, bounded_batches, trim, written
+from .text_kernels import U64, Words, slices
 
 KINDS = ("email", "ip", "card", "phone")
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
-CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
-PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-DIGIT = re.compile("[0-9]")
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-EDGE = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-IS_EDGE = np.zeros(256, bool)
-IS_EDGE[[ord(c) for c in EDGE]] = True
-
-
-def luhn(digits: str) -> bool:
+ALL_KINDS = (*KINDS, "secret")
+LOCAL = frozenset(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+DOMAIN = re.compile(rb"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+DOTTED = re.compile(rb"[0-9]+(?:\.[0-9]+)+")
+CARD = re.compile(rb"[0-9](?:[\x20-]?[0-9])+")
+PHONE = re.compile(rb"\+[0-9][\x20().0-9-]+[0-9]")
+KEY = re.compile(rb"[A-Za-z0-9+/_-]{20,}")
+KEY_BYTES, SECRET_BITS = 20, 3.0
+#: Terms that a task holds before it sends their counts.
+FLUSH = 400_000
+HELD = pa.list_(pa.struct([("entity", pa.int64()), ("context", pa.int64())]))
+TERMS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("disclosure", pa.float64())]))
+TERMS_DDL = "array<struct<start:int,end:int,disclosure:double>>"
+Span = tuple[str, int, int]
+
+
+def luhn(digits: bytes) -> bool:
     total = 0
     for k, d in enumerate(reversed(digits)):
-        v = int(d) * (1 + k % 2)
+        v = (d - 48) * (1 + k % 2)
         total += v - 9 * (v > 9)
     return total % 10 == 0
 
 
-def base_spans(text: str) -> list[tuple[str, int, int]]:
-    """(kind, start, end) in code points, by kind as listed, then start."""
-    out = []
-    if "@" in text:
-        out += [("email", *_span(m)) for m in EMAIL.finditer(text)]
-    if DIGIT.search(text):
-        if "." in text:
-            out += [("ip", *_span(m)) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split("."))]
-        for m in CARD.finditer(text):
-            if m.end() - m.start() >= 16:
-                digits = m.group().replace(" ", "").replace("-", "")
-                if 16 <= len(digits) <= 19 and luhn(digits):
-                    out.append(("card", *_span(m)))
-        if "+" in text:
-            out += [("phone", *_span(m)) for m in PHONE.finditer(text) if 8 <= sum("0" <= c <= "9" for c in m.group()) <= 15]
+def emails(text: bytes) -> Iterator[Span]:
+    """From each '@' back over the local part, which ends where the last match or the last '@' stands, and on over the domain."""
+    done, at = 0, text.find(b"@")
+    while at >= 0:
+        start = at
+        while start > done and text[start - 1] in LOCAL:
+            start -= 1
+        domain = DOMAIN.match(text, at + 1) if start < at else None
+        done = domain.end() if domain else at + 1
+        if domain:
+            yield "email", start, done
+        at = text.find(b"@", max(done, at + 1))
+
+
+def addresses(text: bytes) -> Iterator[Span]:
+    """Of a run of numbers with dots between, each four."""
+    for m in DOTTED.finditer(text):
+        parts, at = m.group().split(b"."), m.start()
+        for k in range(0, len(parts) - 3, 4):
+            own = parts[k : k + 4]
+            end = at + sum(map(len, own)) + 3
+            if all(len(p.lstrip(b"0")) <= 3 and int(p[-3:]) <= 255 for p in own):
+                yield "ip", at, end
+            at = end + 1
+
+
+def base_spans(text: bytes) -> list[Span]:
+    """(kind, start, end) in bytes of UTF-8, by kind as listed, then start."""
+    out = list(emails(text)) if b"@" in text else []
+    if b"." in text:
+        out += addresses(text)
+    for m in CARD.finditer(text):
+        if m.end() - m.start() >= 16:
+            digits = m.group().replace(b" ", b"").replace(b"-", b"")
+            if 16 <= len(digits) <= 19 and luhn(digits):
+                out.append(("card", m.start(), m.end()))
+    if b"+" in text:
+        out += [("phone", m.start(), m.end()) for m in PHONE.finditer(text) if 8 <= sum(48 <= c <= 57 for c in m.group()) <= 15]
     return out
 
 
-def _span(m: re.Match) -> tuple[int, int]:
-    return m.start(), m.end()
-
-
-def joined(spans: list[tuple[str, int, int]]) -> str:
-    return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
-
-
-def _lower(text: str) -> str:
-    return text if text.islower() else "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
-
-
-def term_hash(terms: list[str]) -> np.ndarray:
-    """The hash that the byte kernel gives each term."""
-    data = [t.encode() for t in terms]
-    offsets = np.concatenate([[0], np.cumsum([len(d) for d in data])]).astype(np.int64)
-    return Words(np.frombuffer(b"".join(data), np.uint8), offsets, lower=False).hashes() if terms else np.zeros(0, np.uint64)
-
+def bits_each(key: bytes) -> float:
+    """Shannon entropy of the characters."""
+    share = np.bincount(np.frombuffer(key, np.uint8)) / len(key)
+    share = share[share > 0]
+    return float(-(share * np.log2(share)).sum())
 
-def term_at(text: str, a: int, b: int) -> tuple[str, int, int] | None:
-    """(term, start, end) of the word at [a, b), edges of punctuation cut off; None where it is short or has a digit."""
-    while a < b and text[a] in EDGE:
-        a += 1
-    while a < b and text[b - 1] in EDGE:
-        b -= 1
-    return None if b - a < 3 or DIGIT.search(text, a, b) else (_lower(text[a:b]), a, b)
 
-
-def beside(text: str, start: int, end: int, reach: int) -> list[str]:
-    """Terms of up to `reach` words on either side of a span."""
-    left = text.rfind("\n", 0, start) + 1
-    words = [(m.start(), m.end()) for m in WORD.finditer(text, max(left, start - 40 * reach), start)][-reach:]
-    m_end = min(len(text), end + 40 * reach)
-    words += [(m.start(), m.end()) for m in WORD.finditer(text, end, m_end)][:reach]
-    return [t[0] for t in (term_at(text, a, b) for a, b in words) if t]
-
-
-def covered(text: str, spans: list[tuple[str, int, int]]) -> np.ndarray:
-    """Whether each code point is in a span."""
-    out = np.zeros(len(text), bool)
-    for _, a, b in spans:
-        out[a:b] = True
+def secrets(text: bytes, words: list[tuple[int, int]], taken: list[Span]) -> list[Span]:
+    """High-entropy keys within the given long words, outside the spans taken."""
+    out = []
+    for a, b in words:
+        for m in KEY.finditer(text, a, b):
+            key = m.group()
+            if any(48 <= c <= 57 for c in key) and any(c >= 65 and c != 95 for c in key) and bits_each(key) >= SECRET_BITS:
+                if not any(x < m.end() and m.start() < y for _, x, y in taken):
+                    out.append(("secret", m.start(), m.end()))
     return out
 
 
-def terms_of(text: str, spans: list[tuple[str, int, int]]) -> list[str]:
-    """The distinct terms of the text outside its spans."""
-    taken = covered(text, spans)
-    found = (term_at(text, m.start(), m.end()) for m in WORD.finditer(text))
-    return sorted({t[0] for t in found if t and not taken[t[1] : t[2]].any()})
+def joined(spans: list[Span]) -> str:
+    return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
-def _digest(text: str) -> int:
-    return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little", signed=True)
+def _digest(data: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
+
+
+class Slice:
+    """A slice of the column: the spans of each row, and the terms outside them (row, byte span and hash of each)."""
+
+    def __init__(self, first: int, data: np.ndarray, offsets: np.ndarray):
+        self.first, self.data, self.offsets = first, data, offsets
+        w = Words(data, offsets)
+        self.word_row = np.searchsorted(offsets, w.starts, "right") - 1
+        long_, at = {}, w.starts - offsets[self.word_row] if len(w.starts) else w.starts
+        for k in np.flatnonzero(w.ends - w.starts >= KEY_BYTES).tolist():
+            long_.setdefault(int(self.word_row[k]), []).append((int(at[k]), int(at[k] + w.ends[k] - w.starts[k])))
+        digit = (data >= 48) & (data <= 57)
+        digits = np.concatenate([[0], np.cumsum(digit)])
+        some = np.flatnonzero(digits[offsets[1:]] > digits[offsets[:-1]])
+        at_sign = np.flatnonzero(data == 64)
+        some = np.union1d(some, np.searchsorted(offsets, at_sign, "right") - 1)
+        self.spans: dict[int, list[Span]] = {}
+        for r in some.tolist():
+            text = data[offsets[r] : offsets[r + 1]].tobytes()
+            own = base_spans(text)
+            own += secrets(text, long_.get(r, []), own)
+            if own:
+                self.spans[r] = own
+        w.trim()
+        self.points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+        good = (w.ends > w.starts) & (digits[w.ends] == digits[w.starts])
+        good &= self.points[w.ends] - self.points[w.starts] >= 3
+        if self.spans:
+            taken = np.zeros(len(data) + 1, np.int64)
+            for r, own in self.spans.items():
+                for _, a, b in own:
+                    taken[offsets[r] + a] += 1
+                    taken[offsets[r] + b] -= 1
+            covered = np.concatenate([[0], np.cumsum(np.cumsum(taken[:-1]) > 0)])
+            good &= covered[w.ends] == covered[w.starts]
+        self.code = w.hashes()[good]
+        self.row, self.starts, self.ends = self.word_row[good], w.starts[good], w.ends[good]
+
+    def document_counts(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct terms and in how many of the rows each stands."""
+        order = np.lexsort((self.row, self.code))
+        code, row = self.code[order], self.row[order]
+        new = np.ones(len(code), bool)
+        new[1:] = (code[1:] != code[:-1]) | (row[1:] != row[:-1])
+        return summed(code[new], np.ones(int(new.sum()), np.int64))
+
+    def held(self, r: int, reach: int) -> tuple[list[dict[str, int]], np.ndarray]:
+        """The row's entities with their contexts, and its distinct terms."""
+        a, b = np.searchsorted(self.row, [r, r + 1])
+        code, starts, ends = self.code[a:b], self.starts[a:b] - self.offsets[r], self.ends[a:b] - self.offsets[r]
+        text = self.data[self.offsets[r] : self.offsets[r + 1]].tobytes()
+        own: dict[int, set[bytes]] = {}
+        kinds: dict[str, set[bytes]] = {}
+        for kind, x, y in self.spans[r]:
+            left, right = np.searchsorted(ends, x, "right"), np.searchsorted(starts, y)
+            beside = code[max(0, left - reach) : left].tobytes() + b"|" + code[right : right + reach].tobytes()
+            entity = _digest(f"{kind}:".encode() + text[x:y].lower())
+            own.setdefault(entity, set()).add(beside)
+            kinds.setdefault(kind, set()).add(entity.to_bytes(8, "little", signed=True) + beside)
+        sets = [*own.items(), *((_digest(f"any {k}".encode()), c) for k, c in kinds.items())]
+        return [{"entity": e, "context": _digest(b"\n".join(sorted(c)))} for e, c in sets], np.unique(code)
+
+
+def summed(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes with the sums of their numbers."""
+    if not len(code):
+        return code, n
+    order = np.argsort(code, kind="stable")
+    code, n = code[order], n[order]
+    edge = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+    return code[edge], np.add.reduceat(n, edge)
 
 
 def scan(docs: DataFrame, text: str, reach: int) -> DataFrame:
-    """One row per row: row key, the entities held with their contexts, and, where there are any, the hashes of all terms."""
+    """Rows of two kinds: of a text with entities, the entities with their contexts and the hashes of all terms; of many texts, terms with their numbers of documents."""
+
+    def rows(held: list, terms: list, code: list, n: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(held, HELD), *[pa.array(x, pa.list_(pa.int64())) for x in (terms, code, n)]], names=["held", "terms", "code", "n"])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, ns, many = [], [], 0
         for batch in batches:
-            held, terms = [], []
-            for t in batch.column(0):
-                text = t.as_py() or ""
-                spans = base_spans(text)
-                own: dict[int, set[str]] = {}
-                for kind, a, b in spans:
-                    own.setdefault(_digest(f"{kind}:{_lower(text[a:b])}"), set()).add(" ".join(beside(text, a, b, reach)))
-                held.append([{"entity": e, "context": _digest("\n".join(sorted(c)))} for e, c in own.items()])
-                terms.append(term_hash(terms_of(text, spans)).view(np.int64) if own else [])
-            yield pa.RecordBatch.from_arrays([pa.array(held, HELD), pa.array(terms, pa.list_(pa.int64()))], names=["held", "terms"])
+            for first, data, offsets in slices(batch.column(0)):
+                own = Slice(first, data, offsets)
+                found = [own.held(r, reach) for r in own.spans]
+                if found:
+                    yield rows([h for h, _ in found], [t.view(np.int64) for _, t in found], [None] * len(found), [None] * len(found))
+                code, n = own.document_counts()
+                codes.append(code)
+                ns.append(n)
+                many += len(code)
+                if many > FLUSH:
+                    code, n = summed(np.concatenate(codes), np.concatenate(ns))
+                    codes, ns, many = [code], [n], len(code)
+                    if many > FLUSH // 2:
+                        yield rows([None], [None], [code.view(np.int64)], [n])
+                        codes, ns, many = [], [], 0
+        if codes:
+            code, n = summed(np.concatenate(codes), np.concatenate(ns))
+            yield rows([None], [None], [code.view(np.int64)], [n])
+        trim()
 
     slim = docs.select(F.col(f"`{text}`").alias(f"text{MARK}"))
-    return slim.mapInArrow(find, "held array<struct<entity:bigint,context:bigint>>, terms array<bigint>").withColumn("row", F.monotonically_increasing_id())
-
-
-HELD = pa.list_(pa.struct([("entity", pa.int64()), ("context", pa.int64())]))
-
-
-def trimmed(w: Words) -> Words:
-    """The words with edges of punctuation cut off."""
-    for edge, step in ((w.starts, 1), (w.ends, -1)):
-        while True:
-            cut = (w.starts < w.ends) & IS_EDGE[w.data[np.minimum(edge - (step < 0), len(w.data) - 1)]] if len(edge) else np.zeros(0, bool)
-            if not cut.any():
-                break
-            edge += step * cut
-    return w
+    return slim.mapInArrow(find, "held array<struct<entity:bigint,context:bigint>>, terms array<bigint>, code array<bigint>, n array<bigint>").withColumn("row", F.monotonically_increasing_id())
+
+
+def share(n_pair: Column, n_term: Column, n_entity: Column, total: int) -> Column:
+    """PMI over information content."""
+    return F.when(n_entity < total, F.log(n_pair * float(total) / (n_term * n_entity)) / F.log(float(total) / n_entity)).otherwise(0.0)
+
+
+def disclosing(found: DataFrame, total: int, threshold: float, support: int) -> DataFrame:
+    """(term, disclosure): terms at or above the threshold for some entity, with the highest."""
+    held = found.where("held is not null").select("row", F.explode("held").alias("x")).select("row", "x.*")
+    seen = held.groupBy("entity", "context").agg(F.count("*").alias("n")).groupBy("entity").agg(F.sum("n").alias("n_entity"), F.count("*").alias("contexts"))
+    entities = written(seen.where(F.col("contexts") >= support).select("entity", "n_entity"))
+    # n(t, e) <= n(e), so a term above this number of documents is too common for the entity
+    most = F.col("n_entity") ** threshold * float(max(1, total)) ** (1 - threshold) * (1 + 1e-9)
+    known = held.join(entities, "entity").withColumn("most", most)
+    known = written(known)
+    widest = known.agg(F.max("most")).first()[0]
+    if widest is None:
+        return found.sparkSession.createDataFrame([], "term long, disclosure double")
+    counts = found.where("code is not null").select(F.explode(F.arrays_zip("code", "n")).alias("x")).groupBy(F.col("x.code").alias("term")).agg(F.sum("x.n").alias("n_term"))
+    counts = counts.where((F.col("n_term") >= support) & (F.col("n_term") <= F.lit(widest)))
+    near = found.where("held is not null").join(known.select("row").distinct(), "row", "left_semi").select("row", F.explode("terms").alias("term")).join(counts, "term")
+    both = near.join(known, "row").where("n_term <= most")
+    # by context first: an entity in many documents is dealt out by its terms and contexts
+    pairs = both.groupBy("entity", "term", "context").agg(F.count("*").alias("n"), F.first("n_term").alias("n_term"), F.first("n_entity").alias("n_entity"))
+    pairs = pairs.groupBy("entity", "term").agg(F.sum("n").alias("n_pair"), F.count("*").alias("contexts"), F.first("n_term").alias("n_term"), F.first("n_entity").alias("n_entity"))
+    pairs = pairs.where(F.col("contexts") >= support).withColumn("disclosure", share(F.col("n_pair"), F.col("n_term"), F.col("n_entity"), total))
+    return written(pairs.where(F.col("disclosure") >= threshold).groupBy("term").agg(F.max("disclosure").alias("disclosure")))
+
+
+def _sorted_terms(flagged: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    got = flagged.toArrow()
+    code, worth = got.column("term").to_numpy().astype(np.int64).view(U64), got.column("disclosure").to_numpy()
+    order = np.argsort(code)
+    return code[order], worth[order]
+
+
+def _places(own: Slice, known: np.ndarray, worth: np.ndarray) -> dict[int, list[tuple[int, int, float]]]:
+    """By row of the column: (start, end, disclosure) of the known terms, in code points."""
+    out: dict[int, list[tuple[int, int, float]]] = {}
+    if len(known) and len(own.code):
+        at = np.minimum(np.searchsorted(known, own.code), len(known) - 1)
+        hit = np.flatnonzero(known[at] == own.code)
+        base = own.points[own.offsets[own.row[hit]]]
+        begin, end = own.points[own.starts[hit]] - base, own.points[own.ends[hit]] - base
+        for r, a, b, d in zip((own.first + own.row[hit]).tolist(), begin.tolist(), end.tolist(), worth[at[hit]].tolist(), strict=True):
+            out.setdefault(r, []).append((a, b, d))
+    return out
 
 
-def document_counts(docs: DataFrame, text: str, terms: np.ndarray) -> DataFrame:
-    """(term, n): documents that hold each of the given term hashes."""
-    wanted = docs.sparkSession.sparkContext.broadcast(np.sort(terms))
+def marked(docs: DataFrame, text: str, doc_id: str, flagged: DataFrame, max_terms: int, keep_text: bool) -> DataFrame:
+    """One row per row: id, counts, spans, every place of the flagged terms outside those spans, and the text where wanted."""
+    spark = docs.sparkSession
+    slim = docs.select(F.col(f"`{doc_id}`").alias(f"id{MARK}"), F.col(f"`{text}`").alias(f"text{MARK}"))
+    rounds = -(-flagged.count() // max_terms)
+    wanted = spark.sparkContext.broadcast(_sorted_terms(flagged) if rounds <= 1 else (np.zeros(0, U64), np.zeros(0)))
+    more = F.lit(None).cast(TERMS_DDL)
+    if rounds > 1:  # more terms than a task may hold: each round marks its own, by row, and the rows bring them together
+        slim = written(slim.withColumn("row", F.monotonically_increasing_id()))
+        parts = None
+        for k in range(rounds):
+            part = _round(slim, spark.sparkContext.broadcast(_sorted_terms(flagged.where(F.pmod(F.xxhash64("term"), F.lit(rounds)) == k))))
+            parts = part if parts is None else parts.unionByName(part)
+        parts = parts.groupBy(F.col("row").alias("r")).agg(F.sort_array(F.flatten(F.collect_list("terms"))).alias("more"))
+        slim = slim.join(parts, F.col("row") == F.col("r"), "left")
+        more = F.col("more")
+    slim = slim.select(f"id{MARK}", f"text{MARK}", more.alias("more"))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = wanted.value
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, worth = wanted.value
         for batch in batches:
-            total = np.zeros(len(known), np.int64)
-            for _, data, offsets in slices(batch.column(0)):
-                w = trimmed(Words(data, offsets))
-                code = w.hashes()
-                at = np.minimum(np.searchsorted(known, code), len(known) - 1)
-                hit = np.flatnonzero(known[at] == code)
-                row = np.searchsorted(w.first, hit, "right") - 1
-                found = np.unique(np.stack([row, at[hit]]), axis=1)[1]
-                total += np.bincount(found, minlength=len(known))
-            some = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(known[some].view(np.int64)), pa.array(total[some])], names=["term", "n"])
-
-    return docs.select(F.col(f"`{text}`").alias(f"text{MARK}")).mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
-
-
-def disclosing(docs: DataFrame, found: DataFrame, text: str, threshold: float, support: int, round_terms: int) -> DataFrame:
-    """(entity, term, disclosure) at or above the threshold."""
-    held = found.select("row", F.explode("held").alias("x")).select("row", "x.*")
-    entities = written(held.select("entity", "context").distinct().groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= support))
-    own = held.join(entities, "entity").groupBy("row").agg(F.collect_list(F.struct("entity", "context")).alias("own"))
-    both = found.where(F.size("terms") > 0).select("row", "terms").join(own, "row")
-    both = both.select("own", F.explode("terms").alias("term")).select("term", F.explode("own").alias("x")).select("x.entity", "term", "x.context")
-    # counted by entity and term, contexts made distinct first: an entity in many documents is dealt out by its terms
-    pairs = written(both.distinct().groupBy("entity", "term").agg(F.count("*").alias("n_pair")).where(F.col("n_pair") >= support))
-    total_d = F.lit(float(max(found.count(), 1)))
-
-    def share(n_term: str) -> Column:
-        pmi = F.log(F.col("n_pair") * total_d / (F.greatest(n_term, "n_pair") * F.col("n_entity")))
-        return F.when(F.col("n_entity") < total_d, pmi / F.log(total_d / F.col("n_entity"))).otherwise(0.0)
-
-    # n(t) is at least the number of entities' documents that hold t: what is too common there cannot reach the threshold
-    least = found.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_least"))
-    pairs = written(pairs.join(least, "term").join(entities, "entity").where(share("n_least") >= threshold).drop("n_least"))
-    candidates = written(pairs.select("term").distinct())
-    n = candidates.count()
-    rounds = -(-n // round_terms)
-    counts = None
-    for k in range(rounds):
-        own = candidates.where(F.pmod(F.xxhash64("term"), F.lit(rounds)) == k).toArrow().column("term").to_numpy().astype(np.int64).view(np.uint64)
-        if len(own):
-            part = document_counts(docs, text, own)
-            counts = part if counts is None else counts.unionByName(part)
-    if counts is None:
-        return found.sparkSession.createDataFrame([], "entity long, term long, disclosure double")
-    return written(pairs.join(counts, "term").select("entity", "term", share("n_term").alias("disclosure")).where(F.col("disclosure") >= threshold))
-
-
-def marked(docs: DataFrame, text: str, doc_id: str, terms: np.ndarray, disclosure: np.ndarray) -> DataFrame:
-    """One row per row: id, counts, spans, and every place of the given term hashes (sorted) outside those spans."""
-    wanted = docs.sparkSession.sparkContext.broadcast((terms, disclosure))
-
-    def places(texts: pa.Array) -> dict[int, list[tuple[int, int, float]]]:
-        known, shares = wanted.value
-        out: dict[int, list[tuple[int, int, float]]] = {}
-        if not len(known):
-            return out
-        for first, data, offsets in slices(texts):
-            w = trimmed(Words(data, offsets))
-            code = w.hashes()
-            at = np.minimum(np.searchsorted(known, code), len(known) - 1)
-            hit = np.flatnonzero(known[at] == code)
-            if len(hit):
-                row = np.searchsorted(w.first, hit, "right") - 1
-                points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-                begin, end = points[w.starts[hit]] - points[offsets[row]], points[w.ends[hit]] - points[offsets[row]]
-                for r, a, b, share in zip((first + row).tolist(), begin.tolist(), end.tolist(), shares[at[hit]].tolist(), strict=True):
-                    out.setdefault(r, []).append((a, b, share))
-        return out
-
+            n = len(batch)
+            count = {k: np.zeros(n, np.int64) for k in ALL_KINDS}
+            base, extra = [""] * n, [""] * n
+            terms: list = [[] if x is None else x for x in batch.column(2).to_pylist()]
+            for first, data, offsets in slices(batch.column(1)):
+                own = Slice(first, data, offsets)
+                for r, spans in own.spans.items():
+                    at = own.points[offsets[r]]
+                    spans = [(k, int(own.points[offsets[r] + a] - at), int(own.points[offsets[r] + b] - at)) for k, a, b in spans]
+                    for k, _, _ in spans:
+                        count[k][first + r] += 1
+                    base[first + r] = joined([s for s in spans if s[0] != "secret"])
+                    extra[first + r] = joined([s for s in spans if s[0] == "secret"])
+                for r, found in _places(own, known, worth).items():
+                    terms[r] = [{"start": a, "end": b, "disclosure": d} for a, b, d in found]
+            cols = [batch.column(0), *[pa.array(count[k]) for k in ALL_KINDS], pa.array(base, pa.string()), pa.array(extra, pa.string()), pa.array(terms, TERMS)]
+            yield pa.RecordBatch.from_arrays([*cols, *([batch.column(1)] if keep_text else [])], names=names)
+        trim()
+
+    names = [f"id{MARK}", *ALL_KINDS, "base", "extra", "terms", *([f"text{MARK}"] if keep_text else [])]
+    kinds = ", ".join(f"{k} long" for k in ALL_KINDS)
+    return slim.mapInArrow(find, f"id{MARK} {slim.schema[0].dataType.simpleString()}, {kinds}, base string, extra string, terms {TERMS_DDL}" + (f", text{MARK} string" if keep_text else ""))
+
+
+def _round(slim: DataFrame, wanted: object) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, worth = wanted.value
         for batch in batches:
-            cols: dict[str, list] = {k: [] for k in (*KINDS, "base", "terms")}
-            found = places(batch.column(1))
-            for i, t in enumerate(batch.column(1)):
-                text = t.as_py() or ""
-                spans = base_spans(text)
-                for k in KINDS:
-                    cols[k].append(sum(s[0] == k for s in spans))
-                cols["base"].append(joined(spans))
-                taken = covered(text, spans) if i in found else None
-                cols["terms"].append([{"start": a, "end": b, "disclosure": d} for a, b, d in found.get(i, ()) if not taken[a:b].any()])
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(cols[k], pa.int64()) for k in KINDS], pa.array(cols["base"], pa.string()), pa.array(cols["terms"], TERMS)], names=[f"id{MARK}", *KINDS, "base", "terms"])
-
-    slim = docs.select(F.col(f"`{doc_id}`").alias(f"id{MARK}"), F.col(f"`{text}`").alias(f"text{MARK}"))
-    return slim.mapInArrow(find, f"id{MARK} {slim.schema[0].dataType.simpleString()}, {', '.join(f'{k} long' for k in KINDS)}, base string, terms array<struct<start:int,end:int,disclosure:double>>")
-
+            found: dict[int, list[tuple[int, int, float]]] = {}
+            for first, data, offsets in slices(batch.column(0)):
+                found |= _places(Slice(first, data, offsets), known, worth)
+            rows = batch.column(1).take(pa.array(list(found), pa.int64()))
+            terms = [[{"start": a, "end": b, "disclosure": d} for a, b, d in x] for x in found.values()]
+            yield pa.RecordBatch.from_arrays([rows, pa.array(terms, TERMS)], names=["row", "terms"])
 
-TERMS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("disclosure", pa.float64())]))
+    return written(slim.select(f"text{MARK}", "row").mapInArrow(find, f"row long, terms {TERMS_DDL}"))
 
 
-def personal_data(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = 0.9, support: int = 3, reach: int = 4, round_terms: int = 1_000_000) -> DataFrame:
-    """One row per row: doc_id, n_email, n_ip, n_card, n_phone, base, terms (array of start, end, disclosure), spans."""
+def personal_data(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = 0.9, support: int = 3, reach: int = 4, max_terms: int = 1_000_000, keep_text: bool = False
+) -> DataFrame:
+    """One row per row: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_secret, n_term, private (has any span), base, terms (array of start, end, disclosure)."""
     bounded_batches(docs.sparkSession)
-    found = written(scan(docs, text, reach))
-    flagged = disclosing(docs, found, text, threshold, support, round_terms).groupBy("term").agg(F.max("disclosure").alias("disclosure")).toArrow()
-    code, share = flagged.column("term").to_numpy().astype(np.int64).view(np.uint64), flagged.column("disclosure").to_numpy()
-    order = np.argsort(code)
-    out = marked(docs, text, doc_id, code[order], share[order])
+    total = docs.count()
+    flagged = disclosing(written(scan(docs, text, reach)), total, threshold, support)
+    out = marked(docs, text, doc_id, flagged, max_terms, keep_text)
     more = F.expr("array_join(transform(terms, t -> concat('term:', t.start, ':', t.end)), ',')")
-    spans = F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), F.when(F.size("terms") > 0, more))
-    return out.select(F.col(f"id{MARK}").alias(doc_id), *[F.col(k).alias(f"n_{k}") for k in KINDS], F.sha2(F.encode("base", "UTF-8"), 256).alias("base_sha256"), spans.alias("spans"), "base", "terms")
+    spans = F.concat_ws(",", F.nullif("base", F.lit("")), F.nullif("extra", F.lit("")), F.nullif(more, F.lit("")))
+    counts = [F.col(k).alias(f"n_{k}") for k in KINDS]
+    last = [F.col("secret").alias("n_secret"), F.size("terms").cast("long").alias("n_term"), (spans != "").alias("private"), "base", "terms"]
+    text_of = [F.col(f"text{MARK}")] if keep_text else []
+    return out.select(F.col(f"id{MARK}").alias(doc_id), *counts, F.sha2(F.encode("base", "UTF-8"), 256).alias("base_sha256"), spans.alias("spans"), *last, *text_of)
 
 
 def sanitise(text: str, spans: str, removed: frozenset[tuple[int, int]] = frozenset()) -> str:
@@ -282,16 +369,15 @@ def sanitise(text: str, spans: str, removed: frozenset[tuple[int, int]] = frozen
 
 
 def sanitised(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", removal: float = 1.0, **how: object) -> DataFrame:
-    """`docs`' ids and texts with personal data generalised and the most disclosing terms removed; ids must be unique."""
-    data = personal_data(docs, text, doc_id, **how)  # type: ignore[arg-type]
-    gone = data.select(F.col(doc_id).alias(f"id{MARK}"), "spans", F.expr(f"transform(filter(terms, t -> t.disclosure >= {float(removal)}), t -> struct(t.start, t.end))").alias("gone")).where("spans != ''")
-    both = docs.select(F.col(f"`{doc_id}`").alias(doc_id), F.col(f"`{text}`").alias(text)).join(gone, F.col(doc_id) == F.col(f"id{MARK}"), "left")
+    """`docs`' ids and texts, row by row, with personal data generalised and the most disclosing terms removed; ids may be null or repeat, a null text stays null."""
+    data = personal_data(docs, text, doc_id, keep_text=True, **how)  # type: ignore[arg-type]
+    gone = F.expr(f"transform(filter(terms, t -> t.disclosure >= {float(removal)}), t -> struct(t.start, t.end))")
+    both = data.select(F.col(f"`{doc_id}`").alias(doc_id), F.col(f"text{MARK}"), "spans", gone.alias(f"gone{MARK}"))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)), strict=True)
-            texts = [sanitise(t, s, frozenset((g["start"], g["end"]) for g in gone or ())) if s and t else t for t, s, gone in rows]
+            texts = [sanitise(t, s, frozenset((g["start"], g["end"]) for g in gone_ or ())) if s and t else t for t, s, gone_ in rows]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=[doc_id, text])
 
-    both = both.select(doc_id, text, "spans", "gone")
     return both.mapInArrow(apply, f"`{doc_id}` {both.schema[0].dataType.simpleString()}, `{text}` string")

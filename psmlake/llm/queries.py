@@ -55,7 +55,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.personal_data(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", F.size("terms").cast("long").alias("n_term"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_secret", "n_term", "private")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_dedup, op2_embedding_dedup, op3_jaccard_join, op4_toxicity, op5_packing, op6_repeated_passages, op7_mixing, op8_token_counts, op9_language_id, op10_personal_data)}

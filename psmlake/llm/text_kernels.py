@@ -25,6 +25,9 @@ SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
+EDGE = np.zeros(256, bool)
+EDGE[[ord(c) for c in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"]] = True
+
 _powers = [np.ones(1, U64), np.ones(1, U64)]
 
 
@@ -81,6 +84,15 @@ class Words:
         self._down = down
         self.first = np.searchsorted(self.starts, offsets)
 
+    def trim(self) -> None:
+        """Cut edges of ASCII punctuation off; a word of nothing else gets an empty span."""
+        inner = np.flatnonzero(~EDGE[self.data])
+        bounds = np.append(inner, len(self.data))
+        starts = np.minimum(bounds[np.searchsorted(inner, self.starts)], self.ends)
+        before = np.searchsorted(inner, self.ends) - 1
+        ends = inner[np.maximum(before, 0)] + 1 if len(inner) else self.starts
+        self.starts, self.ends = starts, np.maximum(starts, np.where(before >= 0, ends, 0))
+
     def hashes(self, most: int | None = None) -> np.ndarray:
         """A hash for each word, or for its first `most` bytes."""
         ends = self.ends if most is None else np.minimum(self.ends, self.starts + most)

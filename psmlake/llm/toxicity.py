@@ -29,20 +29,13 @@ from .text_kernels import U64, Words, mix, slices
 
 SLOTS = 1 << 18
 BEGINNINGS = (4, 6, 7, 8, 9, 10)
-IS_EDGE = np.zeros(256, bool)
-IS_EDGE[[ord(c) for c in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"]] = True
 
 
 def feature_rows(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, rows, row of each feature, feature) for slices of the column; features may repeat."""
     for first, data, offsets in slices(texts):
         w = Words(data, offsets)
-        for edge, step in ((w.starts, 1), (w.ends, -1)):
-            while len(edge):
-                cut = (w.starts < w.ends) & IS_EDGE[w.data[np.minimum(edge - (step < 0), len(w.data) - 1)]]
-                if not cut.any():
-                    break
-                edge += step * cut
+        w.trim()
         row = np.repeat(np.arange(len(offsets) - 1), np.diff(w.first))
         some = w.starts < w.ends
         whole = [(w.hashes() >> U64(64 - 18)).astype(np.int64)]

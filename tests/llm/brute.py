@@ -92,3 +92,88 @@ def embedding_groups(rows: list[tuple[int, list[float] | None, object]], thresho
             count[own[a]] += 1
             count[own[b]] += 1
     return {r[0]: (c, rows[k][0]) for r, c, k in zip(rows, count, roots(len(rows), links), strict=True)}
+
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+KEY = re.compile(r"[A-Za-z0-9+/_-]{20,}")
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+def luhn(digits: str) -> bool:
+    doubled = [int(d) if k % 2 == 0 else sum(divmod(2 * int(d), 10)) for k, d in enumerate(digits[::-1])]
+    return sum(doubled) % 10 == 0
+
+
+def personal_spans(text: str) -> list[tuple[str, int, int]]:
+    """The fixed patterns as they are written."""
+    out = [("email", *m.span()) for m in EMAIL.finditer(text)]
+    out += [("ip", *m.span()) for m in IP.finditer(text) if all(int(p) <= 255 for p in m.group().split("."))]
+    for m in CARD.finditer(text):
+        digits = re.sub("[ -]", "", m.group())
+        if 16 <= len(digits) <= 19 and luhn(digits):
+            out.append(("card", *m.span()))
+    return out + [("phone", *m.span()) for m in PHONE.finditer(text) if 8 <= len(re.sub("[^0-9]", "", m.group())) <= 15]
+
+
+def secret_spans(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    import math
+    from collections import Counter
+
+    out = []
+    for m in KEY.finditer(text):
+        s = m.group()
+        bits = -sum(n / len(s) * math.log2(n / len(s)) for n in Counter(s).values())
+        if re.search("[0-9]", s) and re.search("[A-Za-z]", s) and bits >= 3 and not any(a < m.end() and m.start() < b for _, a, b in taken):
+            out.append(("secret", *m.span()))
+    return out
+
+
+def personal_data(rows: list[tuple[int, str | None]], threshold: float = 0.9, support: int = 3, reach: int = 4) -> dict[int, tuple[str, dict[str, float]]]:
+    """doc_id -> (spans, disclosure of the terms found), for unique ids."""
+    import math
+
+    docs = {}
+    for d, text in rows:
+        text = text or ""
+        spans = personal_spans(text)
+        spans += secret_spans(text, spans)
+        terms = []
+        for m in re.finditer(r"[^\x20\x09-\x0D]+", text):
+            a, b = m.span()
+            while a < b and text[a] in PUNCTUATION:
+                a += 1
+            while a < b and text[b - 1] in PUNCTUATION:
+                b -= 1
+            if b - a >= 3 and not re.search("[0-9]", text[a:b]) and not any(x < b and a < y for _, x, y in spans):
+                terms.append((lower(text[a:b]), a, b))
+        held = defaultdict(set)
+        for kind, x, y in spans:
+            beside = tuple(t for t, _, b in terms if b <= x)[-reach:], tuple(t for t, a, _ in terms if a >= y)[:reach]
+            held[kind, text[x:y].lower()].add(beside)
+            held[kind].add((text[x:y].lower(), beside))
+        docs[d] = spans, terms, {e: frozenset(c) for e, c in held.items()}
+    n_term, n_entity = defaultdict(int), defaultdict(int)
+    n_pair, contexts, pair_contexts = defaultdict(int), defaultdict(set), defaultdict(set)
+    for _, terms, held in docs.values():
+        for t in {t for t, _, _ in terms}:
+            n_term[t] += 1
+            for e, c in held.items():
+                n_pair[t, e] += 1
+                pair_contexts[t, e].add(c)
+        for e, c in held.items():
+            n_entity[e] += 1
+            contexts[e].add(c)
+    worth: dict[str, float] = {}
+    for (t, e), n in n_pair.items():
+        if len(contexts[e]) >= support and len(pair_contexts[t, e]) >= support and n_entity[e] < len(docs):
+            share = math.log(n * len(docs) / (n_term[t] * n_entity[e])) / math.log(len(docs) / n_entity[e])
+            if share >= threshold - 1e-12:
+                worth[t] = max(worth.get(t, 0), share)
+    out = {}
+    for d, (spans, terms, _) in docs.items():
+        own = [*spans, *(("term", a, b) for t, a, b in terms if t in worth)]
+        out[d] = ",".join(f"{k}:{a}:{b}" for k, a, b in own), {t: worth[t] for t, _, _ in terms if t in worth}
+    return out

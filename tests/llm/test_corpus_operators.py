@@ -301,49 +301,6 @@ def test_mixing_takes_small_sources_whole_over_many_shards(spark):
     assert all(r.taken == r.epochs * r.size + sum(x.end - x.begin for x in r.ranges) and all(0 <= x.begin < x.end <= r.size for x in r.ranges) for r in got)
 
 
-def test_personal_data_base_spans():
-    text = "mail a.b@x.org, ip 10.0.0.1 999.1.1.1 1.2.3.4.5 card 4111 1111-1111 1111 and 4111111111111112 call +1 (988) 555-2485 +12"
-    got = pii.base_spans(text)
-    assert [(k, text[a:b]) for k, a, b in got] == [("email", "a.b@x.org"), ("ip", "10.0.0.1"), ("ip", "1.2.3.4"), ("card", "4111 1111-1111 1111"), ("phone", "+1 (988) 555-2485")]
-    assert pii.sanitise("to a@b.co now", "email:3:9") == "to [EMAIL] now"
-    assert pii.sanitise("to Bob a@b.co", "email:7:13,term:3:6", frozenset({(3, 6)})) == "to  [EMAIL]"
-
-
-def test_terms_that_disclose(spark):
-    rng = random.Random(1)
-    after = lambda: "".join(rng.choice("abcdefgh") for _ in range(7))
-    rows = [(i, f"{say(rng, 20)} codename Zanzibar reach me boss@firm.com {after()} {say(rng, 20)}") for i in range(6)]
-    rows += [(100 + i, f"{say(rng, 30)} reach me at noon {say(rng, 9)}") for i in range(60)]
-    rows += [(200, None), (None, "p@q.rs"), (201, "")]
-    got = {r.doc_id: r for r in pii.personal_data(frame(spark, rows, "doc_id long, text string")).collect()}
-    text = rows[0][1]
-    shown = {text[int(a) : int(b)] for k, a, b in (s.split(":") for s in got[0].spans.split(",")) if k == "term"}
-    assert "Zanzibar" in shown
-    assert "reach" not in shown
-    assert got[0].n_email == 1
-    assert got[100].spans == "" and got[200].spans == ""
-    assert got[None].spans == "email:0:6"
-    clean = {r.doc_id: r.text for r in pii.sanitised(frame(spark, rows[:8], "doc_id long, text string")).collect()}
-    assert "boss@firm.com" not in clean[0] and "Zanzibar" not in clean[0] and "[EMAIL]" in clean[0]
-    assert clean[100] == rows[6][1]
-
-
-def test_terms_that_disclose_anywhere(spark):
-    rng = random.Random(4)
-    after = lambda: "".join(rng.choice("abcdefgh") for _ in range(7))
-    rows = [(i, f"é Zanzibar, {say(rng, 30)}\n\nNext line. ZANZIBAR {say(rng, 200)} write to boss@firm.com {after()} {say(rng, 20)} (boss@firm.com)") for i in range(60)]
-    rows += [(100 + i, f"{say(rng, 30)} next line write to noon") for i in range(600)] + [(900, f"ü {say(rng, 9)} (zanzibar) {say(rng, 9)}")]
-    copied = f"Timbuktu {say(rng, 40)} mail to other@firm.com today"
-    rows += [(1000 + i, f"{copied} {i}") for i in range(5)]
-    got = {r.doc_id: r for r in pii.personal_data(frame(spark, rows, "doc_id long, text string")).collect()}
-    shown = {i: [t[int(a) : int(b)] for k, a, b in (s.split(":") for s in got[i].spans.split(",") if s) if k == "term"] for i, t in rows}
-    assert all(shown[i] == ["Zanzibar", "ZANZIBAR"] for i in range(60))
-    assert shown[900] == ["zanzibar"]  # a document without the entity
-    assert not any(shown[100 + i] for i in range(600))
-    assert not any(shown[1000 + i] for i in range(5))  # copies disclose nothing
-    assert got[0].n_email == 2 and all(0.9 <= x.disclosure <= 1 for i in range(60) for x in got[i].terms)
-
-
 def test_toxicity_learns_grades_and_holds_out(spark):
     rng = random.Random(2)
     insults = ["rotter", "blackguard", "knave"]
