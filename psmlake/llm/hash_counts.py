@@ -1,7 +1,7 @@
 """Counts of 64-bit hashes over all rows, as bounded tables that tasks can look up.
 
-Mappers send each bucket of the hash space one block of sorted 32-bit values, repeated values at most `CAP` times, so
-a hash that a third of all rows hold costs each batch `CAP` values.  A bucket's task sorts its blocks and
+Mappers send each bucket of the hash space one block of sorted 32-bit values, repeated values at most `cap` times, so
+a hash that a third of all rows hold costs each batch `cap` values.  A bucket's task sorts its blocks and
 fills its slice of the table: a bit for each hash met twice, or a byte with the logarithm of its count.  The slices, at most
 `max_slots` slots together, are what the driver gathers and broadcasts.  Where hashes share a slot, the table errs
 towards repeated, never the other way.
@@ -51,7 +51,7 @@ class Blocks:
         return pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([value[edges[k] : edges[k + 1]].tobytes() for k in some], pa.binary())], names=["bucket", "block"])
 
 
-def hash_table(rows: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray]], about: int, max_slots: int, levels: bool, spare: int = 4, least: int = 2) -> np.ndarray:
+def hash_table(rows: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray]], about: int, max_slots: int, levels: bool, spare: int = 4, least: int = 2, cap: int = CAP) -> np.ndarray:
     """A table over the hashes that `hashes` gives for each batch of `rows`; `about` is how many to expect.
 
     With `levels` it has a byte a slot, 8 * log2(count); else packed bits, set where the count is `least`, 1 or 2, or more.
@@ -59,7 +59,7 @@ def hash_table(rows: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.n
     bucket_bits = bits_for(about // BUCKET_VALUES + 1, 0, 16)
     slot_bits = bits_for(spare * about, 16, max_slots.bit_length() - 1)
     slice_bits = max(3, slot_bits - bucket_bits)
-    cap = CAP if levels else 2
+    cap = cap if levels else 2
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = Blocks(bucket_bits, cap)

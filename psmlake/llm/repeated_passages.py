@@ -3,60 +3,84 @@
 A passage of `width` bytes has an anchor: of its `GRAM`-byte strings the one with the smallest hash.  Equal passages
 have equal anchors at equal places, so only windows whose anchor occurs again can repeat.
 
-1. One pass counts anchors (`hash_counts`); the next sends those that may repeat, with a hash of the windows' bytes they
-   anchor (the context), to the bucket of their hash.
-2. A bucket groups equal contexts.  All but a context's first place are repeats as a whole.  Contexts whose anchor has several
-   are noted in another table, and a third pass sends their bytes.  Their first places are ordered and met by halves: the earlier contexts of all anchors form a run-length
-   index, the later ones stream their matching statistics against it, and starts that match `width` bytes or more are repeats.
-   An anchor's byte carries a mark of its half in that index, so a match stays within its anchor and
-   before its place.
-3. Repeats go back to their documents as spans, are merged, and cut from the text.
-
-Contexts are compared by a 64-bit hash and their anchor; inside the index bytes are compared.
-
-Defined results: a null text counts as empty; texts shorter than `width` keep all; null ids come after all others; rows that repeat an id come in the order of
-a hash of their text, and rows that repeat id and text count as one document and get one result; an empty table gives an empty table.
+1. One pass counts anchors (`hash_counts`).  The next takes the runs of windows that share an anchor which may repeat: a run is known by its
+   anchor and a 128-bit hash of the bytes its windows cover (the context).  Of equal contexts each task keeps the first
+   place; the others are repeats as a whole.  First places go to the bucket of their context's hash, which does the same for all
+   tasks, so copies, however many, cost each task one row.
+2. The contexts left are counted by anchor.  An anchor with one context has no further repeats.  Contexts of the others go, with their bytes, to the bucket
+   of their anchor.  There they are ordered by place and met by halves: the earlier contexts form a run-length index, the later ones
+   stream their matching statistics against it, and starts that match `width` bytes or more are repeats.  An anchor's byte carries a mark of its half
+   in that index, so a match stays within its anchor and before its place; each index is built once, over `LANES` contexts at most.
+3. An anchor with more than about `HOT` contexts would be long work for one task.  Its windows are dealt by narrower ranges of the places that the anchor takes in
+   them; the windows of one range share more bytes than the anchor, and a hash of those takes the anchor's part in step 1
+   again.  The ranges of `NARROW` places, then of one, where a window is all its context, split any anchor as far as its windows differ.
+4. Repeats go back to their documents as spans, are merged, and cut from the text.
+
+Inside the index bytes are compared; contexts are compared by their 128 bits.
+
+Defined results: a null text counts as empty; texts shorter than `width` keep all; null ids come after all others, ids that are no integers in their own order; rows that
+repeat an id come in the order of a hash of their text, and rows that repeat id and text count as one document and get one result; a very long text is read in
+overlapping pieces; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 from . import hash_counts
 from .run_length_index import RunLengthIndex
 from .runtime import MARK, bounded_batches, partitions_for, trim, written
-from .text_kernels import BYTE_WORD, U64, mix, powers, slices
+from .text_kernels import BYTE_WORD, OTHER_WORD, U64, mix, powers, slices
 
 GRAM = 40
 PLACE_BITS = 24
-PIECE = 4 << 20
+PIECE = 1 << 20
 LANES = 4096
+HOT, NARROW = 1024, 8
+#: Rows that a task gathers before it sends them, and bytes of text for each partition of the buckets.
+FLUSH_ROWS, PART_BYTES = 400_000, 32 << 20
 BUCKET_ANCHORS = 300_000
-NULL_ID = (1 << 63) - 1
 PLACE = U64((1 << PLACE_BITS) - 1)
 
 
-class Anchors:
+class Hashes:
+    """Hashes of any byte span of `data`."""
+
+    def __init__(self, data: np.ndarray):
+        self.up, self.down = powers(len(data) + 1)
+        self.data = data
+        self.sums = [self._sums(BYTE_WORD)]
+
+    def _sums(self, words: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.zeros(1, U64), np.cumsum(words[self.data] * self.up[: len(self.data)], dtype=U64)])
+
+    def of(self, begin: np.ndarray, end: np.ndarray, which: int = 0) -> np.ndarray:
+        while len(self.sums) <= which:
+            self.sums.append(self._sums(OTHER_WORD))
+        own = self.sums[which]
+        return mix((own[end] - own[begin]) * self.down[begin])
+
+
+class Anchors(Hashes):
     """Anchored runs of windows in a slice: first and last window start, anchor place and hash."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, width: int):
-        self.data = data
         n = len(data) - width + 1
+        self.data = data
         self.low = self.high = self.at = np.zeros(0, np.int64)
         self.code = np.zeros(0, U64)
         if n <= 0:
             return
-        up, down = powers(len(data) + 1)
-        self.sums = np.concatenate([np.zeros(1, U64), np.cumsum(BYTE_WORD[data] * up[: len(data)], dtype=U64)])
-        self.down = down
-        grams = mix((self.sums[GRAM:] - self.sums[:-GRAM]) * down[: len(data) - GRAM + 1])
+        super().__init__(data)
+        grams = mix((self.sums[0][GRAM:] - self.sums[0][:-GRAM]) * self.down[: len(data) - GRAM + 1])
         ranked = (grams & ~PLACE) | np.arange(len(grams), dtype=U64)
         span, reach = width - GRAM + 1, 1
         while 2 * reach <= span:
@@ -74,10 +98,6 @@ class Anchors:
         self.high = starts[np.append(cut[1:], len(starts)) - 1]
         self.code = grams[self.at]
 
-    def context_code(self, pick: np.ndarray, width: int) -> np.ndarray:
-        a, b = self.low[pick], self.high[pick] + width
-        return mix((self.sums[b] - self.sums[a]) * self.down[a])
-
 
 def anchored(texts: pa.Array, width: int) -> Iterator[tuple[int, int, np.ndarray, Anchors]]:
     """(first row, place of the slice in that row, offsets, anchors); a text over PIECE bytes comes in overlapping pieces."""
@@ -90,8 +110,11 @@ def anchored(texts: pa.Array, width: int) -> Iterator[tuple[int, int, np.ndarray
             yield row, 0, offsets, Anchors(data, offsets, width)
 
 
-ROW = np.dtype([("code", "<u8"), ("context", "<u8"), ("doc", "<i8"), ("text", "<i8"), ("low", "<i4"), ("off", "u1"), ("many", "u1")])
-SPAN = np.dtype([("doc", "<i8"), ("text", "<i8"), ("begin", "<i4"), ("end", "<i4")])
+#: A run: its key (the anchor's hash), its context's hashes, its document, the place of the anchor in it, and the range of places that the anchor takes in the windows.
+ROW = np.dtype([("code", "<u8"), ("context", "<u8"), ("check", "<u8"), ("doc", "<i8"), ("text", "<i8"), ("at", "<i4"), ("near", "<u2"), ("far", "<u2"), ("none", "u1")])
+SPAN = np.dtype([("doc", "<i8"), ("text", "<i8"), ("begin", "<i4"), ("end", "<i4"), ("none", "u1")])
+DOC = ("none", "doc", "text")
+RUNS = "bucket long, rows binary, bytes binary"
 
 
 def packed(rows: np.ndarray) -> bytes:
@@ -112,211 +135,335 @@ def unpacked(blobs: pa.ChunkedArray, kind: np.dtype) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, kind)
 
 
-def by_part(part: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """The parts that have rows, and where each part's rows begin; `part` is sorted."""
-    edges = np.searchsorted(part, np.arange(parts + 1))
-    return np.flatnonzero(np.diff(edges)), edges
-
+def dealt(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(part, numbers of its rows)."""
+    order = np.argsort(part, kind="stable")
+    cut = 1 + np.flatnonzero(part[order][1:] != part[order][:-1])
+    for own in np.split(order, cut) if len(part) else ():
+        yield int(part[own[0]]), own
 
-def needed_key(rows: np.ndarray) -> np.ndarray:
-    return mix(rows["code"] ^ mix(rows["context"] + U64(0x8CB92BA72F3D8DD7)))
 
-
-def same_context(rows: np.ndarray) -> np.ndarray:
-    """Whether each row has the context of the one before."""
+def same(rows: np.ndarray, fields: tuple[str, ...]) -> np.ndarray:
+    """Whether each row has the fields of the one before."""
     out = np.zeros(len(rows), bool)
     out[1:] = True
-    for f in ("code", "context", "off", "many"):
+    for f in fields:
         out[1:] &= rows[f][1:] == rows[f][:-1]
     return out
 
 
-def _send(docs: DataFrame, seen: Broadcast, width: int, bucket_bits: int, needed: Broadcast | None = None) -> DataFrame:
-    """(bucket, rows, bytes): the runs whose anchor may repeat; with `needed`, of those contexts the first of each slice, with its bytes."""
+def spans_of(rows: np.ndarray, width: int) -> np.ndarray:
+    out = np.zeros(len(rows), SPAN)
+    for f in DOC:
+        out[f] = rows[f]
+    out["begin"] = rows["at"] - rows["far"].astype(np.int64)
+    out["end"] = rows["at"] - rows["near"].astype(np.int64) + width
+    return out
+
+
+def first_places(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the rows that are the first of their context, and of those that have an earlier place."""
+    kind = ("context", "check", "code", "near", "far")
+    order = np.argsort(rows["context"], kind="stable")
+    code = rows["context"][order]
+    twice = np.zeros(len(rows), bool)
+    equal = code[1:] == code[:-1]
+    twice[1:] |= equal
+    twice[:-1] |= equal
+    alone, many = order[~twice], order[twice]
+    own = rows[many]
+    place = np.lexsort(tuple(own[f] for f in ("at", "text", "doc", "none", "far", "near", "code", "check", "context")))
+    many, own = many[place], own[place]
+    follows = same(own, kind)
+    twin = follows & same(own, ("at", *DOC))  # rows that repeat a document's id and text stand at its place
+    head = ~follows
+    lead = np.flatnonzero(~twin)
+    later = ~head[lead[np.cumsum(~twin) - 1]] if len(own) else head
+    return np.concatenate([alone, many[head]]), many[later]
+
+
+def merged(spans: np.ndarray) -> np.ndarray:
+    """Overlapping or touching spans of a document as one."""
+    if not len(spans):
+        return spans
+    spans = spans[np.lexsort((spans["end"], spans["begin"], spans["text"], spans["doc"], spans["none"]))]
+    new_doc = ~same(spans, DOC)
+    base = (np.cumsum(new_doc) - 1) << 32
+    reach = np.maximum.accumulate(base + spans["end"])
+    new = np.concatenate([[True], base[1:] + spans["begin"][1:] > reach[:-1]]) | new_doc
+    cut = np.flatnonzero(new)
+    out = spans[cut]
+    out["end"] = reach[np.append(cut[1:], len(spans)) - 1] - base[cut]
+    return out
+
+
+class Runs:
+    """Runs with their bytes, gathered in a task."""
+
+    def __init__(self, rows: np.ndarray, begin: np.ndarray, own: Hashes):
+        self.rows, self.begin, self.own = rows, begin, own
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = seen.value
+    def bytes_of(self, pick: np.ndarray, width: int) -> bytes:
+        size = self.rows["far"][pick].astype(np.int64) - self.rows["near"][pick] + width
+        at = np.cumsum(size) - size
+        return self.own.data[np.repeat(self.begin[pick] - at, size) + np.arange(size.sum())].tobytes()
+
+
+Source = Callable[[Iterator[pa.RecordBatch]], Iterator[Runs]]
+
+
+def from_texts(seen: Broadcast, width: int) -> Source:
+    """The runs of texts whose anchor may repeat; columns: whether the id is null, the id as an integer, a hash of the text, the text."""
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[Runs]:
         for batch in batches:
-            ids = batch.column(0).fill_null(NULL_ID).to_numpy(zero_copy_only=False)
-            hashes = batch.column(1).to_numpy(zero_copy_only=False)
-            for first, shift, offsets, own in anchored(batch.column(2), width):
-                pick = np.flatnonzero(hash_counts.repeated(table, own.code)) if len(own.code) else np.zeros(0, np.int64)
-                rows = np.zeros(len(pick), ROW)
-                rows["code"], rows["off"], rows["many"] = own.code[pick], own.at[pick] - own.low[pick], own.high[pick] - own.low[pick] + 1
-                rows["context"] = own.context_code(pick, width) if len(pick) else 0
-                if needed is not None:
-                    few = hash_counts.repeated(needed.value, needed_key(rows))
-                    rows, pick = rows[few], pick[few]
+            none, ids, hashes = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
+            for first, shift, offsets, own in anchored(batch.column(3), width):
+                pick = np.flatnonzero(hash_counts.repeated(seen.value, own.code)) if len(own.code) else []
                 if not len(pick):
                     continue
-                doc = first + np.searchsorted(offsets, own.low[pick], "right") - 1
-                rows["doc"], rows["text"], rows["low"] = ids[doc], hashes[doc], own.low[pick] - offsets[doc - first] + shift
-                if needed is None:
-                    order = np.argsort(rows["code"] >> U64(64 - bucket_bits), kind="stable") if bucket_bits else np.arange(len(rows))
-                    rows = rows[order]
-                else:
-                    order = np.lexsort((rows["low"], rows["text"], rows["doc"], rows["many"], rows["off"], rows["context"], rows["code"]))
-                    order = order[~same_context(rows[order])]
-                    rows, pick = rows[order], pick[order]
-                bucket = (rows["code"] >> U64(64 - bucket_bits)).astype(np.int64) if bucket_bits else np.zeros(len(rows), np.int64)
-                some, edges = by_part(bucket, 1 << bucket_bits)
-                texts = [None] * len(some)
-                if needed is not None:
-                    for n, k in enumerate(some):
-                        held = pick[edges[k] : edges[k + 1]]
-                        size = own.high[held] - own.low[held] + width
-                        texts[n] = own.data[np.repeat(own.low[held] - (np.cumsum(size) - size), size) + np.arange(size.sum())].tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([packed(rows[edges[k] : edges[k + 1]]) for k in some], pa.binary()), pa.array(texts, pa.binary())], names=["bucket", "rows", "bytes"])
+                low, high = own.low[pick], own.high[pick]
+                rows = np.zeros(len(pick), ROW)
+                rows["code"], rows["near"], rows["far"] = own.code[pick], own.at[pick] - high, own.at[pick] - low
+                rows["context"], rows["check"] = own.of(low, high + width), own.of(low, high + width, 1)
+                doc = first + np.searchsorted(offsets, low, "right") - 1
+                rows["none"], rows["doc"], rows["text"], rows["at"] = none[doc], ids[doc], hashes[doc], own.at[pick] - offsets[doc - first] + shift
+                yield Runs(rows, low, own)
+
+    return runs
+
+
+def from_runs(places: int, width: int) -> Source:
+    """Runs cut to ranges of `places` places of the anchor in the windows; the bytes that a range's windows share are the key."""
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[Runs]:
+        for batch in batches:
+            for k in range(len(batch)):
+                held = unpacked(batch.column(1).slice(k, 1), ROW)
+                data = np.frombuffer(batch.column(2)[k].as_buffer(), np.uint8)
+                size = held["far"].astype(np.int64) - held["near"] + width
+                anchor = np.cumsum(size) - size + held["far"]
+                first, last = held["near"] // places, held["far"] // places
+                many = (last - first + 1).astype(np.int64)
+                rows, anchor = np.repeat(held, many), np.repeat(anchor, many)
+                block = np.repeat(first, many).astype(np.int64) + np.arange(len(rows)) - np.repeat(np.cumsum(many) - many, many)
+                low, high = block * places, np.minimum((block + 1) * places - 1, width - GRAM)
+                rows["near"], rows["far"] = np.maximum(rows["near"], low), np.minimum(rows["far"], high)
+                own = Hashes(data)
+                begin = anchor - rows["far"]
+                end = anchor - rows["near"].astype(np.int64) + width
+                rows["code"] = mix(own.of(anchor - low, anchor + width - high) + U64(1) + block.astype(U64))
+                rows["context"], rows["check"] = own.of(begin, end), own.of(begin, end, 1)
+                yield Runs(rows, begin, own)
+
+    return runs
+
+
+def _firsts(table: DataFrame, source: Source, width: int, bits: int, shards: int) -> DataFrame:
+    """(bucket, rows, bytes): each task's first places by the bucket of their context, and its repeats, as spans, by -1 - shard."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def flush() -> pa.RecordBatch:
+            rows = np.concatenate(held) if held else np.zeros(0, ROW)
+            held.clear()
+            first, later = first_places(rows)
+            firsts = rows[first]
+            out = [(b, packed(firsts[own])) for b, own in dealt(top(firsts["context"], bits))]
+            spans = merged(spans_of(rows[later], width))
+            out += [(-1 - s, packed(spans[own])) for s, own in dealt(shard_of(spans, shards))]
             trim()
+            return _blobs(out)
 
-    return docs.mapInArrow(run, "bucket int, rows binary, bytes binary")
+        many = 0
+        for run in source(batches):
+            held.append(run.rows)
+            many += len(run.rows)
+            if many >= FLUSH_ROWS:
+                yield flush()
+                many = 0
+        yield flush()
 
+    return table.mapInArrow(send, RUNS)
+
+
+def _blobs(out: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary()), pa.array([o[2] if len(o) > 2 else None for o in out], pa.binary())], names=["bucket", "rows", "bytes"])
+
+
+def top(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return (hashes >> U64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
+
+
+def shard_of(spans: np.ndarray, shards: int) -> np.ndarray:
+    return (mix(spans["doc"].astype(np.int64).view(U64) ^ spans["text"].astype(np.int64).view(U64)) % U64(shards)).astype(np.int64)
 
-def whole_repeats(rows: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Spans of all runs whose context has an earlier place, and keys of the contexts whose anchor has others."""
-    rows = rows[np.lexsort((rows["low"], rows["text"], rows["doc"], rows["many"], rows["off"], rows["context"], rows["code"]))]
-    same = same_context(rows)
-    head = np.flatnonzero(~same)
-    # rows that repeat a document's id and text stand at its first row's place
-    twin = same.copy()
-    for f in ("doc", "text", "low"):
-        twin[1:] &= rows[f][1:] == rows[f][:-1]
-    lead = np.flatnonzero(~twin)
-    later = ~np.isin(lead[np.searchsorted(lead, np.arange(len(rows)), "right") - 1], head)
-    gone = rows[later]
-    spans = np.zeros(len(gone), SPAN)
-    spans["doc"], spans["text"], spans["begin"] = gone["doc"], gone["text"], gone["low"]
-    spans["end"] = gone["low"] + gone["many"] + width - 1
-    firsts = rows[head]
-    new = np.concatenate([[True], firsts["code"][1:] != firsts["code"][:-1]]) if len(firsts) else np.zeros(0, bool)
-    anchor = np.cumsum(new) - 1
-    several = np.bincount(anchor)[anchor] > 1 if len(firsts) else new
-    return spans, needed_key(firsts[several])
+
+def _contexts(table: DataFrame, source: Source, width: int, bits: int, counts: Broadcast) -> DataFrame:
+    """(bucket, rows, bytes): contexts whose key has several, by the bucket of the key; those of hot keys in bucket -1."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in source(batches):
+            level = hash_counts.level(counts.value, run.rows["code"])
+            pick = np.flatnonzero(level >= 8)
+            if not len(pick):
+                continue
+            pick = pick[first_places(run.rows[pick])[0]]
+            rows = run.rows[pick]
+            bucket = np.where(level[pick] >= HOT_LEVEL, -1, top(rows["code"], bits))
+            yield _blobs([(b, packed(rows[own]), run.bytes_of(pick[own], width)) for b, own in dealt(bucket)])
+        trim()
+
+    return table.mapInArrow(send, RUNS)
+
+
+HOT_LEVEL = 8 * (HOT.bit_length() - 1)
 
 
 def partial_repeats(rows: np.ndarray, data: np.ndarray, width: int) -> np.ndarray:
-    """Spans of windows that stand in an earlier context of their anchor.  `data` holds the rows' contexts, one after another."""
-    size = rows["many"].astype(np.int64) + width - 1
-    at = np.cumsum(size) - size
-    order = np.lexsort((rows["low"], rows["text"], rows["doc"], rows["many"], rows["off"], rows["context"], rows["code"]))
-    order = order[~same_context(rows[order])]
-    firsts, byte_at = rows[order], at[order]
-    anchor = np.cumsum(np.concatenate([[True], firsts["code"][1:] != firsts["code"][:-1]])) - 1
-    keep = np.flatnonzero(np.bincount(anchor)[anchor] > 1)
+    """Spans of windows that stand in an earlier context of their key.  `data` holds the rows' contexts, one after another."""
+    size = rows["far"].astype(np.int64) - rows["near"] + width
+    byte_at = np.cumsum(size) - size
+    first = first_places(rows)[0]
+    rows, byte_at = rows[first], byte_at[first]
+    order = np.lexsort((rows["at"], rows["text"], rows["doc"], rows["none"], rows["code"]))
+    rows, byte_at = rows[order], byte_at[order]
+    key = np.cumsum(~same(rows, ("code",))) - 1
+    keep = np.flatnonzero(np.bincount(key)[key] > 1) if len(rows) else []
     if not len(keep):
         return np.zeros(0, SPAN)
-    firsts, byte_at, anchor = firsts[keep], byte_at[keep], anchor[keep]
-    place = firsts["low"].astype(np.int64) + firsts["off"]
-    order = np.lexsort((place, firsts["text"], firsts["doc"], anchor))
-    firsts, byte_at, anchor = firsts[order], byte_at[order], anchor[order]
-    begin = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
-    rank = np.arange(len(anchor)) - np.repeat(begin, np.diff(np.append(begin, len(anchor))))
-    return _later_matches(firsts, byte_at, anchor, rank, data, width)
-
-
-def _symbols(pick: np.ndarray, firsts: np.ndarray, byte_at: np.ndarray, mark: np.ndarray, data: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    size = firsts["many"][pick].astype(np.int64) + width - 1
-    lay = np.cumsum(size) - size
-    out = data[np.repeat(byte_at[pick] - lay, size) + np.arange(size.sum())].astype(np.int64)
-    out[lay + firsts["off"][pick]] = 256 + mark[pick]
-    return out, size
-
-
-def _later_matches(firsts: np.ndarray, byte_at: np.ndarray, anchor: np.ndarray, rank: np.ndarray, data: np.ndarray, width: int) -> np.ndarray:
-    """Spans of the contexts' windows that stand in an earlier context of their anchor."""
-    gone = np.zeros((len(firsts), 256), bool)
+    rows, byte_at, key = rows[keep], byte_at[keep], np.unique(key[keep], return_inverse=True)[1]
+    begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    rank = np.arange(len(key)) - begin[key]
+    gone = np.zeros((len(rows), 1 + int((rows["far"] - rows["near"]).max())), bool)
+
+    def symbols(pick: np.ndarray, mark: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        size = rows["far"][pick].astype(np.int64) - rows["near"][pick] + width
+        lay = np.cumsum(size) - size
+        out = data[np.repeat(byte_at[pick] - lay, size) + np.arange(size.sum())].astype(np.int32)
+        out[lay + rows["far"][pick]] = 256 + mark
+        return out, size
+
     for bit in range(int(rank.max()).bit_length()):
-        half = anchor * (1 << 32) + (rank >> (bit + 1))
-        mark = np.unique(half, return_inverse=True)[1]
-        late = (rank >> bit) & 1 == 1
-        asked = np.zeros(mark.max() + 1, bool)
-        asked[mark[late]] = True
-        early = np.flatnonzero(~late & asked[mark])
-        late = np.flatnonzero(late)
-        chunk = np.searchsorted(mark[early], mark[late][::LANES])  # a mark's contexts stand together
-        bounds = [*range(0, len(late), LANES), len(late)]
-        for k in range(len(chunk)):
-            own = late[bounds[k] : bounds[k + 1]]
-            against = early[chunk[k] : np.searchsorted(mark[early], mark[own[-1]], "right")]
-            index = RunLengthIndex(*_symbols(against, firsts, byte_at, mark, data, width))
-            found = index.matching_statistics(*_symbols(own, firsts, byte_at, mark, data, width)) >= width
-            gone[own, : found.shape[1]] |= found
-            del index, found  # before the next index is built
-            trim()
+        half = np.unique(key * (1 << 32) + (rank >> (bit + 1)), return_inverse=True)[1]
+        is_late = (rank >> bit) & 1 == 1
+        asked = np.zeros(half.max() + 1, bool)
+        asked[half[is_late]] = True
+        early, late = np.flatnonzero(~is_late & asked[half]), np.flatnonzero(is_late)
+        marks, at = half[early], 0
+        while at < len(early):  # whole halves, together LANES contexts at most
+            stop = min(at + LANES, len(early))
+            if stop < len(early):
+                edge = int(np.searchsorted(marks, marks[stop], "left"))
+                stop = edge if edge > at else int(np.searchsorted(marks, marks[at], "right"))
+            own = early[at:stop]
+            base = half[own[0]]
+            index = RunLengthIndex(*symbols(own, half[own] - base))
+            a, b = np.searchsorted(half[late], [base, half[own[-1]] + 1])
+            for k in range(a, b, LANES):
+                asking = late[k : min(b, k + LANES)]
+                found = index.matching_statistics(*symbols(asking, half[asking] - base)) >= width
+                found = found[:, : gone.shape[1]]
+                gone[asking, : found.shape[1]] |= found
+            at = stop
+            del index
     i, j = np.nonzero(gone)
     if not len(i):
         return np.zeros(0, SPAN)
     cut = np.flatnonzero(np.concatenate([[True], (i[1:] != i[:-1]) | (j[1:] != j[:-1] + 1)]))
-    out = np.zeros(len(cut), SPAN)
-    own = firsts[i[cut]]
-    out["doc"], out["text"], out["begin"] = own["doc"], own["text"], own["low"] + j[cut]
-    out["end"] = own["low"] + j[np.append(cut[1:], len(i)) - 1] + width
-    return out
-
-
-def merged(spans: np.ndarray) -> np.ndarray:
-    """Overlapping or touching spans of a document as one."""
-    spans = spans[np.lexsort((spans["end"], spans["begin"], spans["text"], spans["doc"]))]
-    new_doc = np.concatenate([[True], (spans["doc"][1:] != spans["doc"][:-1]) | (spans["text"][1:] != spans["text"][:-1])])
-    base = (np.cumsum(new_doc) - 1) << 32
-    reach = np.maximum.accumulate(base + spans["end"])
-    new = np.concatenate([[True], base[1:] + spans["begin"][1:] > reach[:-1]]) | new_doc
-    cut = np.flatnonzero(new)
-    out = spans[cut]
-    out["end"] = reach[np.append(cut[1:], len(spans)) - 1] - base[cut]
+    own = rows[i[cut]]
+    out = spans_of(own, width)
+    out["end"] = out["begin"] + j[np.append(cut[1:], len(i)) - 1] + width
+    out["begin"] += j[cut].astype(np.int32)
     return out
 
 
 def repeated_spans(docs: DataFrame, width: int, max_slots: int) -> DataFrame:
-    """(doc, text, spans): the merged spans of each document that has any; `docs` holds an id, a hash of the text, the text."""
+    """(none, doc, text, spans): the merged spans of each document that has any; `docs` holds these three and the text."""
     spark = docs.sparkSession
-    stats = docs.agg(F.sum(F.octet_length(docs.columns[2]))).first()
-    about = 2 * (stats[0] or 0) // (width - GRAM + 2)
-    table = hash_counts.hash_table(docs.select(docs.columns[2]), lambda batch: (own.code for _, _, _, own in anchored(batch.column(0), width)), about, max_slots, levels=False)
-    seen = spark.sparkContext.broadcast(table)
-    bucket_bits = hash_counts.bits_for(about // BUCKET_ANCHORS + 1, 0, 20)
-    shards = partitions_for(about, 2_000_000)
-
-    def dealt(spans: np.ndarray) -> tuple[list[int], list[bytes]]:
-        shard = (mix(spans["doc"].astype(np.int64).view(U64) ^ spans["text"].astype(np.int64).view(U64)) % U64(shards)).astype(np.int64)
-        order = np.lexsort((spans["begin"], spans["doc"], shard))
-        some, edges = by_part(shard[order], shards)
-        return some.tolist(), [packed(spans[order[edges[k] : edges[k + 1]]]) for k in some]
+    size = docs.agg(F.sum(F.octet_length(docs.columns[3]))).first()[0] or 0
+    about = 2 * size // (width - GRAM + 2)
+    seen = spark.sparkContext.broadcast(hash_counts.hash_table(docs.select(docs.columns[3]), lambda batch: (own.code for _, _, _, own in anchored(batch.column(0), width)), about, max_slots, levels=False))
+    shards = partitions_for(about, 1_000_000)
 
-    def whole(group: pa.Table) -> pa.Table:
-        spans, keys = whole_repeats(unpacked(group.column("rows"), ROW), width)
-        part, blobs = dealt(spans)
+    def spans_only(spans: np.ndarray) -> list[tuple[int, bytes]]:
+        return [(s, packed(spans[own])) for s, own in dealt(shard_of(spans, shards))]
+
+    def shown(out: list[tuple[int, bytes]]) -> pa.Table:
         trim()
-        return pa.table({"shard": pa.array([*part, -1], pa.int32()), "spans": pa.array([*blobs, keys.tobytes()], pa.binary())})
+        return pa.table({"shard": pa.array([o[0] for o in out], pa.int64()), "spans": pa.array([o[1] for o in out], pa.binary())})
+
+    def whole(group: pa.Table) -> pa.Table:
+        bucket = group.column("bucket")[0].as_py()
+        if bucket < 0:
+            return shown([(-1 - bucket, packed(merged(unpacked(group.column("rows"), SPAN))))])
+        rows = unpacked(group.column("rows"), ROW)
+        first, later = first_places(rows)
+        return shown([*spans_only(merged(spans_of(rows[later], width))), (-1, rows["code"][first].tobytes())])
 
     def partial(group: pa.Table) -> pa.Table:
         data = np.concatenate([np.frombuffer(b.as_buffer(), np.uint8) for b in group.column("bytes")])
-        part, blobs = dealt(partial_repeats(unpacked(group.column("rows"), ROW), data, width))
-        trim()
-        return pa.table({"shard": pa.array(part, pa.int32()), "spans": pa.array(blobs, pa.binary())})
+        return shown(spans_only(merged(partial_repeats(unpacked(group.column("rows"), ROW), data, width))))
 
     def unite(group: pa.Table) -> pa.Table:
         spans = merged(unpacked(group.column("spans"), SPAN))
-        cut = np.flatnonzero(np.concatenate([[True], (spans["doc"][1:] != spans["doc"][:-1]) | (spans["text"][1:] != spans["text"][:-1])]))
+        cut = np.flatnonzero(~same(spans, DOC))
         edge = np.append(cut, len(spans))
         pairs = np.stack([spans["begin"], spans["end"]], 1).astype("<i4")
         trim()
-        return pa.table({"doc": pa.array(spans["doc"][cut].copy()), "hash": pa.array(spans["text"][cut].copy()), "spans": pa.array([pairs[a:b].tobytes() for a, b in zip(edge, edge[1:], strict=False)], pa.binary())})
-
-    first = written(_send(docs, seen, width, bucket_bits).groupBy("bucket").applyInArrow(whole, "shard int, spans binary"))
-    keys = first.where("shard < 0").select("spans")
-    many = (keys.agg(F.sum(F.octet_length("spans"))).first()[0] or 0) // 8
-    needed = spark.sparkContext.broadcast(hash_counts.hash_table(keys, lambda batch: (np.frombuffer(x.as_buffer(), "<u8") for x in batch.column(0)), many, max_slots, levels=False, spare=16, least=1))
-    second = _send(docs, seen, width, bucket_bits, needed).groupBy("bucket").applyInArrow(partial, "shard int, spans binary")
-    return first.where("shard >= 0").unionByName(second).groupBy("shard").applyInArrow(unite, "doc long, hash long, spans binary")
-
-
-def without_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 100, max_slots: int = 1 << 26, keep_text: bool = False) -> DataFrame:
+        cols = {f: pa.array(spans[f][cut].astype(np.int64)) for f in DOC}
+        return pa.table({**cols, "spans": pa.array([pairs[a:b].tobytes() for a, b in zip(edge, edge[1:], strict=False)], pa.binary())})
+
+    found, table, source = [], docs, from_texts(seen, width)
+    bits = hash_counts.bits_for(about // BUCKET_ANCHORS + 1, 0, 30)
+    parts = partitions_for(size, PART_BYTES, 8)
+    for narrower in (NARROW, 1, 0):
+        firsts = _firsts(table, source, width, bits, shards).repartition(parts, "bucket").groupBy("bucket").applyInArrow(whole, "shard long, spans binary")
+        firsts = written(firsts)
+        found.append(firsts.where("shard >= 0"))
+        if narrower == 0:  # ranges of one place: a window is all its context
+            break
+        keys = firsts.where("shard < 0").select("spans")
+        many = (keys.agg(F.sum(F.octet_length("spans"))).first()[0] or 0) // 8
+        table_of = hash_counts.hash_table(keys, lambda batch: (np.frombuffer(x.as_buffer(), "<u8") for x in batch.column(0)), many, max_slots >> 3, levels=True, cap=2 * HOT)
+        if table_of.max(initial=0) < 8:
+            break
+        counts = spark.sparkContext.broadcast(table_of)
+        sent = _contexts(table, source, width, bits, counts)
+        hot = bool(table_of.max() >= HOT_LEVEL)
+        if hot:
+            sent = written(sent)
+        found.append(sent.where("bucket >= 0").repartition(parts, "bucket").groupBy("bucket").applyInArrow(partial, "shard long, spans binary"))
+        if not hot:
+            break
+        # tasks meet few contexts at a time, so that cutting them to ranges takes little memory
+        table, source = sent.where("bucket < 0"), from_runs(narrower, width)
+    spans = found[0]
+    for more in found[1:]:
+        spans = spans.unionByName(more)
+    return spans.repartition(max(8, shards), "shard").groupBy("shard").applyInArrow(unite, "none long, doc long, text long, spans binary")
+
+
+def _numbered(docs: DataFrame, doc_id: str) -> DataFrame:
+    """`docs` with the id as an integer in the ids' order."""
+    column = F.col(f"`{doc_id}`")
+    if isinstance(docs.schema[doc_id].dataType, ByteType | ShortType | IntegerType | LongType):
+        return docs.withColumn(f"n{MARK}", column.cast("long"))
+    ids = docs.select(column.alias(f"i{MARK}")).where(f"i{MARK} is not null").distinct().orderBy(f"i{MARK}")
+    ids = written(ids.withColumn(f"n{MARK}", F.monotonically_increasing_id()))
+    return docs.join(ids, column == F.col(f"i{MARK}"), "left").drop(f"i{MARK}")
+
+
+def without_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 100, max_slots: int = 1 << 28, keep_text: bool = False) -> DataFrame:
     """One row per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans ([begin, end) pairs, 32-bit), and kept (bytes) on request."""
     bounded_batches(docs.sparkSession)
-    slim = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("h"), F.col(f"`{text}`").alias(f"text{MARK}"))
-    spans = written(repeated_spans(slim, width, max_slots))
-    both = slim.join(spans, (F.coalesce("id", F.lit(NULL_ID)) == F.col("doc")) & (F.col("h") == F.col("hash")), "left").select("id", f"text{MARK}", "spans")
+    slim = _numbered(docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias(f"text{MARK}")), "id")
+    body = F.col(f"text{MARK}")
+    slim = slim.select("id", F.col("id").isNull().cast("int").alias("none"), F.coalesce(f"n{MARK}", F.lit(0)).cast("long").alias("doc"), F.xxhash64(F.coalesce(body, F.lit(""))).alias("h"), body)
+    spans = written(repeated_spans(slim.drop("id"), width, max_slots))
+    spans = spans.select(*[F.col(f).alias(f"{f}{MARK}s") for f in DOC], "spans")
+    both = slim.join(spans, (F.col("none") == F.col(f"none{MARK}s")) & (F.col("doc") == F.col(f"doc{MARK}s")) & (F.col("h") == F.col(f"text{MARK}s")), "left").select("id", f"text{MARK}", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -337,5 +484,6 @@ def without_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
             cols = [batch.column(0), *[pa.array(c, pa.int64()) for c in (size, removed, count)], pa.array(sums, pa.string()), batch.column(2), pa.array(kept, pa.binary())]
             yield pa.RecordBatch.from_arrays(cols, names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept"])
 
-    out = both.mapInArrow(cut, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans binary, kept binary").withColumnRenamed("id", doc_id)
+    kind = both.schema[0].dataType.simpleString()
+    out = both.mapInArrow(cut, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans binary, kept binary").withColumnRenamed("id", doc_id)
     return out if keep_text else out.drop("kept")

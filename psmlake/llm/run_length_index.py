@@ -10,6 +10,7 @@ STEP = 16
 def suffix_array(text: np.ndarray) -> np.ndarray:
     """Suffix array by prefix doubling; ends as soon as all ranks differ."""
     n = len(text)
+    text = text.astype(np.int64)
     width = 1
     if n and int(text.max()) < (1 << 15) - 1:  # four symbols fit one key: two rounds less
         padded = np.concatenate([text + 1, np.zeros(3, np.int64)])
@@ -41,7 +42,7 @@ class RunLengthIndex:
     def __init__(self, symbols: np.ndarray, lengths: np.ndarray):
         m = len(lengths)
         ends = np.cumsum(lengths + 1) - 1
-        self.text = np.empty(len(symbols) + m, np.int64)
+        self.text = np.empty(len(symbols) + m, np.int32)
         inner = np.ones(len(self.text), bool)
         inner[ends] = False
         self.text[inner] = symbols + m
@@ -52,7 +53,7 @@ class RunLengthIndex:
         cut = np.concatenate([[True], last[1:] != last[:-1]])
         self.start = np.flatnonzero(cut)
         stop = np.append(self.start[1:], len(last))
-        self.head = last[self.start]
+        self.head = last[self.start].astype(np.int64)
         self.first_at, self.last_at = order[self.start], order[stop - 1]
         runs = np.arange(len(self.start))
         by_head = np.lexsort((runs, self.head))

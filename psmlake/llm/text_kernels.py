@@ -14,8 +14,9 @@ import pyarrow.compute as pc
 
 U64 = np.uint64
 _rng = np.random.Generator(np.random.PCG64(20240229))
-#: One random odd word for each byte value, and the base of the rolling sums.
+#: One random odd word for each byte value, twice, and the base of the rolling sums.
 BYTE_WORD = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)
+OTHER_WORD = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)
 BASE = 0x9E3779B97F4A7C15 | 1
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
 SHINGLE_STEP = U64(0xD6E8FEB86659FD93)

@@ -125,28 +125,6 @@ def test_trie_walk_is_exact():
         assert set(jaccard_join.OrderedSets(sets).reaching(probe, jaccard_join.Fraction(4, 5))) == want
 
 
-@pytest.mark.parametrize("seed", range(2))
-def test_repeated_passages(spark, seed):
-    rows = corpus(seed + 20, 90)
-    rows.append((1_000_000, "ab" * 300, "en", "a", 600))
-    rows.append((1_000_003, "xyz" + "ab" * 300, "en", "a", 600))
-    want = brute.repeated_bytes([(r[0], r[1]) for r in rows])
-    for r in repeated_passages.without_repeats(frame(spark, rows), keep_text=True).collect():
-        n, removed, spans, rest = want[r.doc_id]
-        assert (r.n_bytes, r.n_removed, r.n_spans) == (n, removed, spans), r.doc_id
-        assert bytes(r.kept) == rest
-        assert r.kept_sha256 == hashlib.sha256(rest).hexdigest()
-
-
-def test_repeated_passages_odd_rows(spark):
-    text = "".join(map(chr, range(97, 123))) * 3 + "".join(map(chr, range(65, 91))) * 2
-    docs = frame(spark, [(None, text), (7, text), (7, text), (7, text + "!"), (1, None)], "doc_id long, text string")
-    got = sorted((r.doc_id is None, r.doc_id or 0, r.n_bytes, r.n_removed) for r in repeated_passages.without_repeats(docs).collect())
-    assert [g[:2] for g in got] == [(False, 1), (False, 7), (False, 7), (False, 7), (True, 0)]
-    assert got[-1][3] == got[-1][2] == 130  # the null id comes after all others
-    assert [g[3] for g in got[1:4] if g[2] == 130][0] == [g[3] for g in got[1:4] if g[2] == 130][1]  # one document
-
-
 def test_run_length_index():
     rng = np.random.default_rng(1)
     for _ in range(60):
