@@ -96,7 +96,7 @@ class Anchors(Hashes):
         cut = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (starts[1:] != starts[:-1] + 1)]))
         self.low, self.at = starts[cut], place[cut]
         self.high = starts[np.append(cut[1:], len(starts)) - 1]
-        self.code = grams[self.at]
+        self.code = mix(grams[self.at])  # the smallest of many hashes lie close together; mixed, they spread over slots and buckets
 
 
 def anchored(texts: pa.Array, width: int) -> Iterator[tuple[int, int, np.ndarray, Anchors]]:
