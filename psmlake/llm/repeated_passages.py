@@ -44,7 +44,7 @@ GRAM = 40
 PLACE_BITS = 24
 PIECE = 1 << 20
 LANES = 4096
-HOT, NARROW = 1024, 8
+HOT, NARROW = 128, 8
 #: Rows that a task gathers before it sends them, and bytes of text for each partition of the buckets.
 FLUSH_ROWS, PART_BYTES = 400_000, 32 << 20
 BUCKET_ANCHORS = 300_000
