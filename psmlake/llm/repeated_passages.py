@@ -44,7 +44,7 @@ GRAM = 40
 PLACE_BITS = 24
 PIECE = 1 << 20
 LANES = 4096
-HOT, NARROW = 128, 8
+HOT, NARROW, BLOCK = 128, 8, 16
 #: Rows that a task gathers before it sends them, and bytes of text for each partition of the buckets.
 FLUSH_ROWS, PART_BYTES = 400_000, 32 << 20
 BUCKET_ANCHORS = 300_000
@@ -321,12 +321,49 @@ def _contexts(table: DataFrame, source: Source, width: int, bits: int, counts: B
 HOT_LEVEL = 8 * (HOT.bit_length() - 1)
 
 
+def shared_ranges(rows: np.ndarray, byte_at: np.ndarray, data: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The range of places outside which no window of the run can stand in another context of its key, (0, -1) where there is none.
+
+    The windows of a block of `BLOCK` places share more bytes than the anchor; where no other context of the key has these, none of them repeats.
+    """
+    near, far = np.full(len(rows), width, np.int64), np.full(len(rows), -1, np.int64)
+    at = byte_at + rows["far"]
+    end = np.append(byte_at[1:], len(data))
+    for low in range(0, width - GRAM + 1, BLOCK):
+        high = min(low + BLOCK - 1, width - GRAM)
+        own = np.flatnonzero((rows["near"] <= high) & (rows["far"] >= low))
+        if not len(own):
+            continue
+        core = np.zeros(len(own), U64)
+        edges = np.append(np.searchsorted(byte_at[own], np.arange(0, len(data), 1 << 20)), len(own))
+        for a, b in zip(edges, edges[1:], strict=False):
+            if b > a:
+                base = byte_at[own[a]]
+                part = Hashes(data[base : end[own[b - 1]]])
+                core[a:b] = part.of(at[own[a:b]] - low - base, at[own[a:b]] + width - high - base)
+        core = mix(core + rows["code"][own])
+        order = np.lexsort((rows["context"][own], core))
+        code, context = core[order], rows["context"][own][order]
+        # some other context of the same core beside it: the core's first and last contexts differ
+        cut = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+        last = np.append(cut[1:], len(code)) - 1
+        several = np.repeat(context[cut] != context[last], last - cut + 1)
+        some = own[order[several]]
+        near[some] = np.minimum(near[some], np.maximum(rows["near"][some], low))
+        far[some] = np.maximum(far[some], np.minimum(rows["far"][some], high))
+    return near, far
+
+
 def partial_repeats(rows: np.ndarray, data: np.ndarray, width: int) -> np.ndarray:
     """Spans of windows that stand in an earlier context of their key.  `data` holds the rows' contexts, one after another."""
     size = rows["far"].astype(np.int64) - rows["near"] + width
     byte_at = np.cumsum(size) - size
+    near, far = shared_ranges(rows, byte_at, data, width)
     first = first_places(rows)[0]
-    rows, byte_at = rows[first], byte_at[first]
+    first = first[far[first] >= 0]
+    byte_at = byte_at[first] + rows["far"][first] - far[first]
+    rows = rows[first]
+    rows["near"], rows["far"] = near[first], far[first]
     order = np.lexsort((rows["at"], rows["text"], rows["doc"], rows["none"], rows["code"]))
     rows, byte_at = rows[order], byte_at[order]
     key = np.cumsum(~same(rows, ("code",))) - 1
