@@ -20,28 +20,30 @@ USUAL_BATCH = "67108864b"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The checkpoint folder of the session; a temporary one only where none is set."""
+    """The checkpoint folder of the session.  Where none is set, a temporary one on a single machine; on a cluster that is an error, as its machines don't share one."""
     set_dir = spark.conf.get("spark.checkpoint.dir", None)
     if set_dir:
         return set_dir.rstrip("/")
     known = spark.sparkContext._jsc.sc().getCheckpointDir()
     if known.isDefined():
         return known.get().rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     own = tempfile.mkdtemp(prefix="psmlake-")
     atexit.register(shutil.rmtree, own, True)
     spark.sparkContext.setCheckpointDir(own)
     return f"file://{own}"
 
 
-def written(df: DataFrame) -> DataFrame:
-    """Write `df` as a Parquet table in the shared folder and read it back.
+def written(df: DataFrame, by: str | None = None) -> DataFrame:
+    """Write `df` as a Parquet table in the shared folder, in a folder for each value of `by`, and read it back.
 
     The plan above it no longer depends on the stages below it, and the files
-    outlive any executor.  The folder goes when the driver ends.
+    outlive any executor.  The table goes when the driver ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     atexit.register(_remove, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -71,6 +71,15 @@ def test_exact_with_a_full_filter_is_still_exact(spark):
     assert sorted(map(tuple, exact_dedup.exact_groups(frame(spark, rows * 1), max_filter_bits=exact_dedup.ROW_BITS).collect())) == want
 
 
+def test_exact_in_ranges(spark):
+    rows = corpus(3, 100)
+    docs = frame(spark, rows)
+    want = sorted(map(tuple, exact_dedup.exact_groups(docs).collect()))
+    assert sorted(map(tuple, exact_dedup.exact_groups(docs, max_filter_bits=1 << 9).collect())) == want  # seven ranges
+    kept = sorted(r.doc_id for r in exact_dedup.drop_duplicates(docs, max_filter_bits=1 << 9).collect())
+    assert kept == sorted(r[0] for r in want if r[3])
+
+
 def test_exact_null_ids_repeats_and_clashing_names(spark):
     rows = [(None, "x", 1, 2), (None, "x", 1, 2), (4, "y", 1, 2), (4, "y", 1, 2), (2, "y", 3, 4), (9, None, 0, 0), (8, "", 0, 0)]
     docs = frame(spark, rows, "doc_id long, text string, keep_id int, digest int")
