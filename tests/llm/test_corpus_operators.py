@@ -288,6 +288,56 @@ def test_mixing_takes_small_sources_whole_over_many_shards(spark):
     assert all(r.taken == r.epochs * r.size + sum(x.end - x.begin for x in r.ranges) and all(0 <= x.begin < x.end <= r.size for x in r.ranges) for r in got)
 
 
+def test_cell_runs_against_a_plain_walk():
+    rng = np.random.default_rng(0)
+    for _ in range(300):
+        words = rng.integers(0, 30, rng.integers(1, 12))
+        width = int(rng.integers(1, 9))
+        blocks = -(-int(words.sum()) // width)
+        extra = int(rng.integers(0, blocks + 1))
+        starts = rng.integers(0, 1 << 60, len(words)).astype(np.uint64)
+        runs = mixing.cell_runs(words, extra, width, starts)
+        edges = np.concatenate([[0], np.cumsum(words)])
+        owned = [[b for b in range(blocks) if edges[k] <= b * width < edges[k + 1]] for k in range(len(words))]
+        quota = mixing.sainte_lague(extra, [float(len(o)) for o in owned], [len(o) for o in owned])
+        assert runs["quota"].tolist() == quota and sum(quota) == extra
+        taken = set()
+        for o, q, s in zip(owned, quota, starts.tolist(), strict=True):
+            for i in range(q):
+                b = o[(s % len(o) + i) % len(o)]
+                taken |= set(range(b * width, min((b + 1) * width, int(words.sum()))))
+        for k in range(len(words)):
+            got = [w for r in range(3) for w in range(int(runs[f"a{r}"][k]), int(runs[f"b{r}"][k])) if edges[k] <= w < edges[k + 1]]
+            assert sorted(got) == sorted(taken & set(range(edges[k], edges[k + 1]))), k
+
+
+def test_mixed_cuts_the_text_as_it_is(spark):
+    rows = [(i, f"  a{i}\n\tb{i}  c{i}\u00a0d{i}\n" * 40 + "end", "en", "abc"[i % 3], 5) for i in range(60)] + [(100, None, "en", "a", 0), (101, " \n", "en", None, 2)]
+    docs = frame(spark, rows).withColumn("size", F.lit("x")).withColumn("target", F.lit(None).cast("string"))
+    text = {r[0]: r[1] for r in rows}
+    plan = {r.doc_id: r.taken for r in mixing.mix_plan(docs, shard_rows=10, block_words=7).collect()}
+    got = mixing.mixed(docs, shard_rows=10, block_words=7)
+    assert got.columns == docs.columns
+    words: dict[int, int] = dict.fromkeys(plan, 0)
+    cut = 0
+    for r in got.collect():
+        assert r.text in text[r.doc_id] and r.text and r["size"] == "x"
+        assert r.n_chars == (5 if r.text == text[r.doc_id] else len(r.text))
+        cut += r.text != text[r.doc_id]
+        words[r.doc_id] += len(brute.SPACES.sub(" ", r.text).strip(" ").split(" "))
+    assert words == plan and 0 < cut < 60
+
+
+def test_mixing_hot_rows(spark):
+    """Rows that repeat id and text are dealt to several cells."""
+    rows = [(None, "the same text again", "en", "a", 0)] * 400 + [(i, "some other text of six words", "en", "b", 0) for i in range(50)]
+    got = mixing.mix_plan(frame(spark, rows), shard_rows=5).collect()
+    for size in {r.source_size for r in got}:
+        own = [r for r in got if r.source_size == size]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 64
+    assert len(got) == 450 and all(0 <= r.taken <= 2 * r.size for r in got)
+
+
 def test_toxicity_learns_grades_and_holds_out(spark):
     rng = random.Random(2)
     insults = ["rotter", "blackguard", "knave"]
