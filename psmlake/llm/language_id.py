@@ -1,13 +1,15 @@
 """Language identification by Bayesian fusion of text, declared language, address suffix and host.
 
 The text's likelihood comes from byte trigrams, hashed to `SLOTS` slots, of a language model fitted on a bounded sample of
-labelled documents, beside a flat model for anything else (`und`); at most `STRENGTH` trigrams' worth of evidence
-counts, as trigrams of one text are not independent.  What a declared language and an address suffix say is estimated from the corpus: grouped sums of
+labelled documents, beside a flat model for anything else (`und`).  Runs of two or more symbols, up to three of each, which speech has few of, count `NOISE` against every
+language.  At most `STRENGTH` trigrams' worth of evidence counts, as trigrams of one text are not independent.  What a declared language and an address suffix say is estimated from the corpus: grouped sums of
 the texts' own posteriors give P(declared | language) and P(suffix | language).  A host's prior is smoothed
 towards its parent domain's, that towards the whole corpus; a page's own vote is left out of its host's.
 
+`identify` takes what evidence it is given; `spoken`, the filter, leaves a row's own label out, so that it cannot confirm itself.
+
 Defined results: a null or empty text, or one under three bytes, has no text evidence; null or empty declared languages, suffixes and hosts add none; a row whose best language
-is `und` or below `accept` is not accepted; an empty table gives an empty table; other columns are kept, whatever their names.
+is `und` or below `accept` is not accepted; ids may be null or repeat; texts of any length are read whole; more than `max_languages` labels in the sample raise ValueError; an empty table gives an empty table; other columns are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,11 +28,16 @@ from .text_kernels import LOWER, slices
 SLOTS = 1 << 16
 STRENGTH = 60
 SMOOTH = 4.0
+NOISE, RUN = 20.0, 3
 NO_TEXT = re.compile(r"(?is)<(script|style|head)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
 BLANK = np.zeros(256, bool)
 BLANK[:65] = True
 BLANK[91:97] = True
 BLANK[123:128] = True
+SYMBOL = BLANK.copy()
+SYMBOL[:33] = False
+SYMBOL[48:58] = False
+SYMBOL[127] = False
 
 
 @dataclass
@@ -47,9 +54,11 @@ class TrigramModel:
             some = np.flatnonzero(many)
             if not len(some):
                 continue
-            scale = np.minimum(many[some], STRENGTH) / many[some]
+            noise = symbols(data, offsets)[some]
+            all_ = many[some] + noise
+            scale = np.minimum(all_, STRENGTH) / all_
             for k in range(len(self.languages)):
-                out[first + some, k] = np.add.reduceat(self.log_chance[k][slot], ends[some]) * scale
+                out[first + some, k] = (np.add.reduceat(self.log_chance[k][slot], ends[some]) - NOISE * noise) * scale
             out[first + some, -1] = -np.log(SLOTS) * many[some] * scale
         return out
 
@@ -67,12 +76,26 @@ def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return ((code[at] * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype(np.int64), np.searchsorted(at, offsets)
 
 
-def fit(docs: DataFrame, text: str = "text", label: str = "lang", doc_id: str = "doc_id", sample_rows: int = 4000) -> TrigramModel:
-    """Trigram counts of each label over a sample taken in the order of a hash of the id; whole texts, counted on executors."""
+def symbols(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """By row: how many symbols stand in runs of two or more, up to RUN of each."""
+    is_ = SYMBOL[data]
+    edge = np.ones(len(data) + 1, bool)
+    edge[1:-1] = is_[1:] != is_[:-1]
+    edge[offsets] = True
+    begin = np.flatnonzero(edge)
+    size = np.diff(begin)
+    run = np.flatnonzero(is_[begin[:-1]] & (size >= 2)) if len(data) else np.zeros(0, np.int64)
+    row = np.searchsorted(offsets, begin[run], "right") - 1
+    return np.bincount(row, np.minimum(size[run], RUN), len(offsets) - 1).astype(np.int64)
+
+
+def fit(docs: DataFrame, text: str = "text", label: str = "lang", doc_id: str = "doc_id", sample_rows: int = 4000, max_languages: int = 200) -> TrigramModel:
+    """Trigram counts of each label over a sample taken in the order of a hash of id and text; whole texts, counted on executors."""
     bounded_batches(docs.sparkSession)
     named = docs.where(F.col(f"`{label}`").isNotNull() & (F.trim(f"`{label}`") != "") & F.col(f"`{text}`").isNotNull())
-    ids = named.select(F.xxhash64(F.col(f"`{doc_id}`"), F.lit(5)).alias("h")).orderBy("h").limit(sample_rows).agg(F.max("h")).first()[0]
-    sample = named.where(F.xxhash64(F.col(f"`{doc_id}`"), F.lit(5)) <= F.lit(ids if ids is not None else 0)).select(F.lower(F.trim(f"`{label}`")).alias("lang"), F.col(f"`{text}`").alias("text"))
+    order = F.xxhash64(F.col(f"`{doc_id}`"), F.when(F.col(f"`{doc_id}`").isNull(), F.col(f"`{text}`")), F.lit(5))
+    ids = named.select(order.alias("h")).orderBy("h").limit(sample_rows).agg(F.max("h")).first()[0]
+    sample = named.where(order <= F.lit(ids if ids is not None else 0)).select(F.lower(F.trim(f"`{label}`")).alias("lang"), F.col(f"`{text}`").alias("text"))
 
     def count(batches):
         for batch in batches:
@@ -91,7 +114,9 @@ def fit(docs: DataFrame, text: str = "text", label: str = "lang", doc_id: str =
         total = sum(np.frombuffer(x.as_buffer(), "<i8") for x in group.column("counts"))
         return pa.table({"lang": group.column("lang")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
 
-    got = sample.mapInArrow(count, "lang string, counts binary").groupBy("lang").applyInArrow(add, "lang string, counts binary").orderBy("lang").limit(1000).toArrow()
+    got = sample.mapInArrow(count, "lang string, counts binary").groupBy("lang").applyInArrow(add, "lang string, counts binary").limit(max_languages + 1).toArrow().sort_by("lang")
+    if len(got) > max_languages:
+        raise ValueError(f"more than {max_languages} languages")
     counts = [np.frombuffer(x.as_buffer(), "<i8") for x in got.column("counts")]
     chance = [np.log((c + 0.5) / (c.sum() + 0.5 * SLOTS)) for c in counts]
     return TrigramModel(got.column("lang").to_pylist(), np.asarray(chance, np.float32).reshape(len(chance), SLOTS))
@@ -185,7 +210,7 @@ def page_languages(pages: DataFrame, model: TrigramModel, html: str = "html", ur
 
 
 def spoken(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", doc_id: str = "doc_id", sample_rows: int = 4000, accept: float = 0.5) -> DataFrame:
-    """The rows of `docs` whose language is accepted, columns as given: `lang` serves as the declared language, `source` as host."""
+    """The rows of `docs` whose language is accepted, columns as given: `source` serves as host; `lang` only labels the sample that the model is fitted on."""
     model = fit(docs, text, lang, doc_id, sample_rows)
-    found = identify(docs, model, F.col(f"`{text}`"), F.col(f"`{lang}`"), None, F.col(f"`{source}`"), None, accept, prefix=MARK)
+    found = identify(docs, model, F.col(f"`{text}`"), None, None, F.col(f"`{source}`"), None, accept, prefix=MARK)
     return found.where(F.col(f"{MARK}accepted")).select(*[F.col(f"`{c}`") for c in docs.columns])

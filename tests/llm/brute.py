@@ -177,3 +177,81 @@ def personal_data(rows: list[tuple[int, str | None]], threshold: float = 0.9, su
         own = [*spans, *(("term", a, b) for t, a, b in terms if t in worth)]
         out[d] = ",".join(f"{k}:{a}:{b}" for k, a, b in own), {t: worth[t] for t, _, _ in terms if t in worth}
     return out
+
+
+def language_posteriors(docs: list[tuple[str, str]], rows: list[dict[str, str | None]]) -> list[tuple[str, float]]:
+    """(best language, its chance) of each row: keys text, declared, suffix, host, parent; the model is fitted on all of `docs` (label, text)."""
+    import math
+    from collections import Counter
+
+    def slots(text: str) -> list[int]:
+        data = [32 if b < 65 or 91 <= b <= 96 or 123 <= b <= 127 else b + 32 if 65 <= b <= 90 else b for b in text.encode()]
+        codes = [(x << 16) | (y << 8) | z for x, y, z in zip(data, data[1:], data[2:], strict=False)]
+        return [(c * 0x9E3779B1 & 0xFFFFFFFF) >> 16 for c in codes if c != 0x202020]
+
+    def noise(text: str) -> int:
+        return sum(min(3, len(m)) for m in re.findall(r"[!-/:-@\[-`{-~]{2,}", text))
+
+    names = sorted({lang for lang, _ in docs})
+    counts = {n: Counter(s for lang, t in docs if lang == n for s in slots(t)) for n in names}
+
+    def evidence(text: str | None) -> list[float]:
+        own, bad = slots(text or ""), noise(text or "")
+        if not own:
+            return [0.0] * (len(names) + 1)
+        scale = min(60, len(own) + bad) / (len(own) + bad)
+        out = []
+        for n in names:
+            total = sum(counts[n].values()) + 0.5 * 65536
+            out.append((sum(math.log((counts[n][s] + 0.5) / total) for s in own) - 20 * bad) * scale)
+        return [*out, -math.log(65536) * len(own) * scale]
+
+    def posterior(logs: list[float]) -> list[float]:
+        top = max(logs)
+        e = [math.exp(x - top) for x in logs]
+        return [x / sum(e) for x in e]
+
+    k = len(names) + 1
+    texts = [evidence(r["text"]) for r in rows]
+    own = [posterior(t) for t in texts]
+
+    def votes(**where: str | None) -> list[float]:
+        picked = [o for r, o in zip(rows, own, strict=True) if all(r[n] == v for n, v in where.items())]
+        return [sum(p[i] for p in picked) for i in range(k)]
+
+    everything = [sum(p[i] for p in own) for i in range(k)]
+    overall = [(v + 1 / k) / (sum(everything) + 1) for v in everything]
+
+    def smoothed(v: list[float], towards: list[float]) -> list[float]:
+        return [(max(x, 0) + 4 * p) / (max(sum(v), 0) + 4) for x, p in zip(v, towards, strict=True)]
+
+    out = []
+    for r, t, p in zip(rows, texts, own, strict=True):
+        prior = overall
+        if r["host"] is not None:
+            up = [sum(q[i] for s, q in zip(rows, own, strict=True) if s["host"] is not None and s["parent"] == r["parent"]) for i in range(k)]
+            mine = votes(host=r["host"], parent=r["parent"])
+            prior = smoothed([a - b for a, b in zip(mine, p, strict=True)], smoothed(up, overall))
+        logs = [a + math.log(b) for a, b in zip(t, prior, strict=True)]
+        for n in ("declared", "suffix"):
+            if r[n] is not None:
+                each = [sum(q[i] for s, q in zip(rows, own, strict=True) if s[n] is not None) for i in range(k)]
+                mine = votes(**{n: r[n]})
+                share = sum(mine) / sum(each)
+                logs = [x + math.log((v + 4 * share) / (e + 4)) for x, v, e in zip(logs, mine, each, strict=True)]
+        final = posterior(logs)
+        best = max(range(k), key=lambda i: final[i])
+        out.append(([*names, "und"][best], final[best]))
+    return out
+
+
+def ordinal_loss(rows: list[tuple[set[int], int]], weights: list[float], thresholds: list[float], penalty: float) -> float:
+    """Penalised mean negative log-likelihood of cumulative-link regression: rows hold the features that are there and the grade."""
+    import math
+
+    total = 0.0
+    for own, grade in rows:
+        s = sum(weights[f] for f in own)
+        above = [1.0, *(1 / (1 + math.exp(t - s)) for t in thresholds), 0.0]
+        total -= math.log(max(above[grade] - above[grade + 1], 1e-300))
+    return total / len(rows) + penalty / 2 * sum(w * w for w in weights) / max(1, len(weights)) ** 0.5
