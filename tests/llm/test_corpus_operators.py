@@ -195,6 +195,44 @@ def test_token_counts_as_the_library(spark, word_file):
         assert (got[i].n_tokens, got[i].n_bytes, got[i].over_limit) == (n, len((t or "").encode()), n > 2048)
 
 
+def test_token_counts_of_every_code_point(word_file):
+    """Alone, in runs of neighbours, and between letters, digits and marks."""
+    exact, own = Tokenizer.from_file(word_file), token_counts.PrefixCounter(word_file)
+    rng = random.Random(5)
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for k in range(0, len(points), 64):
+        run = [chr(c) for c in points[k : k + 64]]
+        if k > 0x30000 and k % 0x800:  # mostly unassigned or private: a run in 32
+            continue
+        texts = ["".join(run), "".join(f"{rng.choice('a1 .')}{c}{rng.choice(('b', '2', chr(0x301), c))}" for c in run)]
+        for t, e in zip(texts, exact.encode_batch(texts, add_special_tokens=False), strict=True):
+            assert own.count(t) == len(e.ids), ascii(t)
+
+
+def test_token_counts_of_random_unicode(word_file):
+    exact, own = Tokenizer.from_file(word_file), token_counts.PrefixCounter(word_file)
+    rng = random.Random(6)
+    blocks = [(32, 127), (0xA0, 0x250), (0x300, 0x370), (0x370, 0x600), (0x900, 0xA00), (0x1100, 0x1200), (0x2000, 0x2100), (0x3040, 0x3100), (0xA700, 0xA800), (0xAC00, 0xAD00), (0x1F600, 0x1F650), (0x1E900, 0x1E960)]
+    texts = ["".join(chr(rng.randrange(*rng.choice(blocks))) for _ in range(rng.randrange(40))) for _ in range(4000)] + ["\U0001f61b\u0558\U0001f638", "\ua7cb\ua7dc"]
+    for t, e in zip(texts, exact.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert own.count(t) == len(e.ids), ascii(t)
+
+
+def test_cut_at_the_limit(spark, word_file):
+    own = token_counts.PrefixCounter(word_file)
+    rng = random.Random(7)
+    texts = [*(say(rng, 40) for _ in range(30)), *odd_texts()[:100], "x" * 200_000, "ab " * 70_000, "!" * 30_000, "they're " * 30, "\u0558 caf\u00e9 " * 40]
+    docs = frame(spark, [(i % 7 or None, t) for i, t in enumerate(texts)], "doc_id long, text string").withColumn("n_tokens", F.lit("x")).coalesce(1)
+    for limit in (5, 37):
+        got = token_counts.token_counts(docs, word_file, limit=limit).collect()
+        assert [r.doc_id for r in got] == [i % 7 or None for i in range(len(texts))]
+        for t, r in zip(texts, got, strict=True):
+            assert r.over_limit == (r.n_tokens > limit) == (r.cut_at is not None)
+            if r.over_limit and len(t) < 3000 and "<|" not in t:
+                counts = own.prefixes(t)
+                assert r.cut_at == int(np.flatnonzero(counts > limit)[0]) - 1
+
+
 def test_prefix_counts_and_budgets(word_file):
     exact = Tokenizer.from_file(word_file)
     own = token_counts.PrefixCounter(word_file)
