@@ -4,7 +4,7 @@ A document's ids are cut into pieces of the full sequence length and one shorter
 sequences of their own.  The rests go through a histogram of their lengths: lengths are placed longest first, each into
 the pattern that is shortest so far and still has room, and only pattern counts are kept.  At last each
 rest finds its place by its rank among the rests of its length; ranks come from two levels of counts, so no
-length, however common, is ranked in one task.  The driver holds the histogram, at most one number a length.
+length, however common, is ranked in one task: each is dealt over as many buckets as it has `bucket_rows`.  The driver holds the histogram, at most one number a length.
 
 Defined results: a null text counts as empty and is one piece of the closing id; null ids and repeated rows are rows
 like any other; an empty table gives an empty table.
@@ -27,7 +27,6 @@ from pyspark.sql.window import Window
 from .runtime import MARK, bounded_batches, partitions_for, trim, written
 
 CLOSING_ID = 0
-MOST_BUCKETS = 1024
 _encoders: dict[tuple[str, str], object] = {}
 
 
@@ -138,21 +137,22 @@ def _tokenized(docs: DataFrame, text: str, doc_id: str, path: str, ranks_path: s
     return slim.mapInArrow(run, f"id{MARK} {slim.schema[0].dataType.simpleString()}, n long, crcs array<long>")
 
 
-def packed(docs: DataFrame, path: str, ranks_path: str | None = None, text: str = "text", doc_id: str = "doc_id", size: int = 1024, bucket_rows: int = 20_000) -> DataFrame:
+def packed(docs: DataFrame, path: str, ranks_path: str | None = None, text: str = "text", doc_id: str = "doc_id", size: int = 1024, bucket_rows: int = 500) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     bounded_batches(docs.sparkSession)
     rows = _tokenized(docs, text, doc_id, path, ranks_path, size)
-    rows = written(rows.withColumn("rest", (F.col("n") % size).cast("int")).withColumn("full", F.expr(f"n div {size}")))
+    rows = written(rows.withColumn("row", F.monotonically_increasing_id()).withColumn("rest", (F.col("n") % size).cast("int")).withColumn("full", F.expr(f"n div {size}")))
     hist = rows.groupBy("rest").agg(F.count("*").alias("rows"), F.sum("full").alias("full")).orderBy("rest").collect()
     places = Places(pack_histogram({h["rest"]: h["rows"] for h in hist if h["rest"]}, size))
     base = dict(zip((h["rest"] for h in hist), np.concatenate([[0], np.cumsum([h["full"] for h in hist])])[:-1].tolist() if hist else [], strict=True))
 
-    buckets = min(MOST_BUCKETS, partitions_for(sum(h["rows"] for h in hist), bucket_rows))
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64(f"id{MARK}", "crcs"), F.lit(buckets)).cast("int"))
+    # a common length is ranked in many buckets; the row's number deals out rows that repeat id and text
+    many = docs.sparkSession.createDataFrame([(h["rest"], partitions_for(h["rows"], bucket_rows)) for h in hist], "rest int, buckets int")
+    rows = rows.join(F.broadcast(many), "rest").withColumn("bucket", F.pmod(F.xxhash64(f"id{MARK}", "crcs", "row"), F.col("buckets")).cast("int")).drop("buckets")
     groups = rows.groupBy("rest", "bucket").agg(F.count("*").alias("rows"), F.sum("full").alias("fulls"))
     before = Window.partitionBy("rest").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     groups = groups.select("rest", "bucket", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("rows_before"), F.coalesce(F.sum("fulls").over(before), F.lit(0)).alias("full_before"))
-    order = Window.partitionBy("rest", "bucket").orderBy(f"id{MARK}", "n", "crcs")
+    order = Window.partitionBy("rest", "bucket").orderBy(f"id{MARK}", "n", "crcs", "row")
     rows = rows.withColumn("rank", F.row_number().over(order)).withColumn("full_at", F.sum("full").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("full"))
     rows = rows.join(groups, ["rest", "bucket"]).select(
         f"id{MARK}", "n", "crcs", "rest", "full", (F.col("rank") - 1 + F.col("rows_before")).cast("long").alias("rank"), (F.col("full_at") + F.col("full_before")).cast("long").alias("full_at")

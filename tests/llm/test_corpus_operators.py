@@ -272,6 +272,35 @@ def test_packing_is_whole_and_fits(spark):
         assert sum(n for _, n in own) <= 1024
 
 
+def test_packing_ids_of_every_code_point():
+    """The fast encoder gives the library's ids for every code point, in runs and between others."""
+    own = packing.Encoder(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = []
+    for k in range(0, len(points), 64):
+        if k < 0x30000 or k % 0x800 == 0:
+            run = [chr(c) for c in points[k : k + 64]]
+            texts += ["".join(run), "".join(f"a{c}1{c}{c} {c}!{c}" for c in run)]
+    texts += odd_texts()
+    for t, e in zip(texts, own.exact.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert own.ids(t).tolist() == e.ids, ascii(t)
+
+
+def test_packing_hot_rows_and_clashing_columns(spark):
+    rows = [(None, "", 1, 2, "x")] * 900 + [(i, "five words in a text", 1, 2, "y") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, rest int, n int, bucket string").repartition(3)
+    got = packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"), bucket_rows=50, size=64).collect()
+    assert len(got) == 1100 and sum(r.length for r in got) == 900 + sum(r.doc_tokens for r in got if r.doc_id is not None)
+    by: dict[int, list] = {}
+    for r in got:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for own in by.values():
+        own.sort()
+        assert own[0][0] == 0 and sum(n for _, n in own) <= 64
+        assert all(a + n == b for (a, n), (b, _) in zip(own, own[1:], strict=False))
+    assert sorted(by) == list(range(len(by)))
+
+
 def test_packing_pads_little():
     rng = np.random.default_rng(0)
     counts = {int(n): int(c) for n, c in enumerate(rng.integers(1, 50, 1023), 1)}
