@@ -5,17 +5,17 @@
 2. The classes' sets are put into one global order, rarest n-gram first.  A pair above the threshold shares
    one of the first n - ceil(threshold * n) + 1 n-grams; these prefixes meet in posting lists.
 3. Pairs are proved by a prefix-tree join: the ordered sets that meet one probe form a trie, which is walked once,
-   sharing the overlap counted along common paths; a subtree is left as soon as its remaining length
-   cannot lift the overlap to what the pair's sizes need.
+   sharing the overlap counted along common paths; where no size below a node can lift the overlap to what a pair needs, the walk goes on
+   at the node's next sibling.
 4. First every class meets the leader of its lists; the links give components.  Then only pairs of a list that are not yet
-   in one component meet, so a group of copies costs links in proportion to its size.  Sets that
-   meet a common leader are dealt over salted groups.
+   in one component meet, and of them only those with a side outside the list's most frequent component and with sizes that allow the threshold, so a
+   group of copies costs links in proportion to its size.  Sets that meet a common leader are dealt over salted groups.
 
 Sets are compared by 56 bits of a hash of each n-gram.  The broadcast tables are bounded by `max_slots`; beyond that more documents
-go on to step 2 and results stay the same.
+go on to step 2, up to all of them, and results stay the same.
 
 Defined results: a null text counts as empty; an empty set links with nothing; a row with a null id takes its class's component, null where the class has no id; rows that repeat
-an id are separate documents that report the same id; an empty table gives an empty table.
+an id are separate documents that report the same id; texts of any length are read whole; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -62,19 +62,20 @@ class OrderedSets:
             m = min(len(x), len(y))
             differ = np.flatnonzero(x[:m] != y[:m])
             self.shared[k] = int(differ[0]) if len(differ) else m
+        self.depths, self.sizes = np.asarray(self.shared, np.int64), np.asarray([len(x) for x in self.sets], np.int64)
 
     def reaching(self, probe: np.ndarray, t: Fraction) -> list[int]:
         """Numbers of the sets that reach t with the probe, by one walk over the trie."""
         out = []
         n = len(probe)
         counted = np.zeros(1, np.int64)  # overlap of the current path's prefixes; its length is how far the path was walked
-        walked = 0
-        for k, own in enumerate(self.sets):
+        walked = k = 0
+        self.left = 0  # sets that were left with their subtree
+        while k < len(self.sets):
+            own = self.sets[k]
             m = len(own)
             need = least_overlap(n, m, t)
             walked = min(walked, self.shared[k])
-            if min(n, m) < need:
-                continue
             if len(counted) < m + 1:
                 counted = np.concatenate([counted, np.zeros(m + 1 - len(counted), np.int64)])
             while True:
@@ -90,8 +91,25 @@ class OrderedSets:
                 at = np.minimum(np.searchsorted(probe, piece), n - 1)
                 counted[walked + 1 : step + 1] = counted[walked] + np.cumsum(probe[at] == piece)
                 walked = step
+            k += 1
+            if walked and k < len(self.sets) and self.shared[k] >= walked:
+                end = self.subtree_end(k, walked)
+                if not self._can(counted[walked], walked, n, n - passed, k, end, t):
+                    self.left += end - k
+                    k = end
         return out
 
+    def subtree_end(self, k: int, depth: int) -> int:
+        """The first set after k that does not go through the node at `depth` of the path before k."""
+        below = np.flatnonzero(self.depths[k:] < depth)
+        return k + int(below[0]) if len(below) else len(self.sets)
+
+    def _can(self, overlap: int, depth: int, n: int, rest: int, k: int, end: int, t: Fraction) -> bool:
+        """Whether some size of the sets k to end can reach the threshold; what overlap can exceed need by is greatest where a set ends with the probe."""
+        low, high = int(self.sizes[k:end].min()), int(self.sizes[k:end].max())
+        m = min(max(depth + rest, low), high)
+        return any(overlap + min(x - depth, rest) >= least_overlap(n, x, t) for x in {m, max(low, m - 1), min(high, m + 1)})
+
 
 def ranked(table: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     """The tokens as numbers whose order is the global order: by count, then hash."""
@@ -111,7 +129,7 @@ def _sets(docs: DataFrame, doc_id: str, text: str, width: int, t: Fraction, seen
 
             def part(end: int, start_: int) -> pa.RecordBatch:
                 cut = slice(start_, end)
-                return pa.RecordBatch.from_arrays([ids.slice(start_, end - start_), pa.array(size[cut]), pa.array(a[cut]), pa.array(b[cut]), pa.array(on[cut]), pa.array(held[cut], pa.binary())], names=[f"id{MARK}", "n", "ka", "kb", "goes_on", "tokens"])
+                return pa.RecordBatch.from_arrays([ids.slice(start_, end - start_), batch.column(2).slice(start_, end - start_), pa.array(size[cut]), pa.array(a[cut]), pa.array(b[cut]), pa.array(on[cut]), pa.array(held[cut], pa.binary())], names=[f"id{MARK}", "h", "n", "ka", "kb", "goes_on", "tokens"])
 
             for i, own in shingle_sets(batch.column(1), width):
                 size[i] = len(own)
@@ -128,8 +146,8 @@ def _sets(docs: DataFrame, doc_id: str, text: str, width: int, t: Fraction, seen
             yield part(len(batch), start)
             trim()
 
-    slim = docs.select(F.col(f"`{doc_id}`").alias(f"id{MARK}"), F.col(f"`{text}`").alias(f"text{MARK}"))
-    return slim.mapInArrow(run, f"id{MARK} {slim.schema[0].dataType.simpleString()}, n long, ka long, kb long, goes_on boolean, tokens binary")
+    slim = docs.select(F.col(f"`{doc_id}`").alias(f"id{MARK}"), F.col(f"`{text}`").alias(f"text{MARK}"), F.xxhash64(f"`{text}`").alias("h"))
+    return slim.mapInArrow(run, f"id{MARK} {slim.schema[0].dataType.simpleString()}, h long, n long, ka long, kb long, goes_on boolean, tokens binary")
 
 
 def _postings(classes: DataFrame, t: Fraction, order: Broadcast) -> DataFrame:
@@ -184,8 +202,8 @@ def _proved(pairs: DataFrame, classes: DataFrame, t: Fraction, order: Broadcast)
     return rows.groupBy("part").applyInArrow(join, "a long, b long")
 
 
-def similarity_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 5, threshold: Fraction = Fraction(4, 5), max_slots: int = 1 << 26) -> DataFrame:
-    """One row per row of `docs`: doc_id, n_shingles, component_id."""
+def _grouped(docs: DataFrame, text: str, doc_id: str, width: int, threshold: Fraction, max_slots: int) -> DataFrame:
+    """One row per row: id, a hash of the text, set size, component (null: linked with nothing) and the smallest id in it."""
     bounded_batches(docs.sparkSession)
     spark, t = docs.sparkSession, threshold
     size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
@@ -219,13 +237,18 @@ def similarity_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
             lead = own.where("node = leader").select("gram", F.col("component").alias("other")).distinct()
             pairs = own.where("node != leader").join(lead, "gram").where("component != other").select(F.col("leader").alias("a"), F.col("node").alias("b"), "n").distinct()
         else:
-            x, y = own.alias("x"), own.alias("y")
+            # a pair has a side outside the list's most frequent component, and sizes within a factor 1 / t: in the same step of it or the next
+            counted = own.groupBy("gram", "component").agg(F.count("*").alias("many")).groupBy("gram").agg(F.max(F.struct("many", "component")).alias("top"))
+            size = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(float(1 / t))) + 1e-9).cast("int")
+            own = own.withColumn("size", size)
+            x = own.join(counted.select(F.col("gram").alias("g"), F.col("top.component").alias("main")), (F.col("gram") == F.col("g")) & (F.col("component") != F.col("main"))).alias("x")
+            y = own.withColumn("size", F.explode(F.array(F.col("size") - 1, F.col("size"), F.col("size") + 1))).alias("y")
             room = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
             need = F.ceil((F.col("x.n") + F.col("y.n")) * t.numerator / (t.numerator + t.denominator))
             near = (F.col("x.n") * t.numerator <= F.col("y.n") * t.denominator) & (F.col("y.n") * t.numerator <= F.col("x.n") * t.denominator)
-            apart = (F.col("x.component") != F.col("y.component")) & (F.col("x.node") < F.col("y.node"))
+            apart = (F.col("x.component") != F.col("y.component")) & (F.col("x.size") == F.col("y.size"))
             # of the n-grams that a pair shares, the first has room for the whole overlap
-            pairs = x.join(y, (F.col("x.gram") == F.col("y.gram")) & apart & near & (room >= need)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("y.n").alias("n")).distinct()
+            pairs = x.join(y, (F.col("x.gram") == F.col("y.gram")) & apart & near & (room >= need)).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"), F.when(F.col("x.node") < F.col("y.node"), F.col("y.n")).otherwise(F.col("x.n")).alias("n")).distinct()
         both = tried.select("a", "b").unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
         pairs = written(pairs.join(both, ["a", "b"], "left_anti"))
         links = written(links.unionByName(_proved(pairs, classes, t, order)))
@@ -235,14 +258,28 @@ def similarity_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
     named = classes.select("node", "ka", "kb", "least").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = written(named)
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = named.join(smallest, "component").select(F.col("ka").alias("xa"), F.col("kb").alias("xb"), "component_id")
-    many = rows.where("goes_on").select(f"id{MARK}", "n", "ka", "kb").join(named, (F.col("ka") == F.col("xa")) & (F.col("kb") == F.col("xb")))
-    alone = rows.where("not goes_on").select(f"id{MARK}", "n", F.col(f"id{MARK}").alias("component_id"))
-    out = many.select(f"id{MARK}", "n", "component_id").unionByName(alone)
-    return out.select(F.col(f"id{MARK}").alias(doc_id), F.col("n").alias("n_shingles"), "component_id")
+    named = named.join(smallest, "component").select(F.col("ka").alias("xa"), F.col("kb").alias("xb"), "component", "component_id")
+    many = rows.where("goes_on").select(f"id{MARK}", "h", "n", "ka", "kb").join(named, (F.col("ka") == F.col("xa")) & (F.col("kb") == F.col("xb")))
+    alone = rows.where("not goes_on").select(f"id{MARK}", "h", "n", F.lit(None).cast("long").alias("component"), F.col(f"id{MARK}").alias("component_id"))
+    return many.select(f"id{MARK}", "h", "n", "component", "component_id").unionByName(alone)
 
 
-def first_of_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **how: object) -> DataFrame:
-    """The rows of `docs` whose id is the smallest of their group; rows without an id stay.  Columns as given."""
-    gone = similarity_groups(docs, text, doc_id, **how).where(F.col(doc_id) != F.col("component_id")).select(F.col(doc_id).alias(f"gone{MARK}")).distinct()  # type: ignore[arg-type]
-    return docs.join(gone, F.col(f"`{doc_id}`") == F.col(f"gone{MARK}"), "left_anti")
+def similarity_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 5, threshold: Fraction = Fraction(4, 5), max_slots: int = 1 << 28) -> DataFrame:
+    """One row per row of `docs`: doc_id, n_shingles, component_id."""
+    return _grouped(docs, text, doc_id, width, threshold, max_slots).select(F.col(f"id{MARK}").alias(doc_id), F.col("n").alias("n_shingles"), "component_id")
+
+
+def first_of_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 5, threshold: Fraction = Fraction(4, 5), max_slots: int = 1 << 28) -> DataFrame:
+    """One row of each group: that with the smallest id; of rows that share it, one text, and of rows that repeat id and text, one.  Rows without an id stay.  Columns as given."""
+    one, i, h = f"one{MARK}", f"i{MARK}", f"h{MARK}"
+    rows = written(_grouped(docs, text, doc_id, width, threshold, max_slots).where("component is not null").select(F.col(f"id{MARK}").alias(i), F.col("h").alias(h), "component"))
+    first = rows.groupBy(F.col("component").alias(one)).agg(F.min(F.struct(F.col(i).isNull().alias("none"), F.col(i).alias("id"), F.col(h).alias("h"))).alias("first"))
+    rows = rows.join(first, F.col("component") == F.col(one))
+    is_first = F.col(i).eqNullSafe(F.col("first.id")) & (F.col(h) == F.col("first.h"))
+    own = (F.col(f"`{doc_id}`") == F.col(i)) & (F.xxhash64(F.col(f"`{text}`")) == F.col(h))
+    kept = docs.join(rows.where(~is_first & F.col(i).isNotNull()).select(i, h).distinct(), own, "left_anti")
+    twice = written(rows.where(is_first & F.col(i).isNotNull()).groupBy(i, h).agg(F.count("*").alias("many")).where("many > 1").select(i, h))
+    if twice.isEmpty():
+        return kept
+    again = kept.join(twice, own, "left_semi").withColumn(h, F.xxhash64(F.col(f"`{text}`"))).dropDuplicates([doc_id, h]).drop(h)
+    return kept.join(twice, own, "left_anti").unionByName(again)

@@ -158,6 +158,51 @@ def vectors(seed: int = 0) -> list[tuple]:
     return rows
 
 
+def test_trie_leaves_subtrees():
+    rng = np.random.default_rng(2)
+    left = 0
+    for _ in range(200):
+        stems = [np.unique(rng.integers(0, 3000, 200)) for _ in range(2)]
+        sets = [np.unique(np.concatenate([stems[k % 2], rng.integers(3000, 4000, rng.integers(0, 90))])).astype(np.uint64) for k in range(12)]
+        probe = np.unique(np.concatenate([stems[0], rng.integers(3000, 4000, 20)])).astype(np.uint64)
+        want = {i for i, s in enumerate(sets) if 10 * len(np.intersect1d(s, probe)) >= 8 * len(np.union1d(s, probe))}
+        trie = jaccard_join.OrderedSets(sets)
+        assert set(trie.reaching(probe, jaccard_join.Fraction(4, 5))) == want
+        left += trie.left
+    assert left > 500
+
+
+def test_jaccard_many_groups_in_one_list(spark):
+    """Documents that share a passage and little else, next to copies and near copies: many components meet in one list."""
+    rng = random.Random(8)
+    passage = say(rng, 40)
+    rows = []
+    for k in range(12):
+        stem = say(rng, 8)
+        rows += [f"{passage} {stem} {say(rng, rng.randrange(1, 3))}" for _ in range(rng.randrange(1, 6))]
+    rows += [rows[0]] * 3
+    rng.shuffle(rows)
+    rows = [(i, t) for i, t in enumerate(rows)]
+    want = brute.jaccard_groups(rows)
+    docs = frame(spark, rows, "doc_id long, text string").withColumn("n", F.lit("x")).withColumn("component", F.lit(1))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.similarity_groups(docs).collect()}
+    assert got == want
+
+
+def test_first_of_groups_with_repeated_and_null_ids(spark):
+    rng = random.Random(9)
+    text, other = say(rng, 60), say(rng, 60)
+    near = text.rsplit(" ", 1)[0] + " end"
+    rows = [(1, text), (1, near), (1, other), (1, text), (2, near), (None, text), (None, other + " x"), (3, None), (3, None), (4, "few words"), (None, None)]
+    docs = frame(spark, rows, "doc_id long, text string").withColumn("component", F.lit(0)).withColumn("h", F.lit("h"))
+    kept = jaccard_join.first_of_groups(docs)
+    assert kept.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    assert len([g for g in got if g[0] and g[1] in (text, near)]) == 1 and (2, near) not in got
+    assert (1, other) in got and (None, text) in got and (None, other + " x") in got
+    assert got.count((3, None)) == 2 and (4, "few words") in got and (None, None) in got
+
+
 @pytest.mark.parametrize("tile_rows", [2048, 8])
 def test_embedding_groups(spark, tile_rows):
     rows = vectors()
