@@ -1,8 +1,9 @@
 """Near-duplicate embeddings by PCA-ordered tiled comparison.
 
 Unit vectors are turned into principal axes, largest variance first; the turn keeps every inner product.  Vectors of one label are
-dealt, in bins of their first coordinate, into tiles of about `tile_rows`; a crowded bin is spread over several tiles.  Two
-tiles meet only where their boxes over the leading coordinates come within the distance that the threshold allows.
+dealt, in bins of their first coordinate, into tiles of about `tile_rows`; a crowded bin is dealt by the next coordinate, and one that is crowded in all leading coordinates is spread over several tiles.  Two
+tiles meet only where their boxes over the leading coordinates come within the distance that the threshold allows; a grid of that distance over the first two coordinates
+finds them, so tiles far apart are never compared.
 Where they meet, products are summed over the leading coordinates first: the sum so far and the norms of the two rests bound the cosine, and a
 block stops as soon as none of its pairs can reach the threshold.  What remains is decided by the cosine of the given vectors
 in double precision.  A meeting returns each vector's number of links and a spanning forest, never its pairs.
@@ -10,7 +11,7 @@ in double precision.  A meeting returns each vector's number of links and a span
 The axes come from at most `sample_rows` vectors; they decide the speed, not the result.  Equal vectors of a label are one class.
 
 Defined results: vectors that are null, zero or hold null or non-finite components, and those with a null label, link with nothing; so do
-vectors of different lengths; a null id takes its class's component; rows that repeat an id are vectors of their own;
+vectors of different lengths; components of any finite size are scaled by powers of two, so that no norm overflows; a null id takes its class's component; rows that repeat an id are vectors of their own;
 an empty table gives an empty table.
 """
 
@@ -31,8 +32,14 @@ BLOCK = 512
 SLACK = 1e-9
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Rows scaled by powers of two to a largest component from 0.5 to 1; cosines stay what they are."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=-1, keepdims=True))[1])
+
+
 def axes(vectors: np.ndarray) -> np.ndarray:
     """Columns: principal axes of unit vectors, largest variance first."""
+    vectors = scaled(vectors)
     unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
     _, turned = np.linalg.eigh(np.cov(unit, rowvar=False, bias=True).reshape(unit.shape[1], -1))
     return np.ascontiguousarray(turned[:, ::-1])
@@ -40,6 +47,7 @@ def axes(vectors: np.ndarray) -> np.ndarray:
 
 def links_between(x: np.ndarray, y: np.ndarray, basis: np.ndarray, threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs with cosine >= threshold; of one set with itself, those with i < j."""
+    x, y = scaled(x), scaled(y)
     nx, ny = np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1)
     ux, uy = (x / nx[:, None]) @ basis, (y / ny[:, None]) @ basis
     ox, oy = np.argsort(ux[:, 0], kind="stable"), np.argsort(uy[:, 0], kind="stable")
@@ -91,6 +99,48 @@ def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
             return root
 
 
+def _tiled(rows: DataFrame, tile_rows: int) -> DataFrame:
+    """`rows` with a tile: runs of bins of the first coordinate; within a crowded bin, runs of bins of the next; at last salted parts."""
+    rows = rows.withColumn("tile", F.xxhash64("label", "dim"))
+    done = None
+    for k in range(LEADING):
+        rows = rows.withColumn("bin", F.floor(F.col(f"c{k}") / BIN).cast("int"))
+        bins = rows.groupBy("tile", "bin").agg(F.count("*").alias("many"))
+        before = Window.partitionBy("tile").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+        run = F.floor(F.coalesce(F.sum("many").over(before), F.lit(0)) / tile_rows)
+        crowded = F.col("many") > tile_rows
+        # a crowded bin is a tile of its own, else the bins that begin in the same stretch of `tile_rows` are one
+        bins = bins.select(F.col("tile").alias("t"), F.col("bin").alias("b"), "many", crowded.alias("crowded"), F.xxhash64("tile", F.lit(k), F.when(crowded, F.col("bin")), run).alias("next"))
+        rows = written(rows.join(bins, (F.col("tile") == F.col("t")) & (F.col("bin") == F.col("b"))).withColumn("tile", F.col("next")).drop("t", "b", "bin", "next"))
+        own = rows.where("not crowded").drop("many", "crowded")
+        done = own if done is None else done.unionByName(own)
+        rows = rows.where("crowded").drop("crowded")
+        if rows.isEmpty():
+            return written(done)
+        rows = rows.withColumnRenamed("many", "held") if k == LEADING - 1 else rows.drop("many")
+    salts = F.ceil(F.col("held") / tile_rows).cast("long")
+    return written(done.unionByName(rows.withColumn("tile", F.xxhash64("tile", F.pmod(F.xxhash64("node"), salts))).drop("held")))
+
+
+def _near_tiles(tiled: DataFrame, threshold: float) -> DataFrame:
+    """(pair, a, b): tiles of a label, each with itself too, whose boxes come within the distance of the threshold."""
+    boxes = written(tiled.groupBy("label", "dim", "tile").agg(*[f(f"c{k}").alias(f"{n}{k}") for k in range(LEADING) for n, f in (("low", F.min), ("high", F.max))]))
+    far = max(1e-3, (2 - 2 * threshold) ** 0.5) + SLACK
+
+    def cells(df: DataFrame, wider: float) -> DataFrame:
+        for k in (0, 1):
+            first, last = (F.floor((F.col(f"{n}{k}") + d) / far).cast("int") for n, d in (("low", -wider), ("high", wider)))
+            df = df.withColumn(f"cell{k}", F.explode(F.sequence(first, last)))
+        return df
+
+    x, y = cells(boxes, 0.0).alias("x"), cells(boxes, far).alias("y")
+    gaps = [F.greatest(F.lit(0.0), F.col(f"x.low{k}") - F.col(f"y.high{k}"), F.col(f"y.low{k}") - F.col(f"x.high{k}")) for k in range(LEADING)]
+    apart = sum((g * g for g in gaps[1:]), gaps[0] * gaps[0])
+    same = [F.col(f"x.{n}") == F.col(f"y.{n}") for n in ("cell0", "cell1", "label", "dim")]
+    meet = same[0] & same[1] & same[2] & same[3] & (F.col("x.tile") <= F.col("y.tile")) & (apart <= 2 - 2 * threshold + SLACK)
+    return x.join(y, meet).select(F.col("x.tile").alias("a"), F.col("y.tile").alias("b")).distinct().withColumn("pair", F.xxhash64("a", "b"))
+
+
 def embedding_groups(
     vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label", threshold: float = 0.98, tile_rows: int = 2048, sample_rows: int = 20_000
 ) -> DataFrame:
@@ -117,28 +167,15 @@ def embedding_groups(
             out = np.zeros((len(batch), LEADING))
             for i, (d, e) in enumerate(zip(dims, es, strict=True)):
                 basis = bases.value.get(d)
-                v = e.values.to_numpy()
+                v = scaled(e.values.to_numpy())
                 v = v / np.linalg.norm(v)
                 got = v[:LEADING] if basis is None else v @ basis[:, :LEADING]
                 out[i, : len(got)] = got
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(out[:, k].copy()) for k in range(LEADING)]], names=["node", *[f"c{k}" for k in range(LEADING)]])
 
     coords = classes.select("node", "dim", "e").mapInArrow(lead, "node long, " + ", ".join(f"c{k} double" for k in range(LEADING)))
-    placed = classes.select("node", "label", "dim").join(coords, "node").withColumn("bin", F.floor(F.col("c0") / BIN).cast("int"))
-    placed = written(placed)
-    bins = placed.groupBy("label", "dim", "bin").agg(F.count("*").alias("many"))
-    before = Window.partitionBy("label", "dim").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    bins = bins.withColumn("first", F.floor(F.coalesce(F.sum("many").over(before), F.lit(0)) / tile_rows)).withColumn("salts", F.ceil(F.col("many") / tile_rows).cast("long"))
-    tiled = placed.join(bins, ["label", "dim", "bin"])
-    tiled = tiled.withColumn("tile", F.xxhash64("label", "dim", "first", F.when(F.col("salts") > 1, F.col("bin")), F.pmod(F.xxhash64("node"), F.col("salts"))))
-    tiled = written(tiled.select("node", "label", "dim", "tile", *[f"c{k}" for k in range(LEADING)]))
-    boxes = tiled.groupBy("label", "dim", "tile").agg(*[f(f"c{k}").alias(f"{n}{k}") for k in range(LEADING) for n, f in (("low", F.min), ("high", F.max))])
-    boxes = written(boxes)
-    x, y = boxes.alias("x"), boxes.alias("y")
-    gaps = [F.greatest(F.lit(0.0), F.col(f"x.low{k}") - F.col(f"y.high{k}"), F.col(f"y.low{k}") - F.col(f"x.high{k}")) for k in range(LEADING)]
-    apart = sum((g * g for g in gaps[1:]), gaps[0] * gaps[0])
-    meet = (F.col("x.label") == F.col("y.label")) & (F.col("x.dim") == F.col("y.dim")) & (F.col("x.tile") <= F.col("y.tile")) & (apart <= 2 - 2 * threshold + SLACK)
-    pairs = x.join(y, meet).select(F.xxhash64("x.tile", "y.tile").alias("pair"), F.col("x.tile").alias("a"), F.col("y.tile").alias("b"))
+    tiled = _tiled(written(classes.select("node", "label", "dim").join(coords, "node")), tile_rows)
+    pairs = _near_tiles(tiled, threshold)
     sides = pairs.select("pair", F.explode(F.when(F.col("a") == F.col("b"), F.array(F.struct(F.col("a").alias("tile"), F.lit(2).alias("side")))).otherwise(F.array(F.struct(F.col("a").alias("tile"), F.lit(0).alias("side")), F.struct(F.col("b").alias("tile"), F.lit(1).alias("side"))))).alias("s")).select("pair", "s.tile", "s.side")
     meetings = sides.join(tiled.select("node", "tile"), "tile").join(classes.select("node", "weight", "e"), "node").select("pair", "side", "node", "weight", "e")
 

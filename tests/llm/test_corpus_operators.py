@@ -212,6 +212,25 @@ def test_embedding_groups(spark, tile_rows):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got)
 
 
+def test_embedding_crowds_sizes_and_clashing_columns(spark):
+    """Crowds that only later coordinates tell apart, or none does; huge and tiny components; columns with working names."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for centre in range(3):
+        base = np.zeros(6)
+        base[0], base[1 + centre] = 5, 2
+        rows += [(base + 0.02 * rng.normal(size=6)).tolist() for _ in range(40)]
+    rows += [[1.0] * 6] * 25 + [(np.array(rows[0]) * 1e200).tolist(), (np.array(rows[1]) * 1e-200).tolist(), [0.0] * 6, [1e-320] * 6, None, [1.0, None], [float("inf")] * 6]
+    rows = [(i, v, 1 if i % 9 else None) for i, v in enumerate(rows)]
+    fit = lambda v: v and all(x is not None and np.isfinite(x) for x in v)
+    half = lambda v: np.ldexp(v, -int(np.frexp(max(map(abs, v)))[1])).tolist() if fit(v) else v
+    want = brute.embedding_groups([(i, half(v), k) for i, v, k in rows])
+    docs = frame(spark, rows, "vec_id long, embedding array<double>, label int").withColumn("tile", F.lit("x")).withColumn("node", F.lit(1)).withColumn("e", F.lit(2))
+    for tile_rows in (4, 2048):
+        got = embedding_dedup.embedding_groups(docs, tile_rows=tile_rows).collect()
+        assert {r.vec_id: (r.n_links, r.component_id) for r in got} == want
+
+
 def test_components_of_a_long_chain(spark):
     chain = [(i, i + 1) for i in range(60)]
     edges = frame(spark, [*chain, (100, 101), (5, 5), (None, 3)], "a long, b long")
