@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import plain_spectra
 import pytest
 from pyspark.sql import functions as F
 
@@ -230,13 +231,49 @@ def test_spectral_features_by_hand():
     got = spectral.features("R.GAGK.A", 2, mz, np.full(len(mz), 10.0))
     assert got["spectral_feature_error"] is None
     assert (got["num_matched_b_ions"], got["num_matched_y_ions"]) == (2, 3)
+    assert (got["b_ion_coverage"], got["y_ion_coverage"]) == (1.0, 1.0)
     assert (got["longest_b_series"], got["longest_y_series"]) == (2, 3)
     assert got["num_complementary_ion_pairs"] == 2
+    assert got["complementary_ion_ratio"] == pytest.approx(2 / 5)
     assert got["matched_intensity_fraction"] == pytest.approx(5 / 6)
-    assert got["spectral_angle"] == pytest.approx(1.0, abs=1e-6)
+    assert got["spectral_angle"] == pytest.approx(np.arccos((5 / 6) ** 0.5), abs=1e-6)  # five of six equal peaks explained
     assert abs(got["mean_fragment_mass_error_ppm"]) < 1e-6
 
 
+@pytest.mark.parametrize("ppm", [False, True])
+@pytest.mark.parametrize("compat", [False, True])
+def test_spectral_features_against_plain_steps(ppm, compat):
+    rng = np.random.default_rng(3)
+    peptides, charges, mzs, heights, precursors, ms1s, want = [], [], [], [], [], [], []
+    tolerance = 60.0 if ppm else 0.05
+    for _ in range(150):
+        core = "".join(rng.choice(list("GASPVTCLNDQKEMHFRYWX"), rng.integers(2, 18)))
+        at = int(rng.integers(0, len(core)))
+        mods = {at: 15.994915} if rng.random() < 0.4 else {}
+        text = core[: at + 1] + "+15.994915" + core[at + 1 :] if mods else core
+        masses = spectral.chem.residue_masses(core, mods)
+        told = np.concatenate([*spectral.chem.fragments(masses), *spectral.chem.fragments(masses, 2)])
+        near = told[rng.random(len(told)) < 0.6]
+        near = near + rng.normal(0, 0.03, len(near))
+        mz = np.concatenate([near, rng.uniform(50, 2000, rng.integers(0, 90)), near[:3]])
+        mz = mz if len(mz) else np.array([500.0])
+        height = np.round(rng.gamma(1, 50, len(mz)), 3) + np.arange(len(mz)) * 1e-6 + 0.001
+        charge, precursor = int(rng.integers(1, 5)), float(rng.uniform(300, 900))
+        ms1 = [(precursor + k * 1.003355 / charge + rng.normal(0, 0.012), float(rng.gamma(2, 50))) for k in range(3)] + [(float(rng.uniform(200, 1200)), 5.0) for _ in range(5)]
+        peptides.append(f"K.{text}.R")
+        charges.append(charge)
+        mzs.append(mz)
+        heights.append(height)
+        precursors.append(precursor)
+        ms1s.append(ms1)
+        want.append(plain_spectra.plain(core, mods, charge, list(zip(mz.tolist(), height.tolist(), strict=True)), precursor, ms1, tolerance, ppm, compat))
+    got = spectral.batch_features(peptides, np.array(charges), mzs, heights, np.array(precursors), [np.array([p[0] for p in m]) for m in ms1s], [np.array([p[1] for p in m]) for m in ms1s], tolerance, ppm, compat)
+    for i, w in enumerate(want):
+        assert got["spectral_feature_error"][i] is None
+        for c, v in w.items():
+            assert got[c][i] == pytest.approx(v, rel=1e-6, abs=1e-7), (i, c)
+
+
 @pytest.mark.parametrize(("mz", "intensity", "peptide_", "error"), [(None, None, "PEPK", "scan_not_found"), ([], [], "PEPK", "empty_spectrum"), ([1.0], [1.0], "P", "peptide_too_short"), ([1.0], [], "PEPK", "missing_spectrum_data")])
 def test_spectral_errors_are_values(mz, intensity, peptide_, error):
     assert spectral.features(peptide_, 2, mz, intensity)["spectral_feature_error"] == error
