@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from psmlake import preflight
 from psmlake.functions.scores import AT_LEAST, AT_LEAST_EXPLICIT, AT_MOST
-from psmlake.operators import sic_merge
+from psmlake.operators import lineage, sic_merge
 from psmlake.operators.rollup import ROLLUPS
 from psmlake.plans.quantify import quantify
 from psmlake.plans.rescoring import rescored
@@ -93,7 +93,8 @@ def first_hits(spark: SparkSession, layout: ProjectLayout) -> DataFrame:
 
 
 def rescore_stage(spark: SparkSession, layout: ProjectLayout, args: argparse.Namespace) -> DataFrame:
-    rows = first_hits(spark, layout).withColumn("psm_id", F.monotonically_increasing_id())
+    # numbered and written first: numbers of shuffled rows change from one reading to the next
+    rows = lineage.cut(first_hits(spark, layout).withColumn("psm_id", F.monotonically_increasing_id()))
     spectra = mzml.with_ms1(mzml.read_mzml(spark, str(layout.input))).withColumn("sample", F.regexp_replace("file", r"\.mzML$", "")) if args.spectra else None
     done, importance, gains = rescored(rows, (*TIE, "psm_id"), spectra, args.folds, args.ensemble, args.seed)
     out = sinks.write_stage(done.drop("psm_id"), str(layout.rescored / "parquet"))

@@ -7,20 +7,37 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir; where that is unset a temporary folder on a single machine, and an error on a cluster, as its machines don't share one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    folder = tempfile.mkdtemp(prefix="psmlake-")
+    atexit.register(shutil.rmtree, folder, True)
+    return f"file://{folder}"
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """`df` written as Parquet under spark.checkpoint.dir (a temporary folder where that is unset) and read back.
+    """`df` written as Parquet in the shared folder and read back; the table goes when the driver ends.
 
     Later plans are short, and the rows outlive any executor.
     """
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="psmlake-")
-        atexit.register(shutil.rmtree, folder, True)
-        folder = f"file://{folder}"
-    path = f"{folder.rstrip('/')}/table-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    atexit.register(_remove, spark, path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    try:
+        jvm = spark.sparkContext._jvm
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    except Exception:  # the session is already gone; the folder belongs to it
+        pass

@@ -1,0 +1,241 @@
+"""Retention times of one sample's peptides, in NumPy: fitted where the sample's rows lie, so samples and folds are calibrated at once.
+
+A modification's shift is learned from pairs with the unmodified sequence.  The retention score is warped onto the gradient by a smoothed, rising curve, the
+warped score is smoothed again without outliers, and boosted trees learn what is left from the peptide's make-up.
+"""
+
+from __future__ import annotations
+
+import re
+from dataclasses import dataclass, field
+
+import numpy as np
+
+from psmlake.functions import peptide as pep
+from psmlake.operators import boosting
+from psmlake.operators.rt import FEWEST_IN_CLASS, FEWEST_PAIRS, FEWEST_POINTS, HUBER, LEAST_MAD, OFFSETS, OUTLIER_IQR, lowess, rising
+
+LENGTHS = np.array([7, 11, 16, 100])
+RESIDUES = "ACDEFGHIKLMNPQRSTVWY"
+#: Fixed values, masses of the modifications that shift retention.
+MASSES = {"oxidation": 15.9949, "phospho": 79.9663, "deamidation": 0.9840, "acetyl": 42.0106, "ac_no_tmt": -187.1524}
+#: Fixed values by number of rows: trees, depth, step, row and column shares, smallest leaf, least gain, penalties, patience.
+TIERS = (
+    (75_000, boosting.Settings(800, 6, 0.03, 0.80, 0.80, 10, 0.10, 0.05, 1.0, 100)),
+    (25_000, boosting.Settings(600, 5, 0.04, 0.80, 0.80, 7, 0.10, 0.10, 1.0, 80)),
+    (0, boosting.Settings(400, 4, 0.05, 0.75, 0.75, 10, 0.20, 0.20, 2.0, 50)),
+)
+VOID_SHARE, FEWEST_FOR_VOID, VOID = 2, 10, 0.5
+LARGEST_SHARE, TAIL_SHARE = 0.25, 0.1
+HELD_OUT = (0.1, 500, 5000)
+
+
+@dataclass
+class Peptides:
+    """What the model reads of its rows: peptide as written, core, charge, retention score, modification counts."""
+
+    text: np.ndarray
+    core: np.ndarray
+    charge: np.ndarray
+    score: np.ndarray
+    mods: np.ndarray = field(init=False)
+
+    def __post_init__(self) -> None:
+        seen = {t: [len(re.findall(p, t)) for p in pep.RT_MODIFICATIONS.values()] for t in set(self.text)}
+        self.mods = np.array([seen[t] for t in self.text], float).reshape(len(self.text), len(pep.RT_MODIFICATIONS))
+
+    def __len__(self) -> int:
+        return len(self.text)
+
+    def take(self, pick: np.ndarray) -> Peptides:
+        return Peptides(self.text[pick], self.core[pick], self.charge[pick], self.score[pick])
+
+    def classes(self) -> np.ndarray:
+        """Charge and length class as one number."""
+        n = np.array([len(c) or 8 for c in self.core])
+        return self.charge.astype(np.int64) * 8 + np.searchsorted(LENGTHS, np.maximum(1, n))
+
+
+def scores(cores: np.ndarray) -> np.ndarray:
+    """Retention score of each core; 0 where a letter is no residue."""
+
+    def one(core: str) -> float:
+        if not core or any(r not in pep.RETENTION for r in core):
+            return 0.0
+        return sum(pep.RETENTION[r] for r in core) - 0.35 * np.log1p(len(core)) + 0.42 * pep.RETENTION[core[0]]
+
+    known = {c: one(c) for c in set(cores)}
+    return np.array([known[c] for c in cores])
+
+
+def huber_fit(x: np.ndarray, y: np.ndarray, epsilon: float = HUBER, rounds: int = 100) -> np.ndarray:
+    """Coefficients without intercept under Huber's loss, the scale from the median absolute residual."""
+    out = np.linalg.lstsq(x, y, rcond=None)[0]
+    for _ in range(rounds):
+        rest = y - x @ out
+        scale = max(1e-9, 1.4826 * float(np.median(np.abs(rest))))
+        w = np.sqrt(np.minimum(1.0, epsilon * scale / np.maximum(np.abs(rest), 1e-12)))
+        new = np.linalg.lstsq(x * w[:, None], y * w, rcond=None)[0]
+        if np.abs(new - out).max() < 1e-10:
+            break
+        out = new
+    return out
+
+
+def offsets(rows: Peptides, time: np.ndarray) -> np.ndarray:
+    """Minutes by which each modification shifts its peptide: learned together from modified rows whose bare sequence was seen, where plausible, else the usual."""
+    usual = np.array([OFFSETS[m][0] for m in pep.RT_MODIFICATIONS])
+    plain = rows.mods.sum(1) == 0
+    if plain.all() or not plain.any():
+        return usual
+    names, at = np.unique(rows.core, return_inverse=True)
+    base = np.full(len(names), np.nan)
+    order = np.lexsort((time[plain], at[plain]))
+    own, t = at[plain][order], time[plain][order]
+    first = np.flatnonzero(np.diff(own, prepend=-1))
+    last = np.append(first[1:], len(own)) - 1
+    base[own[first]] = (t[first + (last - first) // 2] + t[first + (last - first + 1) // 2]) / 2
+    pairs = np.flatnonzero(~plain & ~np.isnan(base[at]))
+    if len(pairs) < FEWEST_PAIRS:
+        return usual
+    fitted = huber_fit(rows.mods[pairs], time[pairs] - base[at[pairs]])
+    low, high = (np.array([OFFSETS[m][k] for m in pep.RT_MODIFICATIONS]) for k in (1, 2))
+    return np.where(rows.mods[pairs].any(0) & (fitted >= low) & (fitted <= high), fitted, usual)
+
+
+@dataclass
+class Curve:
+    """A piecewise line with slopes beyond its ends."""
+
+    x: np.ndarray
+    y: np.ndarray
+    tails: tuple[float, float] = (0.0, 0.0)
+
+    def at(self, x: np.ndarray) -> np.ndarray:
+        out = np.interp(x, self.x, self.y)
+        out = np.where(x < self.x[0], self.y[0] + (x - self.x[0]) * self.tails[0], out)
+        return np.where(x > self.x[-1], self.y[-1] + (x - self.x[-1]) * self.tails[1], out)
+
+
+def _warp(score: np.ndarray, time: np.ndarray) -> Curve | None:
+    """The rising curve from scores above 0 to times; beyond its ends it goes on as its outer tenth does."""
+    good = score > 0
+    if good.sum() < 2:
+        return None
+    x, y = lowess(score[good], time[good], float(np.clip(30 / good.sum(), 0.05, 0.15)))
+    k = min(len(x) - 1, max(int(len(x) * TAIL_SHARE), 2))
+    tails = ((y[k] - y[0]) / (x[k] - x[0] + 1e-9), (y[-1] - y[-k]) / (x[-1] - x[-k] + 1e-9)) if k > 0 else (0.0, 0.0)
+    return Curve(x, rising(y), tails)
+
+
+def _smooth(x: np.ndarray, y: np.ndarray) -> Curve:
+    return Curve(*lowess(x, y, float(np.clip(30 / len(x), 0.08, LARGEST_SHARE))))
+
+
+def make_up(rows: Peptides, warped: np.ndarray) -> np.ndarray:
+    """Features of what the curve cannot know: length, charge, residue shares, both ends, hydropathy of the whole and of its parts, modifications."""
+    n = np.array([max(1, len(c)) for c in rows.core], float)
+    names, at = np.unique(rows.core, return_inverse=True)
+    fixed = np.zeros((len(names), 20 + 40 + 6))
+    scale = {r: v for r, v in pep.KYTE_DOOLITTLE.items()}
+    for i, core in enumerate(names):
+        for j, r in enumerate(RESIDUES):
+            fixed[i, j] = core.count(r) / max(1, len(core))
+        if core:
+            for end, shift in ((core[0], 20), (core[-1], 40)):
+                if end in RESIDUES:
+                    fixed[i, shift + RESIDUES.index(end)] = 1
+        h = np.array([scale.get(r, np.nan) for r in core])
+        half = len(core) // 2
+        parts = (h, h[:3], h[-3:], h[: max(1, half)], h[half:])
+        means = [float(np.nanmean(p)) if np.isfinite(p).any() else 0.0 for p in parts]
+        fixed[i, 60:] = [means[0], float(np.nanstd(h)) if np.isfinite(h).any() else 0.0, *means[1:]]
+    mass = rows.mods @ np.array([MASSES[m] for m in pep.RT_MODIFICATIONS])
+    letters = np.array([max(1, len(re.sub("[^A-Z]", "", t))) for t in rows.text], float)
+    own = np.stack([warped, n, n**2, rows.charge, rows.charge * n], 1)
+    return np.concatenate([own, fixed[at], rows.mods.sum(1)[:, None], mass[:, None], (mass / letters)[:, None], rows.mods], 1)
+
+
+def weights(residual: np.ndarray, score: np.ndarray | None) -> np.ndarray:
+    """0.5 to 1 by the rank of the row's score, less for residuals beyond their 95th percentile; mean 1."""
+    out = np.ones(len(residual))
+    if score is not None:
+        order = np.argsort(np.nan_to_num(score), kind="stable")
+        rank = np.empty(len(order))
+        rank[order] = np.arange(len(order))
+        out *= 0.5 + rank / (2 * max(1, len(order) - 1))
+    cap = float(np.percentile(np.abs(residual), 95))
+    if cap > 0:
+        out *= np.where(np.abs(residual) > cap, cap / np.maximum(np.abs(residual), 1e-6), 1.0)
+    return out / out.mean()
+
+
+@dataclass
+class Calibration:
+    warp: Curve | None
+    curve: Curve
+    bias: float
+    mad: float
+    class_mad: dict[int, float]
+    trees: boosting.Boosted | None
+
+    def predict(self, rows: Peptides) -> np.ndarray:
+        warped = self.warp.at(rows.score) if self.warp else rows.score
+        rest = self.trees.raw(make_up(rows, warped)) if self.trees else 0.0
+        return np.interp(warped, self.curve.x, self.curve.y) + self.bias + rest
+
+    def chance(self, rows: Peptides, error: np.ndarray) -> np.ndarray:
+        """exp(-error / usual error of the row's class), the error three usual ones at most."""
+        own = np.array([max(LEAST_MAD, self.class_mad.get(int(c), self.mad)) for c in rows.classes()])
+        return np.exp(-np.minimum(np.abs(error), 3 * self.mad) / own)
+
+
+def calibrate(rows: Peptides, time: np.ndarray, score: np.ndarray | None = None, seed: int = 42) -> Calibration | None:
+    """The calibration of targets with valid times, or None with too few points."""
+    positive = time[time > 0]
+    void = float(np.percentile(positive, VOID_SHARE)) if len(positive) >= FEWEST_FOR_VOID else VOID
+    keep = np.flatnonzero(np.isfinite(time) & (time >= void) & np.isfinite(rows.score))
+    if len(keep) < FEWEST_POINTS:
+        return None
+    rows, time, score = rows.take(keep), time[keep], None if score is None else score[keep]
+    y = time - rows.mods @ offsets(rows, time)
+    warp = _warp(rows.score, y)
+    x = warp.at(rows.score) if warp else rows.score
+    rest = y - _smooth(x, y).at(x)
+    q1, q3 = np.percentile(rest, [25, 75])
+    good = (rest >= q1 - OUTLIER_IQR * (q3 - q1)) & (rest <= q3 + OUTLIER_IQR * (q3 - q1))
+    if good.sum() < FEWEST_POINTS:
+        return None
+    curve = _smooth(x[good], y[good])
+    fitted = np.interp(x, curve.x, curve.y)
+    bias = float(np.median(y - fitted))
+    residual = y - fitted - bias
+    spread = lambda r: float(np.median(np.abs(r - np.median(r))))
+    kinds = rows.classes()
+    by_class = {int(c): max(LEAST_MAD, spread(residual[kinds == c])) for c in np.unique(kinds) if (kinds == c).sum() >= FEWEST_IN_CLASS}
+    share, least, most = HELD_OUT
+    held = min(max(int(share * len(y)), least), most)
+    settings = next(s for n, s in TIERS if len(y) >= n)
+    trees = boosting.regressor(make_up(rows, x), residual, weights(residual, score), settings, seed, held)
+    return Calibration(warp, curve, bias, spread(residual), by_class, trees)
+
+
+def time_features(rows: Peptides, observed: np.ndarray, is_target: np.ndarray, valid: np.ndarray, calibration: Calibration | None, fallback: np.ndarray) -> dict[str, np.ndarray]:
+    """predicted_rt, rt_match_prob, and what is left of the observed time; rows without a valid time get neutral values."""
+    if calibration:
+        predicted = calibration.predict(rows)
+        match = np.where(np.isfinite(observed), calibration.chance(rows, np.nan_to_num(observed - predicted)), np.nan)
+    else:
+        predicted, match = fallback, np.full(len(rows), 0.5)
+    delta = np.clip(observed - predicted, -100, 100)
+    known = valid & np.isfinite(delta)
+    size = np.abs(delta)
+    pool = known & is_target if (known & is_target).sum() > 10 else known
+    cap = float(np.quantile(size[pool], 0.90)) if pool.sum() > 10 else 40.0
+    return {
+        "predicted_rt": predicted,
+        "rt_match_prob": match,
+        "rt_delta": np.where(known, delta, 0.0),
+        "raw_rt_delta": np.where(known, size, np.nan),
+        "abs_rt_delta": np.where(known, np.minimum(size, cap), 0.0),
+    }

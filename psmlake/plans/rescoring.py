@@ -13,12 +13,12 @@ from psmlake.operators import fdr, rescore, spectral
 SCORES = ("rescore_prob", "xpec_q", "xpec_pepq", "xpec_score")
 
 
-def rescored(psms: DataFrame, tie: Sequence[str], spectra: DataFrame | None = None, n_folds: int = 5, n_members: int = 5, seed: int = 42, most_trees: int = rescore.MOST_TREES) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(input columns and four scores, feature importance, gains per sample).  `psms` has a unique psm_id."""
+def rescored(psms: DataFrame, tie: Sequence[str], spectra: DataFrame | None = None, n_folds: int = 5, n_members: int = 5, seed: int = 42, most_trees: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(input columns and four scores, feature importance, gains per sample).  `psms` has a unique psm_id that no later read changes."""
     rows = with_inferred(psms, "Protein")
     if spectra is not None:
         rows = spectral.with_spectral_features(rows, spectral.extract(rows, spectra).drop("spectral_feature_error"))
-    scored, importance = rescore.cross_validated(rows, tie, n_folds, n_members, seed, most_trees=most_trees)
+    scored, importance = rescore.cross_validated(rows, n_folds, n_members, seed, most_trees=most_trees)
     done = rescore.combined(scored, tie)
     names = list(dict.fromkeys([*psms.columns, "is_decoy", *SCORES]))
     done = done.select(*names)

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from psmlake.operators import engineer, persist, qc, rescore, rt
+from psmlake.operators import boosting, engineer, persist, qc, rescore, retention, rt
 from psmlake.plans import rescoring
 
 
@@ -78,21 +78,119 @@ def test_residual_trees(spark):
 
 
 def test_feature_model_round_trip(spark, tmp_path):
-    rows = engineer.stateless(psms(spark, 200), ["psm_id"])
+    rows = engineer.stateless(psms(spark, 200))
     model = engineer.fit(rows)
     persist.save_features(model, tmp_path)
     again = persist.load_features(spark, tmp_path)
-    names = ["psm_id", "peptide_best", "mass_error_z", "rt_coelution_density", "evalue_rank_in_class"]
+    names = ["psm_id", "pep_best_specev", "mass_error_zscore", "rt_coelution_density", "specEval_pctrank_in_class"]
     assert sorted(map(tuple, engineer.transform(rows, model).select(*names).collect())) == sorted(map(tuple, engineer.transform(rows, again).select(*names).collect()))
 
 
-def test_weights_and_members(spark):
-    assert rescore.class_weight(50, 55, 0.9) == 1.0
+def test_class_weight_and_tiers():
+    assert rescore.class_weight(50, 55, 0.9) == 1.0  # as good as even
+    assert rescore.class_weight(50, 60, 0.9) == 1.2
     assert rescore.class_weight(10, 90, 0.9) == 9.0
-    assert rescore.class_weight(10, 90, 0.6) == 1.0
-    assert rescore.tier(120_000)[1] == 7 and rescore.tier(60_000)[1] == 6 and rescore.tier(10)[1] == 5
-    row = spark.range(1).select(rescore.trimmed_mean(F.array(*[F.lit(float(x)) for x in (0, 1, 1, 1, 1, 1, 9)]), 7).alias("x")).first()
-    assert row["x"] == 1.0
+    assert rescore.class_weight(10, 90, 0.6) == 1.0  # labels that the score hardly tells apart
+    assert rescore.tier(120_000).depth == 7 and rescore.tier(60_000).depth == 6 and rescore.tier(10).depth == 5
+    assert rescore.trimmed_mean(np.array([[0.0], [1], [1], [1], [1], [1], [9]])).tolist() == [1.0]
+
+
+def test_sample_weights_by_hand():
+    target = np.array([True, True, True, False])
+    got = rescore.sample_weights(target, 0.9, np.array([1, 0, 1, 0]), np.array([2.0, 2.0, -1.0, 0.0]), np.array([0.0, 0.0, 4.0, 9.0]))
+    scale = np.percentile([2.0, 2.0, -1.0], 90)
+    near = lambda d: 0.7 + 0.3 * (np.tanh(d / scale) + 1) / 2
+    assert got == pytest.approx([near(2.0), 0.5 * near(2.0), near(-1.0) * np.exp(-0.6), 1.0])
+    noise = 0.6 / 0.75
+    floor = 0.7 + 0.3 * (1 - noise)
+    softer = rescore.sample_weights(target, 0.6, np.array([1, 0, 1, 0]), None, np.array([0.0, 0.0, 40.0, 9.0]))
+    assert softer == pytest.approx([1.0, 0.5 + 0.5 * (1 - noise), max(0.3, np.exp(-0.15 * noise * 10)), 1.0])
+    assert floor > 0.7
+
+
+def test_boosted_trees_learn_and_keep(tmp_path):
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(3000, 6))
+    told = x[:, 0] + x[:, 1] * x[:, 2]
+    y = (told + 0.5 * rng.normal(size=3000) > 0).astype(int)
+    s = boosting.Settings(300, 4, 0.1, 0.8, 0.8, 5, 0.1, 0.1, 1.0, 20)
+    model = boosting.classifier(x[:2000], y[:2000], np.ones(2000), s, 1)
+    assert boosting.roc_auc(y[2000:], model.raw(x[2000:])) > 0.85 and len(model.trees) < 300
+    assert model.importance()[:3].min() > model.importance()[3:].max()
+    lone = boosting.regressor(x[:2000], told[:2000], np.ones(2000), s, 1, 300)
+    assert np.abs(lone.raw(x[2000:]) - told[2000:]).mean() < 0.5 * np.abs(told[2000:]).mean()
+    persist.save_members([model, lone], list("abcdef"), tmp_path)
+    (again, other), names = persist.load_members(tmp_path)
+    assert names == list("abcdef") and np.allclose(again.raw(x), model.raw(x)) and np.allclose(other.raw(x), lone.raw(x))
+    flat = boosting.classifier(np.zeros((50, 2)), np.arange(50) % 2, np.ones(50), s, 1)
+    assert not flat.trees and (boosting.chance(flat.raw(np.zeros((3, 2)))) == 0.5).all()
+
+
+def test_auc_against_pairs():
+    rng = np.random.default_rng(1)
+    y, s = rng.integers(0, 2, 60), rng.integers(0, 8, 60).astype(float)
+    pairs = [(a > b) + 0.5 * (a == b) for a in s[y == 1] for b in s[y == 0]]
+    assert boosting.roc_auc(y, s) == pytest.approx(np.mean(pairs))
+
+
+def peptides_of(n, seed=3):
+    rng = np.random.default_rng(seed)
+    cores = ["".join(rng.choice(list("AGILMFVKDESTWY"), rng.integers(6, 20))) + "K" for _ in range(n // 2)]
+    text, core, time = [], [], []
+    for c in cores:
+        x = retention.scores(np.array([c], object))[0]
+        base = 12 + 1.3 * x + 0.004 * x * x
+        at = c.find("M")
+        for mod in (False, True):
+            text.append(f"R.{c[: at + 1]}+15.995{c[at + 1 :]}.A" if mod and at >= 0 else f"R.{c}.A")
+            core.append(c)
+            time.append(base + rng.normal(0, 0.3) - (2.5 if mod and at >= 0 else 0))
+    core = np.array(core, object)
+    return retention.Peptides(np.array(text, object), core, rng.integers(2, 4, len(core)), retention.scores(core)), np.array(time)
+
+
+def test_calibration_learns_shifts_and_times():
+    rows, time = peptides_of(800)
+    learned = dict(zip(retention.pep.RT_MODIFICATIONS, retention.offsets(rows, time), strict=True))
+    assert learned["oxidation"] == pytest.approx(-2.5, abs=0.2) and learned["phospho"] == -5.0
+    model = retention.calibrate(rows, time, seed=1)
+    error = np.abs(model.predict(rows) - (time - rows.mods @ np.array(list(learned.values()))))
+    assert np.median(error) < 0.6
+    assert retention.calibrate(rows.take(np.arange(20)), time[:20]) is None
+    assert retention.make_up(rows, rows.score).shape == (len(rows), 5 + 66 + 3 + 5)
+
+
+def test_time_features_by_hand():
+    rows, time = peptides_of(60)
+    n = len(rows)
+    observed = np.arange(n, dtype=float)
+    observed[0] = np.nan
+    valid = np.arange(n) > 2
+    got = retention.time_features(rows, observed, np.ones(n, bool), valid, None, np.full(n, 10.0))
+    assert (got["rt_match_prob"] == 0.5).all() and (got["rt_delta"][:3] == 0).all() and got["rt_delta"][20] == 10
+    cap = np.quantile(np.abs(observed[3:] - 10), 0.9)
+    assert got["abs_rt_delta"].max() == pytest.approx(cap) and np.isnan(got["raw_rt_delta"][:3]).all()
+    few = retention.time_features(rows.take(np.arange(5)), np.array([1.0, 90, 5, 5, 5]), np.ones(5, bool), np.ones(5, bool), None, np.zeros(5))
+    assert few["abs_rt_delta"].tolist() == [1, 40, 5, 5, 5]
+
+
+def test_samples_are_rescored_by_themselves(spark):
+    """A sample's scores do not depend on the others, and scans of one number in two samples are two scans."""
+    one = psms(spark, 240)
+    other = psms(spark, 240, seed=9).withColumn("sample", F.lit("t")).withColumn("psm_id", F.col("psm_id") + 1000)
+    alone, _ = rescore.cross_validated(one, 2, 1, most_trees=10)
+    both, importance = rescore.cross_validated(one.unionByName(other), 2, 1, most_trees=10)
+    a = {r.psm_id: (r.rescore_prob, r.predicted_rt, r.fold) for r in alone.collect()}
+    b = {r.psm_id: (r.rescore_prob, r.predicted_rt, r.fold) for r in both.collect()}
+    assert len(a) == 240 and len(b) == 480
+    assert all(a[i] == pytest.approx(b[i], abs=1e-9) for i in a)
+    assert {"rt_match_prob", "abs_rt_delta", "pep_best_specev", "delta_score"} <= {r.feature for r in importance.collect()}
+
+
+def test_one_class_gets_a_half(spark):
+    rows = psms(spark, 60).withColumn("is_decoy", F.lit(0))
+    scored, importance = rescore.cross_validated(rows, 2, 1, most_trees=3)
+    assert {r.rescore_prob for r in scored.collect()} == {0.5} and importance.count() == 0
 
 
 def test_selected_features_vary(spark):
@@ -132,12 +230,12 @@ def test_rescoring_query_scores_every_row_with_the_usual_models(spark, tmp_path,
     from psmlake.queries import features
 
     folder, asked, scored = lineitems(spark, tmp_path, 120), [], []
-    fit, combined = rescore.fit_members, rescore.combined
-    monkeypatch.setattr(rescore, "fit_members", lambda train, names, members, seed, n, trees: asked.append((members, trees)) or fit(train, names, 1, seed, n, 1))
+    crossed, combined = rescore.cross_validated, rescore.combined
+    monkeypatch.setattr(rescore, "cross_validated", lambda rows, *a, **k: asked.append((a, k)) or crossed(rows, 5, 1, most_trees=2))
     monkeypatch.setattr(rescore, "combined", lambda rows, tie: scored.append(rows.count()) or combined(rows, tie))
-    got = {r.stage: r.auc for r in features.rescoring(spark, folder).collect()}
-    assert set(got) == {"before", "after"}
-    assert scored == [120] and asked == [(5, rescore.MOST_TREES)] * 5
+    got = {(r["sample"], r.stage) for r in features.rescoring(spark, folder).collect()}
+    assert {stage for _, stage in got} == {"before", "after"}
+    assert scored == [120] and asked == [((), {})]
 
 
 def test_retention_query_uses_the_usual_calibration(spark, tmp_path, monkeypatch):
@@ -149,7 +247,7 @@ def test_retention_query_uses_the_usual_calibration(spark, tmp_path, monkeypatch
     assert asked == [rt.MOST_POINTS]
 
 
-def test_crossed_peptide_figures_reach_all_rows(spark, tmp_path):
+def test_learned_figures_reach_all_rows(spark, tmp_path):
     from psmlake.queries import features
 
-    assert sum(r.n for r in features.learned_peptides_crossed(spark, lineitems(spark, tmp_path, 150)).collect()) == 150
+    assert sum(r.n for r in features.learned_peptides(spark, lineitems(spark, tmp_path, 150)).collect()) == 150

@@ -214,13 +214,35 @@ def test_folds_keep_scans_together_and_classes_even(spark):
 
 
 def test_learned_features_see_training_rows_only(spark):
-    schema = "Peptide string, Charge int, is_decoy int, MSGFScore double, DelM_PPM double, sample string, Scan int"
-    train = engineer.stateless(spark.createDataFrame([("K.AAA.R", 2, 0, 10.0, 1.0, "s", 1), ("K.CCC.R", 2, 0, 20.0, 3.0, "s", 2), ("K.DDD.R", 2, 1, 5.0, 9.0, "s", 3)], schema), ["Peptide"])
-    test = engineer.stateless(spark.createDataFrame([("K.AAA.R", 2, 0, 99.0, 50.0, "s", 4), ("K.NEW.R", 2, 0, 98.0, 60.0, "s", 5)], schema), ["Peptide"])
-    got = {r.PeptideCore: r for r in engineer.transform(test, engineer.fit(train)).collect()}
-    assert got["AAA"].peptide_best == 10.0
-    assert got["NEW"].peptide_best == pytest.approx(12.5)
-    assert got["AAA"].mass_error_z == pytest.approx(48.0)
+    schema = "Peptide string, Charge int, is_decoy int, MSGFDB_SpecEValue double, DelM_PPM double, sample string, OptimalScanNumber int"
+    train = engineer.stateless(spark.createDataFrame([("K.AAA.R", 2, 0, 1e-10, 1.0, "s", 1), ("K.CCC.R", 2, 0, 1e-20, 3.0, "s", 2), ("K.DDD.R", 2, 1, 1e-5, -9.0, "s", 3)], schema))
+    test = engineer.stateless(spark.createDataFrame([("K.AAA.R", 2, 0, 1e-99, 50.0, "s", 4), ("K.NEW.R", 2, 0, 1e-98, 60.0, "s", 5), ("K.NEW.R", 3, 1, 1e-2, -7.0, "s", 5)], schema))
+    got = {(r.PeptideCore, r.is_decoy): r for r in engineer.transform(test, engineer.fit(train)).collect()}
+    a, new, decoy = got["AAA", 0], got["NEW", 0], got["NEW", 1]
+    assert (a.pep_best_specev, new.pep_best_specev, decoy.pep_best_specev) == (pytest.approx(10), pytest.approx(12.5), pytest.approx(5))
+    assert (a.pep_n_observations, new.pep_n_observations) == (pytest.approx(np.log(2)), 0.0)
+    assert a.pep_score_relative_to_best == pytest.approx(89)
+    assert a.mass_error_zscore == pytest.approx(47 / (np.std([1, 3, 9]) + 1e-6))  # of absolute errors, decoys too
+    assert decoy.mass_error_zscore == pytest.approx(7 / (1 + 1e-6))  # a charge that was not seen
+    assert (a.peptide_reliability, new.peptide_reliability) == (pytest.approx(10 / (1 + 1e-6)), 0.0)
+    assert (new.peptide_best_score, new.peptide_median_score) == (pytest.approx(17.5), pytest.approx(15))
+    assert (a.is_best_for_peptide, a.peptide_observation_count) == (1, 1)
+    assert a.specEval_pctrank_in_class == 0.5  # three rows are too few for a class
+    assert (new.delta_score, a.delta_score, a.is_singleton_scan) == (pytest.approx(96), -1.0, 1)
+
+
+def test_missing_evalues_count_as_a_tenth_of_the_smallest(spark):
+    rows = spark.createDataFrame([("AA", 1e-8, "s"), ("AA", 0.0, "s"), ("AA", None, "s"), ("AA", 1e-3, "t"), ("AA", 0.0, "u")], "Peptide string, MSGFDB_SpecEValue double, sample string")
+    got = sorted(round(r.neg_log_specEvalue, 6) for r in engineer.stateless(rows, rank=True).collect())
+    assert got == [3.0, 8.0, 9.0, 9.0, 101.0]
+
+
+def test_balanced_and_paired_features(spark):
+    rows = spark.createDataFrame([("K.ACWPE.R", 0.2, 0.5, 3, 5, 4.0, 2.0, "s")], "Peptide string, b_ion_coverage double, y_ion_coverage double, longest_b_series int, longest_y_series int, DelM_PPM double, mean_fragment_mass_error_ppm double, sample string")
+    r = engineer.stateless(rows).first()
+    assert (r.by_coverage_ratio, r.by_ion_balance) == (pytest.approx(0.2 / (0.5 + 1e-6)), pytest.approx(0.3))
+    assert (r.series_length_ratio, r.precursor_fragment_error_ratio) == (1.0, pytest.approx(4 / 3))
+    assert r.c_half_hydro == 0.0  # W, P and E; C counts, W does not
 
 
 def test_spectral_features_by_hand():
