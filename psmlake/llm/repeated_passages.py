@@ -42,12 +42,12 @@ from .text_kernels import BYTE_WORD, OTHER_WORD, U64, mix, powers, slices
 
 GRAM = 40
 PLACE_BITS = 24
-PIECE = 1 << 20
-LANES = 4096
+PIECE = 1 << 18
+LANES = 2048
 HOT, NARROW, BLOCK = 128, 8, 16
 #: Rows that a task gathers before it sends them, and bytes of text for each partition of the buckets.
-FLUSH_ROWS, PART_BYTES = 400_000, 32 << 20
-BUCKET_ANCHORS = 300_000
+FLUSH_ROWS, PART_BYTES = 1 << 16, 32 << 20
+BUCKET_ANCHORS = 100_000
 PLACE = U64((1 << PLACE_BITS) - 1)
 
 
@@ -233,14 +233,24 @@ def from_texts(seen: Broadcast, width: int) -> Source:
     return runs
 
 
+def pieces(batch: pa.RecordBatch, width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows and their bytes, about PIECE bytes at a time."""
+    for k in range(len(batch)):
+        held = unpacked(batch.column(1).slice(k, 1), ROW)
+        data = np.frombuffer(batch.column(2)[k].as_buffer(), np.uint8)
+        end = np.cumsum(held["far"].astype(np.int64) - held["near"] + width)
+        cut = np.unique(np.append(np.searchsorted(end, np.arange(PIECE, len(data), PIECE)), len(held)))
+        for a, b in zip(np.append(0, cut[:-1]), cut, strict=True):
+            if b > a:
+                yield held[a:b], data[end[a - 1] if a else 0 : end[b - 1]]
+
+
 def from_runs(places: int, width: int) -> Source:
     """Runs cut to ranges of `places` places of the anchor in the windows; the bytes that a range's windows share are the key."""
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[Runs]:
         for batch in batches:
-            for k in range(len(batch)):
-                held = unpacked(batch.column(1).slice(k, 1), ROW)
-                data = np.frombuffer(batch.column(2)[k].as_buffer(), np.uint8)
+            for held, data in pieces(batch, width):
                 size = held["far"].astype(np.int64) - held["near"] + width
                 anchor = np.cumsum(size) - size + held["far"]
                 first, last = held["near"] // places, held["far"] // places
@@ -335,7 +345,7 @@ def shared_ranges(rows: np.ndarray, byte_at: np.ndarray, data: np.ndarray, width
         if not len(own):
             continue
         core = np.zeros(len(own), U64)
-        edges = np.append(np.searchsorted(byte_at[own], np.arange(0, len(data), 1 << 20)), len(own))
+        edges = np.append(np.searchsorted(byte_at[own], np.arange(0, len(data), PIECE)), len(own))
         for a, b in zip(edges, edges[1:], strict=False):
             if b > a:
                 base = byte_at[own[a]]
@@ -492,7 +502,7 @@ def _numbered(docs: DataFrame, doc_id: str) -> DataFrame:
     return docs.join(ids, column == F.col(f"i{MARK}"), "left").drop(f"i{MARK}")
 
 
-def without_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 100, max_slots: int = 1 << 28, keep_text: bool = False) -> DataFrame:
+def without_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 100, max_slots: int = 1 << 26, keep_text: bool = False) -> DataFrame:
     """One row per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans ([begin, end) pairs, 32-bit), and kept (bytes) on request."""
     bounded_batches(docs.sparkSession)
     slim = _numbered(docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias(f"text{MARK}")), "id")
