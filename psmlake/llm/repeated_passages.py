@@ -7,8 +7,8 @@ have equal anchors at equal places, so only windows whose anchor occurs again ca
    anchor and a 128-bit hash of the bytes its windows cover (the context).  Of equal contexts each task keeps the first
    place; the others are repeats as a whole.  First places go to the bucket of their context's hash, which does the same for all
    tasks, so copies, however many, cost each task one row.
-2. The contexts left are counted by anchor.  An anchor with one context has no further repeats.  Contexts of the others go, with their bytes, to the bucket
-   of their anchor.  There they are ordered by place and met by halves: the earlier contexts form a run-length index, the later ones
+2. The contexts left are counted by anchor.  An anchor with one context has no further repeats.  Contexts of the others go, with their bytes, to the partition
+   of their anchor and come in the anchors' order, some anchors at a time.  There they are ordered by place and met by halves: the earlier contexts form a run-length index, the later ones
    stream their matching statistics against it, and starts that match `width` bytes or more are repeats.  An anchor's byte carries a mark of its half
    in that index, so a match stays within its anchor and before its place; each index is built once, over `LANES` contexts at most.
 3. An anchor with more than about `HOT` contexts would be long work for one task.  Its windows are dealt by narrower ranges of the places that the anchor takes in
@@ -45,8 +45,8 @@ PLACE_BITS = 24
 PIECE = 1 << 18
 LANES = 2048
 HOT, NARROW, BLOCK = 128, 8, 16
-#: Rows that a task gathers before it sends them, and bytes of text for each partition of the buckets.
-FLUSH_ROWS, PART_BYTES = 1 << 16, 32 << 20
+#: Rows, or bytes of contexts, that a task gathers before it sends them, contexts that meet at once, and bytes of text for each partition.
+FLUSH_ROWS, FLUSH_BYTES, MET_ROWS, PART_BYTES = 1 << 16, 4 << 20, 1 << 14, 32 << 20
 BUCKET_ANCHORS = 100_000
 PLACE = U64((1 << PLACE_BITS) - 1)
 
@@ -114,7 +114,7 @@ def anchored(texts: pa.Array, width: int) -> Iterator[tuple[int, int, np.ndarray
 ROW = np.dtype([("code", "<u8"), ("context", "<u8"), ("check", "<u8"), ("doc", "<i8"), ("text", "<i8"), ("at", "<i4"), ("near", "<u2"), ("far", "<u2"), ("none", "u1")])
 SPAN = np.dtype([("doc", "<i8"), ("text", "<i8"), ("begin", "<i4"), ("end", "<i4"), ("none", "u1")])
 DOC = ("none", "doc", "text")
-RUNS = "bucket long, rows binary, bytes binary"
+RUNS = "bucket long, rows binary"
 
 
 def packed(rows: np.ndarray) -> bytes:
@@ -203,10 +203,44 @@ class Runs:
     def __init__(self, rows: np.ndarray, begin: np.ndarray, own: Hashes):
         self.rows, self.begin, self.own = rows, begin, own
 
-    def bytes_of(self, pick: np.ndarray, width: int) -> bytes:
-        size = self.rows["far"][pick].astype(np.int64) - self.rows["near"][pick] + width
+    def bytes_of(self, pick: np.ndarray, width: int) -> np.ndarray:
+        size = sizes(self.rows[pick], width)
         at = np.cumsum(size) - size
-        return self.own.data[np.repeat(self.begin[pick] - at, size) + np.arange(size.sum())].tobytes()
+        return self.own.data[np.repeat(self.begin[pick] - at, size) + np.arange(size.sum())]
+
+
+def sizes(rows: np.ndarray, width: int) -> np.ndarray:
+    """Bytes of the rows' contexts."""
+    return rows["far"].astype(np.int64) - rows["near"] + width
+
+
+def chosen(rows: np.ndarray, data: np.ndarray, pick: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Some of the rows, and their contexts out of all rows' contexts laid end to end."""
+    size = sizes(rows, width)
+    at = np.cumsum(size) - size
+    own = size[pick]
+    lay = np.cumsum(own) - own
+    return rows[pick], data[np.repeat(at[pick] - lay, own) + np.arange(own.sum())]
+
+
+def sealed(rows: np.ndarray, data: np.ndarray, width: int) -> pa.Array:
+    """One binary value for each row: the row, then its context."""
+    size = sizes(rows, width)
+    ends = np.cumsum(size + ROW.itemsize)
+    at = ends - size
+    out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    out[(at - ROW.itemsize)[:, None] + np.arange(ROW.itemsize)] = np.ascontiguousarray(rows).view(np.uint8).reshape(len(rows), ROW.itemsize)
+    out[np.repeat(at - (np.cumsum(size) - size), size) + np.arange(size.sum())] = data
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(np.append(0, ends).astype(np.int32)), pa.py_buffer(out)])
+
+
+def opened(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The rows and their contexts laid end to end, from sealed()."""
+    offsets = np.frombuffer(values.buffers()[1], np.int32)[values.offset : values.offset + len(values) + 1].astype(np.int64)
+    held = np.frombuffer(values.buffers()[2], np.uint8) if len(values) else np.zeros(0, np.uint8)
+    rows = held[offsets[:-1, None] + np.arange(ROW.itemsize)].view(ROW).reshape(-1) if len(values) else np.zeros(0, ROW)
+    size = np.diff(offsets) - ROW.itemsize
+    return rows, held[np.repeat(offsets[:-1] + ROW.itemsize - (np.cumsum(size) - size), size) + np.arange(size.sum())]
 
 
 Source = Callable[[Iterator[pa.RecordBatch]], Iterator[Runs]]
@@ -233,16 +267,11 @@ def from_texts(seen: Broadcast, width: int) -> Source:
     return runs
 
 
-def pieces(batch: pa.RecordBatch, width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Rows and their bytes, about PIECE bytes at a time."""
-    for k in range(len(batch)):
-        held = unpacked(batch.column(1).slice(k, 1), ROW)
-        data = np.frombuffer(batch.column(2)[k].as_buffer(), np.uint8)
-        end = np.cumsum(held["far"].astype(np.int64) - held["near"] + width)
-        cut = np.unique(np.append(np.searchsorted(end, np.arange(PIECE, len(data), PIECE)), len(held)))
-        for a, b in zip(np.append(0, cut[:-1]), cut, strict=True):
-            if b > a:
-                yield held[a:b], data[end[a - 1] if a else 0 : end[b - 1]]
+def pieces(values: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows and their contexts, about PIECE bytes at a time."""
+    many = max(1, PIECE // 256)
+    for a in range(0, len(values), many):
+        yield opened(values.slice(a, many))
 
 
 def from_runs(places: int, width: int) -> Source:
@@ -250,8 +279,8 @@ def from_runs(places: int, width: int) -> Source:
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[Runs]:
         for batch in batches:
-            for held, data in pieces(batch, width):
-                size = held["far"].astype(np.int64) - held["near"] + width
+            for held, data in pieces(batch.column(0)):
+                size = sizes(held, width)
                 anchor = np.cumsum(size) - size + held["far"]
                 first, last = held["near"] // places, held["far"] // places
                 many = (last - first + 1).astype(np.int64)
@@ -270,7 +299,7 @@ def from_runs(places: int, width: int) -> Source:
 
 
 def _firsts(table: DataFrame, source: Source, width: int, bits: int, shards: int) -> DataFrame:
-    """(bucket, rows, bytes): each task's first places by the bucket of their context, and its repeats, as spans, by -1 - shard."""
+    """(bucket, rows): each task's first places by the bucket of their context, and its repeats, as spans, by -1 - shard."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -298,8 +327,8 @@ def _firsts(table: DataFrame, source: Source, width: int, bits: int, shards: int
     return table.mapInArrow(send, RUNS)
 
 
-def _blobs(out: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary()), pa.array([o[2] if len(o) > 2 else None for o in out], pa.binary())], names=["bucket", "rows", "bytes"])
+def _blobs(out: list[tuple[int, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary())], names=["bucket", "rows"])
 
 
 def top(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -310,22 +339,70 @@ def shard_of(spans: np.ndarray, shards: int) -> np.ndarray:
     return (mix(spans["doc"].astype(np.int64).view(U64) ^ spans["text"].astype(np.int64).view(U64)) % U64(shards)).astype(np.int64)
 
 
-def _contexts(table: DataFrame, source: Source, width: int, bits: int, counts: Broadcast) -> DataFrame:
-    """(bucket, rows, bytes): contexts whose key has several, by the bucket of the key; those of hot keys in bucket -1."""
+def _contexts(table: DataFrame, source: Source, width: int, counts: Broadcast) -> DataFrame:
+    """(run, code, hot): contexts whose key has several, sealed, each once for some megabytes of them."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def flush() -> pa.RecordBatch:
+            rows, data = together(held)
+            held.clear()
+            rows, data = chosen(rows, data, np.sort(first_places(rows)[0]), width)
+            hot = hash_counts.level(counts.value, rows["code"]) >= HOT_LEVEL
+            return pa.RecordBatch.from_arrays([sealed(rows, data, width), pa.array(rows["code"].view(np.int64)), pa.array(hot)], names=["run", "code", "hot"])
+
+        many = 0
         for run in source(batches):
-            level = hash_counts.level(counts.value, run.rows["code"])
-            pick = np.flatnonzero(level >= 8)
-            if not len(pick):
-                continue
-            pick = pick[first_places(run.rows[pick])[0]]
-            rows = run.rows[pick]
-            bucket = np.where(level[pick] >= HOT_LEVEL, -1, top(rows["code"], bits))
-            yield _blobs([(b, packed(rows[own]), run.bytes_of(pick[own], width)) for b, own in dealt(bucket)])
+            pick = np.flatnonzero(hash_counts.level(counts.value, run.rows["code"]) >= 8)
+            if len(pick):
+                held.append((run.rows[pick], run.bytes_of(pick, width)))
+                many += len(held[-1][1])
+                if many >= FLUSH_BYTES:
+                    yield flush()
+                    many = 0
+        if held:
+            yield flush()
         trim()
 
-    return table.mapInArrow(send, RUNS)
+    return table.mapInArrow(send, "run binary, code long, hot boolean")
+
+
+def together(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    return (np.concatenate([r for r, _ in held]), np.concatenate([d for _, d in held])) if held else (np.zeros(0, ROW), np.zeros(0, np.uint8))
+
+
+def met(width: int, shards: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """partial_repeats() over sealed runs that come in the order of their keys: some complete keys at a time, equal contexts collapsed as they come."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        many, limit = 0, MET_ROWS
+
+        def done(rows: np.ndarray, data: np.ndarray) -> pa.RecordBatch:
+            spans = merged(partial_repeats(rows, data, width))
+            trim()
+            out = [(s, packed(spans[own])) for s, own in dealt(shard_of(spans, shards))]
+            return pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary())], names=["shard", "spans"])
+
+        for batch in batches:
+            for a in range(0, len(batch), MET_ROWS):
+                held.append(opened(batch.column(0).slice(a, MET_ROWS)))
+                many += len(held[-1][0])
+                if many < limit:
+                    continue
+                rows, data = together(held)
+                last = int(np.flatnonzero(rows["code"] != rows["code"][-1])[-1]) + 1 if (rows["code"] != rows["code"][-1]).any() else 0
+                if last:
+                    yield done(*chosen(rows, data, np.arange(last), width))
+                rest = chosen(rows, data, np.arange(last, len(rows)), width)
+                held = [chosen(*rest, np.sort(first_places(rest[0])[0]), width)]
+                many = len(held[0][0])
+                limit = max(MET_ROWS, 2 * many)
+        if held:
+            yield done(*together(held))
+
+    return run
 
 
 HOT_LEVEL = 8 * (HOT.bit_length() - 1)
@@ -366,7 +443,7 @@ def shared_ranges(rows: np.ndarray, byte_at: np.ndarray, data: np.ndarray, width
 
 def partial_repeats(rows: np.ndarray, data: np.ndarray, width: int) -> np.ndarray:
     """Spans of windows that stand in an earlier context of their key.  `data` holds the rows' contexts, one after another."""
-    size = rows["far"].astype(np.int64) - rows["near"] + width
+    size = sizes(rows, width)
     byte_at = np.cumsum(size) - size
     near, far = shared_ranges(rows, byte_at, data, width)
     first = first_places(rows)[0]
@@ -386,7 +463,7 @@ def partial_repeats(rows: np.ndarray, data: np.ndarray, width: int) -> np.ndarra
     gone = np.zeros((len(rows), 1 + int((rows["far"] - rows["near"]).max())), bool)
 
     def symbols(pick: np.ndarray, mark: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        size = rows["far"][pick].astype(np.int64) - rows["near"][pick] + width
+        size = sizes(rows[pick], width)
         lay = np.cumsum(size) - size
         out = data[np.repeat(byte_at[pick] - lay, size) + np.arange(size.sum())].astype(np.int32)
         out[lay + rows["far"][pick]] = 256 + mark
@@ -449,10 +526,6 @@ def repeated_spans(docs: DataFrame, width: int, max_slots: int) -> DataFrame:
         first, later = first_places(rows)
         return shown([*spans_only(merged(spans_of(rows[later], width))), (-1, rows["code"][first].tobytes())])
 
-    def partial(group: pa.Table) -> pa.Table:
-        data = np.concatenate([np.frombuffer(b.as_buffer(), np.uint8) for b in group.column("bytes")])
-        return shown(spans_only(merged(partial_repeats(unpacked(group.column("rows"), ROW), data, width))))
-
     def unite(group: pa.Table) -> pa.Table:
         spans = merged(unpacked(group.column("spans"), SPAN))
         cut = np.flatnonzero(~same(spans, DOC))
@@ -477,15 +550,15 @@ def repeated_spans(docs: DataFrame, width: int, max_slots: int) -> DataFrame:
         if table_of.max(initial=0) < 8:
             break
         counts = spark.sparkContext.broadcast(table_of)
-        sent = _contexts(table, source, width, bits, counts)
+        sent = _contexts(table, source, width, counts)
         hot = bool(table_of.max() >= HOT_LEVEL)
         if hot:
             sent = written(sent)
-        found.append(sent.where("bucket >= 0").repartition(parts, "bucket").groupBy("bucket").applyInArrow(partial, "shard long, spans binary"))
+        ordered = sent.where("not hot").select("run", "code").repartition(parts, "code").sortWithinPartitions("code")
+        found.append(ordered.select("run").mapInArrow(met(width, shards), "shard long, spans binary"))
         if not hot:
             break
-        # tasks meet few contexts at a time, so that cutting them to ranges takes little memory
-        table, source = sent.where("bucket < 0"), from_runs(narrower, width)
+        table, source = sent.where("hot").select("run"), from_runs(narrower, width)
     spans = found[0]
     for more in found[1:]:
         spans = spans.unionByName(more)

@@ -42,8 +42,14 @@ def test_hot_anchors(spark, monkeypatch, hot):
     check(spark, rows)
 
 
+def test_few_contexts_at_a_time(spark, monkeypatch):
+    for name, value in (("MET_ROWS", 3), ("FLUSH_BYTES", 2000), ("FLUSH_ROWS", 50), ("LANES", 4)):
+        monkeypatch.setattr(repeated_passages, name, value)
+    check(spark, corpus(33, 70))
+
+
 def test_long_text_in_pieces(spark, monkeypatch):
-    monkeypatch.setattr(repeated_passages, "PIECE", 1 << 18)
+    monkeypatch.setattr(repeated_passages, "PIECE", 1 << 17)
     rng = random.Random(6)
     long_ = say(rng, 60_000)
     assert len(long_) > 1 << 18
