@@ -264,12 +264,12 @@ def _grouped(docs: DataFrame, text: str, doc_id: str, width: int, threshold: Fra
     return many.select(f"id{MARK}", "h", "n", "component", "component_id").unionByName(alone)
 
 
-def similarity_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 5, threshold: Fraction = Fraction(4, 5), max_slots: int = 1 << 28) -> DataFrame:
+def similarity_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 5, threshold: Fraction = Fraction(4, 5), max_slots: int = 1 << 26) -> DataFrame:
     """One row per row of `docs`: doc_id, n_shingles, component_id."""
     return _grouped(docs, text, doc_id, width, threshold, max_slots).select(F.col(f"id{MARK}").alias(doc_id), F.col("n").alias("n_shingles"), "component_id")
 
 
-def first_of_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 5, threshold: Fraction = Fraction(4, 5), max_slots: int = 1 << 28) -> DataFrame:
+def first_of_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 5, threshold: Fraction = Fraction(4, 5), max_slots: int = 1 << 26) -> DataFrame:
     """One row of each group: that with the smallest id; of rows that share it, one text, and of rows that repeat id and text, one.  Rows without an id stay.  Columns as given."""
     one, i, h = f"one{MARK}", f"i{MARK}", f"h{MARK}"
     rows = written(_grouped(docs, text, doc_id, width, threshold, max_slots).where("component is not null").select(F.col(f"id{MARK}").alias(i), F.col("h").alias(h), "component"))

@@ -28,6 +28,7 @@ from .text_kernels import LOWER, slices
 SLOTS = 1 << 16
 STRENGTH = 60
 SMOOTH = 4.0
+FEW_VOTES = 1_000_000
 NOISE, RUN = 20.0, 3
 NO_TEXT = re.compile(r"(?is)<(script|style|head)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
 BLANK = np.zeros(256, bool)
@@ -154,6 +155,8 @@ def identify(df: DataFrame, model: TrigramModel, text: Column, declared: Column
 
 
     base = written(base)
+    few = base.count() * k <= FEW_VOTES  # numbers that a task may hold: then the tables below are broadcast, else joined by a shuffle
+    small = (lambda df: F.broadcast(df)) if few else (lambda df: df)
     everything = base.agg(*[F.sum(F.col("votes")[i]).alias(f"v{i}") for i in range(k)]).first()
     total = np.array([everything[i] or 0.0 for i in range(k)])
     overall = (total + 1.0 / k) / (total.sum() + 1.0)
@@ -177,14 +180,15 @@ def identify(df: DataFrame, model: TrigramModel, text: Column, declared: Column
     hosts = hosts.join(parents, hosts[c["parent"]].eqNullSafe(parents["p"]), "left")
     hosts = hosts.select(F.col(c["host"]).alias(f"host_key{MARK}"), F.col(c["parent"]).alias(f"host_parent{MARK}"), F.col("votes").alias(f"votes{MARK}"), smoothed(F.col("parent_votes"), prior).alias(f"up{MARK}"))
     out = own
-    for name in ("declared", "suffix"):
-        out = out.join(given_language(name), F.col(c[name]) == F.col(f"{name}_key{MARK}"), "left")
-    out = out.join(hosts, (F.col(c["host"]) == F.col(f"host_key{MARK}")) & F.col(c["parent"]).eqNullSafe(F.col(f"host_parent{MARK}")), "left")
+    said = [name for name, column in (("declared", declared), ("suffix", suffix)) if column is not None]
+    for name in said:
+        out = out.join(small(given_language(name)), F.col(c[name]) == F.col(f"{name}_key{MARK}"), "left")
+    out = out.join(small(hosts), (F.col(c["host"]) == F.col(f"host_key{MARK}")) & F.col(c["parent"]).eqNullSafe(F.col(f"host_parent{MARK}")), "left")
     others = F.zip_with(f"votes{MARK}", c["own"], lambda v, p: v - p)
     host_prior = F.coalesce(smoothed(others, F.col(f"up{MARK}")), prior)
     weights = F.zip_with(c["text"], host_prior, lambda t, p: t + F.log(p))
     none = F.array(*[F.lit(0.0)] * k)
-    for name in ("declared", "suffix"):
+    for name in said:
         weights = F.zip_with(weights, F.coalesce(F.col(f"{name}_log{MARK}"), none), lambda a, x: a + x)
     out = out.withColumn(f"all{MARK}", _posterior(weights))
     best = F.array_max(f"all{MARK}")
