@@ -46,3 +46,8 @@ def wide(long: DataFrame, keys: Sequence[str], value: str, samples: Sequence[str
 def long(wide_: DataFrame, keys: Sequence[str], samples: Sequence[str], value: str = "intensity") -> DataFrame:
     """The reverse of wide(): a foreign table's sample columns as rows, empty cells left out."""
     return wide_.unpivot(list(keys), list(samples), "sample", value).where(F.col(value).isNotNull())
+
+
+def sorted_output(df: DataFrame) -> DataFrame:
+    """The order of the crosstab report."""
+    return df.orderBy(*[c for c in ("Protein", "PeptideFlanked", "Peptide") if c in df.columns])

@@ -18,7 +18,7 @@ log = logging.getLogger(__name__)
 #: Columns of the selected-ion table, and two that are renamed.
 SELECTED = ("Scan", "Charge", "PrecursorMZ", "DelM", "DelM_PPM", "MH", "Peptide", "Protein", "MSGFDB_SpecEValue", "QValue", "PepQValue", "ElutionTime", "ParentIonIntensity", "OptimalScanNumber")
 RENAMED = {"MSGFDB_SpecEValue": "SpecEValue", "Scan": "ScanNum"}
-NUMERIC = ("SpecEValue", "MSGFDB_SpecEValue", "QValue", "PepQValue", "MSMSScore", "absPPM", "DelM_PPM", "xpec_q", "xpec_pepq", "xpec_score", "ParentIonIntensity")
+NUMERIC = ("SpecEValue", "MSGFDB_SpecEValue", "QValue", "PepQValue", "MSMSScore", "absPPM", "DelM_PPM", "xpec_q", "xpec_pepq", "xpec_score", "MSGFScore", "ParentIonIntensity", "PeakArea", "StatMomentsArea")
 
 
 def best_per_scan(df: DataFrame, tie: Sequence[str], keys: Sequence[str] = ("sample", "Scan"), intensity: str = "ParentIonIntensity") -> DataFrame:

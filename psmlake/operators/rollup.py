@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -20,7 +21,7 @@ from psmlake.schemas import has, require
 ROLLUPS = ("sum", "rrollup", "zrollup", "qrollup", "dwrollup")
 IN_LOG = ("rrollup", "zrollup", "qrollup")
 TOP_SHARE = 1.0 / 3.0
-#: Groups above this size share the critical value of the largest size; it changes in the fourth digit there.
+#: Critical values of groups up to this size are part of the plan; those of larger ones are computed for the sizes that occur.
 GRUBBS_SIZES = 500
 
 
@@ -42,6 +43,14 @@ def reference_peptides(rows: DataFrame, n_samples: int) -> DataFrame:
     return stats.withColumn("rn", F.row_number().over(w)).where("rn = 1").select("Protein", F.col("PeptideFlanked").alias("reference"))
 
 
+def _critical(alpha: float):
+    @F.pandas_udf("double")
+    def critical(sizes: pd.Series) -> pd.Series:
+        return sizes.map(lambda n: grubbs.critical(int(n), alpha)).astype(float)
+
+    return critical
+
+
 def without_outliers(rows: DataFrame, alpha: float, by: Sequence[str], value: str = "v") -> DataFrame:
     """Grubbs' test, two-sided, once per group: the value farthest from the mean becomes null where it is beyond the critical distance."""
     w = Window.partitionBy(*by)
@@ -50,10 +59,13 @@ def without_outliers(rows: DataFrame, alpha: float, by: Sequence[str], value: st
     out = out.withColumn("__far", F.max(far).over(w))
     first = Window.partitionBy(*by).orderBy(far.desc_nulls_last(), "PeptideFlanked")
     table = F.array(*[F.lit(grubbs.critical(n, alpha)) for n in range(GRUBBS_SIZES + 1)])
-    limit = F.element_at(table, F.least(F.col("__n"), F.lit(GRUBBS_SIZES)).cast("int") + 1)
+    large = rows.where(F.col(value).isNotNull()).groupBy(*by).agg(F.count("*").alias("n")).where(F.col("n") > GRUBBS_SIZES).select("n").distinct()
+    large = large.select(F.col("n").alias("__size"), _critical(alpha)("n").alias("__limit"))
+    out = out.join(large, F.col("__n") == F.col("__size"), "left").drop("__size")
+    limit = F.coalesce("__limit", F.element_at(table, F.least(F.col("__n"), F.lit(GRUBBS_SIZES)).cast("int") + 1))
     out = out.withColumn("__first", F.row_number().over(first))
     gone = (F.col("__n") >= 3) & (F.col("__sd") > 0) & (F.col("__first") == 1) & (F.col("__far") / F.nullif(F.col("__sd"), F.lit(0.0)) > limit)
-    return out.withColumn(value, F.when(~F.coalesce(gone, F.lit(False)), F.col(value))).drop("__n", "__mean", "__sd", "__far", "__first")
+    return out.withColumn(value, F.when(~F.coalesce(gone, F.lit(False)), F.col(value))).drop("__n", "__mean", "__sd", "__far", "__first", "__limit")
 
 
 def _scaled(rows: DataFrame, logs: bool) -> DataFrame:

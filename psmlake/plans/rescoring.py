@@ -19,7 +19,7 @@ def rescored(psms: DataFrame, tie: Sequence[str], spectra: DataFrame | None = No
     if spectra is not None:
         rows = spectral.with_spectral_features(rows, spectral.extract(rows, spectra).drop("spectral_feature_error"))
     scored, importance = rescore.cross_validated(rows, n_folds, n_members, seed, most_trees=most_trees)
-    done = rescore.combined(scored, tie)
+    done = rescore.combined(scored, tie, check=True)
     names = list(dict.fromkeys([*psms.columns, "is_decoy", *SCORES]))
     done = done.select(*names)
     return done, importance, fdr.gains(done, "QValue", "xpec_q") if "QValue" in done.columns else fdr.gains(done.withColumn("QValue", done["xpec_q"]), "QValue", "xpec_q")

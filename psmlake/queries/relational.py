@@ -168,7 +168,7 @@ SQL = {
     "digest_count": """WITH d AS (SELECT upper(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS s FROM documents),
         f AS (SELECT unnest(string_split(regexp_replace(regexp_replace(s, '([KR])', '\\1|', 'g'), '\\|P', 'P', 'g'), '|')) AS p FROM d)
         SELECT count(*) AS n_peptides, 'full' AS kind FROM f WHERE length(p) BETWEEN 6 AND 40
-        UNION ALL SELECT CAST(sum(CASE WHEN length(s) < 6 THEN 0 ELSE (least(40, length(s)) - 5) * (length(s) + 1) - (6 + least(40, length(s))) * (least(40, length(s)) - 5) // 2 END) AS BIGINT), 'any' FROM d""",
+        UNION ALL SELECT CAST(sum(greatest(0, length(s) - n + 1)) AS BIGINT), 'any' FROM d, range(6, 41) r(n)""",
     "merge_sics": """WITH h AS (SELECT CAST(year(o_orderdate) AS VARCHAR) AS sample, o_custkey AS Scan, o_orderkey AS key FROM orders), c AS (SELECT c_custkey, c_acctbal / 100 AS t, c_mktsegment FROM customer WHERE c_custkey % 11 > 0)
         SELECT sample, Scan, key, round(a.t, 6) AS ElutionTime, a.c_mktsegment AS ScanType, p_partkey + 1 AS OptimalScanNumber, round(p_retailprice, 6) AS ParentIonIntensity, round(coalesce(e.t - s.t, 0.0), 4) AS PeakWidthMinutes
         FROM h LEFT JOIN c a ON a.c_custkey = Scan LEFT JOIN part ON p_partkey = Scan LEFT JOIN c s ON s.c_custkey = p_partkey - 1 LEFT JOIN c e ON e.c_custkey = p_partkey + 2""",

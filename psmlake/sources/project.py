@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import re
 from dataclasses import dataclass
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -121,6 +122,12 @@ def database_parts(files: list[str], prefix: str) -> list[tuple[int, str]]:
     return sorted((int(m.group(1)), f) for f in files if (m := pattern.match(Path(f).name)))
 
 
+def joined_parts(spark: SparkSession, parts: list[tuple[int, str]]) -> DataFrame:
+    """(part, line): the lines of a split database, all parts together; by part, then as they stand, they are the whole file."""
+    read = [spark.read.text(f).select(F.lit(n).alias("part"), F.monotonically_increasing_id().alias("ord"), F.col("value").alias("line")) for n, f in parts]
+    return reduce(DataFrame.unionByName, read) if read else spark.createDataFrame([], "part int, ord long, line string")
+
+
 def pair_parts(results: list[str], parts: list[tuple[int, str]]) -> list[tuple[str, str]]:
     """Result files with their parts by number; ValueError where the counts differ."""
     numbered = {int(m.group(1)): f for f in results if (m := re.search(r"_part(\d+)", f))}
