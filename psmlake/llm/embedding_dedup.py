@@ -8,7 +8,8 @@ Where they meet, products are summed over the leading coordinates first: the sum
 block stops as soon as none of its pairs can reach the threshold.  What remains is decided by the cosine of the given vectors
 in double precision.  A meeting returns each vector's number of links and a spanning forest, never its pairs.
 
-The axes come from at most `sample_rows` vectors; they decide the speed, not the result.  Equal vectors of a label are one class.
+The axes come from at most `sample_rows` vectors; they decide the speed, not the result.  Equal vectors of a label are one class, told by 128 bits of a hash in which
+both zeros are one.
 
 Defined results: vectors that are null, zero or hold null or non-finite components, and those with a null label, link with nothing; so do
 vectors of different lengths; components of any finite size are scaled by powers of two, so that no norm overflows; a null id takes its class's component; rows that repeat an id are vectors of their own;
@@ -17,8 +18,12 @@ an empty table gives an empty table.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -99,6 +104,42 @@ def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
             return root
 
 
+def _keyed(with_vector: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows of id, vector, label into id, label, two halves of a hash of the vector, and its bytes if asked for.
+
+    With its bytes, rows that can link only; else all, the others with a null label and numbers in place of hashes, so that they match nothing and lie anywhere.
+    """
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, es = len(batch), batch.column(1).cast(pa.list_(pa.float64()))
+            dims = pc.fill_null(pc.list_value_length(es), 0).to_numpy()
+            labelled = pc.is_valid(batch.column(2)).to_numpy(zero_copy_only=False)
+            fit, keys, held = np.zeros(n, bool), np.zeros((n, 2), np.int64), [None] * n
+            keys[:, 0] = np.arange(n)
+            for d in np.unique(dims[labelled & (dims > 0)]):
+                at = np.flatnonzero(labelled & (dims == d))
+                v = es.take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).reshape(len(at), d) + 0.0  # makes -0.0 zero, and null is NaN
+                good = np.isfinite(v).all(1) & (v != 0).any(1)
+                fit[at[good]] = True
+                for i, row in zip(at[good].tolist(), v[good], strict=True):
+                    held[i] = row.tobytes()
+                    keys[i] = np.frombuffer(blake2b(held[i], digest_size=16).digest(), np.int64)
+            label = pc.if_else(pa.array(fit), batch.column(2), pa.scalar(None, batch.column(2).type))
+            cols = [batch.column(0), label, pa.array(keys[:, 0].copy()), pa.array(keys[:, 1].copy())]
+            if with_vector:
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(held, pa.binary())], names=["id", "label", "key", "key2", "e"]).filter(pa.array(fit))
+            else:
+                yield pa.RecordBatch.from_arrays(cols, names=["id", "label", "key", "key2"])
+
+    return keyed
+
+
+def _matrix(held: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Vectors of one length, from their bytes."""
+    return np.frombuffer(b"".join(held.to_pylist()), np.float64).reshape(len(held), -1)
+
+
 def _tiled(rows: DataFrame, tile_rows: int) -> DataFrame:
     """`rows` with a tile: runs of bins of the first coordinate; within a crowded bin, runs of bins of the next; at last salted parts."""
     rows = rows.withColumn("tile", F.xxhash64("label", "dim"))
@@ -147,34 +188,34 @@ def embedding_groups(
     """One row per row: vec_id, n_links, component_id, kept."""
     spark = vectors.sparkSession
     bounded_batches(vectors.sparkSession)
-    whole = F.col("e").isNotNull() & F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("e", lambda x: x != 0)
-    rows = vectors.select(F.col(f"`{vec_id}`").alias("id"), F.col(f"`{embedding}`").cast("array<double>").alias("e"), F.col(f"`{label}`").cast("string").alias("label"))
-    rows = rows.withColumn("fit", F.coalesce(whole & F.col("label").isNotNull(), F.lit(False))).withColumn("e", F.transform("e", lambda x: x + F.lit(0.0)))
-    rows = rows.withColumn("key", F.when(F.col("fit"), F.xxhash64("label", "e")))
-    fit = rows.where("fit")
-    classes = fit.groupBy("label", "key", "e").agg(F.min("id").alias("least"), F.count("*").alias("weight"))
-    classes = written(classes.withColumn("node", F.monotonically_increasing_id()).withColumn("dim", F.size("e")))
+    numbers = vectors.select(F.col(f"`{embedding}`")).schema[0].dataType.simpleString()
+    e = F.col(f"`{embedding}`") if numbers in ("array<float>", "array<double>") else F.col(f"`{embedding}`").cast("array<double>")
+    rows = vectors.select(F.col(f"`{vec_id}`").alias("id"), e.alias("e"), F.col(f"`{label}`").cast("string").alias("label"))
+    keys = f"id {rows.schema[0].dataType.simpleString()}, label string, key long, key2 long"
+    fit = rows.mapInArrow(_keyed(True), f"{keys}, e binary")
+    classes = fit.groupBy("label", "key", "key2").agg(F.first("e").alias("e"), F.min("id").alias("least"), F.count("*").alias("weight"))
+    classes = written(classes.withColumn("node", F.monotonically_increasing_id()).withColumn("dim", (F.octet_length("e") / 8).cast("int")))
 
     sample = classes.select("dim", "e", F.xxhash64("key", F.lit(1)).alias("h")).orderBy("h").limit(sample_rows).select("dim", "e").toArrow()
-    by_dim: dict[int, list[np.ndarray]] = {}
-    for d, e in zip(sample.column("dim").to_pylist(), sample.column("e"), strict=True):
-        by_dim.setdefault(d, []).append(e.values.to_numpy())
-    bases = spark.sparkContext.broadcast({d: axes(np.stack(v)) for d, v in by_dim.items()})
+    held, dims = sample.column("e").combine_chunks(), sample.column("dim").to_numpy()
+    by_dim = {int(d): _matrix(held.take(pa.array(np.flatnonzero(dims == d)))) for d in np.unique(dims)}
+    bases = spark.sparkContext.broadcast({d: axes(v) for d, v in by_dim.items()})
 
     def lead(batches):
         for batch in batches:
-            dims, es = batch.column(1).to_pylist(), batch.column(2)
-            out = np.zeros((len(batch), LEADING))
-            for i, (d, e) in enumerate(zip(dims, es, strict=True)):
-                basis = bases.value.get(d)
-                v = scaled(e.values.to_numpy())
-                v = v / np.linalg.norm(v)
-                got = v[:LEADING] if basis is None else v @ basis[:, :LEADING]
-                out[i, : len(got)] = got
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(out[:, k].copy()) for k in range(LEADING)]], names=["node", *[f"c{k}" for k in range(LEADING)]])
-
-    coords = classes.select("node", "dim", "e").mapInArrow(lead, "node long, " + ", ".join(f"c{k} double" for k in range(LEADING)))
-    tiled = _tiled(written(classes.select("node", "label", "dim").join(coords, "node")), tile_rows)
+            dims, es = batch.column(2).to_numpy(), batch.column(3)
+            out = np.zeros((LEADING, len(batch)))
+            for d in np.unique(dims):
+                at = np.flatnonzero(dims == d)
+                v = scaled(_matrix(es.take(pa.array(at))))
+                v = v / np.linalg.norm(v, axis=1, keepdims=True)
+                basis = bases.value.get(int(d))
+                got = v[:, :LEADING] if basis is None else v @ basis[:, :LEADING]
+                out[: got.shape[1], at] = got.T
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *[pa.array(c) for c in out]], names=["node", "label", "dim", *[f"c{k}" for k in range(LEADING)]])
+
+    coords = classes.select("node", "label", "dim", "e").mapInArrow(lead, "node long, label string, dim int, " + ", ".join(f"c{k} double" for k in range(LEADING)))
+    tiled = _tiled(written(coords), tile_rows)
     pairs = _near_tiles(tiled, threshold)
     sides = pairs.select("pair", F.explode(F.when(F.col("a") == F.col("b"), F.array(F.struct(F.col("a").alias("tile"), F.lit(2).alias("side")))).otherwise(F.array(F.struct(F.col("a").alias("tile"), F.lit(0).alias("side")), F.struct(F.col("b").alias("tile"), F.lit(1).alias("side"))))).alias("s")).select("pair", "s.tile", "s.side")
     meetings = sides.join(tiled.select("node", "tile"), "tile").join(classes.select("node", "weight", "e"), "node").select("pair", "side", "node", "weight", "e")
@@ -182,9 +223,7 @@ def embedding_groups(
     def compare(group: pa.Table) -> pa.Table:
         side = group.column("side").to_numpy()
         node, weight = group.column("node").to_numpy(), group.column("weight").to_numpy()
-        e = group.column("e").combine_chunks()
-        e = e.chunk(0) if isinstance(e, pa.ChunkedArray) else e
-        v = e.flatten().to_numpy(zero_copy_only=False).reshape(len(group), -1)
+        v = _matrix(group.column("e"))
         basis = bases.value.get(v.shape[1])
         basis = np.eye(v.shape[1]) if basis is None else basis
         if side[0] == 2:
@@ -202,11 +241,10 @@ def embedding_groups(
     met = written(meetings.groupBy("pair").applyInArrow(compare, "node long, links long, root long"))
     counts = met.groupBy("node").agg(F.sum("links").alias("links"))
     comp = components(met.select("node", "root"), "node", "root")
-    named = classes.select("node", "label", "key", "e", "least", "weight").join(comp, "node", "left").join(counts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    named = written(named)
+    named = classes.select("node", "label", "key", "key2", "least", "weight").join(comp, "node", "left").join(counts, "node", "left")
+    named = written(named.withColumn("component", F.coalesce("component", "node")))
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = named.join(smallest, "component").select(F.col("label").alias("l"), F.col("key").alias("k"), F.col("e").alias("v"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).cast("long").alias("n_links"), "component_id")
-    many = fit.join(named, (F.col("label") == F.col("l")) & (F.col("key") == F.col("k")) & (F.col("e") == F.col("v"))).select("id", "n_links", "component_id")
-    alone = rows.where("not fit").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
-    out = many.unionByName(alone)
+    named = named.join(smallest, "component").select("label", "key", "key2", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).cast("long").alias("n_links"), "component_id")
+    out = rows.mapInArrow(_keyed(False), keys).join(named.withColumn("known", F.lit(True)), ["label", "key", "key2"], "left")
+    out = out.select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.when(F.col("known"), F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
     return out.select(F.col("id").alias(vec_id), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
