@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, exact_dedup, jaccard_join, language_id, mixing, packing, pii, prefix_trie, repeated_passages, token_counts, toxicity
+from . import embedding_dedup, exact_dedup, jaccard_join, language_id, lm_scoring, mixing, packing, pii, prefix_trie, repeated_passages, token_counts, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,7 +62,11 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_dedup, op2_embedding_dedup, op3_jaccard_join, op4_toxicity, op5_packing, op6_repeated_passages, op7_mixing, op8_token_counts, op9_language_id, op10_personal_data, op11_prefix_trie)}
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.lm_scores(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_dedup, op2_embedding_dedup, op3_jaccard_join, op4_toxicity, op5_packing, op6_repeated_passages, op7_mixing, op8_token_counts, op9_language_id, op10_personal_data, op11_prefix_trie, op12_lm_scoring)}
 
 SQL: dict[str, str] = {
     "op1_exact_dedup": r"""
