@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from psmlake import preflight
 from psmlake.functions.scores import AT_LEAST, AT_LEAST_EXPLICIT, AT_MOST
-from psmlake.operators import lineage, sic_merge
+from psmlake.operators import crosstab, filtering, lineage, rescore, sic_merge
 from psmlake.operators.rollup import ROLLUPS
 from psmlake.plans.quantify import quantify
 from psmlake.plans.rescoring import rescored
@@ -98,7 +98,8 @@ def rescore_stage(spark: SparkSession, layout: ProjectLayout, args: argparse.Nam
     spectra = mzml.with_ms1(mzml.read_mzml(spark, str(layout.input))).withColumn("sample", F.regexp_replace("file", r"\.mzML$", "")) if args.spectra else None
     done, importance, gains = rescored(rows, (*TIE, "psm_id"), spectra, args.folds, args.ensemble, args.seed)
     out = sinks.write_stage(done.drop("psm_id"), str(layout.rescored / "parquet"))
-    sinks.export_tsv(importance, str(layout.qc / "importance"))
+    sinks.export_tsv(out, str(layout.rescored / "report"), single=False, order=rescore.report_order(TIE))
+    sinks.export_tsv(importance, str(layout.qc / "importance"), order=[F.col("importance_mean").desc(), "feature"])
     sinks.export_tsv(gains, str(layout.qc / "gains"))
     return out
 
@@ -115,8 +116,12 @@ def quantify_stage(spark: SparkSession, layout: ProjectLayout, args: argparse.Na
         rows, fasta.protein_info(spark, files), fasta.protein_sequences(spark, files), TIE, synopsis, from_rescored, field, args.threshold, args.score_field2, args.threshold2, args.mode, args.rollup, args.num_pep, args.outlier_alpha, folder=str(layout.output / "stages")
     )
     samples = [r["sample"] for r in done.annotated.select("sample").distinct().collect()]
-    sinks.export_report(done.report(samples), str(layout.rollup / "report"))
-    sinks.export_tsv(done.coverage, str(layout.coverage / "coverage"))
+    tie = [c for c in ("sample", "ScanNum", "Charge", "Peptide") if c in done.filtered.columns]
+    sinks.export_tsv(done.filtered, str(layout.output / "filtered"), single=False, order=filtering.report_order(done.filtered, tie))
+    wide = crosstab.wide(done.annotated, crosstab.KEYS, "intensity", sorted(samples, key=sinks.natural_key))
+    sinks.export_tsv(wide, str(layout.output / "crosstab"), single=False, order=crosstab.report_order(wide))
+    sinks.export_report(done.report(samples), str(layout.rollup / "report"), order=["Protein"])
+    sinks.export_tsv(done.coverage, str(layout.coverage / "coverage"), order=["sample", "Protein"])
 
 
 def main(argv: Sequence[str] | None = None) -> int:

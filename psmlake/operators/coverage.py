@@ -3,54 +3,101 @@
 from __future__ import annotations
 
 import re
+from collections import Counter, defaultdict
+from collections.abc import Iterator
+from functools import partial
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.window import Window
 
-from psmlake.functions.arrays import let, running_ends
 from psmlake.functions.peptide import flanks
 from psmlake.operators.annotate import keep_mode
 
+#: Peptides that meet their sequence in one row.
+PEPTIDES = 10_000
+
 
 def normalised_name(name: Column) -> Column:
     """Lower case, no blanks around, no FASTA extension, no closing `_rescored`."""
     return F.regexp_replace(F.regexp_replace(F.lower(F.trim(name)), r"\.(fasta|faa|fa)$", ""), "_rescored$", "")
 
 
-def positions(sequence: Column, core: Column, before: Column, after: Column) -> Column:
-    """Starts (0-based) of all hits of the core, overlapping ones too, whose neighbours are the flanks; a null flank fits anything, the protein's ends too.
-
-    The sequence is split where a hit begins, in one pass of a regular expression; the pieces' lengths give the starts.
-    """
-    ahead = F.concat(core, F.coalesce(after, F.lit("")))
-    pattern = F.concat(F.coalesce(F.concat(F.lit("(?<="), before, F.lit(")")), F.lit("")), F.lit("(?="), ahead, F.lit(")"))
-    pieces = F.split(sequence, pattern)
-    inner = let(running_ends(F.transform(pieces, lambda p: F.length(p))), lambda e: F.slice(e, 2, F.size(e) - 2))
-    first = F.when(before.isNull() & sequence.startswith(ahead), F.array(F.lit(0))).otherwise(F.array().cast("array<int>"))
-    return F.when((F.length(core) > 0) & F.contains(sequence, ahead), F.concat(first, inner)).otherwise(F.array().cast("array<int>"))
-
-
 def covered_length(spans: Column) -> Column:
     """Residues under an array of struct(start, end), end exclusive: sorted once, counted beyond the reach so far."""
     step = lambda a, s: F.struct(
-        (a["n"] + F.greatest(F.lit(0), s["end"] - F.greatest(a["reach"], s["start"]))).alias("n"), F.greatest(a["reach"], s["end"]).alias("reach")
+        (a["n"] + F.greatest(F.lit(0).cast("long"), s["end"] - F.greatest(a["reach"], s["start"]))).alias("n"), F.greatest(a["reach"], s["end"]).alias("reach")
     )
-    zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("reach"))
+    zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("reach"))
     return F.aggregate(F.sort_array(spans), zero, step, lambda a: a["n"])
 
 
-def coverage(annotated: DataFrame, proteins: DataFrame, mode: str = "all_matches", min_num_pep: int = 2, compat: bool = False) -> DataFrame:
+def hits(sequence: str, core: str, before: str | None, after: str | None) -> Iterator[int]:
+    """Starts (0-based) of all hits of the core, overlapping ones too, whose neighbours are the flanks; a null flank fits anything, the sequence's ends too."""
+    at = sequence.find(core) if core else -1
+    while at >= 0:
+        end = at + len(core)
+        if (before is None or (at > 0 and sequence[at - 1] == before)) and (after is None or sequence[end : end + 1] == after):
+            yield at
+        at = sequence.find(core, at + 1)
+
+
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans in order, those that touch as one."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
+        if out and start <= out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
+
+
+def _spans(batches: Iterator[pa.RecordBatch], names: list[str], kinds: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """For each sequence and sample among its peptides: their number and what they cover."""
+    for batch in batches:
+        out = []
+        for row in batch.to_pylist():
+            peptides, spans = Counter(), defaultdict(list)
+            for p in row["__peptides"]:
+                peptides.update(p["samples"])
+                own = [(at, at + len(p["core"])) for at in hits(row["Sequence"], p["core"], p["before"], p["after"])]
+                for sample in p["samples"] if own else ():
+                    spans[sample] += own
+            for sample, n in peptides.items():
+                joined = merged(spans[sample])
+                whole = row["__parts"] == 1  # else what parts share has to be told apart
+                out.append({**{c: row[c] for c in names}, "sample": sample, "num_pep": n, "n": len(row["Sequence"]), "covered": sum(e - s for s, e in joined), "spans": [] if whole else [{"start": s, "end": e} for s, e in joined]})
+        yield pa.RecordBatch.from_pylist(out, schema=kinds)
+
+
+def coverage(annotated: DataFrame, proteins: DataFrame, mode: str = "all_matches", min_num_pep: int = 2, compat: bool = False, databases: DataFrame | None = None) -> DataFrame:
     """(Protein, sample, num_pep, coverage in percent) from flanked peptides with a positive intensity.
 
-    `proteins`: Protein, Sequence.  Proteins without a sequence are left out.  compat: peptides with a mass in their text cover nothing.
+    `proteins`: Protein, Sequence; letters of any case.  Proteins without a sequence are left out.  compat: peptides with a mass in their text cover nothing.
+    `databases` (sample, database): proteins have a database too, and a sample's peptides are sought in its own; samples without one are left out.
+    A sequence is shuffled once and meets its peptides of all samples in rows of PEPTIDES at most; each is sought once, whatever number of samples has it.
     """
-    rows = keep_mode(annotated.where("intensity > 0"), mode).select("Protein", "sample", "PeptideFlanked").distinct()
-    rows = rows.withColumn("f", flanks(F.col("PeptideFlanked"), compat)).join(proteins.select("Protein", "Sequence"), "Protein")
-    rows = rows.where(F.length("Sequence") > 0)
-    hits = positions(F.col("Sequence"), F.col("f.core"), F.col("f.before"), F.col("f.after"))
-    spans = F.transform(hits, lambda at: F.struct(at.alias("start"), (at + F.length("f.core")).alias("end")))
-    out = rows.groupBy("Protein", "sample").agg(F.count_distinct("PeptideFlanked").alias("num_pep"), F.first(F.length("Sequence")).alias("n"), covered_length(F.flatten(F.collect_list(spans))).alias("covered"))
-    out = out.select("Protein", "sample", "num_pep", (100.0 * F.col("covered") / F.col("n")).alias("coverage"))
+    rows = keep_mode(annotated.where("intensity > 0"), mode).select("Protein", "sample", "PeptideFlanked")
+    keys = ["Protein"]
+    if databases is not None:
+        rows, keys = rows.join(sample_databases(rows.select("sample").distinct(), databases), "sample"), ["database", "Protein"]
+    sequences = proteins.select(*keys, F.upper("Sequence").alias("Sequence")).where("Sequence <> ''")
+    pairs = rows.groupBy(*keys, "PeptideFlanked").agg(F.collect_set("sample").alias("samples"))
+    f = flanks(F.col("PeptideFlanked"), compat)
+    pairs = pairs.select(*keys, "samples", F.upper(f["core"]).alias("core"), F.upper(f["before"]).alias("before"), F.upper(f["after"]).alias("after"))
+    pairs = pairs.withColumn("__parts", F.ceil(F.count("*").over(Window.partitionBy(*keys)) / PEPTIDES))
+    pairs = pairs.withColumn("__part", F.pmod(F.xxhash64("core", "before", "after"), F.col("__parts")))
+    lists = pairs.groupBy(*keys, "__parts", "__part").agg(F.collect_list(F.struct("core", "before", "after", "samples")).alias("__peptides"))
+    kinds = [(c, sequences.schema[c].dataType) for c in keys] + [("sample", rows.schema["sample"].dataType)]
+    schema = ", ".join(f"`{c}` {t.simpleString()}" for c, t in kinds) + ", num_pep long, n long, covered long, spans array<struct<start: long, end: long>>"
+    arrow = to_arrow_schema(T.StructType.fromDDL(schema))
+    found = lists.join(sequences, keys).select(*keys, "__parts", "__peptides", "Sequence").mapInArrow(partial(_spans, names=keys, kinds=arrow), schema)
+    out = found.groupBy(*keys, "sample").agg(F.sum("num_pep").alias("num_pep"), F.first("n").alias("n"), F.when(F.count("*") == 1, F.first("covered")).alias("covered"), covered_length(F.flatten(F.collect_list("spans"))).alias("united"))
+    out = out.select("Protein", "sample", "num_pep", (100.0 * F.when(F.col("united") > 0, F.col("united")).otherwise(F.coalesce("covered", F.lit(0))) / F.col("n")).alias("coverage"))
     return out.where(F.col("num_pep") >= min_num_pep) if min_num_pep > 1 else out
 
 

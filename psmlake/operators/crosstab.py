@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from psmlake.functions.coerce import number
@@ -48,6 +48,6 @@ def long(wide_: DataFrame, keys: Sequence[str], samples: Sequence[str], value: s
     return wide_.unpivot(list(keys), list(samples), "sample", value).where(F.col(value).isNotNull())
 
 
-def sorted_output(df: DataFrame) -> DataFrame:
+def report_order(df: DataFrame) -> list[Column]:
     """The order of the crosstab report."""
-    return df.orderBy(*[c for c in ("Protein", "PeptideFlanked", "Peptide") if c in df.columns])
+    return [F.col(c) for c in ("Protein", "PeptideFlanked", "Peptide") if c in df.columns]

@@ -46,6 +46,21 @@ def span_lengths(sequence: Column, enzyme: int, missed: int, compat: bool = Fals
     return let(fragments(sequence, enzyme, compat), spans)
 
 
+def peptides(sequence: Column, enzyme: int = 1, missed: int = 0, min_length: int = 6, max_length: int = 40) -> Column:
+    """The runs of up to `missed` + 1 neighbouring pieces with min_length to max_length residues, repeated ones too."""
+    if CUT_SITES.get(enzyme) is None:
+        raise ValueError(f"enzyme {enzyme} has no cut sites")
+
+    def runs(parts: Column) -> Column:
+        def of(k: int) -> Column:
+            starts = F.when(F.size(parts) > k, F.sequence(F.lit(1), F.size(parts) - k)).otherwise(F.array().cast("array<int>"))
+            return F.transform(starts, lambda i: F.array_join(F.slice(parts, i, k + 1), "")) if k else parts
+
+        return F.filter(F.concat(*[of(k) for k in range(missed + 1)]), lambda p: F.length(p).between(min_length, max_length))
+
+    return let(fragments(sequence, enzyme), runs)
+
+
 def candidate_peptides(proteins: DataFrame, min_length: int = 6, max_length: int = 40, missed: int = -1, termini: int = 2, enzyme: int = 1, compat: bool = False, sequence: str = "Sequence") -> DataFrame:
     """One row: n_peptides, candidates of min_length to max_length residues over all proteins.
 

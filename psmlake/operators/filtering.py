@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -106,7 +106,7 @@ def distinct_counts(df: DataFrame, by: Sequence[str] = ("sample",)) -> DataFrame
     return df.groupBy(*by).agg(F.count_distinct("Peptide").alias("n_peptides"), F.count_distinct("Protein").alias("n_proteins"))
 
 
-def sorted_output(df: DataFrame, tie: Sequence[str] = ()) -> DataFrame:
-    """The order of the filtered report."""
+def report_order(df: DataFrame, tie: Sequence[str] = ()) -> list[Column]:
+    """The order of the filtered report: best score first, then by protein."""
     first = [F.col("MSMSScore").desc_nulls_last()] if "MSMSScore" in df.columns else []
-    return df.orderBy(*first, "Protein", *tie)
+    return [*first, F.col("Protein"), *[F.col(c) for c in tie]]

@@ -30,27 +30,52 @@ def requires_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(values, "value", digits=2)
 
 
+def _letters(text: Column | str) -> Column:
+    return F.upper(F.regexp_replace(text, "[^A-Za-z]", ""))
+
+
+def _documents_as_proteins(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select(F.col("source").alias("sample"), F.col("doc_id").cast("string").alias("Protein"), _letters("text").alias("Sequence"), *more)
+
+
 def coverage_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """English documents as proteins: four fixed pieces as peptides, found at every place; coverage_of_benchmark() takes all documents and benchmark's words."""
-    docs = table(spark, sf_dir, "documents").where("lang = 'en'").select(F.col("source").alias("sample"), F.col("doc_id").cast("string").alias("Protein"), F.upper(F.regexp_replace("text", "[^A-Za-z]", "")).alias("Sequence"))
+    """All documents as proteins: four fixed pieces as peptides, found at every place."""
+    docs = _documents_as_proteins(spark, sf_dir)
     cores = F.array(F.lit("THE"), F.lit("TION"), F.lit("ANTH"), F.lit("THETHE"))
     rows = docs.select("Protein", "sample", F.explode(cores).alias("c")).select("Protein", "sample", F.concat(F.lit("-."), F.col("c"), F.lit(".-")).alias("PeptideFlanked"), F.lit(1.0).alias("intensity"))
     return rounded(coverage.coverage(rows, docs, min_num_pep=1), "coverage")
 
 
-def _letters(text: str) -> Column:
-    return F.upper(F.regexp_replace(text, "[^A-Za-z]", ""))
+def _own_words(df: DataFrame, *names: str) -> DataFrame:
+    """(names, c): each text's different words, letters only; no exchange is needed, as a text is one row."""
+    words = F.array_distinct(F.transform(F.split("text", r"[\x20\x09-\x0D]+"), _letters))
+    return df.select(*names, F.explode(words).alias("c")).where("c <> ''")
 
 
 def coverage_of_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as proteins: the words of benchmark items as peptides, found at every place in the documents that have them among their words."""
-    words = lambda df, *names: df.select(*names, F.explode(F.split("text", r"[\x20\x09-\x0D]+")).alias("w")).select(*names, _letters("w").alias("c")).where("c != ''").distinct()
-    docs = table(spark, sf_dir, "documents").select(F.col("source").alias("sample"), F.col("doc_id").cast("string").alias("Protein"), "text", _letters("text").alias("Sequence"))
-    rows = words(docs, "Protein", "sample").join(words(table(spark, sf_dir, "benchmark")), "c")
+    docs = _documents_as_proteins(spark, sf_dir, "text")
+    known = _own_words(table(spark, sf_dir, "benchmark")).distinct()
+    rows = _own_words(docs, "Protein", "sample").join(known, "c", "left_semi")
     rows = rows.select("Protein", "sample", F.concat(F.lit("-."), F.col("c"), F.lit(".-")).alias("PeptideFlanked"), F.lit(1.0).alias("intensity"))
     return rounded(coverage.coverage(rows, docs, min_num_pep=1), "coverage")
 
 
+def coverage_by_database(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two databases with the same ids: letters of conversations' turns, and the same backwards; even and odd turns are the samples, each with a database of its own.
+
+    A conversation's words are its peptides, preceded by the letter before them where they have one.
+    """
+    rows = table(spark, sf_dir, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("Protein"), F.when(F.col("turn") % 2 == 0, " Run_0.fasta").otherwise("run_1_rescored").alias("sample"), "text")
+    letters = rows.select("Protein", _letters("text").alias("Sequence"))
+    proteins = letters.withColumn("database", F.lit("forward")).unionByName(letters.select("Protein", F.reverse("Sequence").alias("Sequence"), F.lit("backward").alias("database")))
+    databases = spark.createDataFrame([("run_0", "forward"), ("RUN_1", "backward")], "sample string, database string")
+    words = _own_words(rows, "Protein", "sample").where(F.length("c") > 1)
+    # the first letter as the flank of the rest
+    found = words.select("Protein", "sample", F.concat(F.substring("c", 1, 1), F.lit("."), F.substring("c", 2, 1_000_000), F.lit(".-")).alias("PeptideFlanked"), F.lit(1.0).alias("intensity"))
+    return rounded(coverage.coverage(found, proteins, min_num_pep=2, databases=databases), "coverage")
+
+
 def digest_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Letters of all documents as proteins; each piece ends after K or R without P behind, or at the end."""
     docs = table(spark, sf_dir, "documents").select(F.upper(F.regexp_replace("text", "[^A-Za-z]", "")).alias("Sequence"))
@@ -123,7 +148,7 @@ def top_proteins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "rollup_sum": _rollup("sum"), "rollup_reference": _rollup("rrollup"), "rollup_reference_grubbs": _rollup("rrollup", alpha=0.05), "rollup_z": _rollup("zrollup"), "rollup_top": _rollup("qrollup"), "rollup_weighted": _rollup("dwrollup"),
-    **{f.__name__: f for f in (rollup_facts, requires_unique, coverage_of_documents, coverage_of_benchmark, digest_count, merge_sics, database_dedup, database_ids, genes, tic, histogram, z_density, auc, average_precision, residual_stats, top_proteins)},
+    **{f.__name__: f for f in (rollup_facts, requires_unique, coverage_of_documents, coverage_of_benchmark, coverage_by_database, digest_count, merge_sics, database_dedup, database_ids, genes, tic, histogram, z_density, auc, average_precision, residual_stats, top_proteins)},
 }
 
 _GRID = "grid AS (SELECT Protein, sample FROM (SELECT DISTINCT Protein FROM ann), (SELECT DISTINCT sample FROM ann))"
@@ -151,7 +176,7 @@ SQL = {
     "requires_unique": f"""WITH {ANNOTATED_SQL}, k AS (SELECT * FROM ann WHERE Protein IN (SELECT Protein FROM ann WHERE PeptideFlanked = 'P3' AND sample = '1997' AND intensity > 40000)),
         g AS (SELECT Protein, sample FROM (SELECT DISTINCT Protein FROM k), (SELECT DISTINCT sample FROM k)), s AS (SELECT Protein, sample, sum(intensity) AS v FROM k GROUP BY ALL)
         SELECT Protein, sample, round(coalesce(v, 0.0), 2) AS value FROM g LEFT JOIN s USING (Protein, sample)""",
-    "coverage_of_documents": """WITH d AS (SELECT CAST(doc_id AS VARCHAR) AS Protein, source AS sample, upper(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS s FROM documents WHERE lang = 'en'),
+    "coverage_of_documents": """WITH d AS (SELECT CAST(doc_id AS VARCHAR) AS Protein, source AS sample, upper(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS s FROM documents),
         pep AS (SELECT unnest(['THE', 'TION', 'ANTH', 'THETHE']) AS c),
         hits AS (SELECT Protein, sample, c, s, unnest([i for i in generate_series(1, length(s) - length(c) + 1) if substr(s, i, length(c)) = c]) AS i FROM d, pep WHERE contains(s, c)),
         cells AS (SELECT DISTINCT Protein, sample, unnest(generate_series(i, i + length(c) - 1)) AS p FROM hits),
@@ -165,6 +190,14 @@ SQL = {
         hits AS (SELECT Protein, i, n FROM (SELECT Protein, i, n, substr(s, i, n) AS c FROM places) JOIN pep USING (Protein, c)),
         cells AS (SELECT DISTINCT Protein, unnest(generate_series(i, i + n - 1)) AS p FROM hits), k AS (SELECT Protein, count(*) AS k FROM cells GROUP BY Protein)
         SELECT Protein, sample, num_pep, round(100.0 * k / length(s), 6) AS coverage FROM d JOIN m USING (Protein) JOIN k USING (Protein)""",
+    "coverage_by_database": """WITH d AS (SELECT conv_id || '-' || turn AS Protein, CASE WHEN turn % 2 = 0 THEN ' Run_0.fasta' ELSE 'run_1_rescored' END AS sample, text, turn,
+            upper(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS f FROM conversations),
+        e AS (SELECT Protein, sample, text, CASE WHEN turn % 2 = 0 THEN f ELSE reverse(f) END AS s FROM d),
+        w AS (SELECT DISTINCT Protein, sample, s, upper(regexp_replace(w, '[^A-Za-z]', '', 'g')) AS c FROM (SELECT Protein, sample, s, unnest(string_split_regex(text, '[\\x20\\x09-\\x0D]+')) AS w FROM e)),
+        pep AS (SELECT * FROM w WHERE length(c) > 1), m AS (SELECT Protein, sample, s, count(*) AS num_pep FROM pep WHERE s <> '' GROUP BY ALL),
+        hits AS (SELECT Protein, c, unnest([i for i in generate_series(1, length(s) - length(c) + 1) if substr(s, i, length(c)) = c]) AS i FROM pep WHERE contains(s, c)),
+        cells AS (SELECT DISTINCT Protein, unnest(generate_series(i + 1, i + length(c) - 1)) AS p FROM hits), k AS (SELECT Protein, count(*) AS k FROM cells GROUP BY Protein)
+        SELECT Protein, sample, num_pep, round(100.0 * coalesce(k, 0) / length(s), 6) AS coverage FROM m LEFT JOIN k USING (Protein) WHERE num_pep >= 2""",
     "digest_count": """WITH d AS (SELECT upper(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS s FROM documents),
         f AS (SELECT unnest(string_split(regexp_replace(regexp_replace(s, '([KR])', '\\1|', 'g'), '\\|P', 'P', 'g'), '|')) AS p FROM d)
         SELECT count(*) AS n_peptides, 'full' AS kind FROM f WHERE length(p) BETWEEN 6 AND 40

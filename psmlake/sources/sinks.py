@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 
 def natural_key(name: str) -> list[object]:
@@ -29,13 +29,27 @@ def write_stage(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def export_tsv(df: DataFrame, path: str, missing: str = "", by_sample: bool = False, single: bool = True) -> None:
-    """Tab-separated text with a header; one file, or one a sample."""
-    out = df.repartition("sample") if by_sample else df.coalesce(1) if single else df
+def in_order(df: DataFrame, order: Sequence[Column | str], parts: int | None = None) -> DataFrame:
+    """`df` in ranges of the order, each sorted: its files, one after the other by name, are in that order.  As many ranges as the session's shuffles have, or `parts`."""
+    return df.repartitionByRange(parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order)
+
+
+def export_tsv(df: DataFrame, path: str, missing: str = "", by_sample: bool = False, single: bool = True, order: Sequence[Column | str] = ()) -> None:
+    """Tab-separated text with a header in each file; one file, or one a sample.
+
+    With `order` the rows of all files together, or of each sample's, are in order; several files then (single=False) are ranges of it.
+    """
+    if by_sample:
+        out = df.repartition("sample")
+        out = out.sortWithinPartitions("sample", *order) if order else out
+    elif order:
+        out = in_order(df, order, 1 if single else None)
+    else:
+        out = df.coalesce(1) if single else df
     writer = out.write.mode("overwrite").option("sep", "\t").option("header", True).option("nullValue", missing).option("emptyValue", "")
     (writer.partitionBy("sample") if by_sample else writer).csv(path)
 
 
-def export_report(df: DataFrame, path: str) -> None:
+def export_report(df: DataFrame, path: str, order: Sequence[Column | str] = (), single: bool = True) -> None:
     """The final report: missing values as NA."""
-    export_tsv(df, path, missing="NA")
+    export_tsv(df, path, missing="NA", order=order, single=single)

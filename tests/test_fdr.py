@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from psmlake.operators import fdr
+from psmlake.operators import fdr, scan
 
 
 def frame(spark, scores, decoys, sample="s"):
@@ -34,7 +34,7 @@ def test_plus_one_may_exceed_one(spark):
 
 
 @pytest.mark.parametrize("seed", range(3))
-def test_bands_give_what_one_pass_gives(spark, seed):
+def test_parts_give_what_one_pass_gives(spark, seed):
     rng = np.random.default_rng(seed)
     scores = rng.integers(0, 40, 700).astype(float)
     decoys = (rng.random(700) < 0.4).astype(int)
@@ -43,6 +43,34 @@ def test_bands_give_what_one_pass_gives(spark, seed):
     assert got == pytest.approx(want)
 
 
+def test_one_score_of_many_rows_lies_in_many_parts(spark):
+    n = 200_000
+    rows = spark.range(n).select(F.lit("s").alias("sample"), "id", F.lit(7.0).alias("score"), (F.xxhash64("id") % 3 == 0).cast("int").alias("is_decoy"))
+    laid = scan.laid_out(rows, ["sample"], [fdr.falling("score"), F.col("id")], 16)
+    sizes = [r["count"] for r in laid.groupBy(scan.PART).count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 3 * n / 16
+    got = fdr.q_values(rows, [fdr.falling("score"), F.col("id")], parts=16).select("id", "is_decoy", "q").toPandas()
+    want = plain([7.0] * n, got.sort_values("id").is_decoy.tolist())
+    assert np.abs(got.sort_values("id").q.to_numpy() - np.array([want[i] for i in range(n)])).max() < 1e-12
+
+
+def test_not_a_number_and_null_groups(spark):
+    rows = spark.createDataFrame([(None, 1, float("nan"), 1), (None, 2, 5.0, 0), (None, 3, 4.0, 1), ("s", 4, 1.0, 0), ("s", 5, 2.0, 1)], "sample string, id long, score double, is_decoy int")
+    got = {r.id: r.q for r in fdr.estimate_fdr(rows, "score", ["id"]).collect()}
+    assert got == {2: 0.0, 3: 1.0, 1: 1.0, 5: 1.0, 4: 1.0}
+
+
+def test_ranks_by_value(spark):
+    rng = np.random.default_rng(2)
+    rows = [("ab"[i % 2], i, float(v) if v else None) for i, v in enumerate(rng.integers(0, 30, 500))]
+    df = spark.createDataFrame(rows, "sample string, id long, v double")
+    ranks = {"first": lambda n, upto, dense, of: upto - n + 1, "dense": lambda n, upto, dense, of: dense, "share": lambda n, upto, dense, of: (upto - (n - 1) / 2) / of}
+    got = scan.ranked(df, ["sample"], F.col("v"), ranks).toPandas().sort_values("id").reset_index(drop=True)
+    by = got.groupby("sample")["v"]
+    for name, how in (("first", {"method": "min"}), ("dense", {"method": "dense"}), ("share", {"pct": True})):
+        assert np.allclose(got[name].astype(float), by.rank(**how), equal_nan=True)
+
+
 def test_monotone_and_one_value_a_peptide(spark):
     rows = spark.createDataFrame([("s", 1, "K.PEP.R", 1e-9, 0), ("s", 2, "K.PEP.R", 1e-3, 0), ("s", 3, "R.QQQ.K", 1e-5, 1), ("s", 4, "R.AAA.K", 1e-4, 0)], "sample string, id long, Peptide string, SpecEValue double, is_decoy int")
     got = {r.id: r.PepQValue for r in fdr.compute_peptide_q_value(rows, ["id"]).collect()}

@@ -99,15 +99,58 @@ def test_coverage_overlap_flanks_and_modified(spark):
 
 
 @pytest.mark.parametrize("n", range(6))
-def test_positions_by_brute_force(spark, n):
+def test_hits_by_brute_force(n):
     rng = np.random.default_rng(n)
     sequence = "".join(rng.choice(list("AK"), 30))
-    for core in ("A", "AA", "AKA"):
+    for core in ("A", "AA", "AKA", ""):
         for before in (None, "A", "K"):
             for after in (None, "K"):
-                want = [i for i in range(len(sequence) - len(core) + 1) if sequence[i : i + len(core)] == core and (before is None or i > 0 and sequence[i - 1] == before) and (after is None or sequence[i + len(core) : i + len(core) + 1] == after)]
-                lit = lambda v: F.lit(v).cast("string")
-                assert one(spark, coverage.positions(F.col("s"), lit(core), lit(before), lit(after)), s=sequence) == want
+                want = [i for i in range(len(sequence) - len(core) + 1) if core and sequence[i : i + len(core)] == core and (before is None or i > 0 and sequence[i - 1] == before) and (after is None or sequence[i + len(core) : i + len(core) + 1] == after)]
+                assert list(coverage.hits(sequence, core, before, after)) == want
+
+
+def covered_plainly(rows, proteins):
+    """{(protein, sample): (peptides, percent)} residue by residue."""
+    out = {}
+    for protein, sample in {(p, s) for p, s, *_ in rows}:
+        sequence = proteins[protein].upper()
+        peptides = {f for p, s, f in rows if (p, s) == (protein, sample)}
+        marks = [False] * len(sequence)
+        for f in peptides:
+            before, core, after = (x.upper() for x in f.split("."))
+            for i in range(len(sequence) - len(core) + 1):
+                if sequence.startswith(core, i) and (before == "-" or sequence[:i].endswith(before)) and (after == "-" or sequence.startswith(after, i + len(core))):
+                    marks[i : i + len(core)] = [True] * len(core)
+        out[protein, sample] = (len(peptides), 100 * sum(marks) / len(marks))
+    return out
+
+
+@pytest.mark.parametrize("most", [3, 10_000])
+def test_coverage_by_brute_force_in_any_parts(spark, monkeypatch, most):
+    monkeypatch.setattr(coverage, "PEPTIDES", most)
+    rng = np.random.default_rng(3)
+    proteins = {f"P{k}": "".join(rng.choice(list("ACKr"), 60 if k else 2000)) for k in range(8)}
+    flank = lambda: str(rng.choice(["-", "A", "K"]))
+    rows = []
+    for p, sequence in proteins.items():
+        for _ in range(3 if p != "P0" else 200):
+            at, n = rng.integers(0, len(sequence) - 6), rng.integers(1, 6)
+            peptide = f"{flank()}.{sequence[at : at + n].upper()}.{flank()}"
+            rows += [(p, str(s), peptide) for s in rng.choice(["s", "t", "u"], 2)]
+    annotated = spark.createDataFrame([(*r, 1.0) for r in rows] + [("gone", "s", "-.A.-", 1.0), ("P1", "s", "-.C.-", 0.0)], "Protein string, sample string, PeptideFlanked string, intensity double")
+    database = spark.createDataFrame([*proteins.items(), ("P9", ""), ("P10", None)], "Protein string, Sequence string")
+    got = {(r.Protein, r.sample): (r.num_pep, r.coverage) for r in coverage.coverage(annotated, database, min_num_pep=1).collect()}
+    want = covered_plainly(rows, proteins)
+    assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
+    assert {k: v[1] for k, v in got.items()} == pytest.approx({k: v[1] for k, v in want.items()})
+
+
+def test_coverage_looks_into_the_sample_s_own_database(spark):
+    proteins = spark.createDataFrame([("a", "P", "MKAA"), ("b", "P", "MKAAAAAA"), ("c", "P", "AA")], "database string, Protein string, Sequence string")
+    databases = spark.createDataFrame([("one.fasta", "a"), (" TWO_rescored", "b")], "sample string, database string")
+    rows = spark.createDataFrame([("P", s, "-.AA.-", 1.0) for s in ("One", "two", "three")], "Protein string, sample string, PeptideFlanked string, intensity double")
+    got = {r.sample: r.coverage for r in coverage.coverage(rows, proteins, min_num_pep=1, databases=databases).collect()}
+    assert got == {"One": 50.0, "two": 75.0}  # "three" has no database
 
 
 @pytest.mark.parametrize(("sequence", "compat", "want"), [("AAAAAAKBBBBBBK", False, 3), ("AAAAAAKBBBBBBK", True, 4), ("AAAAAAKBBBBBB", False, 3)])
