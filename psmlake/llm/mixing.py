@@ -119,6 +119,21 @@ def cell_runs(words: np.ndarray, extra: int, width: int, start_hash: np.ndarray)
 CELL = ("at", "a0", "b0", "a1", "b1", "a2", "b2")
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """`docs` with RID, 0 and up within rows that are equal in all columns.
+
+    Equal rows are interchangeable, so whichever gets a number, the rows with their numbers are the same in each run and however the table is split.
+    They are numbered within parts, and parts follow each other, so many equal rows are not one task's.
+    """
+    part, same, n, before = f"part{MARK}", f"same{MARK}", f"n{MARK}", f"before{MARK}"
+    rows = written(docs.withColumn(part, F.spark_partition_id())).withColumn(same, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    counts = rows.groupBy(same, part).agg(F.count("*").alias(n))
+    earlier = Window.partitionBy(same).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(same, part, F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(before))
+    own = F.row_number().over(Window.partitionBy(same, part).orderBy(F.lit(0)))
+    return written(rows.join(counts, [same, part]).withColumn(RID, F.col(before) + own - 1).drop(part, same, before))
+
+
 def _mix(
     docs: DataFrame, text: str, doc_id: str, weights: Sequence[int], share: Fraction, most: int, block_words: int, seed: int, shard_rows: int, max_sources: int, numbered: bool = False
 ) -> DataFrame:
@@ -135,7 +150,7 @@ def _mix(
     placed = placed.withColumn(SHARD, F.pmod(spread, F.col(f"shards{MARK}")).cast("int")).drop(f"shards{MARK}")
     cells = written(placed.groupBy(PLACE, SHARD).agg(F.sum(SIZE).alias("words"), F.count("*").alias("rows")))
     if not numbered and (cells.agg(F.max("rows")).first()[0] or 0) > MOST_IN_CELL * shard_rows:
-        return _mix(written(docs.withColumn(RID, F.monotonically_increasing_id())), text, doc_id, weights, share, most, block_words, seed, shard_rows, max_sources, True).drop(RID)
+        return _mix(_numbered(docs), text, doc_id, weights, share, most, block_words, seed, shard_rows, max_sources, True).drop(RID)
 
     sums = {r[PLACE]: r["words"] for r in cells.groupBy(PLACE).agg(F.sum("words").alias("words")).collect()}
     sizes = [sums.get(i, 0) for i in range(len(sources))]

@@ -469,6 +469,13 @@ def test_mixing_hot_rows(spark):
     assert len(got) == 450 and all(0 <= r.taken <= 2 * r.size for r in got)
 
 
+def test_mix_of_a_hot_cell_is_the_same_however_the_table_is_split(spark):
+    rows = [(i, say(random.Random(i), 5 + i % 30), "en", "hot", 1) for i in range(400)] + [(9, "the same words again and again", "en", "hot", 1)] * 200
+    random.Random(1).shuffle(rows)
+    takes = [sorted((r.doc_id, r.size, r.taken) for r in mixing.mix_plan(frame(spark, rows).repartition(n), shard_rows=5).collect()) for n in (1, 7)]
+    assert takes[0] == takes[1]
+
+
 def test_toxicity_learns_grades_and_holds_out(spark):
     rng = random.Random(2)
     insults = ["rotter", "blackguard", "knave"]
