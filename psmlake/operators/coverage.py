@@ -3,38 +3,24 @@
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
-from functools import partial
+from functools import lru_cache, partial
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.window import Window
 
-from psmlake.functions.peptide import flanks
 from psmlake.operators.annotate import keep_mode
 
-#: Peptides that meet their sequence in one row.
-PEPTIDES = 10_000
-
 
 def normalised_name(name: Column) -> Column:
     """Lower case, no blanks around, no FASTA extension, no closing `_rescored`."""
     return F.regexp_replace(F.regexp_replace(F.lower(F.trim(name)), r"\.(fasta|faa|fa)$", ""), "_rescored$", "")
 
 
-def covered_length(spans: Column) -> Column:
-    """Residues under an array of struct(start, end), end exclusive: sorted once, counted beyond the reach so far."""
-    step = lambda a, s: F.struct(
-        (a["n"] + F.greatest(F.lit(0).cast("long"), s["end"] - F.greatest(a["reach"], s["start"]))).alias("n"), F.greatest(a["reach"], s["end"]).alias("reach")
-    )
-    zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("reach"))
-    return F.aggregate(F.sort_array(spans), zero, step, lambda a: a["n"])
-
-
 def hits(sequence: str, core: str, before: str | None, after: str | None) -> Iterator[int]:
     """Starts (0-based) of all hits of the core, overlapping ones too, whose neighbours are the flanks; a null flank fits anything, the sequence's ends too."""
     at = sequence.find(core) if core else -1
@@ -45,59 +31,87 @@ def hits(sequence: str, core: str, before: str | None, after: str | None) -> Ite
         at = sequence.find(core, at + 1)
 
 
-def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Spans in order, those that touch as one."""
-    out: list[tuple[int, int]] = []
-    for start, end in sorted(spans):
-        if out and start <= out[-1][1]:
-            out[-1] = (out[-1][0], max(end, out[-1][1]))
-        else:
-            out.append((start, end))
-    return out
-
-
-def _spans(batches: Iterator[pa.RecordBatch], names: list[str], kinds: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """For each sequence and sample among its peptides: their number and what they cover."""
-    for batch in batches:
-        out = []
-        for row in batch.to_pylist():
-            peptides, spans = Counter(), defaultdict(list)
-            for p in row["__peptides"]:
-                peptides.update(p["samples"])
-                own = [(at, at + len(p["core"])) for at in hits(row["Sequence"], p["core"], p["before"], p["after"])]
-                for sample in p["samples"] if own else ():
-                    spans[sample] += own
-            for sample, n in peptides.items():
-                joined = merged(spans[sample])
-                whole = row["__parts"] == 1  # else what parts share has to be told apart
-                out.append({**{c: row[c] for c in names}, "sample": sample, "num_pep": n, "n": len(row["Sequence"]), "covered": sum(e - s for s, e in joined), "spans": [] if whole else [{"start": s, "end": e} for s, e in joined]})
-        yield pa.RecordBatch.from_pylist(out, schema=kinds)
+def flanked(peptide: str, compat: bool) -> tuple[str | None, str, str | None]:
+    """What functions.peptide.flanks() says of one peptide, in upper case."""
+    if compat:
+        parts = peptide.split(".")
+        before, core, after = parts if len(parts) == 3 else (None, peptide, None)
+    else:
+        start, end = re.match(r"([A-Za-z\-]?)\.", peptide), re.search(r"\.([A-Za-z\-]?)$", peptide)
+        before, after = (m[1] if m else None for m in (start, end))
+        inner = re.sub(r"\.[A-Z\-]$", "", re.sub(r"^[A-Z\-]\.", "", peptide.strip(" ")))
+        core = re.sub("[^A-Z]", "", inner.upper())
+    known = lambda x: x.upper() if x and x != "-" else None
+    return known(before), core.upper(), known(after)
+
+
+class Proteins:
+    """Reads rows in order of their keys, each key's sequence before its peptides, and gives what each key's samples cover."""
+
+    def __init__(self, names: list[str], schema: pa.Schema, compat: bool):
+        self.names, self.schema = names, schema
+        self.parsed = lru_cache(1 << 16)(partial(flanked, compat=compat))
+        self.key, self.sequence, self.out = None, None, []
+
+    def begin(self, key: tuple, sequence: str | None) -> None:
+        self.key, self.sequence, self.peptides, self.marks = key, sequence, defaultdict(set), {}
+
+    def end(self) -> None:
+        if self.sequence:
+            n = len(self.sequence)
+            for sample, peptides in self.peptides.items():
+                self.out.append((*self.key, sample, len(peptides), 100.0 * self.marks[sample].count(1) / n))
+
+    def peptide(self, sample: object, peptide: str) -> None:
+        own = self.peptides[sample]
+        if peptide in own:
+            return
+        own.add(peptide)
+        mark = self.marks.get(sample)
+        if mark is None:
+            mark = self.marks[sample] = bytearray(len(self.sequence))
+        before, core, after = self.parsed(peptide)
+        cover = b"\x01" * len(core)
+        for at in hits(self.sequence, core, before, after):
+            mark[at : at + len(core)] = cover
+
+    def flushed(self) -> pa.RecordBatch:
+        columns = list(zip(*self.out, strict=True)) or [()] * len(self.schema)
+        self.out = []
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, self.schema.types, strict=True)], schema=self.schema)
+
+    def read(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = zip(*(batch.column(c).to_pylist() for c in self.names), strict=True)
+            for key, sample, body, is_peptide in zip(keys, *(batch.column(c).to_pylist() for c in ("sample", "body", "is_peptide")), strict=True):
+                if key != self.key:
+                    self.end()
+                    self.begin(key, None if is_peptide else body)
+                if is_peptide and self.sequence:
+                    self.peptide(sample, body)
+            yield self.flushed()
+        self.end()
+        yield self.flushed()
 
 
 def coverage(annotated: DataFrame, proteins: DataFrame, mode: str = "all_matches", min_num_pep: int = 2, compat: bool = False, databases: DataFrame | None = None) -> DataFrame:
     """(Protein, sample, num_pep, coverage in percent) from flanked peptides with a positive intensity.
 
-    `proteins`: Protein, Sequence; letters of any case.  Proteins without a sequence are left out.  compat: peptides with a mass in their text cover nothing.
+    `proteins`: Protein, Sequence; letters of any case; of several rows with one id any one counts.  Proteins without a sequence are left out.  compat: peptides with a mass in their text cover nothing.
     `databases` (sample, database): proteins have a database too, and a sample's peptides are sought in its own; samples without one are left out.
-    A sequence is shuffled once and meets its peptides of all samples in rows of PEPTIDES at most; each is sought once, whatever number of samples has it.
+    Sequences and peptides cross one exchange together, by protein; in a task each sequence stands before its peptides, which are marked on it as they
+    come, so a protein of any number of peptides holds no more than its sequence, a mark for each residue and sample, and the peptides' names.
     """
-    rows = keep_mode(annotated.where("intensity > 0"), mode).select("Protein", "sample", "PeptideFlanked")
+    rows = keep_mode(annotated.where("intensity > 0"), mode).select("Protein", "sample", "PeptideFlanked").where("PeptideFlanked IS NOT NULL AND Protein IS NOT NULL")
     keys = ["Protein"]
     if databases is not None:
         rows, keys = rows.join(sample_databases(rows.select("sample").distinct(), databases), "sample"), ["database", "Protein"]
-    sequences = proteins.select(*keys, F.upper("Sequence").alias("Sequence")).where("Sequence <> ''")
-    pairs = rows.groupBy(*keys, "PeptideFlanked").agg(F.collect_set("sample").alias("samples"))
-    f = flanks(F.col("PeptideFlanked"), compat)
-    pairs = pairs.select(*keys, "samples", F.upper(f["core"]).alias("core"), F.upper(f["before"]).alias("before"), F.upper(f["after"]).alias("after"))
-    pairs = pairs.withColumn("__parts", F.ceil(F.count("*").over(Window.partitionBy(*keys)) / PEPTIDES))
-    pairs = pairs.withColumn("__part", F.pmod(F.xxhash64("core", "before", "after"), F.col("__parts")))
-    lists = pairs.groupBy(*keys, "__parts", "__part").agg(F.collect_list(F.struct("core", "before", "after", "samples")).alias("__peptides"))
-    kinds = [(c, sequences.schema[c].dataType) for c in keys] + [("sample", rows.schema["sample"].dataType)]
-    schema = ", ".join(f"`{c}` {t.simpleString()}" for c, t in kinds) + ", num_pep long, n long, covered long, spans array<struct<start: long, end: long>>"
-    arrow = to_arrow_schema(T.StructType.fromDDL(schema))
-    found = lists.join(sequences, keys).select(*keys, "__parts", "__peptides", "Sequence").mapInArrow(partial(_spans, names=keys, kinds=arrow), schema)
-    out = found.groupBy(*keys, "sample").agg(F.sum("num_pep").alias("num_pep"), F.first("n").alias("n"), F.when(F.count("*") == 1, F.first("covered")).alias("covered"), covered_length(F.flatten(F.collect_list("spans"))).alias("united"))
-    out = out.select("Protein", "sample", "num_pep", (100.0 * F.when(F.col("united") > 0, F.col("united")).otherwise(F.coalesce("covered", F.lit(0))) / F.col("n")).alias("coverage"))
+    sample = rows.schema["sample"].dataType
+    sequences = proteins.select(*keys, F.lit(None).cast(sample).alias("sample"), F.upper("Sequence").alias("body"), F.lit(False).alias("is_peptide")).where("body <> ''")
+    both = sequences.unionByName(rows.select(*keys, "sample", F.col("PeptideFlanked").alias("body"), F.lit(True).alias("is_peptide")))
+    together = both.repartition(*keys).sortWithinPartitions(*keys, "is_peptide")
+    kinds = T.StructType([*[both.schema[c] for c in keys], T.StructField("sample", sample), T.StructField("num_pep", T.LongType()), T.StructField("coverage", T.DoubleType())])
+    out = together.mapInArrow(lambda batches, k=to_arrow_schema(kinds): Proteins(keys, k, compat).read(batches), kinds).select("Protein", "sample", "num_pep", "coverage")
     return out.where(F.col("num_pep") >= min_num_pep) if min_num_pep > 1 else out
 
 

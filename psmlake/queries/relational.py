@@ -48,8 +48,8 @@ def coverage_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _own_words(df: DataFrame, *names: str) -> DataFrame:
     """(names, c): each text's different words, letters only; no exchange is needed, as a text is one row."""
-    words = F.array_distinct(F.transform(F.split("text", r"[\x20\x09-\x0D]+"), _letters))
-    return df.select(*names, F.explode(words).alias("c")).where("c <> ''")
+    letters = F.upper(F.regexp_replace("text", r"[^A-Za-z\x20\x09-\x0D]+", ""))
+    return df.select(*names, F.explode(F.array_distinct(F.split(letters, r"[\x20\x09-\x0D]+"))).alias("c")).where("c <> ''")
 
 
 def coverage_of_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:

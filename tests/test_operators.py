@@ -125,9 +125,8 @@ def covered_plainly(rows, proteins):
     return out
 
 
-@pytest.mark.parametrize("most", [3, 10_000])
-def test_coverage_by_brute_force_in_any_parts(spark, monkeypatch, most):
-    monkeypatch.setattr(coverage, "PEPTIDES", most)
+@pytest.mark.parametrize("parts", [1, 7])
+def test_coverage_by_brute_force_in_any_parts(spark, parts):
     rng = np.random.default_rng(3)
     proteins = {f"P{k}": "".join(rng.choice(list("ACKr"), 60 if k else 2000)) for k in range(8)}
     flank = lambda: str(rng.choice(["-", "A", "K"]))
@@ -139,12 +138,25 @@ def test_coverage_by_brute_force_in_any_parts(spark, monkeypatch, most):
             rows += [(p, str(s), peptide) for s in rng.choice(["s", "t", "u"], 2)]
     annotated = spark.createDataFrame([(*r, 1.0) for r in rows] + [("gone", "s", "-.A.-", 1.0), ("P1", "s", "-.C.-", 0.0)], "Protein string, sample string, PeptideFlanked string, intensity double")
     database = spark.createDataFrame([*proteins.items(), ("P9", ""), ("P10", None)], "Protein string, Sequence string")
-    got = {(r.Protein, r.sample): (r.num_pep, r.coverage) for r in coverage.coverage(annotated, database, min_num_pep=1).collect()}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10 if parts > 1 else 10_000)
+    try:
+        got = {(r.Protein, r.sample): (r.num_pep, r.coverage) for r in coverage.coverage(annotated.repartition(parts), database, min_num_pep=1).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     want = covered_plainly(rows, proteins)
     assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
     assert {k: v[1] for k, v in got.items()} == pytest.approx({k: v[1] for k, v in want.items()})
 
 
+@pytest.mark.parametrize("compat", [False, True])
+def test_flanks_of_one_peptide_are_those_of_the_expression(spark, compat):
+    texts = ["K.AC+57.02D.R", "-.ACD.-", "ACD", "k.acd.r", ".ACD.", "K.ACD", "ACD.R", "K.A.C.D.R", " K.ACD.R ", "", "1.ACD.2"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", peptide.flanks(F.col("t"), compat).alias("f")).collect()
+    upper = lambda x: None if x is None else x.upper()
+    # in compat mode only three parts have flanks, and an empty one is none
+    assert {r.t: coverage.flanked(r.t, compat) for r in rows} == {r.t: (upper(r.f.before), upper(r.f.core), upper(r.f.after)) for r in rows}
+
+
 def test_coverage_looks_into_the_sample_s_own_database(spark):
     proteins = spark.createDataFrame([("a", "P", "MKAA"), ("b", "P", "MKAAAAAA"), ("c", "P", "AA")], "database string, Protein string, Sequence string")
     databases = spark.createDataFrame([("one.fasta", "a"), (" TWO_rescored", "b")], "sample string, database string")
