@@ -1,4 +1,4 @@
-"""Keeping learned models: tables as Parquet, figures as JSON, boosted trees as arrays; the kind is checked on reading."""
+"""Keeping learned models: tables as Parquet, figures as JSON, boosted trees by Spark's own writer; the kind is checked on reading."""
 
 from __future__ import annotations
 
@@ -8,9 +8,9 @@ from dataclasses import asdict
 from pathlib import Path
 
 import numpy as np
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import SparkSession
 
-from psmlake.operators.boosting import Boosted, Tree
 from psmlake.operators.engineer import FeatureModel
 from psmlake.operators.rt import RtModel
 
@@ -53,20 +53,12 @@ def load_rt(folder: str | Path) -> RtModel:
     return RtModel(np.array(head["x"]), np.array(head["y"]), tuple(head["tails"]), head["offsets"], head["bias"], head["mad"], classes)
 
 
-def save_members(models: Sequence[Boosted], names: Sequence[str], folder: str | Path) -> None:
-    Path(folder).mkdir(parents=True, exist_ok=True)
+def save_members(models: Sequence[GBTClassificationModel], names: Sequence[str], folder: str | Path) -> None:
     for m, model in enumerate(models):
-        trees = {f"{part}{k}": getattr(tree, part) for k, tree in enumerate(model.trees) for part in ("column", "cut", "split", "value")}
-        edges = {f"edges{k}": e for k, e in enumerate(model.edges)}
-        np.savez_compressed(Path(folder) / f"member{m}.npz", base=model.base, gains=model.gains, **trees, **edges)
-    _write_head(folder, {"kind": "ensemble", "members": len(models), "features": list(names), "trees": [len(m.trees) for m in models]})
+        model.write().overwrite().save(str(Path(folder) / f"member{m}"))
+    _write_head(folder, {"kind": "ensemble", "members": len(models), "features": list(names)})
 
 
-def load_members(folder: str | Path) -> tuple[list[Boosted], list[str]]:
+def load_members(folder: str | Path) -> tuple[list[GBTClassificationModel], list[str]]:
     head = _head(folder, "ensemble")
-    out = []
-    for m, n in enumerate(head["trees"]):
-        with np.load(Path(folder) / f"member{m}.npz") as held:
-            trees = [Tree(*(held[f"{part}{k}"] for part in ("column", "cut", "split", "value"))) for k in range(n)]
-            out.append(Boosted([held[f"edges{k}"] for k in range(len(head["features"]))], float(held["base"]), trees, held["gains"]))
-    return out, head["features"]
+    return [GBTClassificationModel.load(str(Path(folder) / f"member{m}")) for m in range(head["members"])], head["features"]

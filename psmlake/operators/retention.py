@@ -1,7 +1,7 @@
 """Retention times of one sample's peptides, in NumPy: fitted where the sample's rows lie, so samples and folds are calibrated at once.
 
-A modification's shift is learned from pairs with the unmodified sequence.  The retention score is warped onto the gradient by a smoothed, rising curve, the
-warped score is smoothed again without outliers, and boosted trees learn what is left from the peptide's make-up.
+A modification's shift is learned from pairs with the unmodified sequence.  The retention score is warped onto the gradient by a smoothed, rising curve, and the
+warped score is smoothed again without outliers.  What is left is rt.fit_residuals()'s to learn.
 """
 
 from __future__ import annotations
@@ -12,22 +12,11 @@ from dataclasses import dataclass, field
 import numpy as np
 
 from psmlake.functions import peptide as pep
-from psmlake.operators import boosting
 from psmlake.operators.rt import FEWEST_IN_CLASS, FEWEST_PAIRS, FEWEST_POINTS, HUBER, LEAST_MAD, OFFSETS, OUTLIER_IQR, lowess, rising
 
 LENGTHS = np.array([7, 11, 16, 100])
-RESIDUES = "ACDEFGHIKLMNPQRSTVWY"
-#: Fixed values, masses of the modifications that shift retention.
-MASSES = {"oxidation": 15.9949, "phospho": 79.9663, "deamidation": 0.9840, "acetyl": 42.0106, "ac_no_tmt": -187.1524}
-#: Fixed values by number of rows: trees, depth, step, row and column shares, smallest leaf, least gain, penalties, patience.
-TIERS = (
-    (75_000, boosting.Settings(800, 6, 0.03, 0.80, 0.80, 10, 0.10, 0.05, 1.0, 100)),
-    (25_000, boosting.Settings(600, 5, 0.04, 0.80, 0.80, 7, 0.10, 0.10, 1.0, 80)),
-    (0, boosting.Settings(400, 4, 0.05, 0.75, 0.75, 10, 0.20, 0.20, 2.0, 50)),
-)
 VOID_SHARE, FEWEST_FOR_VOID, VOID = 2, 10, 0.5
 LARGEST_SHARE, TAIL_SHARE = 0.25, 0.1
-HELD_OUT = (0.1, 500, 5000)
 
 
 @dataclass
@@ -132,44 +121,6 @@ def _smooth(x: np.ndarray, y: np.ndarray) -> Curve:
     return Curve(*lowess(x, y, float(np.clip(30 / len(x), 0.08, LARGEST_SHARE))))
 
 
-def make_up(rows: Peptides, warped: np.ndarray) -> np.ndarray:
-    """Features of what the curve cannot know: length, charge, residue shares, both ends, hydropathy of the whole and of its parts, modifications."""
-    n = np.array([max(1, len(c)) for c in rows.core], float)
-    names, at = np.unique(rows.core, return_inverse=True)
-    fixed = np.zeros((len(names), 20 + 40 + 6))
-    scale = {r: v for r, v in pep.KYTE_DOOLITTLE.items()}
-    for i, core in enumerate(names):
-        for j, r in enumerate(RESIDUES):
-            fixed[i, j] = core.count(r) / max(1, len(core))
-        if core:
-            for end, shift in ((core[0], 20), (core[-1], 40)):
-                if end in RESIDUES:
-                    fixed[i, shift + RESIDUES.index(end)] = 1
-        h = np.array([scale.get(r, np.nan) for r in core])
-        half = len(core) // 2
-        parts = (h, h[:3], h[-3:], h[: max(1, half)], h[half:])
-        means = [float(np.nanmean(p)) if np.isfinite(p).any() else 0.0 for p in parts]
-        fixed[i, 60:] = [means[0], float(np.nanstd(h)) if np.isfinite(h).any() else 0.0, *means[1:]]
-    mass = rows.mods @ np.array([MASSES[m] for m in pep.RT_MODIFICATIONS])
-    letters = np.array([max(1, len(re.sub("[^A-Z]", "", t))) for t in rows.text], float)
-    own = np.stack([warped, n, n**2, rows.charge, rows.charge * n], 1)
-    return np.concatenate([own, fixed[at], rows.mods.sum(1)[:, None], mass[:, None], (mass / letters)[:, None], rows.mods], 1)
-
-
-def weights(residual: np.ndarray, score: np.ndarray | None) -> np.ndarray:
-    """0.5 to 1 by the rank of the row's score, less for residuals beyond their 95th percentile; mean 1."""
-    out = np.ones(len(residual))
-    if score is not None:
-        order = np.argsort(np.nan_to_num(score), kind="stable")
-        rank = np.empty(len(order))
-        rank[order] = np.arange(len(order))
-        out *= 0.5 + rank / (2 * max(1, len(order) - 1))
-    cap = float(np.percentile(np.abs(residual), 95))
-    if cap > 0:
-        out *= np.where(np.abs(residual) > cap, cap / np.maximum(np.abs(residual), 1e-6), 1.0)
-    return out / out.mean()
-
-
 @dataclass
 class Calibration:
     warp: Curve | None
@@ -177,12 +128,10 @@ class Calibration:
     bias: float
     mad: float
     class_mad: dict[int, float]
-    trees: boosting.Boosted | None
 
     def predict(self, rows: Peptides) -> np.ndarray:
         warped = self.warp.at(rows.score) if self.warp else rows.score
-        rest = self.trees.raw(make_up(rows, warped)) if self.trees else 0.0
-        return np.interp(warped, self.curve.x, self.curve.y) + self.bias + rest
+        return np.interp(warped, self.curve.x, self.curve.y) + self.bias
 
     def chance(self, rows: Peptides, error: np.ndarray) -> np.ndarray:
         """exp(-error / usual error of the row's class), the error three usual ones at most."""
@@ -190,14 +139,14 @@ class Calibration:
         return np.exp(-np.minimum(np.abs(error), 3 * self.mad) / own)
 
 
-def calibrate(rows: Peptides, time: np.ndarray, score: np.ndarray | None = None, seed: int = 42) -> Calibration | None:
+def calibrate(rows: Peptides, time: np.ndarray) -> Calibration | None:
     """The calibration of targets with valid times, or None with too few points."""
     positive = time[time > 0]
     void = float(np.percentile(positive, VOID_SHARE)) if len(positive) >= FEWEST_FOR_VOID else VOID
     keep = np.flatnonzero(np.isfinite(time) & (time >= void) & np.isfinite(rows.score))
     if len(keep) < FEWEST_POINTS:
         return None
-    rows, time, score = rows.take(keep), time[keep], None if score is None else score[keep]
+    rows, time = rows.take(keep), time[keep]
     y = time - rows.mods @ offsets(rows, time)
     warp = _warp(rows.score, y)
     x = warp.at(rows.score) if warp else rows.score
@@ -213,14 +162,10 @@ def calibrate(rows: Peptides, time: np.ndarray, score: np.ndarray | None = None,
     spread = lambda r: float(np.median(np.abs(r - np.median(r))))
     kinds = rows.classes()
     by_class = {int(c): max(LEAST_MAD, spread(residual[kinds == c])) for c in np.unique(kinds) if (kinds == c).sum() >= FEWEST_IN_CLASS}
-    share, least, most = HELD_OUT
-    held = min(max(int(share * len(y)), least), most)
-    settings = next(s for n, s in TIERS if len(y) >= n)
-    trees = boosting.regressor(make_up(rows, x), residual, weights(residual, score), settings, seed, held)
-    return Calibration(warp, curve, bias, spread(residual), by_class, trees)
+    return Calibration(warp, curve, bias, spread(residual), by_class)
 
 
-def time_features(rows: Peptides, observed: np.ndarray, is_target: np.ndarray, valid: np.ndarray, calibration: Calibration | None, fallback: np.ndarray) -> dict[str, np.ndarray]:
+def time_features(rows: Peptides, observed: np.ndarray, valid: np.ndarray, calibration: Calibration | None, fallback: np.ndarray) -> dict[str, np.ndarray]:
     """predicted_rt, rt_match_prob, and what is left of the observed time; rows without a valid time get neutral values."""
     if calibration:
         predicted = calibration.predict(rows)
@@ -230,8 +175,7 @@ def time_features(rows: Peptides, observed: np.ndarray, is_target: np.ndarray, v
     delta = np.clip(observed - predicted, -100, 100)
     known = valid & np.isfinite(delta)
     size = np.abs(delta)
-    pool = known & is_target if (known & is_target).sum() > 10 else known
-    cap = float(np.quantile(size[pool], 0.90)) if pool.sum() > 10 else 40.0
+    cap = float(np.quantile(size[known], 0.90)) if known.sum() > 10 else 40.0  # of targets and decoys alike, so that no label enters
     return {
         "predicted_rt": predicted,
         "rt_match_prob": match,

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from psmlake.functions import arrays, peptide
-from psmlake.operators import engineer, folds, lineage, qc, rescore, rt, spectral
+from psmlake.functions import arrays, chem, peptide
+from psmlake.operators import engineer, folds, fragments, lineage, qc, rescore, rt, spectral
 from psmlake.queries.adapters import PSM_SQL, psm, rounded, table
 
 
@@ -112,6 +112,22 @@ def spectral_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spectral.extract(rows, spectra, tolerance=0.5)
 
 
+def fragment_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matched ions, coverages and intensities of every PSM, by joins alone."""
+    rows, spectra = _spectra(spark, sf_dir)
+    key = ["sample", *PEP_TIE]
+    out = fragments.match_figures(rows.select(*key), spectra, key, tolerance=0.5)
+    return rounded(out, *[c for c in out.columns if c not in key and not c.startswith("num_")], digits=9)
+
+
+def isotope_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings as survey spectra, a peak near every half isotope step; precursors somewhere among them."""
+    rows = table(spark, sf_dir, "embeddings")
+    peaks = rows.select("vec_id", F.posexplode("embedding").alias("i", "e")).select("vec_id", (400 + F.col("i") * 0.5016775 + F.pmod(F.col("vec_id") * F.col("i"), F.lit(7)) * 0.006 - 0.015).alias("mz"), F.abs(F.col("e").cast("double") * 1000).alias("intensity"))
+    precursors = rows.select("vec_id", (400 + F.col("vec_id") % 40 * 0.5016775).alias("precursor_mz"), (F.col("vec_id") % 3 + 1).cast("int").alias("Charge"))
+    return rounded(fragments.isotope_figures(precursors, peaks, ("vec_id",)), "isotope_pattern_score", "chimeric_indicator", digits=5)
+
+
 def retention_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A calibration on times that follow the retention score, and how well it tells them."""
     rows = _peptides(spark, sf_dir)
@@ -130,15 +146,34 @@ def rescoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return before.select("sample", F.lit("before").alias("stage"), "auc").unionByName(after.select("sample", F.lit("after").alias("stage"), "auc"))
 
 
-QUERIES = {f.__name__: f for f in (residue_features, rank_gaps, row_features, learned_peptides, coelution_density, fold_balance, spectrum_figures, longest_runs, carried_ms1, spectral_features, retention_model, rescoring)}
+QUERIES = {f.__name__: f for f in (residue_features, rank_gaps, row_features, learned_peptides, coelution_density, fold_balance, spectrum_figures, longest_runs, carried_ms1, spectral_features, fragment_matches, isotope_figures, retention_model, rescoring)}
 
 _PEP = f"""{PSM_SQL}, pep0 AS (SELECT sample, Scan, Charge, 'K.' || translate(Peptide, '0123456789', 'KRPMSTYLFW') || 'AGIDEVKPR.A' AS Peptide, translate(Peptide, '0123456789', 'KRPMSTYLFW') || 'AGIDEVKPR' AS core, Protein, is_decoy, score AS MSGFScore, tax * 100 - 4 AS DelM_PPM,
  ParentIonIntensity, tax, pow(10.0, -score / 4) AS e, ParentIonIntensity / 1000 AS t, score * 20 AS mz, Scan % 2 AS half FROM psm), pep AS (SELECT *, -log10(e) AS s, length(core) AS len FROM pep0)"""
 _KD = "CASE r WHEN 'A' THEN 1.8 WHEN 'R' THEN -4.5 WHEN 'N' THEN -3.5 WHEN 'D' THEN -3.5 WHEN 'C' THEN 2.5 WHEN 'Q' THEN -3.5 WHEN 'E' THEN -3.5 WHEN 'G' THEN -0.4 WHEN 'H' THEN -3.2 WHEN 'I' THEN 4.5 WHEN 'L' THEN 3.8 WHEN 'K' THEN -3.9 WHEN 'M' THEN 1.9 WHEN 'F' THEN 2.8 WHEN 'P' THEN -1.6 WHEN 'S' THEN -0.8 WHEN 'T' THEN -0.7 WHEN 'W' THEN -0.9 WHEN 'Y' THEN -1.3 WHEN 'V' THEN 4.2 END::DOUBLE"
 _RC = "CASE r " + " ".join(f"WHEN '{r}' THEN {v}" for r, v in peptide.RETENTION.items()) + " ELSE 0 END::DOUBLE"
+_MASS = "CASE r " + " ".join(f"WHEN '{r}' THEN {v}" for r, v in chem.RESIDUES.items()) + " ELSE 0 END::DOUBLE"
 _DAY = "(epoch_us(ts) % 86400000000) / 6e7"
 
 SQL = {
+    "fragment_matches": f"""WITH {_PEP}, c AS (SELECT DISTINCT core, len FROM pep), r AS (SELECT core, len, i, substr(core, i, 1) AS r FROM (SELECT core, len, unnest(range(1, len + 1)) AS i FROM c)),
+        s AS (SELECT core, len, i, sum({_MASS}) OVER (PARTITION BY core ORDER BY i) AS s, sum({_MASS}) OVER (PARTITION BY core) AS whole FROM r),
+        ions AS (SELECT * FROM (SELECT core, 'b' AS kind, i AS number, s + {chem.PROTON} AS mz FROM s WHERE i < len UNION ALL SELECT core, 'y', len - i, whole - s + {chem.WATER} + {chem.PROTON} FROM s WHERE i < len) WHERE mz > 100),
+        peaks AS (SELECT Scan, 100 + k * 7.3::DOUBLE + (Scan * k % 97) / 10.0::DOUBLE AS p, 10.0::DOUBLE + Scan * k * k % 1013 AS h, k FROM (SELECT DISTINCT Scan FROM pep), range(1, 121) t(k)),
+        own AS (SELECT DISTINCT Scan, core FROM pep), tic AS (SELECT Scan, sum(h) AS tic FROM peaks GROUP BY Scan),
+        hits AS (SELECT own.Scan, core, kind, number, h FROM own JOIN ions USING (core) JOIN peaks ON peaks.Scan = own.Scan AND abs(p - mz) <= 0.5
+            QUALIFY row_number() OVER (PARTITION BY own.Scan, core, kind, number ORDER BY p < mz DESC, CASE WHEN p < mz THEN -p ELSE p END, CASE WHEN p < mz THEN -k ELSE k END) = 1),
+        f AS (SELECT Scan, core, count(*) FILTER (kind = 'b') AS nb, count(*) FILTER (kind = 'y') AS ny, coalesce(sum(h) FILTER (kind = 'b'), 0) AS ib, coalesce(sum(h) FILTER (kind = 'y'), 0) AS iy FROM hits GROUP BY ALL),
+        n AS (SELECT core, count(*) FILTER (kind = 'b') AS b, count(*) FILTER (kind = 'y') AS y FROM ions GROUP BY core),
+        a AS (SELECT pep.*, b, y, tic, coalesce(nb, 0) AS nb, coalesce(ny, 0) AS ny, coalesce(ib, 0) AS ib, coalesce(iy, 0) AS iy FROM pep JOIN n USING (core) JOIN tic USING (Scan) LEFT JOIN f USING (Scan, core))
+        SELECT sample, Scan, Charge, Peptide, Protein, ParentIonIntensity, tax, nb AS num_matched_b_ions, ny AS num_matched_y_ions, nb + ny AS num_matched_ions_total, round(nb / greatest(b, 1), 9) AS b_ion_coverage, round(ny / greatest(y, 1), 9) AS y_ion_coverage,
+        round((nb + ny) / greatest(b + y, 1), 9) AS total_ion_coverage, round(tic, 9) AS total_ion_current, round((ib + iy) / greatest(tic, 1), 9) AS matched_intensity_fraction, round((ib + iy) / greatest(nb + ny, 1), 9) AS mean_matched_ion_intensity,
+        round(ib / greatest(iy, 1), 9) AS b_to_y_intensity_ratio, round(iy / greatest(ib + iy, 1), 9) AS y_to_total_ratio FROM a""",
+    "isotope_figures": f"""WITH p AS (SELECT vec_id, 400 + i * 0.5016775::DOUBLE + (vec_id * i % 7) * 0.006::DOUBLE - 0.015::DOUBLE AS mz, abs(e::DOUBLE * 1000) AS h FROM (SELECT vec_id, unnest(embedding) AS e, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings)),
+        t AS (SELECT vec_id, 400 + (vec_id % 40) * 0.5016775::DOUBLE AS m, vec_id % 3 + 1 AS z, k, 400 + (vec_id % 40) * 0.5016775::DOUBLE + k * ({chem.ISOTOPE_STEP}::DOUBLE / (vec_id % 3 + 1)) AS w FROM embeddings, range(0, 3) r(k)),
+        s AS (SELECT vec_id, m, z, k, h, abs(mz - w) AS off FROM t JOIN p USING (vec_id) QUALIFY row_number() OVER (PARTITION BY vec_id, k ORDER BY abs(mz - w), mz) = 1),
+        i AS (SELECT vec_id, m, z, coalesce(max(h) FILTER (k = 0 AND off < 0.02), 0) AS a, coalesce(max(h) FILTER (k = 1 AND off < 0.02), 0) AS b, coalesce(max(h) FILTER (k = 2 AND off < 0.02), 0) AS c FROM s GROUP BY ALL)
+        SELECT vec_id, round(CASE WHEN a <> 0 THEN greatest(0.0, least(1.0, 1 - abs(b / (a + 1e-10) - least(0.0011 * m * z, 0.8)))) ELSE 0.0 END, 5) AS isotope_pattern_score, CASE WHEN a <> 0 AND c / (b + 1e-10) > 1.5 THEN 1.0 ELSE 0.0 END AS chimeric_indicator FROM i""",
     "residue_features": f"""WITH {_PEP}, d AS (SELECT DISTINCT Peptide, core FROM pep), r AS (SELECT Peptide, unnest(string_split(core, '')) AS r FROM d)
         SELECT d.Peptide, length(core) AS n, len(regexp_extract_all(core, '[KRH]')) AS basic, len(regexp_extract_all(core, '[DE]')) AS acidic,
         greatest(0, len(regexp_extract_all(core, '[KR]')) - len(regexp_extract_all(core, '[KR]P')) - 1) AS missed, CAST(regexp_matches(core, '[KR]P') AS INT) AS kp, round(h, 6) AS hydropathy
@@ -154,7 +189,7 @@ SQL = {
         round(avg(Charge * abs(DelM_PPM)), 6) AS charge_x_mass_error, round(avg(Charge / len), 6) AS charge_to_length_ratio, round(avg(ln(1 + c)), 6) AS log_n_psms_in_scan, round(avg(d), 6) AS delta_score, round(avg(greatest(0.0, least(1.0, d / (abs(a) + 1e-8)))), 6) AS delta_score_norm,
         CAST(max(dr) AS INT) AS ranks, CAST(sum(CASE WHEN d = -1.0 THEN 1 ELSE 0 END) AS BIGINT) AS singletons, CAST(sum(CASE WHEN regexp_matches(core, '[KR]$') THEN 1 ELSE 0 END) AS BIGINT) AS tryptic FROM f GROUP BY sample""".replace("{kd}", _KD),
     "learned_peptides": f"""WITH {_PEP}, tr AS (SELECT * REPLACE (1 - half AS half), CASE WHEN len <= 7 THEN 's' WHEN len <= 11 THEN 'm' WHEN len <= 16 THEN 'l' ELSE 'xl' END AS bin FROM pep),
-        m AS (SELECT sample, half, Peptide, is_decoy, max(s) AS best, count(s) AS n, coalesce(stddev_samp(s), 0) AS sd, count(DISTINCT Charge) AS z FROM tr GROUP BY ALL), f AS (SELECT sample, half, is_decoy, quantile_cont(s, 0.25) AS q FROM tr GROUP BY ALL),
+        m AS (SELECT sample, half, Peptide, max(s) AS best, count(s) AS n, coalesce(stddev_samp(s), 0) AS sd, count(DISTINCT Charge) AS z FROM tr GROUP BY ALL), f AS (SELECT sample, half, quantile_cont(s, 0.25) AS q FROM tr GROUP BY ALL),
         p AS (SELECT sample, half, Peptide, count(s) AS n, max(s) AS best, median(s) AS med FROM tr WHERE is_decoy = 0 GROUP BY ALL), u AS (SELECT sample, half, median(s) AS med, quantile_cont(s, 0.75) AS best FROM tr WHERE is_decoy = 0 GROUP BY ALL),
         c AS (SELECT sample, half, Charge, median(abs(DelM_PPM)) AS em, stddev_pop(abs(DelM_PPM)) AS es, median(mz) AS mm, stddev_pop(mz) AS ms FROM tr GROUP BY ALL),
         i AS (SELECT sample, half, median(ln(1 + ParentIonIntensity)) AS li, quantile_cont(t, 0.02) FILTER (t > 0) AS void, median(mz) AS mz_all FROM tr GROUP BY ALL), late AS (SELECT tr.* FROM tr JOIN i USING (sample, half) WHERE t >= void),
@@ -167,7 +202,7 @@ SQL = {
         h AS (SELECT core, avg({{rc}}) AS hyd FROM (SELECT core, unnest(string_split(core, '')) AS r FROM (SELECT DISTINCT core FROM pep)) GROUP BY core),
         j AS (SELECT own.*, coalesce(m.best, f.q, 0) AS b1, ln(1 + coalesce(m.n, 0)) AS b2, coalesce(m.sd, 0) AS b3, coalesce(m.z, 1) AS b4, coalesce(p.best, u.best, 0) AS b5, coalesce(p.med, u.med, 0) AS b6, coalesce(p.best / (greatest(p.n, 1) + 1e-6), 0) AS b7, least(5, coalesce(p.n, 1)) AS b8,
             abs((abs(DelM_PPM) - coalesce(em, 0)) / (coalesce(es, 1) + 1e-6)) AS b9, (mz - coalesce(mm, mz_all)) / (coalesce(ms, 1) + 1e-6) AS b10, ln(1 + ParentIonIntensity) - li AS b11, coalesce(share, 0.5) AS b12, own.t >= void AS ok, abs(own.t - coalesce(pm, g.med)) AS b13, abs(own.t - coalesce(cm, g.med)) AS b14, dens.n AS b15, hyd
-            FROM own LEFT JOIN m USING (sample, half, Peptide, is_decoy) LEFT JOIN f USING (sample, half, is_decoy) LEFT JOIN p USING (sample, half, Peptide) LEFT JOIN u USING (sample, half) LEFT JOIN c USING (sample, half, Charge) LEFT JOIN i USING (sample, half)
+            FROM own LEFT JOIN m USING (sample, half, Peptide) LEFT JOIN f USING (sample, half) LEFT JOIN p USING (sample, half, Peptide) LEFT JOIN u USING (sample, half) LEFT JOIN c USING (sample, half, Charge) LEFT JOIN i USING (sample, half)
             LEFT JOIN rk USING (id) LEFT JOIN g USING (sample, half) LEFT JOIN pt USING (sample, half, Peptide) LEFT JOIN ct USING (sample, half, Charge) LEFT JOIN dens USING (id) LEFT JOIN h USING (core))
         SELECT sample, is_decoy, round(avg(b1), 5) AS pep_best_specev, round(avg(b2), 5) AS pep_n_observations, round(avg(b3), 5) AS pep_score_consistency, round(avg(b4), 5) AS pep_charge_diversity, round(avg(s - b1), 5) AS pep_score_relative_to_best, round(avg(b5), 5) AS peptide_best_score, round(avg(b6), 5) AS peptide_median_score,
         round(avg(b7), 5) AS peptide_reliability, round(avg(b9), 5) AS mass_error_zscore, round(avg(b10), 5) AS precursor_mz_deviation, round(avg(b11), 5) AS relative_parent_intensity, round(avg(b12), 5) AS "specEval_pctrank_in_class", round(avg(ok::INT), 5) AS rt_is_valid,

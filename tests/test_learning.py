@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from psmlake.operators import boosting, engineer, persist, qc, rescore, retention, rt
+from psmlake.operators import engineer, persist, qc, rescore, retention, rt
 from psmlake.plans import rescoring
 
 
@@ -86,51 +86,51 @@ def test_feature_model_round_trip(spark, tmp_path):
     assert sorted(map(tuple, engineer.transform(rows, model).select(*names).collect())) == sorted(map(tuple, engineer.transform(rows, again).select(*names).collect()))
 
 
-def test_class_weight_and_tiers():
-    assert rescore.class_weight(50, 55, 0.9) == 1.0  # as good as even
-    assert rescore.class_weight(50, 60, 0.9) == 1.2
-    assert rescore.class_weight(10, 90, 0.9) == 9.0
-    assert rescore.class_weight(10, 90, 0.6) == 1.0  # labels that the score hardly tells apart
+def test_tiers_and_trimmed_mean(spark):
     assert rescore.tier(120_000).depth == 7 and rescore.tier(60_000).depth == 6 and rescore.tier(10).depth == 5
-    assert rescore.trimmed_mean(np.array([[0.0], [1], [1], [1], [1], [1], [9]])).tolist() == [1.0]
-
-
-def test_sample_weights_by_hand():
-    target = np.array([True, True, True, False])
-    got = rescore.sample_weights(target, 0.9, np.array([1, 0, 1, 0]), np.array([2.0, 2.0, -1.0, 0.0]), np.array([0.0, 0.0, 4.0, 9.0]))
-    scale = np.percentile([2.0, 2.0, -1.0], 90)
-    near = lambda d: 0.7 + 0.3 * (np.tanh(d / scale) + 1) / 2
-    assert got == pytest.approx([near(2.0), 0.5 * near(2.0), near(-1.0) * np.exp(-0.6), 1.0])
-    noise = 0.6 / 0.75
-    floor = 0.7 + 0.3 * (1 - noise)
-    softer = rescore.sample_weights(target, 0.6, np.array([1, 0, 1, 0]), None, np.array([0.0, 0.0, 40.0, 9.0]))
-    assert softer == pytest.approx([1.0, 0.5 + 0.5 * (1 - noise), max(0.3, np.exp(-0.15 * noise * 10)), 1.0])
-    assert floor > 0.7
-
-
-def test_boosted_trees_learn_and_keep(tmp_path):
+    row = spark.createDataFrame([(0.0, 1.0, 9.0)], "a double, b double, c double")
+    assert row.select(rescore.trimmed_mean([F.col(c) for c in "abbbbbc"]).alias("m")).first().m == 1.0
+    assert row.select(rescore.trimmed_mean([F.col(c) for c in "abc"]).alias("m")).first().m == pytest.approx(10 / 3)
+
+
+def weights_by_hand(target, auc, gap, error):
+    """Each row's weight before the mean is taken out."""
+    noise = auc / 0.75 if auc < 0.75 else 1.0
+    floor, scale = 0.7 + 0.3 * (1 - noise), max(np.percentile(gap[target], 90, method="inverted_cdf"), 1e-6)
+    w = (floor + (1 - floor) * (np.tanh(gap / scale) + 1) / 2) * np.exp(-0.15 * noise * np.clip(error, 0, 10))
+    share = (~target).sum() / target.sum()
+    return np.where(target, np.clip(w, 0.3, 2) * (1.0 if auc < 0.7 or abs(share - 1) < 0.15 else share), 1.0)
+
+
+@pytest.mark.parametrize("spread", [6.0, 1.2, 0.2])
+def test_weights_by_hand(spark, spread):
+    rng = np.random.default_rng(4)
+    target = rng.random(400) < 0.7
+    score = rng.normal(size=400) + spread * 0.3 * target
+    gap, error = rng.normal(1, 1, 400).round(3), rng.normal(1, 4, 400).round(3)
+    rows = [("s", 0, i, int(not t), float(s), float(g), float(e)) for i, (t, s, g, e) in enumerate(zip(target, score, gap, error, strict=True))]
+    df = spark.createDataFrame(rows, f"sample string, k int, __row long, is_decoy int, {engineer.SCORE} double, delta_score double, mass_error_zscore double")
+    auc = np.mean([(a > b) + 0.5 * (a == b) for a in score[target] for b in score[~target]])
+    got = rescore.with_weights(df).orderBy("__row").toPandas().weight.to_numpy()
+    want = weights_by_hand(target, auc, gap, error)
+    assert np.allclose(got, want / want.mean())
+
+
+def test_members_are_kept(spark, tmp_path):
     rng = np.random.default_rng(0)
-    x = rng.normal(size=(3000, 6))
-    told = x[:, 0] + x[:, 1] * x[:, 2]
-    y = (told + 0.5 * rng.normal(size=3000) > 0).astype(int)
-    s = boosting.Settings(300, 4, 0.1, 0.8, 0.8, 5, 0.1, 0.1, 1.0, 20)
-    model = boosting.classifier(x[:2000], y[:2000], np.ones(2000), s, 1)
-    assert boosting.roc_auc(y[2000:], model.raw(x[2000:])) > 0.85 and len(model.trees) < 300
-    assert model.importance()[:3].min() > model.importance()[3:].max()
-    lone = boosting.regressor(x[:2000], told[:2000], np.ones(2000), s, 1, 300)
-    assert np.abs(lone.raw(x[2000:]) - told[2000:]).mean() < 0.5 * np.abs(told[2000:]).mean()
-    persist.save_members([model, lone], list("abcdef"), tmp_path)
-    (again, other), names = persist.load_members(tmp_path)
-    assert names == list("abcdef") and np.allclose(again.raw(x), model.raw(x)) and np.allclose(other.raw(x), lone.raw(x))
-    flat = boosting.classifier(np.zeros((50, 2)), np.arange(50) % 2, np.ones(50), s, 1)
-    assert not flat.trees and (boosting.chance(flat.raw(np.zeros((3, 2)))) == 0.5).all()
-
-
-def test_auc_against_pairs():
-    rng = np.random.default_rng(1)
-    y, s = rng.integers(0, 2, 60), rng.integers(0, 8, 60).astype(float)
-    pairs = [(a > b) + 0.5 * (a == b) for a in s[y == 1] for b in s[y == 0]]
-    assert boosting.roc_auc(y, s) == pytest.approx(np.mean(pairs))
+    rows = [("s", 0, i, False, int(x + 0.5 * rng.normal() < 0), True, 1.0, [float(x), float(rng.normal())]) for i, x in enumerate(rng.normal(size=600))]
+    df = spark.createDataFrame(rows, "sample string, k int, __row long, test boolean, is_decoy int, told boolean, weight double, x array<double>")
+    df = df.withColumn("features", rescore.array_to_vector("x"))
+    models = rescore.fitted(df, 2, 1, most_trees=3)
+    persist.save_members(models, ["x", "noise"], tmp_path)
+    again, names = persist.load_members(tmp_path)
+    assert names == ["x", "noise"] and len(again) == 2
+    a, b = ({r["__row"]: r.rescore_prob for r in rescore.scored(df, m).collect()} for m in (models, again))
+    assert a == b
+    assert models[0].featureImportances[0] > models[0].featureImportances[1]
+    few = rescore.fitted(df, 1, 1, most_rows=100, most_trees=2)
+    assert len(few) == 1
+    assert {r.rescore_prob for r in rescore.scored(df.withColumn("told", F.lit(False)), models).collect()} == {0.5}
 
 
 def peptides_of(n, seed=3):
@@ -153,11 +153,10 @@ def test_calibration_learns_shifts_and_times():
     rows, time = peptides_of(800)
     learned = dict(zip(retention.pep.RT_MODIFICATIONS, retention.offsets(rows, time), strict=True))
     assert learned["oxidation"] == pytest.approx(-2.5, abs=0.2) and learned["phospho"] == -5.0
-    model = retention.calibrate(rows, time, seed=1)
+    model = retention.calibrate(rows, time)
     error = np.abs(model.predict(rows) - (time - rows.mods @ np.array(list(learned.values()))))
     assert np.median(error) < 0.6
     assert retention.calibrate(rows.take(np.arange(20)), time[:20]) is None
-    assert retention.make_up(rows, rows.score).shape == (len(rows), 5 + 66 + 3 + 5)
 
 
 def test_time_features_by_hand():
@@ -166,27 +165,41 @@ def test_time_features_by_hand():
     observed = np.arange(n, dtype=float)
     observed[0] = np.nan
     valid = np.arange(n) > 2
-    got = retention.time_features(rows, observed, np.ones(n, bool), valid, None, np.full(n, 10.0))
+    got = retention.time_features(rows, observed, valid, None, np.full(n, 10.0))
     assert (got["rt_match_prob"] == 0.5).all() and (got["rt_delta"][:3] == 0).all() and got["rt_delta"][20] == 10
     cap = np.quantile(np.abs(observed[3:] - 10), 0.9)
     assert got["abs_rt_delta"].max() == pytest.approx(cap) and np.isnan(got["raw_rt_delta"][:3]).all()
-    few = retention.time_features(rows.take(np.arange(5)), np.array([1.0, 90, 5, 5, 5]), np.ones(5, bool), np.ones(5, bool), None, np.zeros(5))
+    few = retention.time_features(rows.take(np.arange(5)), np.array([1.0, 90, 5, 5, 5]), np.ones(5, bool), None, np.zeros(5))
     assert few["abs_rt_delta"].tolist() == [1, 40, 5, 5, 5]
 
 
-def test_samples_are_rescored_by_themselves(spark):
-    """A sample's scores do not depend on the others, and scans of one number in two samples are two scans."""
+def test_scans_of_one_number_in_two_samples_are_two_scans(spark):
     one = psms(spark, 240)
     other = psms(spark, 240, seed=9).withColumn("sample", F.lit("t")).withColumn("psm_id", F.col("psm_id") + 1000)
-    alone, _ = rescore.cross_validated(one, 2, 1, most_trees=10)
-    both, importance = rescore.cross_validated(one.unionByName(other), 2, 1, most_trees=10)
-    a = {r.psm_id: (r.rescore_prob, r.predicted_rt, r.fold) for r in alone.collect()}
-    b = {r.psm_id: (r.rescore_prob, r.predicted_rt, r.fold) for r in both.collect()}
+    alone, _ = rescore.cross_validated(one, 2, 1, most_trees=3)
+    both, importance = rescore.cross_validated(one.unionByName(other), 2, 1, most_trees=3)
+    a = {r.psm_id: (r.predicted_rt, r.fold) for r in alone.collect()}
+    b = {r.psm_id: (r.predicted_rt, r.fold) for r in both.collect()}
     assert len(a) == 240 and len(b) == 480
-    assert all(a[i] == pytest.approx(b[i], abs=1e-9) for i in a)
+    assert all(a[i] == pytest.approx(b[i], abs=1e-9) for i in a)  # what is learned of a sample does not depend on others
     assert {"rt_match_prob", "abs_rt_delta", "pep_best_specev", "delta_score"} <= {r.feature for r in importance.collect()}
 
 
+def test_labels_of_test_rows_change_no_feature(spark, monkeypatch):
+    rows = psms(spark, 240)
+    seen = []
+    vectors = rescore.vectors
+    monkeypatch.setattr(rescore, "vectors", lambda wide, names: seen.append({(r["k"], r["__row"]): [r[c] for c in names] for r in wide.where("test").collect()}) or vectors(wide, names))
+    monkeypatch.setattr(rescore, "fitted", lambda *a: [])
+    laid_out = rescore._laid_out
+    for flip in (False, True):
+        # a row's label is turned around where it is a test row, and stays where it trains
+        monkeypatch.setattr(rescore, "_laid_out", lambda r, n, flip=flip: laid_out(r, n).withColumn("is_decoy", F.when(F.col("test") & F.lit(flip), 1 - F.col("is_decoy")).otherwise(F.col("is_decoy"))))
+        rescore.cross_validated(rows, 2, 1)
+    assert len(seen[0]) == 240 and seen[0].keys() == seen[1].keys()
+    assert all(seen[0][i] == pytest.approx(seen[1][i], nan_ok=True) for i in seen[0])
+
+
 def test_one_class_gets_a_half(spark):
     rows = psms(spark, 60).withColumn("is_decoy", F.lit(0))
     scored, importance = rescore.cross_validated(rows, 2, 1, most_trees=3)
@@ -226,16 +239,12 @@ def test_spectral_features_of_every_psm(spark, tmp_path):
             assert got[r.psm_id][c] == pytest.approx(want[c], abs=1e-9), c
 
 
-def test_rescoring_query_scores_every_row_with_the_usual_models(spark, tmp_path, monkeypatch):
+def test_rescoring_query_scores_every_row_with_the_shipped_models(spark, tmp_path):
     from psmlake.queries import features
 
-    folder, asked, scored = lineitems(spark, tmp_path, 120), [], []
-    crossed, combined = rescore.cross_validated, rescore.combined
-    monkeypatch.setattr(rescore, "cross_validated", lambda rows, *a, **k: asked.append((a, k)) or crossed(rows, 5, 1, most_trees=2))
-    monkeypatch.setattr(rescore, "combined", lambda rows, tie: scored.append(rows.count()) or combined(rows, tie))
-    got = {(r["sample"], r.stage) for r in features.rescoring(spark, folder).collect()}
-    assert {stage for _, stage in got} == {"before", "after"}
-    assert scored == [120] and asked == [((), {})]
+    got = {(r["sample"], r.stage): r.auc for r in features.rescoring(spark, lineitems(spark, tmp_path, 700)).collect()}
+    assert {stage for _, stage in got} == {"before", "after"} and len(got) == 14
+    assert all(0 <= v <= 1 for v in got.values())
 
 
 def test_retention_query_uses_the_usual_calibration(spark, tmp_path, monkeypatch):
