@@ -76,7 +76,11 @@ def value_ranks(df: DataFrame, by: Sequence[str], value: Column) -> DataFrame:
     Rows are counted by value before any order is made, so a common value costs one row; the smallest rank of a
     value is upto - n + 1, its average rank upto - (n - 1) / 2, its percentage rank that over `of`.
     """
-    counts = df.select(*by, value.alias("value")).where("value IS NOT NULL").groupBy(*by, "value").agg(F.count("*").alias("n"))
+    return ranks_of(df.select(*by, value.alias("value")).where("value IS NOT NULL").groupBy(*by, "value").agg(F.count("*").alias("n")), by)
+
+
+def ranks_of(counts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """value_ranks() of values (by, value, n) that are counted already, each once; one with n = 0 only asks."""
     rows = laid_out(counts, by, [F.col("value")])
     ranks = running_sums(rows, {"upto": F.col("n"), "dense": F.lit(1).cast("long")})
     return ranks.join(rows.groupBy(GROUP).agg(F.sum("n").alias("of")), GROUP).drop(GROUP, PART, PLACE)
