@@ -61,17 +61,31 @@ def peptides(sequence: Column, enzyme: int = 1, missed: int = 0, min_length: int
     return let(fragments(sequence, enzyme), runs)
 
 
+def _semi_specific(parts: Column, spans: Column, n_pieces: int | None, low: int, high: int) -> Column:
+    """Over all runs, the lengths from `low` to the run's own or `high`; `spans` holds the lengths of the runs that may be shorter than `high`."""
+    each = F.aggregate(spans, F.lit(0).cast("long"), lambda a, n: a + F.greatest(F.lit(0), F.least(F.lit(high), n) - low + 1))
+    n = F.size(parts).cast("long")
+    most = n if n_pieces is None else F.least(F.lit(n_pieces).cast("long"), n)
+    runs = most * n - (most * (most - 1) / 2).cast("long")  # of 1 to `most` pieces
+    return each + (runs - F.size(spans)) * max(0, high - low + 1)
+
+
 def candidate_peptides(proteins: DataFrame, min_length: int = 6, max_length: int = 40, missed: int = -1, termini: int = 2, enzyme: int = 1, compat: bool = False, sequence: str = "Sequence") -> DataFrame:
     """One row: n_peptides, candidates of min_length to max_length residues over all proteins.
 
-    With both termini cut (termini = 2) they are runs of pieces; with fewer, or an enzyme without sites, all substrings.
+    With both termini cut (termini = 2) they are runs of pieces; with fewer, each run of pieces counts once for every length up to its own, as the search's size estimate does;
+    with an enzyme without sites they are all substrings.
     """
     if enzyme not in CUT_SITES:
         raise ValueError(f"unknown enzyme {enzyme}; known: {', '.join(map(str, CUT_SITES))}")
     seq = F.upper(F.col(sequence))
-    if termini < 2 or CUT_SITES[enzyme] is None:
+    longest = max_length + 2  # a run of more pieces is longer than max_length
+    pieces = min(missed, longest) if missed >= 0 else longest
+    if CUT_SITES[enzyme] is None:
         each = _windows(F.length(seq), min_length, max_length)
+    elif termini < 2:
+        parts, spans = fragments(seq, enzyme, compat), span_lengths(seq, enzyme, pieces, compat)
+        each = F.when(F.length(seq) > 0, _semi_specific(parts, spans, missed + 1 if missed >= 0 else None, min_length, max_length)).otherwise(F.lit(0).cast("long"))
     else:
-        pieces = missed if missed >= 0 else max_length + 1  # a run of more pieces is longer than max_length
         each = F.size(F.filter(span_lengths(seq, enzyme, pieces, compat), lambda n: (n >= min_length) & (n <= max_length))).cast("long")
     return proteins.agg(F.coalesce(F.sum(each), F.lit(0)).alias("n_peptides"))

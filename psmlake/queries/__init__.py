@@ -1,8 +1,8 @@
 """The library's operators over the driver's tables, and the same in SQL."""
 
-from psmlake.queries import core, features, jobs, relational, text_tables
+from psmlake.queries import core, features, jobs, quality, relational, text_tables
 
-MODULES = (core, relational, text_tables, features, jobs)
+MODULES = (core, relational, text_tables, features, quality, jobs)
 
 
 def queries() -> dict:

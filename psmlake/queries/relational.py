@@ -77,10 +77,10 @@ def coverage_by_database(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def digest_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Letters of all documents as proteins; each piece ends after K or R without P behind, or at the end."""
+    """Letters of all documents as proteins; each piece ends after K or R without P behind, or at the end; whole pieces, semi-specific runs of three at most, all substrings."""
     docs = table(spark, sf_dir, "documents").select(F.upper(F.regexp_replace("text", "[^A-Za-z]", "")).alias("Sequence"))
-    kinds = [digest.candidate_peptides(docs, 6, 40, 0).withColumn("kind", F.lit("full")), digest.candidate_peptides(docs, 6, 40, termini=1).withColumn("kind", F.lit("any"))]
-    return kinds[0].unionByName(kinds[1])
+    kinds = [digest.candidate_peptides(docs, 6, 40, 0).withColumn("kind", F.lit("full")), digest.candidate_peptides(docs, 6, 40, 2, 1).withColumn("kind", F.lit("semi")), digest.candidate_peptides(docs, 6, 40, enzyme=0).withColumn("kind", F.lit("any"))]
+    return kinds[0].unionByName(kinds[1]).unionByName(kinds[2])
 
 
 def merge_sics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,9 +198,12 @@ SQL = {
         hits AS (SELECT Protein, c, unnest([i for i in generate_series(1, length(s) - length(c) + 1) if substr(s, i, length(c)) = c]) AS i FROM pep WHERE contains(s, c)),
         cells AS (SELECT DISTINCT Protein, unnest(generate_series(i + 1, i + length(c) - 1)) AS p FROM hits), k AS (SELECT Protein, count(*) AS k FROM cells GROUP BY Protein)
         SELECT Protein, sample, num_pep, round(100.0 * coalesce(k, 0) / length(s), 6) AS coverage FROM m LEFT JOIN k USING (Protein) WHERE num_pep >= 2""",
-    "digest_count": """WITH d AS (SELECT upper(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS s FROM documents),
-        f AS (SELECT unnest(string_split(regexp_replace(regexp_replace(s, '([KR])', '\\1|', 'g'), '\\|P', 'P', 'g'), '|')) AS p FROM d)
-        SELECT count(*) AS n_peptides, 'full' AS kind FROM f WHERE length(p) BETWEEN 6 AND 40
+    "digest_count": """WITH d AS (SELECT doc_id, upper(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS s FROM documents),
+        f AS (SELECT doc_id, list_filter(string_split(regexp_replace(regexp_replace(s, '([KR])', '\\1|', 'g'), '\\|P', 'P', 'g'), '|'), lambda p: p <> '') AS f FROM d),
+        l AS (SELECT doc_id, unnest(list_transform(f, lambda p: length(p))) AS a, unnest(range(len(f))) AS i FROM f),
+        w AS (SELECT a, a + lead(a) OVER (PARTITION BY doc_id ORDER BY i) AS b, a + lead(a) OVER (PARTITION BY doc_id ORDER BY i) + lead(a, 2) OVER (PARTITION BY doc_id ORDER BY i) AS c FROM l)
+        SELECT count(*) AS n_peptides, 'full' AS kind FROM l WHERE a BETWEEN 6 AND 40
+        UNION ALL SELECT CAST(sum(greatest(0, least(40, n) - 5)) AS BIGINT), 'semi' FROM (SELECT unnest([a, b, c]) AS n FROM w) WHERE n IS NOT NULL
         UNION ALL SELECT CAST(sum(greatest(0, length(s) - n + 1)) AS BIGINT), 'any' FROM d, range(6, 41) r(n)""",
     "merge_sics": """WITH h AS (SELECT CAST(year(o_orderdate) AS VARCHAR) AS sample, o_custkey AS Scan, o_orderkey AS key FROM orders), c AS (SELECT c_custkey, c_acctbal / 100 AS t, c_mktsegment FROM customer WHERE c_custkey % 11 > 0)
         SELECT sample, Scan, key, round(a.t, 6) AS ElutionTime, a.c_mktsegment AS ScanType, p_partkey + 1 AS OptimalScanNumber, round(p_retailprice, 6) AS ParentIonIntensity, round(coalesce(e.t - s.t, 0.0), 4) AS PeakWidthMinutes

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import re
 
 import numpy as np
 import plain_spectra
@@ -176,6 +177,22 @@ def test_digest_any_substring(spark):
     assert digest.candidate_peptides(proteins, 6, 40, enzyme=0).first()["n_peptides"] == 3 + 2 + 1
 
 
+def semi_specific(sequence, missed, low, high):
+    pieces = [p for p in re.split(r"(?<=[KR])(?!P)", sequence) if p]
+    runs = [sum(map(len, pieces[i:j])) for i in range(len(pieces)) for j in range(i + 1, (len(pieces) if missed < 0 else min(len(pieces), i + missed + 1)) + 1)]
+    return sum(max(0, min(high, n) - low + 1) for n in runs)
+
+
+@pytest.mark.parametrize("missed", [-1, 0, 2, 9])
+def test_semi_specific_digest_counts_lengths_within_runs(spark, missed):
+    rng = np.random.default_rng(8)
+    sequences = ["".join(rng.choice(list("AKRPG"), n)) for n in (0, 1, 5, 40, 300)] + ["K" * 30]
+    proteins = spark.createDataFrame([(s,) for s in [*sequences, None]], "Sequence string")
+    got = digest.candidate_peptides(proteins, 3, 8, missed, termini=1).first()["n_peptides"]
+    assert got == sum(semi_specific(s, missed, 3, 8) for s in sequences)
+
+
+
 def test_grubbs_critical_values():
     # published two-sided values at 5 %
     for n, want in ((3, 1.1543), (5, 1.7150), (10, 2.2900), (20, 2.7082)):
