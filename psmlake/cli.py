@@ -20,7 +20,7 @@ from psmlake.operators import crosstab, filtering, lineage, rescore, sic_merge
 from psmlake.operators.rollup import ROLLUPS
 from psmlake.plans.quantify import quantify
 from psmlake.plans.rescoring import rescored
-from psmlake.sources import fasta, mzml, sinks, tsv
+from psmlake.sources import fasta, mzml, project, sinks, tsv
 from psmlake.sources.project import ProjectLayout
 
 log = logging.getLogger("psmlake")
@@ -112,8 +112,13 @@ def quantify_stage(spark: SparkSession, layout: ProjectLayout, args: argparse.Na
     has_syn = layout.synopsis.is_dir() and any(layout.synopsis.glob("*_syn.*"))
     synopsis = tsv.read_synopsis(spark, str(layout.synopsis)) if has_syn and not from_rescored else None
     field = args.score_field or ("xpec_q" if from_rescored else "QValue")
+    # with a manifest each sample has its own database; without one all are one
+    databases = project.read_manifest(spark, str(layout.manifest)).select(F.col("msfilename").alias("sample"), "database") if layout.manifest.exists() else None
+    if databases is not None:
+        databases = databases.withColumn("database", F.element_at(F.split("database", "/"), -1))
+    sequences = fasta.protein_sequences(spark, files) if databases is None else fasta.database_sequences(spark, files)
     done = quantify(
-        rows, fasta.protein_info(spark, files), fasta.protein_sequences(spark, files), TIE, synopsis, from_rescored, field, args.threshold, args.score_field2, args.threshold2, args.mode, args.rollup, args.num_pep, args.outlier_alpha, folder=str(layout.output / "stages")
+        rows, fasta.protein_info(spark, files), sequences, TIE, synopsis, from_rescored, field, args.threshold, args.score_field2, args.threshold2, args.mode, args.rollup, args.num_pep, args.outlier_alpha, folder=str(layout.output / "stages"), databases=databases
     )
     samples = [r["sample"] for r in done.annotated.select("sample").distinct().collect()]
     tie = [c for c in ("sample", "ScanNum", "Charge", "Peptide") if c in done.filtered.columns]

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def joined_by_id(records: DataFrame) -> DataFrame:
-    """(Protein, Sequence): records that repeat an id are one protein, their sequences joined in order."""
+def joined_by_id(records: DataFrame, keys: Sequence[str] = ("Protein",)) -> DataFrame:
+    """(keys, Sequence): records that repeat an id are one protein, their sequences joined in order."""
     parts = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("ord", "Sequence"))), lambda x: x["Sequence"]), "")
-    return records.groupBy("Protein").agg(parts.alias("Sequence"))
+    return records.groupBy(*keys).agg(parts.alias("Sequence"))
 
 
 def last_by_id(records: DataFrame) -> DataFrame:

@@ -29,11 +29,12 @@ class Quantified:
 
 def quantify(
     psms: DataFrame, info: DataFrame, proteins: DataFrame, tie: Sequence[str], synopsis: DataFrame | None = None, rescored: bool = False, metric1: str = "QValue", threshold1: float | None = None, metric2: str | None = None, threshold2: float | None = None,
-    mode: str = "all_matches", method: str = "sum", min_num_pep: int = 2, outlier_alpha: float | None = None, log_transform: bool = True, folder: str | None = None,
+    mode: str = "all_matches", method: str = "sum", min_num_pep: int = 2, outlier_alpha: float | None = None, log_transform: bool = True, folder: str | None = None, databases: DataFrame | None = None,
 ) -> Quantified:
     """Select ions, bring back shared proteins, filter, crosstab, annotate, cover, roll up.
 
     `rescored`: the rows are already one a scan, with their scores; no selection then.
+    `databases` (sample, database): `proteins` have a database then, and each sample's peptides are sought in its own.
     """
     keep = (lambda df, name: write_stage(df, f"{folder}/{name}")) if folder else (lambda df, _: df)
     rows = psms if rescored else filtering.prepare_sics(psms, tie)
@@ -43,6 +44,6 @@ def quantify(
     filtered = keep(filtering.filter_psms(rows, metric1, threshold1, metric2, threshold2), "filtered")
     table = crosstab.peptide_crosstab(crosstab.sample_names(filtered))
     annotated = keep(annotate.uniqueness(annotate.annotated(table, info)), "annotated")
-    covered = keep(coverage.coverage(annotated, proteins, mode, min_num_pep), "coverage")
+    covered = keep(coverage.coverage(annotated, proteins, mode, min_num_pep, databases=databases), "coverage")
     values, facts = rollup.protein_rollup(annotated, method, mode, covered, log_transform, outlier_alpha=outlier_alpha)
     return Quantified(filtered, annotated, covered, keep(values, "rollup"), keep(facts, "facts"))

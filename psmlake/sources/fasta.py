@@ -30,6 +30,11 @@ def protein_sequences(spark: SparkSession, paths: str | Sequence[str]) -> DataFr
     return joined_by_id(read_records(spark, paths))
 
 
+def database_sequences(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """(database, Protein, Sequence): like protein_sequences(), each file a database of its own, so one id may stand in several."""
+    return joined_by_id(read_records(spark, paths), ("database", "Protein"))
+
+
 def protein_info(spark: SparkSession, paths: str | Sequence[str], compat: bool = False) -> DataFrame:
     """(Protein, Gene, Function) from the headers; the last record of an id counts."""
     both = last_by_id(read_records(spark, paths)).withColumn("x", function_and_gene(F.col("Description"), compat))

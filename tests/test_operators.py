@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from psmlake.functions import decoy, peptide, scores
-from psmlake.operators import annotate, coverage, crosstab, digest, engineer, filtering, folds, grubbs, rollup, sequences, shared, sic_merge, spectral
+from psmlake.operators import annotate, coverage, crosstab, digest, engineer, filtering, folds, grubbs, qc, rollup, sequences, shared, sic_merge, spectral
 from psmlake.schemas import MissingColumns
 
 
@@ -381,3 +381,19 @@ def test_coverage_of_benchmark_takes_all_languages_and_benchmark_words(spark, tm
     spark.createDataFrame([(1, "Haus! BOOT")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     got = {r.Protein: (r.sample, r.num_pep, r.coverage) for r in relational.coverage_of_benchmark(spark, str(tmp_path)).collect()}
     assert got == {"1": ("s", 1, pytest.approx(100 * 8 / 20, abs=1e-5)), "2": ("s", 1, 100.0)}
+
+
+def test_density_curve_near_the_kernel_estimate(spark):
+    rng = np.random.default_rng(5)
+    values = {"a": rng.normal(3, 2, 400), "b": rng.exponential(4, 150), "c": np.full(7, 5.0)}
+    df = spark.createDataFrame([(g, float(v)) for g, vs in values.items() for v in vs] + [("a", None), ("a", float("nan"))], "g string, v double")
+    got = qc.density_curve(df, "v", ("g",), points=400).toPandas()
+    for g, vs in values.items():
+        own = got[got.g == g].sort_values("point")
+        h = np.std(vs, ddof=1) * len(vs) ** -0.2 or 1.0
+        assert own.bandwidth.iloc[0] == pytest.approx(h)
+        want = np.exp(-0.5 * ((own.x.to_numpy()[:, None] - vs) / h) ** 2).sum(1) / (len(vs) * h * np.sqrt(2 * np.pi))
+        assert np.abs(own.density.to_numpy() - want).max() < 0.002 * want.max()
+        assert np.trapezoid(own.density, own.x) == pytest.approx(1, abs=0.01)
+    alone = qc.density_curve(df.where("g = 'a'"), "v", points=50)
+    assert alone.count() == 50 and qc.density_curve(df.where("g = 'z'"), "v").count() == 0

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from psmlake import cli, preflight
-from psmlake.operators import coverage
+from psmlake.operators import coverage, filtering
 from psmlake.schemas import MissingColumns
 from psmlake.sources import fasta, mzml, project, sinks, tsv
 from psmlake.streaming.resume import run_new_files
@@ -166,3 +166,30 @@ def test_preflight_of_a_project(tmp_path):
         preflight.run(layout, "nonsense")
     with pytest.raises(FileNotFoundError):
         layout.require(layout.rescored)
+
+
+def read_in_order(folder):
+    """Rows of all files of a folder, the files one after the other by name, without their headers."""
+    return [line.split("\t") for f in sorted(folder.glob("part-*.csv")) for line in f.read_text().splitlines()[1:]]
+
+
+def test_files_one_after_the_other_are_in_order(spark, tmp_path):
+    rows = [(i, float(i * 7919 % 1000) if i % 50 else None, f"P{i % 13}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "id int, MSMSScore double, Protein string").repartition(5)
+    order = filtering.report_order(df, ["id"])
+    sinks.export_tsv(df, str(tmp_path / "r"), missing="NA", single=False, order=order)
+    assert len(list((tmp_path / "r").glob("part-*.csv"))) > 1
+    got = read_in_order(tmp_path / "r")
+    want = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[2], r[0]))
+    assert [int(g[0]) for g in got] == [w[0] for w in want]
+    assert [g[1] for g in got if g[1] == "NA"] == ["NA"] * 60
+    sinks.export_report(df, str(tmp_path / "one"), order=order)
+    assert read_in_order(tmp_path / "one") == got
+
+
+def test_each_sample_s_file_is_in_order(spark, tmp_path):
+    df = spark.createDataFrame([("ab"[i % 2], i * 37 % 101) for i in range(100)], "sample string, v int").repartition(4)
+    sinks.export_tsv(df, str(tmp_path / "r"), by_sample=True, order=["v"])
+    for s in "ab":
+        got = [int(r[0]) for r in read_in_order(tmp_path / "r" / f"sample={s}")]
+        assert len(got) == 50 and got == sorted(got)
