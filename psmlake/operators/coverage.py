@@ -7,12 +7,14 @@ from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache, partial
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from psmlake.operators import lineage
 from psmlake.operators.annotate import keep_mode
 
 
@@ -45,22 +47,35 @@ def flanked(peptide: str, compat: bool) -> tuple[str | None, str, str | None]:
     return known(before), core.upper(), known(after)
 
 
+def overlaps_itself(core: str) -> bool:
+    """Whether two hits of the core may overlap: it begins as it ends."""
+    return any(core.startswith(core[k:]) for k in range(1, len(core)))
+
+
+@lru_cache(1 << 16)
+def _read(peptide: str, compat: bool) -> tuple[str | None, str, str | None, bytes | None, bytes]:
+    """flanked(), the core as bytes where every hit may be replaced at once, and what replaces it."""
+    before, core, after = flanked(peptide, compat)
+    plain = core.isascii() and before is None and after is None and core != "" and not overlaps_itself(core)
+    return before, core, after, core.encode() if plain else None, b"\x01" * len(core)
+
+
 class Proteins:
     """Reads rows in order of their keys, each key's sequence before its peptides, and gives what each key's samples cover."""
 
     def __init__(self, names: list[str], schema: pa.Schema, compat: bool):
-        self.names, self.schema = names, schema
-        self.parsed = lru_cache(1 << 16)(partial(flanked, compat=compat))
+        self.names, self.schema, self.compat = names, schema, compat
         self.key, self.sequence, self.out = None, None, []
 
     def begin(self, key: tuple, sequence: str | None) -> None:
         self.key, self.sequence, self.peptides, self.marks = key, sequence, defaultdict(set), {}
+        self.plain = sequence.encode() if sequence and sequence.isascii() and "\x01" not in sequence else None
 
     def end(self) -> None:
         if self.sequence:
             n = len(self.sequence)
             for sample, peptides in self.peptides.items():
-                self.out.append((*self.key, sample, len(peptides), 100.0 * self.marks[sample].count(1) / n))
+                self.out.append((*self.key, sample, len(peptides), 100.0 * int(np.count_nonzero(self.marks[sample])) / n))
 
     def peptide(self, sample: object, peptide: str) -> None:
         own = self.peptides[sample]
@@ -69,11 +84,14 @@ class Proteins:
         own.add(peptide)
         mark = self.marks.get(sample)
         if mark is None:
-            mark = self.marks[sample] = bytearray(len(self.sequence))
-        before, core, after = self.parsed(peptide)
-        cover = b"\x01" * len(core)
+            mark = self.marks[sample] = np.zeros(len(self.sequence), bool)
+        before, core, after, plain, cover = _read(peptide, self.compat)
+        if plain is not None and self.plain is not None:
+            if plain in self.plain:  # all hits in one pass
+                mark |= np.frombuffer(self.plain.replace(plain, cover), np.uint8) == 1
+            return
         for at in hits(self.sequence, core, before, after):
-            mark[at : at + len(core)] = cover
+            mark[at : at + len(core)] = True
 
     def flushed(self) -> pa.RecordBatch:
         columns = list(zip(*self.out, strict=True)) or [()] * len(self.schema)
@@ -81,6 +99,7 @@ class Proteins:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, self.schema.types, strict=True)], schema=self.schema)
 
     def read(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.set_memory_pool(pa.system_memory_pool())  # gives back what it once held; a worker lives on
         for batch in batches:
             keys = zip(*(batch.column(c).to_pylist() for c in self.names), strict=True)
             for key, sample, body, is_peptide in zip(keys, *(batch.column(c).to_pylist() for c in ("sample", "body", "is_peptide")), strict=True):
@@ -92,6 +111,7 @@ class Proteins:
             yield self.flushed()
         self.end()
         yield self.flushed()
+        lineage.give_back()
 
 
 def coverage(annotated: DataFrame, proteins: DataFrame, mode: str = "all_matches", min_num_pep: int = 2, compat: bool = False, databases: DataFrame | None = None) -> DataFrame:

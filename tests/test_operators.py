@@ -110,6 +110,10 @@ def test_hits_by_brute_force(n):
                 assert list(coverage.hits(sequence, core, before, after)) == want
 
 
+def test_cores_that_overlap_themselves():
+    assert [c for c in ("A", "AB", "AA", "ABA", "ABCAB", "ABCD") if coverage.overlaps_itself(c)] == ["AA", "ABA", "ABCAB"]
+
+
 def covered_plainly(rows, proteins):
     """{(protein, sample): (peptides, percent)} residue by residue."""
     out = {}
