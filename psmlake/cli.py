@@ -48,7 +48,7 @@ def parser() -> argparse.ArgumentParser:
     for name, help_ in (("rescore", "cross-validated rescoring"), ("run", "search-post, rescoring on request, quantification")):
         p = stage(name, help_)
         p.add_argument("--folds", type=int, default=5)
-        p.add_argument("--ensemble", type=int, default=3)
+        p.add_argument("--ensemble", type=int, default=2)
         p.add_argument("--seed", type=int, default=42)
         p.add_argument("--spectra", action="store_true", help="with features of the mzML spectra")
         if name == "run":

@@ -4,10 +4,8 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from dataclasses import asdict
 from pathlib import Path
 
-import numpy as np
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import SparkSession
 
@@ -43,14 +41,14 @@ def load_features(spark: SparkSession, folder: str | Path) -> FeatureModel:
 
 
 def save_rt(model: RtModel, folder: str | Path) -> None:
-    head = asdict(model) | {"x": model.x.tolist(), "y": model.y.tolist(), "class_mad": [[z, b, m] for (z, b), m in model.class_mad.items()]}
-    _write_head(folder, {"kind": "rt"} | head)
+    for name, table in model.tables.items():
+        table.write.mode("overwrite").parquet(str(Path(folder) / name))
+    _write_head(folder, {"kind": "rt", "tables": sorted(model.tables), "by": list(model.by)})
 
 
-def load_rt(folder: str | Path) -> RtModel:
+def load_rt(spark: SparkSession, folder: str | Path) -> RtModel:
     head = _head(folder, "rt")
-    classes = {(int(z), b): m for z, b, m in head["class_mad"]}
-    return RtModel(np.array(head["x"]), np.array(head["y"]), tuple(head["tails"]), head["offsets"], head["bias"], head["mad"], classes)
+    return RtModel({n: spark.read.parquet(str(Path(folder) / n)) for n in head["tables"]}, tuple(head["by"]))
 
 
 def save_members(models: Sequence[GBTClassificationModel], names: Sequence[str], folder: str | Path) -> None:

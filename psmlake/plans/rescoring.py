@@ -13,7 +13,7 @@ from psmlake.operators import fdr, rescore, spectral
 SCORES = ("rescore_prob", "xpec_q", "xpec_pepq", "xpec_score")
 
 
-def rescored(psms: DataFrame, tie: Sequence[str], spectra: DataFrame | None = None, n_folds: int = 5, n_members: int = 3, seed: int = 42, most_trees: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+def rescored(psms: DataFrame, tie: Sequence[str], spectra: DataFrame | None = None, n_folds: int = 5, n_members: int = 2, seed: int = 42, most_trees: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(input columns and four scores, feature importance, gains per sample).  `psms` has a unique psm_id that no later read changes."""
     rows = with_inferred(psms, "Protein")
     if spectra is not None:

@@ -133,7 +133,7 @@ def retention_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _peptides(spark, sf_dir)
     core = peptide.core_both_flanks(F.col("Peptide"))
     rows = rows.withColumn("ElutionTime", 30 + 1.5 * peptide.retention_score(core) + (F.col("MSGFScore") - 25) / 50)
-    model = rt.fit(rows)
+    model = rt.fit(rows)  # every sample's
     return rounded(qc.rt_agreement(rt.predict(rows, model), "ElutionTime", "rt_pred", ("sample",)), "median_error", "mad", "mae", "normalised_mae", "pearson", digits=3)
 
 
