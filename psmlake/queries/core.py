@@ -60,9 +60,8 @@ def _chances(rows: DataFrame) -> DataFrame:
 
 
 def alpha_tuning(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sample of 1995 only; alpha_tuning_by_sample() tunes every sample."""
-    rows = psm(spark, sf_dir).where("sample = '1995'")
-    return fdr.tune_alpha(_chances(rows), "p", "e", TIE, threshold=0.05)
+    """One weight for all samples together; alpha_tuning_by_sample() tunes each."""
+    return fdr.tune_alpha(_chances(psm(spark, sf_dir)), "p", "e", TIE, threshold=0.05)
 
 
 def alpha_tuning_by_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,7 +189,7 @@ SQL = {
         FROM r QUALIFY row_number() OVER (PARTITION BY sample, Scan ORDER BY 51 - score, Charge, Peptide, Protein, ParentIonIntensity, tax) = 1""",
     "decoy_rules": f"""WITH {PSM_SQL}, n AS (SELECT ['XXX_', '', 'rev_', 'DECOY'][Charge % 4 + 1] || Protein AS name, Scan % 2 = 0 AS second, Charge % 4 = 0 AS first FROM psm)
         SELECT CASE WHEN starts_with(name, 'XXX_') THEN 1 ELSE 0 END AS by_prefix, CASE WHEN regexp_matches(name, '(?i)DECOY|REV_|XXX_') THEN 1 ELSE 0 END AS anywhere, CASE WHEN first THEN 1 ELSE 0 END AS all_of, count(*) AS n FROM n GROUP BY ALL""",
-    "alpha_tuning": f"""WITH {PSM_SQL}, base AS (SELECT {TIE_SQL}, is_decoy, score / 50 AS p, least(1.0, greatest(0.0, 1 - exp(-(ln(2.0) / 30000.0) * ParentIonIntensity))) AS e FROM psm WHERE sample = '1995'),
+    "alpha_tuning": f"""WITH {PSM_SQL}, base AS (SELECT {TIE_SQL}, is_decoy, score / 50 AS p, least(1.0, greatest(0.0, 1 - exp(-(ln(2.0) / 30000.0) * ParentIonIntensity))) AS e FROM psm),
         grid AS (SELECT *, least(1.0, greatest(0.0, 1 - (1 - least(1.0, alpha) * p) * (1 - e), CASE WHEN e >= 0.7 THEN 0.8 * e ELSE 0.0 END)) AS s FROM base, (VALUES (0.25::DOUBLE), (0.5::DOUBLE), (0.75::DOUBLE), (1.0::DOUBLE), (1.5::DOUBLE), (2.0::DOUBLE)) v(alpha)),
         r AS (SELECT *, sum(is_decoy) OVER w AS d, sum(1 - is_decoy) OVER w AS t FROM grid WINDOW w AS (PARTITION BY alpha ORDER BY s DESC, {TIE_SQL} ROWS UNBOUNDED PRECEDING)),
         f AS (SELECT *, CASE WHEN t = 0 THEN 1.0 ELSE least(1.0, d / t) END AS fdr FROM r),
