@@ -116,8 +116,9 @@ def rollup_values(rows: DataFrame, method: str = "sum", log_transform: bool = Tr
         return _grid(rows, out)
     else:
         means = slim.groupBy("Protein", "PeptideFlanked").agg(F.avg("v").alias("__mean"))
-        bound = means.groupBy("Protein").agg(F.percentile("__mean", F.lit(1.0 - top_share)).alias("__bound"))
-        top = means.join(bound, "Protein").where("__mean >= __bound").select("Protein", "PeptideFlanked")
+        # the bound is taken from the very means that it is held against: a mean made twice may differ in its last digit
+        bound = F.percentile("__mean", F.lit(1.0 - top_share)).over(Window.partitionBy("Protein"))
+        top = means.withColumn("__bound", bound).where("__mean >= __bound").select("Protein", "PeptideFlanked")
         out = slim.join(top, ["Protein", "PeptideFlanked"], "left_semi").groupBy("Protein", "sample").agg(F.avg("v").alias("value"))
     return _grid(rows, out).withColumn("value", back(F.col("value")))
 

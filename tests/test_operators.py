@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 
 import numpy as np
@@ -401,3 +402,11 @@ def test_density_curve_near_the_kernel_estimate(spark):
         assert np.trapezoid(own.density, own.x) == pytest.approx(1, abs=0.01)
     alone = qc.density_curve(df.where("g = 'a'"), "v", points=50)
     assert alone.count() == 50 and qc.density_curve(df.where("g = 'z'"), "v").count() == 0
+
+
+def test_top_rollup_holds_the_means_against_their_own_bound(spark):
+    # every evaluation gives other last digits, as sums in another order do; the third of four means is the bound and stays
+    jitter = F.udf(lambda x: x * (1 + 1e-9 * random.random()), "double").asNondeterministic()
+    rows = spark.createDataFrame([(f"P{p}", f"pep{i}", f"s{j}", 1000.0 * 2**i) for p in range(40) for i in range(4) for j in range(3)], "Protein string, PeptideFlanked string, sample string, intensity double")
+    got = rollup.rollup_values(rows.withColumn("intensity", jitter("intensity")), "qrollup").collect()
+    assert len(got) == 120 and all(r.value == pytest.approx(1000 * 2**2.5, rel=1e-6) for r in got)
