@@ -410,3 +410,13 @@ def test_top_rollup_holds_the_means_against_their_own_bound(spark):
     rows = spark.createDataFrame([(f"P{p}", f"pep{i}", f"s{j}", 1000.0 * 2**i) for p in range(40) for i in range(4) for j in range(3)], "Protein string, PeptideFlanked string, sample string, intensity double")
     got = rollup.rollup_values(rows.withColumn("intensity", jitter("intensity")), "qrollup").collect()
     assert len(got) == 120 and all(r.value == pytest.approx(1000 * 2**2.5, rel=1e-6) for r in got)
+
+
+def test_sic_merge_broadcasts_no_lookup_table(spark, capsys):
+    samples = F.explode(F.array(*[F.lit(s) for s in "ab"])).alias("sample")
+    scans = spark.range(9).select(samples, F.col("id").alias("ScanNumber"), *[F.lit(1.0).alias(c) for c in ("ScanTime", "TotalIonIntensity", "BasePeakIntensity", "BasePeakMZ")], F.lit("MS").alias("ScanType"))
+    sics = spark.range(9).select(samples, F.col("id").alias("FragScanNumber"), *[F.lit(1.0).alias(c) for c in sic_merge.FROM_SICS if not c.startswith("PeakScan")], F.col("id").alias("PeakScanStart"), F.col("id").alias("PeakScanEnd"))
+    hits = spark.range(9).select(F.lit("a").alias("sample"), F.col("id").alias("Scan"))
+    sic_merge.merge_sics(hits, scans, sics).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("SortMergeJoin") == 4 and "Broadcast" not in plan
