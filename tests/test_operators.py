@@ -420,3 +420,12 @@ def test_sic_merge_broadcasts_no_lookup_table(spark, capsys):
     sic_merge.merge_sics(hits, scans, sics).explain()
     plan = capsys.readouterr().out
     assert plan.count("SortMergeJoin") == 4 and "Broadcast" not in plan
+
+
+def test_coelution_counts_crowded_times_without_meeting_them(spark):
+    rng = np.random.default_rng(3)
+    own, seen = rng.integers(0, 40, 60) / 4, rng.integers(0, 40, 300) / 4  # many equal ones, and ends that meet times
+    rows = spark.createDataFrame([("s", k, float(t)) for k, t in enumerate(own)] + [("s", 60, None), ("none", 61, 1.0)], "sample string, id int, t double")
+    times = spark.createDataFrame([("s", float(t)) for t in seen], "sample string, value double").groupBy("sample", "value").agg(F.count("*").alias("n"))
+    got = {r.id: r.rt_coelution_density for r in engineer.coelution(rows, times, F.col("t"), F.lit(0.5)).collect()}
+    assert got == {k: int((abs(seen - t) <= 0.5).sum()) for k, t in enumerate(own)} | {60: 0, 61: 0}
