@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from psmlake.operators import fdr, scan
+from psmlake.functions import scores
+from psmlake.operators import fdr, lineage, scan
 
 
 def frame(spark, scores, decoys, sample="s"):
@@ -102,3 +103,33 @@ def test_alpha_is_tuned_for_each_sample(spark):
     got = {(r.sample, r.alpha): r.n_ids for r in fdr.tune_alpha(df, "p", "e", ("id",), threshold=0.2, by=("sample",)).collect()}
     want = {(s, r.alpha): r.n_ids for s in "abc" for r in fdr.tune_alpha(df.where(f"sample = '{s}'"), "p", "e", ("id",), threshold=0.2).collect()}
     assert got == want and len(got) == 18
+
+
+def test_alpha_tuning_by_every_prefix_of_tied_scores(spark):
+    rng = np.random.default_rng(11)
+    for n, values, threshold, compat in ((400, 3, 0.3, False), (400, 12, 0.2, True), (300, 300, 0.25, False), (40, 1, 0.4, False), (60, 4, 1.5, True)):
+        label = (rng.random(n) < 0.3).astype(int)
+        table = [(int(k), float(rng.integers(0, values)) / values * (1.0 if label[k] else 1.2), float(rng.integers(0, 2)) / 9, int(label[k])) for k in rng.permutation(n)]
+        df = spark.createDataFrame(table, "id int, p double, e double, is_decoy int")
+        got = {r.alpha: r.n_ids for r in fdr.tune_alpha(df, "p", "e", ("id",), threshold=threshold, compat=compat).collect()}
+        exploded = df.crossJoin(spark.createDataFrame([(a,) for a in (0.25, 0.5, 0.75, 1.0, 1.5, 2.0)], "alpha double")).withColumn("score", scores.noisy_or(F.col("p"), F.col("e"), F.col("alpha"), 1.0))
+        rows = exploded.toPandas()
+        for a, g in rows.groupby("alpha"):
+            g = g.sort_values(["score", "id"], ascending=[False, True])
+            d, t = g.is_decoy.cumsum(), (1 - g.is_decoy).cumsum()
+            q = np.where(t > 0, np.minimum(1, d / np.maximum(t, 1)), 1.0)[::-1]
+            q = np.minimum.accumulate(q)[::-1]
+            assert got[a] == int(((q < threshold) & (compat | (g.is_decoy == 0))).sum())
+
+
+def test_more_parts_for_larger_files(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/a table [1]%20"
+    spark.range(5000).select(F.lit("s").alias("sample"), "id", F.rand(1).alias("score"), (F.col("id") % 3 == 0).cast("int").alias("is_decoy")).write.parquet(path)
+    df = spark.read.parquet(path.replace("[", "\\[").replace("]", "\\]"))
+    want = {r.id: r.q for r in fdr.estimate_fdr(df, "score", ("id",)).collect()}
+    assert lineage.parts_for(df) == 4 and lineage.parts_for(df.limit(1).union(df)) == 4
+    assert lineage.parts_for(spark.range(10)) == 4
+    monkeypatch.setattr(lineage, "PART_BYTES", 2000)
+    assert lineage.parts_for(df) > 8 and lineage.dealt(df, "id").rdd.getNumPartitions() == lineage.parts_for(df)
+    assert scan.laid_out(df, ("sample",), [F.col("score"), F.col("id")]).select(scan.PART).distinct().count() > 8
+    assert {r.id: r.q for r in fdr.estimate_fdr(df, "score", ("id",)).collect()} == want
