@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from psmlake.functions.coerce import number
+from psmlake.operators import lineage
 from psmlake.schemas import require
 
 KEYS = ("Peptide", "PeptideFlanked", "Protein")
@@ -34,7 +35,7 @@ def peptide_crosstab(df: DataFrame, intensity: str = "ParentIonIntensity") -> Da
     rows = df.select(*keys, "sample", number(F.col(intensity)).alias("intensity"))
     for c in (*KEYS, "intensity"):
         rows = rows.where(F.col(c).isNotNull())
-    return rows.groupBy(*KEYS, "sample").agg(F.max("intensity").alias("intensity"))
+    return lineage.dealt(rows, *KEYS, "sample").groupBy(*KEYS, "sample").agg(F.max("intensity").alias("intensity"))
 
 
 def wide(long: DataFrame, keys: Sequence[str], value: str, samples: Sequence[str], fill: float | None = 0.0) -> DataFrame:
