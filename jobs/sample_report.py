@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobs import common
-from psmlake.operators import annotate, fdr, filtering
+from psmlake.operators import annotate, fdr, filtering, lineage
 
 log = logging.getLogger("jobs.sample_report")
 CONFIG = Path(__file__).with_suffix(".json")
@@ -61,7 +61,8 @@ def run(spark: SparkSession, psms: str, out: str, settings: Mapping[str, Any]) -
     rows = common.named(rows, settings["columns"]) if settings["columns"] else rows
     if missing := [c for c in NEEDED if c not in rows.columns]:
         raise ValueError(f"{psms} lacks {', '.join(missing)}; name them in the config's columns")
-    told = scored(rows, settings["tie"])
+    # written once: both reports read it, and each would rank the rows anew
+    told = lineage.cut(scored(rows.select(*dict.fromkeys([*NEEDED, *settings["tie"]])), settings["tie"]))
     accepted = (F.col("is_decoy") == 0) & (F.col("q") <= settings["psm_q"]) & (F.col("pep_q") <= settings["peptide_q"])
     found = peptides(told.where(accepted))
     write(found, f"{out}/peptides")

@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from psmlake.functions import decoy, peptide, scores
 from psmlake.functions.coerce import number
+from psmlake.operators import lineage
 from psmlake.schemas import has, require
 
 log = logging.getLogger(__name__)
@@ -24,10 +25,10 @@ NUMERIC = ("SpecEValue", "MSGFDB_SpecEValue", "QValue", "PepQValue", "MSMSScore"
 def best_per_scan(df: DataFrame, tie: Sequence[str], keys: Sequence[str] = ("sample", "Scan"), intensity: str = "ParentIonIntensity") -> DataFrame:
     """Of each scan, the row with the largest intensity; missing intensities last, ties by `tie`.
 
-    A ranking column is added before the shuffle, so a scan costs one row a group after the window's limit is pushed down.
+    A ranking column is added before the shuffle, so a scan costs one row a group after the window's limit is pushed down; large files are dealt to more tasks first.
     """
     w = Window.partitionBy(*keys).orderBy(F.col(intensity).desc_nulls_last(), *tie)
-    return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+    return lineage.dealt(df, *keys).withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
 
 def prepare_sics(df: DataFrame, tie: Sequence[str]) -> DataFrame:
