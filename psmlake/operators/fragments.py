@@ -1,4 +1,4 @@
-"""Fragment and isotope matching as relations: ion ladders as prefix sums, an interval join by buckets, a two-sided as-of join.
+"""Fragment and isotope matching as relations: ion ladders as prefix sums, matching by buckets within a row or as an interval join, a two-sided as-of join.
 
 The same figures that spectral.py takes batch by batch, in expressions and joins alone: for tables whose spectra are rows or arrays already, and
 to hold the batches against.
@@ -81,18 +81,44 @@ def exploded(spectra: DataFrame) -> DataFrame:
     return spectra.select("sample", F.col("scan").alias("Scan"), F.posexplode(F.arrays_zip("mz", "intensity")).alias("ord", "p")).select("sample", "Scan", "p.mz", "p.intensity", "ord")
 
 
+def hits(ions: Column, mz: Column, intensity: Column, tolerance: float = chem.TOLERANCE, ppm: bool = False) -> Column:
+    """The matched ones of a ladder's ions with their intensities, array of struct(kind, intensity), by the rule of matched(), from one spectrum's arrays.
+
+    Only peaks that share a bucket with some ion are held against the ions, so the work grows with ions and peaks and not with their pairs.
+    """
+    bucket = lambda x: _bucket(x, tolerance, ppm)
+    seen = F.transform(F.arrays_zip(mz.alias("mz"), intensity.alias("intensity")), lambda p, i: F.struct(p["mz"].alias("mz"), i.alias("ord"), p["intensity"].alias("intensity"), bucket(p["mz"]).alias("bucket")))
+
+    def one(told: Column, near: Column) -> Column:
+        low = F.array_max(F.filter(near, lambda p: p["mz"] < told))
+        return F.coalesce(low, F.array_min(F.filter(near, lambda p: p["mz"] >= told)))
+
+    def met(close: Column) -> Column:
+        within = lambda i: F.filter(close, lambda p: F.abs(p["mz"] - i["mz"]) <= _width(i["mz"], tolerance, ppm))
+        found = F.transform(ions, lambda i: F.struct(i["kind"].alias("kind"), let(within(i), lambda near: one(i["mz"], near)).alias("peak")))
+        return F.transform(F.filter(found, lambda h: h["peak"].isNotNull()), lambda h: F.struct(h["kind"].alias("kind"), h["peak"]["intensity"].alias("intensity")))
+
+    asked = F.flatten(F.transform(ions, lambda i: let(bucket(i["mz"]), lambda b: F.array(b - 1, b, b + 1))))
+    shared = lambda s: let(F.array_intersect(asked, s["bucket"]), lambda c: F.filter(s, lambda p: F.array_contains(c, p["bucket"])))
+    return let(let(seen, shared), met)
+
+
 def match_figures(psms: DataFrame, spectra: DataFrame, key: Sequence[str] = ("psm_id",), tolerance: float = chem.TOLERANCE, ppm: bool = False) -> DataFrame:
-    """(key, matched b and y ions, coverages, intensity figures) of every PSM (key, sample, Scan, Peptide); 0 where its scan has no spectrum."""
+    """(key, matched b and y ions, coverages, intensity figures) of every PSM (key, sample, Scan, Peptide); 0 where its scan has no spectrum.
+
+    A PSM meets its spectrum once, and ions meet peaks in that row: neither crosses an exchange one by one.  PSMs are held and spectra stream by, as those are larger and
+    would have to be sorted for a merge.
+    """
     key = list(key)
-    rows = psms.select(*key, *[c for c in ("sample", "Scan") if c not in key], ladder(F.col("Peptide")).alias("__ions"))
-    ions = rows.select(*rows.columns[:-1], F.inline("__ions"))
-    names = [*dict.fromkeys([*key, "kind", "number"])]
-    hits = matched(ions, exploded(spectra), ("sample", "Scan"), names, tolerance, ppm)
-    own = lambda kind, x: F.when(F.col("kind") == kind, x)
-    sums = hits.groupBy(*key).agg(*[F.count(own(k, F.lit(1))).alias(f"n{k}") for k in "by"], *[F.coalesce(F.sum(own(k, F.col("peak.intensity"))), F.lit(0.0)).alias(f"i{k}") for k in "by"])
-    tic = spectra.select("sample", F.col("scan").alias("Scan"), total(F.col("intensity")).alias("__tic"))
+    rows = psms.select(*key, *[c for c in ("sample", "Scan", "Peptide") if c not in key])
+    own = spectra.select(F.col("sample").alias("__sample"), F.col("scan").alias("__scan"), "mz", "intensity")
+    both = rows.hint("shuffle_hash").join(own, (F.col("sample") == F.col("__sample")) & (F.col("Scan") == F.col("__scan")), "left").withColumn("__ions", ladder(F.col("Peptide")))
     count = lambda kind: F.size(F.filter("__ions", lambda i: i["kind"] == kind))
-    wide = rows.join(tic, ["sample", "Scan"], "left").join(sums, key, "left").select(*key, count("b").alias("__b"), count("y").alias("__y"), F.coalesce("__tic", F.lit(0.0)).alias("tic"), *[F.coalesce(c, F.lit(0)).alias(c) for c in ("nb", "ny")], *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("ib", "iy")])
+    met = both.select(*key, count("b").alias("__b"), count("y").alias("__y"), F.coalesce(total(F.col("intensity")), F.lit(0.0)).alias("tic"), hits(F.col("__ions"), F.col("mz"), F.col("intensity"), tolerance, ppm).alias("__hits"))
+    of = lambda kind: F.filter("__hits", lambda h: h["kind"] == kind)
+    number = lambda kind: F.greatest(F.size(of(kind)), F.lit(0))
+    weight = lambda kind: F.coalesce(total(F.transform(of(kind), lambda h: h["intensity"])), F.lit(0.0))
+    wide = met.select(*key, "__b", "__y", "tic", *[number(k).alias(f"n{k}") for k in "by"], *[weight(k).alias(f"i{k}") for k in "by"])
     least = lambda c: F.greatest(c, F.lit(1))
     n, i = F.col("nb") + F.col("ny"), F.col("ib") + F.col("iy")
     return wide.select(

@@ -67,3 +67,12 @@ def test_nearest_from_both_sides(spark):
         else:
             best = min(own, key=lambda p: (abs(p[1] - r.mz), p[1]))  # of two as near the lower
             assert (r.peak.mz, r.peak.intensity, r.off) == (best[1], best[2], abs(best[1] - r.mz))
+
+
+def test_ions_and_peaks_cross_no_exchange_one_by_one(spark):
+    psms = spark.createDataFrame([(i, "s", i, PEPTIDES[i % 7]) for i in range(40)], "psm_id long, sample string, Scan long, Peptide string")
+    spectra = spark.createDataFrame([("s", i, [100.0 + k for k in range(50)], [float(k) for k in range(50)]) for i in range(40)], "sample string, scan long, mz array<double>, intensity array<double>")
+    found = fragments.match_figures(psms, spectra, tolerance=0.4)
+    plan = found._jdf.queryExecution().toString()
+    assert "Generate" not in plan and "Explode" not in plan
+    assert found.count() == 40
