@@ -39,6 +39,18 @@ BATCH_PEAKS = 400_000
 Arrays = Sequence[np.ndarray | None]
 
 
+def _wide(flat: np.ndarray, size: np.ndarray, begin: np.ndarray, row: np.ndarray) -> np.ndarray | None:
+    """Rows of values as a matrix, infinite behind a row's end; none where lengths differ so much that most of it would be empty, or where an infinite or missing value would be lost in it."""
+    most = int(size.max(initial=0))
+    if not len(flat) or most * len(size) > 2 * len(flat) or not np.isfinite(flat).all():
+        return None
+    if most * len(size) == len(flat):
+        return flat.reshape(len(size), most)
+    out = np.full((len(size), most), np.inf)
+    out[row, np.arange(len(flat)) - begin[row]] = flat
+    return out
+
+
 class Peaks:
     """Peaks of several rows, each row's in order of m/z."""
 
@@ -48,12 +60,20 @@ class Peaks:
         self.begin = np.cumsum(size) - size
         row = np.repeat(np.arange(len(size)), size)
         flat = np.concatenate([np.asarray(x, float) for x in mz]) if len(size) else np.zeros(0)
-        order = np.lexsort((flat, row))
+        order = self._order(flat, row)
         self.row, self.mz = row, flat[order]
         self.intensity = (np.concatenate([np.asarray(x, float) for x in intensity]) if len(size) else np.zeros(0))[order]
         self.span = float(np.nanmax(np.abs(self.mz), initial=0.0)) + 1e5
         self.key = row * self.span + self.mz
 
+    def _order(self, values: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """Each row's places by its values, equal ones as they stand."""
+        wide = _wide(values, self.size, self.begin, row)
+        if wide is None:
+            return np.lexsort((values, row))
+        at = np.argsort(wide, axis=1, kind="stable") + self.begin[:, None]
+        return at.ravel() if wide.size == len(values) else at[np.arange(wide.shape[1]) < self.size[:, None]]
+
     def beside(self, row: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The neighbours below and above each wanted m/z in its row, and their distances; infinite where there is none."""
         right = np.searchsorted(self.key, row * self.span + wanted)
@@ -79,18 +99,27 @@ class Peaks:
 
     def medians(self, chosen: np.ndarray, default: float) -> np.ndarray:
         """Each row's median intensity of the chosen peaks."""
+        out = np.full(self.rows, default)
+        wide = _wide(self.intensity, self.size, self.begin, self.row)
+        if wide is not None:
+            wide = wide.copy()
+            wide[self.row[~chosen], (np.arange(len(self.row)) - self.begin[self.row])[~chosen]] = np.inf
+            wide.sort(axis=1)
+            n = np.bincount(self.row[chosen], minlength=self.rows)
+            some = np.flatnonzero(n)
+            out[some] = (wide[some, (n[some] - 1) // 2] + wide[some, n[some] // 2]) / 2
+            return out
         at = np.flatnonzero(chosen)
         at = at[np.lexsort((self.intensity[at], self.row[at]))]
         n = np.bincount(self.row[at], minlength=self.rows)
         first = np.cumsum(n) - n
         some = np.flatnonzero(n)
-        out = np.full(self.rows, default)
         out[some] = (self.intensity[at[first[some] + (n[some] - 1) // 2]] + self.intensity[at[first[some] + n[some] // 2]]) / 2
         return out
 
     def largest(self, n: int) -> np.ndarray:
         """Whether each peak is one of its row's `n` most intense."""
-        order = np.lexsort((-self.intensity, self.row))
+        order = self._order(-self.intensity, self.row)
         out = np.zeros(len(order), bool)
         out[order] = np.arange(len(order)) - self.begin[self.row] < n
         return out
@@ -112,10 +141,23 @@ class Ions:
     """The b or y ions of several peptides: row, number and m/z of those above `smallest`."""
 
     def __init__(self, masses: list[np.ndarray], kind: str, charge: int = 1, smallest: float = chem.SMALLEST_FRAGMENT):
-        made = [chem.fragments(m, charge)[0 if kind == "b" else 1] for m in masses]
-        self.row = np.repeat(np.arange(len(made)), [len(x) for x in made])
-        self.number = np.concatenate([np.arange(1, len(x) + 1) for x in made]) if made else np.zeros(0, np.int64)
-        self.mz = np.concatenate(made) if made else np.zeros(0)
+        size = np.array([len(m) for m in masses], np.int64)
+        begin = np.cumsum(size) - size
+        row, flat = np.repeat(np.arange(len(size)), size), np.concatenate(masses) if len(masses) else np.zeros(0)
+        place = np.arange(len(flat)) - begin[row]
+        # sums along the rows of a matrix are those of each row by itself; a few long peptides among short ones are summed in parts of like length
+        sums = np.empty(len(flat))
+        turned = flat if kind == "b" else flat[begin[row] + size[row] - 1 - place]
+        for part in np.unique(size >> 5):
+            own = np.flatnonzero(size >> 5 == part)
+            wide = np.zeros((len(own), int(size[own].max())))
+            inside = np.arange(wide.shape[1]) < size[own][:, None]
+            at = (begin[own][:, None] + np.arange(wide.shape[1]))[inside]
+            wide[inside] = turned[at]
+            sums[at] = np.cumsum(wide, axis=1)[inside]
+        whole = place < size[row] - 1  # the whole peptide is no fragment
+        self.row, self.number = row[whole], place[whole] + 1
+        self.mz = ((sums[whole] + (0.0 if kind == "b" else chem.WATER)) + charge * chem.PROTON) / charge
         keep = self.mz > smallest
         self.row, self.number, self.mz = self.row[keep], self.number[keep], self.mz[keep]
         self.count = np.bincount(self.row, minlength=len(masses))
@@ -168,7 +210,9 @@ def matched_features(masses: list[np.ndarray], charge: np.ndarray, peaks: Peaks,
 
     # a peak is explained where some matched ion is within the tolerance, on either side
     top = np.flatnonzero(peaks.largest(TOP))
-    ions_at = Peaks([told[row == r] for r in range(rows)], [told[row == r] for r in range(rows)]) if len(told) else None
+    by_row = np.argsort(row, kind="stable")
+    of_row = np.split(told[by_row], np.cumsum(np.bincount(row, minlength=rows))[:-1]) if len(told) else []
+    ions_at = Peaks(of_row, of_row) if len(told) else None
     explained = np.zeros(len(top), bool)
     if ions_at is not None:
         close = ions_at.nearest(peaks.row[top], peaks.mz[top])[1]
@@ -306,13 +350,22 @@ def features(peptide: str, charge: int, mz: np.ndarray | None, intensity: np.nda
     return {c: v[0] for c, v in one.items()}
 
 
+def _rows(column: pa.ListArray) -> list[np.ndarray | None]:
+    """Each row's values, as views of the column's; none for null."""
+    if column.null_count == len(column):
+        return [None] * len(column)
+    flat = column.values.to_numpy(zero_copy_only=False).astype(float, copy=False)
+    ends, known = column.offsets.to_numpy().tolist(), column.is_valid().to_pylist()
+    return [flat[a:b] if k else None for a, b, k in zip(ends, ends[1:], known, strict=False)]
+
+
 def extract(psms: DataFrame, spectra: DataFrame, key: str = "psm_id", tolerance: float = chem.TOLERANCE, ppm: bool = False, compat: bool = False) -> DataFrame:
     """(key, features) for PSMs (key, sample, Scan, Peptide, Charge) and spectra (sample, scan, mz, intensity, precursor_mz, and ms1 where there is)."""
     has_ms1 = "ms1" in spectra.columns
     survey = [F.col(f"ms1.{c}").alias(f"ms1_{c}") if has_ms1 else F.lit(None).cast("array<double>").alias(f"ms1_{c}") for c in ("mz", "intensity")]
     own = spectra.select(F.col("sample").alias("__s"), F.col("scan").alias("__scan"), "mz", "intensity", "precursor_mz", *survey)
     scans = psms.groupBy("sample", "Scan").agg(F.collect_list(F.struct(F.col(key).alias("key"), "Peptide", "Charge")).alias("psms"))
-    rows = scans.join(own, (F.col("sample") == F.col("__s")) & (F.col("Scan") == F.col("__scan")), "left")
+    rows = scans.hint("shuffle_hash").join(own, (F.col("sample") == F.col("__s")) & (F.col("Scan") == F.col("__scan")), "left")
     rows = rows.select("psms", "mz", "intensity", "precursor_mz", "ms1_mz", "ms1_intensity")
     kind = psms.schema[key].dataType.simpleString()
     types = {**{c: pa.int32() for c in COUNTS}, **{c: pa.float64() for c in VALUES}, "spectral_feature_error": pa.string()}
@@ -322,7 +375,7 @@ def extract(psms: DataFrame, spectra: DataFrame, key: str = "psm_id", tolerance:
             held = batch.column(0)
             scan = np.repeat(np.arange(len(batch)), np.asarray(held.value_lengths()))
             flat = held.flatten()
-            arrays = [[None if x.values is None else x.values.to_numpy(zero_copy_only=False).astype(float) for x in batch.column(k)] for k in (1, 2, 4, 5)]
+            arrays = [_rows(batch.column(k)) for k in (1, 2, 4, 5)]
             precursor = np.nan_to_num(np.array(batch.column(3).to_pylist(), float))[scan]
             charge = np.nan_to_num(np.array(flat.field(2).to_pylist(), float)).astype(np.int64)
             mz, intensity, ms1_mz, ms1_intensity = ([own[i] for i in scan] for own in arrays)
