@@ -14,7 +14,8 @@ context of an entity is the terms beside it, `reach` on either side of each of i
 repeated contexts count once, so copies of a document alone disclose nothing.
 
 One pass over all texts gives the entities, their documents' terms, and every term's number of documents (combined in the task,
-then by term).  A term with n(t) > N (n(e) / N) ** threshold cannot disclose e, so common terms never meet rare entities.
+then by term).  A term with n(t) > N (n(e) / N) ** threshold cannot disclose e, so common terms never meet rare entities; nor can one of whose
+documents fewer than a share of (n(e) / N) ** (1 - threshold) hold any entity, so words that stand everywhere alike meet none.
 Up to `max_terms` disclosing terms are broadcast, 16 bytes each; more are marked in rounds of that many.
 
 Defined results: a null text counts as empty and holds nothing; ids may be null or repeat, each row gets its own spans; a text of any length is read in
@@ -166,12 +167,14 @@ class Slice:
         self.row, self.starts, self.ends = self.word_row[good], w.starts[good], w.ends[good]
 
     def document_counts(self) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct terms and in how many of the rows each stands."""
+        """Distinct terms and in how many of the rows each stands, and in how many of those with entities."""
         order = np.lexsort((self.row, self.code))
         code, row = self.code[order], self.row[order]
         new = np.ones(len(code), bool)
         new[1:] = (code[1:] != code[:-1]) | (row[1:] != row[:-1])
-        return summed(code[new], np.ones(int(new.sum()), np.int64))
+        with_entities = np.zeros(len(self.offsets), np.int64)
+        with_entities[list(self.spans)] = 1
+        return summed(code[new], np.stack([np.ones(int(new.sum()), np.int64), with_entities[row[new]]], axis=1))
 
     def held(self, r: int, reach: int) -> tuple[list[dict[str, int]], np.ndarray]:
         """The row's entities with their contexts, and its distinct terms."""
@@ -191,20 +194,20 @@ class Slice:
 
 
 def summed(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct codes with the sums of their numbers."""
+    """Distinct codes with the sums of their numbers, row by row."""
     if not len(code):
         return code, n
     order = np.argsort(code, kind="stable")
     code, n = code[order], n[order]
     edge = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
-    return code[edge], np.add.reduceat(n, edge)
+    return code[edge], np.add.reduceat(n, edge, axis=0)
 
 
 def scan(docs: DataFrame, text: str, reach: int) -> DataFrame:
-    """Rows of two kinds: of a text with entities, the entities with their contexts and the hashes of all terms; of many texts, terms with their numbers of documents."""
+    """Rows of two kinds: of a text with entities, the entities with their contexts and the hashes of all terms; of many texts, terms with their numbers of documents and of those with entities."""
 
-    def rows(held: list, terms: list, code: list, n: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(held, HELD), *[pa.array(x, pa.list_(pa.int64())) for x in (terms, code, n)]], names=["held", "terms", "code", "n"])
+    def rows(held: list, terms: list, code: list, n: list, near: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(held, HELD), *[pa.array(x, pa.list_(pa.int64())) for x in (terms, code, n, near)]], names=["held", "terms", "code", "n", "n_near"])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, ns, many = [], [], 0
@@ -213,7 +216,7 @@ def scan(docs: DataFrame, text: str, reach: int) -> DataFrame:
                 own = Slice(first, data, offsets)
                 found = [own.held(r, reach) for r in own.spans]
                 if found:
-                    yield rows([h for h, _ in found], [t.view(np.int64) for _, t in found], [None] * len(found), [None] * len(found))
+                    yield rows([h for h, _ in found], [t.view(np.int64) for _, t in found], *[[None] * len(found)] * 3)
                 code, n = own.document_counts()
                 codes.append(code)
                 ns.append(n)
@@ -222,15 +225,15 @@ def scan(docs: DataFrame, text: str, reach: int) -> DataFrame:
                     code, n = summed(np.concatenate(codes), np.concatenate(ns))
                     codes, ns, many = [code], [n], len(code)
                     if many > FLUSH // 2:
-                        yield rows([None], [None], [code.view(np.int64)], [n])
+                        yield rows([None], [None], [code.view(np.int64)], [n[:, 0]], [n[:, 1]])
                         codes, ns, many = [], [], 0
         if codes:
             code, n = summed(np.concatenate(codes), np.concatenate(ns))
-            yield rows([None], [None], [code.view(np.int64)], [n])
+            yield rows([None], [None], [code.view(np.int64)], [n[:, 0]], [n[:, 1]])
         trim()
 
     slim = docs.select(F.col(f"`{text}`").alias(f"text{MARK}"))
-    return slim.mapInArrow(find, "held array<struct<entity:bigint,context:bigint>>, terms array<bigint>, code array<bigint>, n array<bigint>").withColumn("row", F.monotonically_increasing_id())
+    return slim.mapInArrow(find, "held array<struct<entity:bigint,context:bigint>>, terms array<bigint>, code array<bigint>, n array<bigint>, n_near array<bigint>").withColumn("row", F.monotonically_increasing_id())
 
 
 def share(n_pair: Column, n_term: Column, n_entity: Column, total: int) -> Column:
@@ -247,11 +250,13 @@ def disclosing(found: DataFrame, total: int, threshold: float, support: int) ->
     most = F.col("n_entity") ** threshold * float(max(1, total)) ** (1 - threshold) * (1 + 1e-9)
     known = held.join(entities, "entity").withColumn("most", most)
     known = written(known)
-    widest = known.agg(F.max("most")).first()[0]
+    widest, rarest = known.agg(F.max("most"), F.min("n_entity")).first()
     if widest is None:
         return found.sparkSession.createDataFrame([], "term long, disclosure double")
-    counts = found.where("code is not null").select(F.explode(F.arrays_zip("code", "n")).alias("x")).groupBy(F.col("x.code").alias("term")).agg(F.sum("x.n").alias("n_term"))
-    counts = counts.where((F.col("n_term") >= support) & (F.col("n_term") <= F.lit(widest)))
+    counts = found.where("code is not null").select(F.explode(F.arrays_zip("code", "n", "n_near")).alias("x")).groupBy(F.col("x.code").alias("term")).agg(F.sum("x.n").alias("n_term"), F.sum("x.n_near").alias("n_near"))
+    # n(t, e) is at most the number of the term's documents with entities, and to reach the threshold at least this share of all its documents
+    least = (rarest / max(1, total)) ** (1 - threshold) * (1 - 1e-9)
+    counts = written(counts.where((F.col("n_near") >= support) & (F.col("n_near") >= F.col("n_term") * F.lit(least)) & (F.col("n_term") <= F.lit(widest))).drop("n_near"))  # its size is known before terms are laid out beside it
     near = found.where("held is not null").join(known.select("row").distinct(), "row", "left_semi").select("row", F.explode("terms").alias("term")).join(counts, "term")
     both = near.join(known, "row").where("n_term <= most")
     # by context first: an entity in many documents is dealt out by its terms and contexts
