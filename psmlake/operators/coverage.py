@@ -120,7 +120,7 @@ def coverage(annotated: DataFrame, proteins: DataFrame, mode: str = "all_matches
     `proteins`: Protein, Sequence; letters of any case; of several rows with one id any one counts.  Proteins without a sequence are left out.  compat: peptides with a mass in their text cover nothing.
     `databases` (sample, database): proteins have a database too, and a sample's peptides are sought in its own; samples without one are left out.
     Sequences and peptides cross one exchange together, by protein; in a task each sequence stands before its peptides, which are marked on it as they
-    come, so a protein of any number of peptides holds no more than its sequence, a mark for each residue and sample, and the peptides' names.
+    come (tasks grow in number with the files, so that none reads more of larger ones), so a protein of any number of peptides holds no more than its sequence, a mark for each residue and sample, and the peptides' names.
     """
     rows = keep_mode(annotated.where("intensity > 0"), mode).select("Protein", "sample", "PeptideFlanked").where("PeptideFlanked IS NOT NULL AND Protein IS NOT NULL")
     keys = ["Protein"]
@@ -129,7 +129,9 @@ def coverage(annotated: DataFrame, proteins: DataFrame, mode: str = "all_matches
     sample = rows.schema["sample"].dataType
     sequences = proteins.select(*keys, F.lit(None).cast(sample).alias("sample"), F.upper("Sequence").alias("body"), F.lit(False).alias("is_peptide")).where("body <> ''")
     both = sequences.unionByName(rows.select(*keys, "sample", F.col("PeptideFlanked").alias("body"), F.lit(True).alias("is_peptide")))
-    together = both.repartition(*keys).sortWithinPartitions(*keys, "is_peptide")
+    parts = lineage.parts_for(both)
+    usual = int(both.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    together = (both.repartition(parts, *keys) if parts > usual else both.repartition(*keys)).sortWithinPartitions(*keys, "is_peptide")
     kinds = T.StructType([*[both.schema[c] for c in keys], T.StructField("sample", sample), T.StructField("num_pep", T.LongType()), T.StructField("coverage", T.DoubleType())])
     out = together.mapInArrow(lambda batches, k=to_arrow_schema(kinds): Proteins(keys, k, compat).read(batches), kinds).select("Protein", "sample", "num_pep", "coverage")
     return out.where(F.col("num_pep") >= min_num_pep) if min_num_pep > 1 else out
