@@ -29,21 +29,36 @@ def _windows(n: Column, low: int, high: int) -> Column:
     return F.when(k > 0, k * (n + 1) - (F.lit(low) + top) * k / 2).otherwise(0).cast("long")
 
 
-def span_lengths(sequence: Column, enzyme: int, missed: int, compat: bool = False) -> Column:
-    """Lengths of runs of neighbouring pieces with at most `missed` cut sites inside (-1: any number)."""
-    def spans(parts: Column) -> Column:
-        last = F.size(parts)
+#: Starts to a block of running sums.  Those of a whole sequence would be copied once for each piece.
+BLOCK = 16
+
 
-        def within(ends: Column) -> Column:
-            def from_start(i: Column) -> Column:
-                reach = last if missed < 0 else F.least(last, i + missed + 1)
-                return F.transform(F.sequence(i + 1, reach), lambda j: F.element_at(ends, j + 1) - F.element_at(ends, i + 1))
+def _run_lengths(lengths: Column, missed: int) -> Column:
+    """Lengths of runs of neighbouring pieces, by first piece, then last, from the pieces' own (at least one); work in proportion to the pieces where `missed` is not negative."""
+    last = F.size(lengths)
+    if missed == 0:
+        return lengths
+    block = max(BLOCK, missed + 1)
 
-            return F.flatten(F.transform(F.sequence(F.lit(0), last - 1), from_start))
+    def spans(ends: Column, starts: Column) -> Column:
+        def from_start(i: Column) -> Column:
+            reach = F.size(ends) - 1 if missed < 0 else F.least(F.size(ends) - 1, i + missed + 1)
+            return F.transform(F.sequence(i + 1, reach), lambda j: F.element_at(ends, j + 1) - F.element_at(ends, i + 1))
 
-        return F.when(last > 0, let(running_ends(F.transform(parts, lambda p: F.length(p))), within)).otherwise(F.array().cast("array<int>"))
+        return F.flatten(F.transform(F.sequence(F.lit(0), starts - 1), from_start))
 
-    return let(fragments(sequence, enzyme, compat), spans)
+    if missed < 0:
+        return let(running_ends(lengths), lambda ends: spans(ends, last))
+    return F.flatten(F.transform(F.sequence(F.lit(0), last - 1, F.lit(block)), lambda k: let(running_ends(F.slice(lengths, k + 1, F.lit(block + missed))), lambda ends: spans(ends, F.least(F.lit(block), last - k)))))
+
+
+def _piece_lengths(sequence: Column, enzyme: int, compat: bool) -> Column:
+    return F.transform(fragments(sequence, enzyme, compat), lambda p: F.length(p))
+
+
+def span_lengths(sequence: Column, enzyme: int, missed: int, compat: bool = False) -> Column:
+    """Lengths of runs of neighbouring pieces with at most `missed` cut sites inside (-1: any number)."""
+    return let(_piece_lengths(sequence, enzyme, compat), lambda own: F.when(F.size(own) > 0, _run_lengths(own, missed)).otherwise(F.array().cast("array<int>")))
 
 
 def peptides(sequence: Column, enzyme: int = 1, missed: int = 0, min_length: int = 6, max_length: int = 40) -> Column:
@@ -61,31 +76,36 @@ def peptides(sequence: Column, enzyme: int = 1, missed: int = 0, min_length: int
     return let(fragments(sequence, enzyme), runs)
 
 
-def _semi_specific(parts: Column, spans: Column, n_pieces: int | None, low: int, high: int) -> Column:
+def _semi_specific(n_pieces: Column, spans: Column, most_pieces: int | None, low: int, high: int) -> Column:
     """Over all runs, the lengths from `low` to the run's own or `high`; `spans` holds the lengths of the runs that may be shorter than `high`."""
     each = F.aggregate(spans, F.lit(0).cast("long"), lambda a, n: a + F.greatest(F.lit(0), F.least(F.lit(high), n) - low + 1))
-    n = F.size(parts).cast("long")
-    most = n if n_pieces is None else F.least(F.lit(n_pieces).cast("long"), n)
+    n = n_pieces.cast("long")
+    most = n if most_pieces is None else F.least(F.lit(most_pieces).cast("long"), n)
     runs = most * n - (most * (most - 1) / 2).cast("long")  # of 1 to `most` pieces
     return each + (runs - F.size(spans)) * max(0, high - low + 1)
 
 
+def candidates(sequence: Column, min_length: int = 6, max_length: int = 40, missed: int = -1, termini: int = 2, enzyme: int = 1, compat: bool = False) -> Column:
+    """How many candidates of min_length to max_length residues a sequence has, as candidate_peptides() counts them."""
+    if enzyme not in CUT_SITES:
+        raise ValueError(f"unknown enzyme {enzyme}; known: {', '.join(map(str, CUT_SITES))}")
+    seq = F.upper(sequence)
+    longest = max_length + 2  # a run of more pieces is longer than max_length
+    pieces = min(missed, longest) if missed >= 0 else longest
+    if CUT_SITES[enzyme] is None:
+        return _windows(F.length(seq), min_length, max_length)
+    if termini < 2:
+        def semi(own: Column) -> Column:
+            return let(_run_lengths(own, pieces), lambda spans: _semi_specific(F.size(own), spans, missed + 1 if missed >= 0 else None, min_length, max_length))
+
+        return F.when(F.length(seq) > 0, let(_piece_lengths(seq, enzyme, compat), lambda own: F.when(F.size(own) > 0, semi(own)).otherwise(0))).otherwise(0).cast("long")
+    return F.size(F.filter(span_lengths(seq, enzyme, pieces, compat), lambda n: (n >= min_length) & (n <= max_length))).cast("long")
+
+
 def candidate_peptides(proteins: DataFrame, min_length: int = 6, max_length: int = 40, missed: int = -1, termini: int = 2, enzyme: int = 1, compat: bool = False, sequence: str = "Sequence") -> DataFrame:
     """One row: n_peptides, candidates of min_length to max_length residues over all proteins.
 
     With both termini cut (termini = 2) they are runs of pieces; with fewer, each run of pieces counts once for every length up to its own, as the search's size estimate does;
     with an enzyme without sites they are all substrings.
     """
-    if enzyme not in CUT_SITES:
-        raise ValueError(f"unknown enzyme {enzyme}; known: {', '.join(map(str, CUT_SITES))}")
-    seq = F.upper(F.col(sequence))
-    longest = max_length + 2  # a run of more pieces is longer than max_length
-    pieces = min(missed, longest) if missed >= 0 else longest
-    if CUT_SITES[enzyme] is None:
-        each = _windows(F.length(seq), min_length, max_length)
-    elif termini < 2:
-        parts, spans = fragments(seq, enzyme, compat), span_lengths(seq, enzyme, pieces, compat)
-        each = F.when(F.length(seq) > 0, _semi_specific(parts, spans, missed + 1 if missed >= 0 else None, min_length, max_length)).otherwise(F.lit(0).cast("long"))
-    else:
-        each = F.size(F.filter(span_lengths(seq, enzyme, pieces, compat), lambda n: (n >= min_length) & (n <= max_length))).cast("long")
-    return proteins.agg(F.coalesce(F.sum(each), F.lit(0)).alias("n_peptides"))
+    return proteins.agg(F.coalesce(F.sum(candidates(F.col(sequence), min_length, max_length, missed, termini, enzyme, compat)), F.lit(0)).alias("n_peptides"))

@@ -78,9 +78,10 @@ def coverage_by_database(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def digest_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Letters of all documents as proteins; each piece ends after K or R without P behind, or at the end; whole pieces, semi-specific runs of three at most, all substrings."""
-    docs = table(spark, sf_dir, "documents").select(F.upper(F.regexp_replace("text", "[^A-Za-z]", "")).alias("Sequence"))
-    kinds = [digest.candidate_peptides(docs, 6, 40, 0).withColumn("kind", F.lit("full")), digest.candidate_peptides(docs, 6, 40, 2, 1).withColumn("kind", F.lit("semi")), digest.candidate_peptides(docs, 6, 40, enzyme=0).withColumn("kind", F.lit("any"))]
-    return kinds[0].unionByName(kinds[1]).unionByName(kinds[2])
+    docs = table(spark, sf_dir, "documents").select(F.upper(F.regexp_replace("text", "[^A-Za-z]+", "")).alias("Sequence"))
+    kinds = {"full": digest.candidates(F.col("Sequence"), 6, 40, 0), "semi": digest.candidates(F.col("Sequence"), 6, 40, 2, 1), "any": digest.candidates(F.col("Sequence"), 6, 40, enzyme=0)}
+    sums = docs.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(kind) for kind, c in kinds.items()])  # one scan for all
+    return sums.select(F.inline(F.array(*[F.struct(F.col(kind).alias("n_peptides"), F.lit(kind).alias("kind")) for kind in kinds])))
 
 
 def merge_sics(spark: SparkSession, sf_dir: str) -> DataFrame:
