@@ -1,7 +1,7 @@
 """Similarity join of documents by the Jaccard index of their word n-gram sets.
 
-1. One pass finds n-grams that more than one document holds (`hash_counts`).  A document with a partner shares
-   `threshold` of its set with it, so only documents with that share of repeated n-grams go on; equal sets become one class.
+1. One pass finds n-grams that more than one document holds (`hash_counts`), among those with an odd hash.  A document with a partner shares
+   `threshold` of its set with it, so only documents in which no more n-grams than the rest are known to be held once go on; equal sets become one class.
 2. The classes' sets are put into one global order, rarest n-gram first.  A pair above the threshold shares
    one of the first n - ceil(threshold * n) + 1 n-grams; these prefixes meet in posting lists.
 3. Pairs are proved by a prefix-tree join: the ordered sets that meet one probe form a trie, which is walked once,
@@ -11,8 +11,8 @@
    in one component meet, and of them only those with a side outside the list's most frequent component and with sizes that allow the threshold, so a
    group of copies costs links in proportion to its size.  Sets that meet a common leader are dealt over salted groups.
 
-Sets are compared by 56 bits of a hash of each n-gram.  The broadcast tables are bounded by `max_slots`; beyond that more documents
-go on to step 2, up to all of them, and results stay the same.
+Sets are compared by 56 bits of a hash of each n-gram.  The broadcast tables grow with the corpus, up to `max_slots` bits and a 32nd of that in bytes; beyond that more documents
+go on to step 2, up to all of them, and results stay the same.  Tables and shuffles go as soon as they are read for the last time.
 
 Defined results: a null text counts as empty; an empty set links with nothing; a row with a null id takes its class's component, null where the class has no id; rows that repeat
 an id are separate documents that report the same id; texts of any length are read whole; an empty table gives an empty table.
@@ -31,12 +31,14 @@ from pyspark.sql import functions as F
 
 from . import hash_counts
 from .components import components
-from .runtime import MARK, bounded_batches, partitions_for, trim, written
+from .runtime import MARK, bounded_batches, dropped, partitions_for, shuffles_dropped, trim, written
 from .text_kernels import U64, mix, shingle_sets
 
 GROUP_BYTES = 8 << 20
 MEMBERS = 256
 BLOCK = 64
+#: Bits of the table of repeated n-grams: 64 MB.
+MAX_SLOTS = 1 << 29
 
 
 def least_share(n: int, t: Fraction) -> int:
@@ -116,6 +118,16 @@ def ranked(table: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     return np.sort((hash_counts.level(table, tokens).astype(U64) << U64(56)) | (tokens >> U64(8)))
 
 
+def watched(own: np.ndarray) -> np.ndarray:
+    """The n-grams that the table of repeated ones knows: those with an odd hash, half of them."""
+    return own[(own & U64(1)) == 1]
+
+
+def may_link(table: np.ndarray, own: np.ndarray, t: Fraction) -> bool:
+    """Whether a set can have a partner: what it need not share holds all n-grams that are met once."""
+    return int((~hash_counts.repeated(table, watched(own))).sum()) <= len(own) - least_share(len(own), t)
+
+
 def _sets(docs: DataFrame, doc_id: str, text: str, width: int, t: Fraction, seen: Broadcast) -> DataFrame:
     """One row per row: id, n, class hash, whether it goes on, and the set where its class is new to the task."""
 
@@ -135,7 +147,7 @@ def _sets(docs: DataFrame, doc_id: str, text: str, width: int, t: Fraction, seen
                 size[i] = len(own)
                 if len(own):
                     a[i], b[i] = np.array([own.sum(dtype=U64), mix(own ^ U64(0xA0761D6478BD642F)).sum(dtype=U64)]).view(np.int64)
-                    on[i] = int(hash_counts.repeated(table, own).sum()) >= least_share(len(own), t)
+                    on[i] = may_link(table, own, t)
                     if on[i] and (a[i], b[i]) not in met:
                         met.add((a[i], b[i]))
                         held[i] = own.astype("<u8").tobytes()
@@ -205,23 +217,30 @@ def _proved(pairs: DataFrame, classes: DataFrame, t: Fraction, order: Broadcast)
 def _grouped(docs: DataFrame, text: str, doc_id: str, width: int, threshold: Fraction, max_slots: int) -> DataFrame:
     """One row per row: id, a hash of the text, set size, component (null: linked with nothing) and the smallest id in it."""
     bounded_batches(docs.sparkSession)
+    with shuffles_dropped(docs.sparkSession):
+        return _linked(docs, text, doc_id, width, threshold, max_slots)
+
+
+def _linked(docs: DataFrame, text: str, doc_id: str, width: int, threshold: Fraction, max_slots: int) -> DataFrame:
     spark, t = docs.sparkSession, threshold
     size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
     texts = docs.select(F.col(f"`{text}`").alias(f"text{MARK}"))
-    table = hash_counts.hash_table(texts, lambda batch: (own for _, own in shingle_sets(batch.column(0), width)), size // 6, max_slots, levels=False)
+    table = hash_counts.hash_table(texts, lambda batch: (watched(own) for _, own in shingle_sets(batch.column(0), width)), size // 12, max_slots, levels=False, spare=1)
     seen = spark.sparkContext.broadcast(table)
-    rows = written(_sets(docs, doc_id, text, width, t, seen))
+    sets = written(_sets(docs, doc_id, text, width, t, seen))
+    rows = written(sets.drop("tokens"))
 
-    classes = rows.where("goes_on").groupBy("ka", "kb").agg(F.min(f"id{MARK}").alias("least"), F.first("tokens", ignorenulls=True).alias("tokens"))
+    classes = sets.where("goes_on").groupBy("ka", "kb").agg(F.min(f"id{MARK}").alias("least"), F.first("tokens", ignorenulls=True).alias("tokens"))
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()))
+    dropped(sets)
     weight = classes.agg(F.sum(F.octet_length("tokens"))).first()[0] or 0
-    counts = hash_counts.hash_table(classes.select("tokens"), lambda batch: (np.frombuffer(x.as_buffer(), "<u8") for x in batch.column(0)), weight // 8, max_slots >> 3, levels=True, spare=2)
+    counts = hash_counts.hash_table(classes.select("tokens"), lambda batch: (np.frombuffer(x.as_buffer(), "<u8") for x in batch.column(0)), weight // 8, max_slots >> 5, levels=True, spare=2)
     order = spark.sparkContext.broadcast(counts)
 
-    posted = _postings(classes, t, order)
-    posted = written(posted)
-    lists = posted.groupBy("gram").agg(F.count("*").alias("many"), F.max(F.struct("common", (-F.col("node")).alias("minus"))).alias("top")).where("many > 1")
-    posted = written(posted.join(lists.select("gram", (-F.col("top.minus")).alias("leader")), "gram").drop("common"))
+    every = written(_postings(classes, t, order))
+    lists = every.groupBy("gram").agg(F.count("*").alias("many"), F.max(F.struct("common", (-F.col("node")).alias("minus"))).alias("top")).where("many > 1")
+    posted = written(every.join(lists.select("gram", (-F.col("top.minus")).alias("leader")), "gram").drop("common"))
+    dropped(every)
 
     star = posted.where("node != leader").groupBy("node", "n", "leader").agg(F.count("*").alias("hits"))
     first = star.groupBy("node", "n").agg(F.max(F.struct("hits", "leader")).alias("best")).select(F.col("best.leader").alias("a"), F.col("node").alias("b"), "n")
@@ -232,7 +251,7 @@ def _grouped(docs: DataFrame, text: str, doc_id: str, width: int, threshold: Fra
         comp = components(links)
         own = posted.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
         open_ = own.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("gram")
-        own = written(own.join(open_, "gram", "left_semi"))
+        still = own = written(own.join(open_, "gram", "left_semi"))
         if not last:  # once more with every leader of the lists that are still open
             lead = own.where("node = leader").select("gram", F.col("component").alias("other")).distinct()
             pairs = own.where("node != leader").join(lead, "gram").where("component != other").select(F.col("leader").alias("a"), F.col("node").alias("b"), "n").distinct()
@@ -251,12 +270,14 @@ def _grouped(docs: DataFrame, text: str, doc_id: str, width: int, threshold: Fra
             pairs = x.join(y, (F.col("x.gram") == F.col("y.gram")) & apart & near & (room >= need)).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"), F.when(F.col("x.node") < F.col("y.node"), F.col("y.n")).otherwise(F.col("x.n")).alias("n")).distinct()
         both = tried.select("a", "b").unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
         pairs = written(pairs.join(both, ["a", "b"], "left_anti"))
+        dropped(still)
         links = written(links.unionByName(_proved(pairs, classes, t, order)))
         tried = tried.unionByName(pairs)
 
     comp = components(links)
     named = classes.select("node", "ka", "kb", "least").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = written(named)
+    dropped(classes, posted)
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = named.join(smallest, "component").select(F.col("ka").alias("xa"), F.col("kb").alias("xb"), "component", "component_id")
     many = rows.where("goes_on").select(f"id{MARK}", "h", "n", "ka", "kb").join(named, (F.col("ka") == F.col("xa")) & (F.col("kb") == F.col("xb")))
@@ -264,12 +285,12 @@ def _grouped(docs: DataFrame, text: str, doc_id: str, width: int, threshold: Fra
     return many.select(f"id{MARK}", "h", "n", "component", "component_id").unionByName(alone)
 
 
-def similarity_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 5, threshold: Fraction = Fraction(4, 5), max_slots: int = 1 << 26) -> DataFrame:
+def similarity_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 5, threshold: Fraction = Fraction(4, 5), max_slots: int = MAX_SLOTS) -> DataFrame:
     """One row per row of `docs`: doc_id, n_shingles, component_id."""
     return _grouped(docs, text, doc_id, width, threshold, max_slots).select(F.col(f"id{MARK}").alias(doc_id), F.col("n").alias("n_shingles"), "component_id")
 
 
-def first_of_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 5, threshold: Fraction = Fraction(4, 5), max_slots: int = 1 << 26) -> DataFrame:
+def first_of_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 5, threshold: Fraction = Fraction(4, 5), max_slots: int = MAX_SLOTS) -> DataFrame:
     """One row of each group: that with the smallest id; of rows that share it, one text, and of rows that repeat id and text, one.  Rows without an id stay.  Columns as given."""
     one, i, h = f"one{MARK}", f"i{MARK}", f"h{MARK}"
     rows = written(_grouped(docs, text, doc_id, width, threshold, max_slots).where("component is not null").select(F.col(f"id{MARK}").alias(i), F.col("h").alias(h), "component"))

@@ -8,6 +8,8 @@ import ctypes
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -57,6 +59,25 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Remove tables of written() that nothing reads any more."""
+    for df in tables:
+        for path in {unquote(f).rpartition("/")[0] for f in df.inputFiles()}:
+            _remove(df.sparkSession, path)
+
+
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Within, the files of an action's shuffles go as it ends, not when the driver happens to collect garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Keep the batches that Python workers get within BATCH_BYTES, for this session: whole documents are large rows."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
