@@ -227,7 +227,9 @@ def _linked(docs: DataFrame, text: str, doc_id: str, width: int, threshold: Frac
     texts = docs.select(F.col(f"`{text}`").alias(f"text{MARK}"))
     table = hash_counts.hash_table(texts, lambda batch: (watched(own) for _, own in shingle_sets(batch.column(0), width)), size // 12, max_slots, levels=False, spare=1)
     seen = spark.sparkContext.broadcast(table)
+    del table  # the broadcast has it
     sets = written(_sets(docs, doc_id, text, width, t, seen))
+    seen.destroy()
     rows = written(sets.drop("tokens"))
 
     classes = sets.where("goes_on").groupBy("ka", "kb").agg(F.min(f"id{MARK}").alias("least"), F.first("tokens", ignorenulls=True).alias("tokens"))
@@ -236,6 +238,7 @@ def _linked(docs: DataFrame, text: str, doc_id: str, width: int, threshold: Frac
     weight = classes.agg(F.sum(F.octet_length("tokens"))).first()[0] or 0
     counts = hash_counts.hash_table(classes.select("tokens"), lambda batch: (np.frombuffer(x.as_buffer(), "<u8") for x in batch.column(0)), weight // 8, max_slots >> 5, levels=True, spare=2)
     order = spark.sparkContext.broadcast(counts)
+    del counts
 
     every = written(_postings(classes, t, order))
     lists = every.groupBy("gram").agg(F.count("*").alias("many"), F.max(F.struct("common", (-F.col("node")).alias("minus"))).alias("top")).where("many > 1")
@@ -244,8 +247,8 @@ def _linked(docs: DataFrame, text: str, doc_id: str, width: int, threshold: Frac
 
     star = posted.where("node != leader").groupBy("node", "n", "leader").agg(F.count("*").alias("hits"))
     first = star.groupBy("node", "n").agg(F.max(F.struct("hits", "leader")).alias("best")).select(F.col("best.leader").alias("a"), F.col("node").alias("b"), "n")
-    links = written(_proved(written(first), classes, t, order))
-    tried = first
+    tried = written(first)
+    links = _proved(tried, classes, t, order)
 
     for last in (False, True):
         comp = components(links)
@@ -268,13 +271,15 @@ def _linked(docs: DataFrame, text: str, doc_id: str, width: int, threshold: Frac
             apart = (F.col("x.component") != F.col("y.component")) & (F.col("x.size") == F.col("y.size"))
             # of the n-grams that a pair shares, the first has room for the whole overlap
             pairs = x.join(y, (F.col("x.gram") == F.col("y.gram")) & apart & near & (room >= need)).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"), F.when(F.col("x.node") < F.col("y.node"), F.col("y.n")).otherwise(F.col("x.n")).alias("n")).distinct()
-        both = tried.select("a", "b").unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = tried.select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))
         pairs = written(pairs.join(both, ["a", "b"], "left_anti"))
         dropped(still)
-        links = written(links.unionByName(_proved(pairs, classes, t, order)))
+        # what is linked so far is a star of each component, so only what the new pairs join is sought again
+        links = comp.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(_proved(pairs, classes, t, order))
         tried = tried.unionByName(pairs)
 
     comp = components(links)
+    order.destroy()
     named = classes.select("node", "ka", "kb", "least").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = written(named)
     dropped(classes, posted)
