@@ -20,6 +20,7 @@ from pathlib import Path
 from typing import Any
 from urllib.parse import unquote
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,9 +48,9 @@ def stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def new_sequences(rows: DataFrame, known: DataFrame) -> DataFrame:
     """(digest, id, sequence): each sequence once, with its smallest id as text, that `known` (digest) lacks; null and empty ones go."""
-    rows = rows.select(F.col("id").cast("string").alias("id"), "sequence").where("sequence <> ''").withColumn("digest", F.unhex(F.sha2(F.encode("sequence", "UTF-8"), 256)))
-    # equal digests are equal sequences, so any of the group's will do
-    once = rows.groupBy("digest").agg(F.min("id").alias("id"), F.any_value("sequence").alias("sequence"))
+    rows = rows.select(F.col("id").cast("string").alias("id"), "sequence").withColumn("digest", F.unhex(F.sha2(F.encode("sequence", "UTF-8"), 256)))
+    # equal digests are equal sequences, so any of the group's will do; a filter before would work out each sequence twice
+    once = rows.groupBy("digest").agg(F.min("id").alias("id"), F.any_value("sequence").alias("sequence")).where("sequence <> ''")
     return once.join(known.select("digest"), "digest", "left_anti")
 
 
@@ -59,14 +60,25 @@ def take(frame: DataFrame, number: int, out: str, settings: Mapping[str, Any]) -
     rows = common.named(frame, settings["columns"])
     known = stored(spark, f"{out}/sequences", SEQUENCES).where(F.col("batch") < number)
     low, high = settings["min_length"], settings["max_length"]
-    new = new_sequences(rows, known).withColumn("peptides", digest.peptides(F.col("sequence"), settings["enzyme"], settings["missed"], low, high))
+    own = digest.peptides(F.col("sequence"), settings["enzyme"], settings["missed"], low, high)
+    new = new_sequences(rows, known).select("digest", "id", F.length("sequence").alias("n_residues"), own.alias("peptides")).withColumn("n_peptides", F.size("peptides").cast("long"))
+    new = new.persist(StorageLevel.DISK_ONLY)  # read for the peptides and for the sequences, worked out once
+    try:
+        add(frame, new, number, out)
+    finally:
+        new.unpersist()
+
+
+def add(frame: DataFrame, new: DataFrame, number: int, out: str) -> None:
+    """Write the peptides of new sequences, then the sequences."""
+    spark = frame.sparkSession
     # in its sorted peptides a sequence counts once for each, at the first of equal ones: one exchange, of partial counts
     own = let(F.sort_array("peptides"), lambda p: F.transform(p, lambda x, i: F.struct(x.alias("peptide"), ((i == 0) | (F.get(p, i - 1) != x)).alias("first"))))
     each = new.select(F.inline(own))
     found = each.groupBy("peptide").agg(F.count_if("first").alias("n_sequences"), F.count("*").alias("n_places"))
     found = found.select("peptide", F.length("peptide").alias("length"), "n_sequences", "n_places", F.lit(number).cast("long").alias("batch"))
     write(found, f"{out}/peptides")
-    told = new.select("digest", "id", F.length("sequence").alias("n_residues"), F.size("peptides").cast("long").alias("n_peptides"), F.lit(number).cast("long").alias("batch"))
+    told = new.select("digest", "id", "n_residues", "n_peptides", F.lit(number).cast("long").alias("batch"))
     write(told, f"{out}/sequences")
     wrote = [stored(spark, f"{out}/{name}", schema).where(F.col("batch") == number).count() for name, schema in (("sequences", SEQUENCES), ("peptides", PEPTIDES))]
     log.info("batch %d: read %d rows, wrote %d new sequences and %d peptides to %s", number, frame.count(), *wrote, out)
@@ -77,9 +89,13 @@ def write(df: DataFrame, path: str) -> None:
 
 
 def index(spark: SparkSession, out: str) -> DataFrame:
-    """(peptide, length, n_sequences, n_places, unique) over all batches; `unique`: one sequence alone holds it."""
+    """(peptide, length, n_sequences, n_places, unique) over all batches; `unique`: one sequence alone holds it.  A batch has one row a peptide, so only several need adding up."""
     rows = stored(spark, f"{out}/peptides", PEPTIDES)
-    sums = rows.groupBy("peptide").agg(F.first("length").alias("length"), F.sum("n_sequences").alias("n_sequences"), F.sum("n_places").alias("n_places"))
+    ends = rows.agg(F.min("batch").alias("low"), F.max("batch").alias("high")).first()
+    if ends.low == ends.high:
+        sums = rows.drop("batch")
+    else:
+        sums = rows.groupBy("peptide").agg(F.first("length").alias("length"), F.sum("n_sequences").alias("n_sequences"), F.sum("n_places").alias("n_places"))
     return sums.withColumn("unique", F.col("n_sequences") == 1)
 
 

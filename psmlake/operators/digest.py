@@ -68,8 +68,8 @@ def peptides(sequence: Column, enzyme: int = 1, missed: int = 0, min_length: int
 
     def runs(parts: Column) -> Column:
         def of(k: int) -> Column:
-            starts = F.when(F.size(parts) > k, F.sequence(F.lit(1), F.size(parts) - k)).otherwise(F.array().cast("array<int>"))
-            return F.transform(starts, lambda i: F.array_join(F.slice(parts, i, k + 1), "")) if k else parts
+            starts = F.when(F.size(parts) > k, F.slice(parts, F.lit(1), F.size(parts) - k)).otherwise(F.array().cast("array<string>"))
+            return F.transform(starts, lambda p, i: F.concat(p, *[F.get(parts, i + j) for j in range(1, k + 1)])) if k else parts
 
         return F.filter(F.concat(*[of(k) for k in range(missed + 1)]), lambda p: F.length(p).between(min_length, max_length))
 

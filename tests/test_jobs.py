@@ -147,3 +147,18 @@ def test_command_line_starts_and_stops_one_session(spark, tmp_path, monkeypatch,
     argv = ["--out", "o", *(["--psms", "p"] if job is sample_report else ["--sequences", "s", "--checkpoint", "c"])]
     job.main(argv)
     assert stopped == [1] and seen["args"][:2] == (("p", "o") if job is sample_report else ("s", "o"))
+
+
+def test_index_works_out_a_batch_once_and_adds_up_only_several(spark, tmp_path, monkeypatch):
+    source, out, mark = (str(tmp_path / x) for x in ("in", "out", "mark"))
+    plans, write = [], sequence_index.write
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(sequence_index, "write", lambda df, path: plans.append(plan(df)) or write(df, path))
+    sequences(spark, FIRST).write.parquet(source)
+    one = sequence_index.run(spark, source, out, mark, INDEX)
+    assert shown(one) == plain_index(FIRST, 2, 2, 12) and "Exchange" not in plan(one)
+    sequences(spark, SECOND, 100).write.mode("append").parquet(source)
+    two = sequence_index.run(spark, source, out, mark, INDEX)
+    assert shown(two) == plain_index(FIRST + SECOND, 2, 2, 12) and "Exchange" in plan(two)
+    assert len(plans) == 4 and all("InMemoryTableScan" in p for p in plans)
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
