@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +18,13 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from psmlake.operators import lineage
 from psmlake.operators.annotate import keep_mode
 
+#: Hits of a peptide that are marked one by one; more are marked in one pass over the sequence.
+FEW = 16
+#: From so many peptides on, they are sought all at once by their first SEED letters, in BLOCK places at a time.
+MANY = 24
+SEED = 8
+BLOCK = 1 << 16
+
 
 def normalised_name(name: Column) -> Column:
     """Lower case, no blanks around, no FASTA extension, no closing `_rescored`."""
@@ -60,6 +68,59 @@ def _read(peptide: str, compat: bool) -> tuple[str | None, str, str | None, byte
     return before, core, after, core.encode() if plain else None, b"\x01" * len(core)
 
 
+def runs(batch: pa.RecordBatch, names: list[str]) -> Iterator[tuple[int, int]]:
+    """(start, end) of the runs of rows that have the same values of `names`: compared as columns, not row by row."""
+    n = batch.num_rows
+    new = np.zeros(max(n - 1, 0), bool)
+    for column in map(batch.column, names) if n > 1 else ():
+        x, y = column.slice(0, n - 1), column.slice(1)
+        new |= pc.fill_null(pc.not_equal(x, y), False).to_numpy(zero_copy_only=False) | (x.is_null().to_numpy(zero_copy_only=False) != y.is_null().to_numpy(zero_copy_only=False))
+    edges = [0, *(np.flatnonzero(new) + 1).tolist(), n] if n else [0]
+    return zip(edges[:-1], edges[1:], strict=True)
+
+
+def mark_all(text: bytes, cores: list[bytes], mark: bytearray) -> None:
+    """Mark all places of all cores, overlapping ones too: work in proportion to the text, whatever the number of cores."""
+    groups = defaultdict(list)
+    for core in cores:
+        groups[min(len(core), SEED)].append(core)
+    seeds, longer, tables = {}, defaultdict(list), {}
+    for k, own in groups.items():
+        seeds[k] = np.unique(np.array([int.from_bytes(c[:k], "big") for c in own], np.uint64))
+        tables[k] = np.zeros(1 << 16, bool)
+        tables[k][_slot(seeds[k])] = True
+    for core in groups.get(SEED, ()):
+        longer[int.from_bytes(core[:SEED], "big")].append((core, b"\x01" * len(core)))
+    for begin in range(0, len(text), BLOCK):
+        letters = np.frombuffer(text[begin : begin + BLOCK + SEED - 1], np.uint8)
+        steps, code = np.zeros(len(letters) + 1, np.int32), letters.astype(np.uint64)
+        for k in range(1, SEED + 1):
+            if k > 1:
+                code = (code[:-1] << np.uint64(8)) | letters[k - 1 :]
+            if not len(code):
+                break
+            if k not in seeds:
+                continue
+            here = code[:BLOCK]
+            at = np.flatnonzero(tables[k][_slot(here)])
+            value = here[at]
+            at = at[seeds[k][np.minimum(np.searchsorted(seeds[k], value), len(seeds[k]) - 1)] == value]
+            if k < SEED:
+                steps[at] += 1
+                steps[at + k] -= 1
+                continue
+            for i, v in zip((at + begin).tolist(), here[at].tolist(), strict=True):
+                for core, cover in longer[v]:
+                    if text.startswith(core, i):
+                        mark[i : i + len(core)] = cover
+        own = np.frombuffer(mark, np.uint8)[begin : begin + len(letters)]
+        np.bitwise_or(own, np.cumsum(steps[:-1]) > 0, out=own)
+
+
+def _slot(codes: np.ndarray) -> np.ndarray:
+    return (codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)
+
+
 class Proteins:
     """Reads rows in order of their keys, each key's sequence before its peptides, and gives what each key's samples cover."""
 
@@ -75,23 +136,33 @@ class Proteins:
         if self.sequence:
             n = len(self.sequence)
             for sample, peptides in self.peptides.items():
-                self.out.append((*self.key, sample, len(peptides), 100.0 * int(np.count_nonzero(self.marks[sample])) / n))
+                self.out.append((*self.key, sample, len(peptides), 100.0 * self.marks[sample].count(1) / n))
 
-    def peptide(self, sample: object, peptide: str) -> None:
+    def found(self, sample: object, peptides: Iterable[str]) -> None:
+        """Mark what peptides of one sample cover."""
         own = self.peptides[sample]
-        if peptide in own:
-            return
-        own.add(peptide)
         mark = self.marks.get(sample)
         if mark is None:
-            mark = self.marks[sample] = np.zeros(len(self.sequence), bool)
-        before, core, after, plain, cover = _read(peptide, self.compat)
-        if plain is not None and self.plain is not None:
-            if plain in self.plain:  # all hits in one pass
-                mark |= np.frombuffer(self.plain.replace(plain, cover), np.uint8) == 1
-            return
-        for at in hits(self.sequence, core, before, after):
-            mark[at : at + len(core)] = True
+            mark = self.marks[sample] = bytearray(len(self.sequence))
+        text, new = self.plain, set(peptides) - own
+        own |= new
+        if text is not None and len(new) >= MANY:
+            read = {peptide: _read(peptide, self.compat) for peptide in new}
+            bare = {p: core.encode() for p, (before, core, after, *_) in read.items() if core and core.isascii() and before is None and after is None}
+            mark_all(text, list(bare.values()), mark)
+            new = [p for p in read if p not in bare]
+        for peptide in new:
+            before, core, after, plain, cover = _read(peptide, self.compat)
+            if plain is None or text is None:
+                for at in hits(self.sequence, core, before, after):
+                    mark[at : at + len(core)] = cover
+            elif text.count(plain) > FEW:  # all hits in one pass
+                np.bitwise_or(np.frombuffer(mark, np.uint8), np.frombuffer(text.replace(plain, cover), np.uint8) == 1, out=np.frombuffer(mark, np.uint8))
+            else:
+                at, n = text.find(plain), len(plain)
+                while at >= 0:
+                    mark[at : at + n] = cover
+                    at = text.find(plain, at + n)
 
     def flushed(self) -> pa.RecordBatch:
         columns = list(zip(*self.out, strict=True)) or [()] * len(self.schema)
@@ -101,13 +172,17 @@ class Proteins:
     def read(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pa.set_memory_pool(pa.system_memory_pool())  # gives back what it once held; a worker lives on
         for batch in batches:
-            keys = zip(*(batch.column(c).to_pylist() for c in self.names), strict=True)
-            for key, sample, body, is_peptide in zip(keys, *(batch.column(c).to_pylist() for c in ("sample", "body", "is_peptide")), strict=True):
+            body = batch.column("body").to_numpy(zero_copy_only=False)
+            for start, end in runs(batch, [*self.names, "sample", "is_peptide"]):
+                key = tuple(batch.column(c)[start].as_py() for c in self.names)
                 if key != self.key:
                     self.end()
-                    self.begin(key, None if is_peptide else body)
-                if is_peptide and self.sequence:
-                    self.peptide(sample, body)
+                    self.begin(key, None)
+                if batch.column("is_peptide")[start].as_py():
+                    if self.sequence:
+                        self.found(batch.column("sample")[start].as_py(), body[start:end])
+                elif not self.sequence:
+                    self.begin(key, next((x for x in body[start:end] if x), None))
             yield self.flushed()
         self.end()
         yield self.flushed()
@@ -127,7 +202,7 @@ def coverage(annotated: DataFrame, proteins: DataFrame, mode: str = "all_matches
     if databases is not None:
         rows, keys = rows.join(sample_databases(rows.select("sample").distinct(), databases), "sample"), ["database", "Protein"]
     sample = rows.schema["sample"].dataType
-    sequences = proteins.select(*keys, F.lit(None).cast(sample).alias("sample"), F.upper("Sequence").alias("body"), F.lit(False).alias("is_peptide")).where("body <> ''")
+    sequences = proteins.select(*keys, F.lit(None).cast(sample).alias("sample"), F.upper("Sequence").alias("body"), F.lit(False).alias("is_peptide"))  # empty ones go in the task: a filter here would work out every sequence twice
     both = sequences.unionByName(rows.select(*keys, "sample", F.col("PeptideFlanked").alias("body"), F.lit(True).alias("is_peptide")))
     parts = lineage.parts_for(both)
     usual = int(both.sparkSession.conf.get("spark.sql.shuffle.partitions"))
