@@ -10,6 +10,8 @@ RESIDUES = {"G": 57.021464, "A": 71.037114, "S": 87.032028, "P": 97.052764, "V":
 #: Fixed values, mass windows that name a modification, tried in this order.
 MODIFICATIONS = {"oxidation": (14.99, 16.01), "phospho": (79.95, 79.98), "carbamido": (57.01, 57.04), "deamidation": (0.980, 0.990), "acetyl": (42.00, 42.02)}
 TOLERANCE = 0.02
+#: The masses by a letter's code; 0 for other characters.
+_BY_CODE = np.array([RESIDUES.get(chr(c), 0.0) for c in range(128)])
 
 
 def modification_flags(masses: list[float]) -> dict[str, int]:
@@ -25,7 +27,7 @@ def modification_flags(masses: list[float]) -> dict[str, int]:
 
 def residue_masses(residues: str, modifications: dict[int, float]) -> np.ndarray:
     """Masses by residue; one that isn't known weighs 0."""
-    out = np.array([RESIDUES.get(r, 0.0) for r in residues])
+    out = _BY_CODE[np.frombuffer(residues.encode(), np.uint8)] if residues.isascii() else np.array([RESIDUES.get(r, 0.0) for r in residues])
     for at, mass in modifications.items():
         if 0 <= at < len(out):
             out[at] += mass

@@ -1,14 +1,16 @@
-"""Fragment and isotope matching as relations: ion ladders as prefix sums, matching by buckets within a row or as an interval join, a two-sided as-of join.
+"""Fragment and isotope matching: ion ladders as prefix sums, matching within a row's arrays or as an interval join, a two-sided as-of join.
 
-The same figures that spectral.py takes batch by batch, in expressions and joins alone: for tables whose spectra are rows or arrays already, and
-to hold the batches against.
+The figures that need no more than matched peaks, for tables whose spectra are rows or arrays already, and to hold spectral.py's batches against.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from functools import partial
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -20,6 +22,8 @@ from psmlake.operators.spectral import CHIMERIC, ISOTOPE_PER_DALTON, ISOTOPE_REA
 #: A residue with what is written behind it; before the first one, what is written there too.
 _RESIDUE = r"(?:^[^A-Za-z]+)?[A-Za-z][^A-Za-z]*"
 _MASS = r"[+-][0-9]+(?:\.[0-9]*)?|[+-]\.[0-9]+"
+#: What matching tells of a PSM: ions of either kind, total intensity, matched ions and their intensity.
+_FIGURES = ("__b", "__y", "tic", "nb", "ib", "ny", "iy")
 
 
 def residue_masses(written: Column) -> Column:
@@ -81,44 +85,113 @@ def exploded(spectra: DataFrame) -> DataFrame:
     return spectra.select("sample", F.col("scan").alias("Scan"), F.posexplode(F.arrays_zip("mz", "intensity")).alias("ord", "p")).select("sample", "Scan", "p.mz", "p.intensity", "ord")
 
 
-def hits(ions: Column, mz: Column, intensity: Column, tolerance: float = chem.TOLERANCE, ppm: bool = False) -> Column:
-    """The matched ones of a ladder's ions with their intensities, array of struct(kind, intensity), by the rule of matched(), from one spectrum's arrays.
-
-    Only peaks that share a bucket with some ion are held against the ions, so the work grows with ions and peaks and not with their pairs.
+def _ladders(peptides: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, whether y, mz) of ladder()'s ions, in its order and by its sums."""
+    place = {p: i for i, p in enumerate(dict.fromkeys(peptides))}
+    masses = [chem.residue_masses(*peptide.parsed(p)) for p in place]
+    size = np.array([len(m) for m in masses], np.int64)
+    kinds, mz, of = [], [], []
+    for part in np.unique(size >> 5):  # sums along the rows of a matrix, of peptides of like length
+        own = np.flatnonzero(size >> 5 == part)
+        n = size[own]
+        sums = np.zeros((len(own), int(n.max()) + 1))
+        sums[:, 1:][np.arange(n.max()) < n[:, None]] = np.concatenate([masses[i] for i in own])
+        sums = np.cumsum(sums, axis=1)
+        inner = np.maximum(0, n - 1)
+        row = np.repeat(np.arange(len(own)), inner)
+        number = np.arange(len(row)) - (np.cumsum(inner) - inner)[row] + 1
+        mz += [sums[row, number] + chem.PROTON, sums[row, n[row]] - sums[row, n[row] - number] + chem.WATER + chem.PROTON]
+        kinds += [np.zeros(len(row), bool), np.ones(len(row), bool)]
+        of += [own[row]] * 2
+    kind, told, which = (np.concatenate(x) if x else np.zeros(0, t) for x, t in ((kinds, bool), (mz, float), (of, np.int64)))
+    keep = told > chem.SMALLEST_FRAGMENT
+    kind, told, which = kind[keep], told[keep], which[keep]
+    order = np.argsort(which * 2 + kind, kind="stable")
+    count = np.bincount(which, minlength=len(masses))
+    ask = np.array([place[p] for p in peptides], np.int64)
+    row = np.repeat(np.arange(len(ask)), count[ask])
+    at = order[np.arange(len(row)) - (np.cumsum(count[ask]) - count[ask])[row] + (np.cumsum(count) - count)[ask][row]]
+    return row, kind[at], told[at]
+
+
+def _laid_end_to_end(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, place, value) of the arrays of a column; not a number where a value is missing, nothing for a missing array."""
+    size = np.nan_to_num(np.asarray(column.value_lengths().to_numpy(zero_copy_only=False), float)).astype(np.int64)
+    row = np.repeat(np.arange(len(column)), size)
+    return row, np.arange(len(row)) - (np.cumsum(size) - size)[row], column.flatten().to_numpy(zero_copy_only=False).astype(float, copy=False)
+
+
+def _first_from(key: np.ndarray, row: np.ndarray, mz: np.ndarray, span: float, at_row: np.ndarray, told: np.ndarray) -> np.ndarray:
+    """Number of the first peak of the row or of later rows that is not below each m/z; rows and m/z share a key that rounds, so its neighbours are compared themselves."""
+    at = np.searchsorted(key, at_row * span + told)
+    below = lambda i: (row[i] < at_row) | ((row[i] == at_row) & (mz[i] < told))
+    last = len(mz) - 1
+    while len(mz):
+        back = (at > 0) & ~below(np.clip(at - 1, 0, last))
+        on = ~back & (at <= last) & below(np.clip(at, 0, last))
+        if not (back | on).any():
+            break
+        at = at - back + on
+    return at
+
+
+def _met(batches: Iterator[pa.RecordBatch], n_keys: int, tolerance: float, ppm: bool) -> Iterator[pa.RecordBatch]:
+    """(keys, ions of either kind, total intensity, matched ions and their intensity) of (keys, Peptide, mz, intensity).
+
+    By the rule of matched(): an ion takes the last peak below it within the tolerance, else the first one from it on.
     """
-    bucket = lambda x: _bucket(x, tolerance, ppm)
-    seen = F.transform(F.arrays_zip(mz.alias("mz"), intensity.alias("intensity")), lambda p, i: F.struct(p["mz"].alias("mz"), i.alias("ord"), p["intensity"].alias("intensity"), bucket(p["mz"]).alias("bucket")))
-
-    def one(told: Column, near: Column) -> Column:
-        low = F.array_max(F.filter(near, lambda p: p["mz"] < told))
-        return F.coalesce(low, F.array_min(F.filter(near, lambda p: p["mz"] >= told)))
-
-    def met(close: Column) -> Column:
-        within = lambda i: F.filter(close, lambda p: F.abs(p["mz"] - i["mz"]) <= _width(i["mz"], tolerance, ppm))
-        found = F.transform(ions, lambda i: F.struct(i["kind"].alias("kind"), let(within(i), lambda near: one(i["mz"], near)).alias("peak")))
-        return F.transform(F.filter(found, lambda h: h["peak"].isNotNull()), lambda h: F.struct(h["kind"].alias("kind"), h["peak"]["intensity"].alias("intensity")))
+    for batch in batches:
+        rows = len(batch)
+        at_row, is_y, told = _ladders(batch.column(n_keys).to_pylist())
+        row, place, mz = _laid_end_to_end(batch.column(n_keys + 1))
+        high_row, high_place, high = _laid_end_to_end(batch.column(n_keys + 2))
+        tic = np.bincount(high_row, high, rows)
+        # heights by row and place; a peak without one has none
+        width = int(max(place.max(initial=-1), high_place.max(initial=-1))) + 1
+        if len(mz) == len(high) and np.array_equal(row, high_row):
+            intensity = high
+        else:
+            held = np.searchsorted(high_row * width + high_place, row * width + place)
+            there = np.clip(held, 0, max(0, len(high) - 1))
+            intensity = np.where((held < len(high)) & (high_row[there] == row) & (high_place[there] == place), high[there], np.nan) if len(high) else np.full(len(mz), np.nan)
+        known = np.isfinite(mz)
+        row, mz, intensity = row[known], mz[known], intensity[known]
+        if len(mz) and ((mz[1:] < mz[:-1]) & (row[1:] == row[:-1])).any():
+            order = np.lexsort((mz, row))
+            row, mz, intensity = row[order], mz[order], intensity[order]
+        span = float(max(np.abs(mz).max(initial=0.0), told.max(initial=0.0))) * 2 + 1.0
+        right = _first_from(row * span + mz, row, mz, span, at_row, told)
+        reach = told * (tolerance * 1e-6) if ppm else np.full(len(told), float(tolerance))
+        hit = np.full(len(told), -1)
+        for at in (right, right - 1):  # the later one wins: the peak below
+            inside = np.clip(at, 0, max(0, len(mz) - 1))
+            near = (at >= 0) & (at < len(mz))
+            if len(mz):
+                near &= (row[inside] == at_row) & (np.abs(mz[inside] - told) <= reach)
+            hit[near] = at[near]
+        out = [np.bincount(at_row[~is_y], minlength=rows), np.bincount(at_row[is_y], minlength=rows), tic]
+        some = hit >= 0
+        for kind in (~is_y & some, is_y & some):
+            out += [np.bincount(at_row[kind], minlength=rows), np.bincount(at_row[kind], intensity[hit[kind]], rows)]
+        types = [pa.int32(), pa.int32(), pa.float64(), pa.int32(), pa.float64(), pa.int32(), pa.float64()]
+        # a sum with a missing height says nothing
+        columns = [pa.array(np.nan_to_num(v, nan=0.0) if t == pa.float64() else v.astype(np.int32), t) for v, t in zip(out, types, strict=True)]
+        yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(n_keys)], *columns], names=[*batch.schema.names[:n_keys], *_FIGURES])
 
-    asked = F.flatten(F.transform(ions, lambda i: let(bucket(i["mz"]), lambda b: F.array(b - 1, b, b + 1))))
-    shared = lambda s: let(F.array_intersect(asked, s["bucket"]), lambda c: F.filter(s, lambda p: F.array_contains(c, p["bucket"])))
-    return let(let(seen, shared), met)
 
 
 def match_figures(psms: DataFrame, spectra: DataFrame, key: Sequence[str] = ("psm_id",), tolerance: float = chem.TOLERANCE, ppm: bool = False) -> DataFrame:
     """(key, matched b and y ions, coverages, intensity figures) of every PSM (key, sample, Scan, Peptide); 0 where its scan has no spectrum.
 
-    A PSM meets its spectrum once, and ions meet peaks in that row: neither crosses an exchange one by one.  PSMs are held and spectra stream by, as those are larger and
-    would have to be sorted for a merge.
+    A PSM meets its spectrum once; neither ions nor peaks cross an exchange one by one, and a batch's ions are sought among its peaks at once.  PSMs are held and spectra stream by,
+    as those are larger and would have to be sorted for a merge.
     """
     key = list(key)
     rows = psms.select(*key, *[c for c in ("sample", "Scan", "Peptide") if c not in key])
-    own = spectra.select(F.col("sample").alias("__sample"), F.col("scan").alias("__scan"), "mz", "intensity")
-    both = rows.hint("shuffle_hash").join(own, (F.col("sample") == F.col("__sample")) & (F.col("Scan") == F.col("__scan")), "left").withColumn("__ions", ladder(F.col("Peptide")))
-    count = lambda kind: F.size(F.filter("__ions", lambda i: i["kind"] == kind))
-    met = both.select(*key, count("b").alias("__b"), count("y").alias("__y"), F.coalesce(total(F.col("intensity")), F.lit(0.0)).alias("tic"), hits(F.col("__ions"), F.col("mz"), F.col("intensity"), tolerance, ppm).alias("__hits"))
-    of = lambda kind: F.filter("__hits", lambda h: h["kind"] == kind)
-    number = lambda kind: F.greatest(F.size(of(kind)), F.lit(0))
-    weight = lambda kind: F.coalesce(total(F.transform(of(kind), lambda h: h["intensity"])), F.lit(0.0))
-    wide = met.select(*key, "__b", "__y", "tic", *[number(k).alias(f"n{k}") for k in "by"], *[weight(k).alias(f"i{k}") for k in "by"])
+    own = spectra.select(F.col("sample").alias("__sample"), F.col("scan").alias("__scan"), F.col("mz").cast("array<double>").alias("mz"), F.col("intensity").cast("array<double>").alias("intensity"))
+    both = rows.hint("shuffle_hash").join(own, (F.col("sample") == F.col("__sample")) & (F.col("Scan") == F.col("__scan")), "left")
+    kinds = {c: psms.schema[c].dataType.simpleString() for c in key} | {c: "double" if c[0] in "ti" else "int" for c in _FIGURES}
+    wide = both.select(*key, F.col("Peptide").alias("__peptide"), "mz", "intensity").mapInArrow(partial(_met, n_keys=len(key), tolerance=tolerance, ppm=ppm), ", ".join(f"`{c}` {t}" for c, t in kinds.items()))
     least = lambda c: F.greatest(c, F.lit(1))
     n, i = F.col("nb") + F.col("ny"), F.col("ib") + F.col("iy")
     return wide.select(
