@@ -94,8 +94,15 @@ class Peaks:
         low, high, d_low, d_high = self.beside(row, wanted)
         return np.where(d_low <= d_high, low, high), np.minimum(d_low, d_high)
 
+    def over_rows(self, step: np.ufunc, values: np.ndarray) -> np.ndarray:
+        """Each row's values put together by `step`; 0 for a row without peaks."""
+        out, some = np.zeros(self.rows), self.size > 0
+        if len(values):
+            out[some] = step.reduceat(values, self.begin[some])
+        return out
+
     def sums(self, values: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, values, self.rows)
+        return self.over_rows(np.add, values)
 
     def medians(self, chosen: np.ndarray, default: float) -> np.ndarray:
         """Each row's median intensity of the chosen peaks."""
@@ -199,8 +206,7 @@ def matched_features(masses: list[np.ndarray], charge: np.ndarray, peaks: Peaks,
     nb, ny = np.bincount(b.row[hit_b], minlength=rows), np.bincount(y.row[hit_y], minlength=rows)
     ib, iy = np.bincount(b.row[hit_b], peaks.intensity[at_b[hit_b]], rows), np.bincount(y.row[hit_y], peaks.intensity[at_y[hit_y]], rows)
     n, total = nb + ny, peaks.sums(peaks.intensity)
-    base = np.zeros(rows)
-    np.maximum.at(base, peaks.row, peaks.intensity)
+    base = np.maximum(0.0, peaks.over_rows(np.maximum, peaks.intensity))
     _, mean, variance = _mean_and_spread(peaks.row, peaks.intensity, rows)
 
     hit = np.zeros(len(peaks.mz), bool)
@@ -318,11 +324,12 @@ def batch_features(
     error = np.full(rows, None, object)
     for i, p in enumerate(peptides):
         residues, mods = read[p]
-        masses = list(mods.values())
-        out["n_mods"][i], out["total_mod_mass"][i] = len(masses), sum(masses)
-        out["mod_mass_per_res"][i] = sum(masses) / max(1, len(residues))
-        for name, flag in chem.modification_flags(masses).items():
-            out[f"has_{name}"][i] = flag
+        if mods:
+            masses = list(mods.values())
+            out["n_mods"][i], out["total_mod_mass"][i] = len(masses), sum(masses)
+            out["mod_mass_per_res"][i] = sum(masses) / max(1, len(residues))
+            for name, flag in chem.modification_flags(masses).items():
+                out[f"has_{name}"][i] = flag
         if mz[i] is None or intensity[i] is None:
             error[i] = "scan_not_found"
         elif len(residues) < 2:
