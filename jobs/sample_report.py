@@ -61,14 +61,16 @@ def run(spark: SparkSession, psms: str, out: str, settings: Mapping[str, Any]) -
     rows = common.named(rows, settings["columns"]) if settings["columns"] else rows
     if missing := [c for c in NEEDED if c not in rows.columns]:
         raise ValueError(f"{psms} lacks {', '.join(missing)}; name them in the config's columns")
-    # written once: both reports read it, and each would rank the rows anew
-    told = lineage.cut(scored(rows.select(*dict.fromkeys([*NEEDED, *settings["tie"]])), settings["tie"]))
-    accepted = (F.col("is_decoy") == 0) & (F.col("q") <= settings["psm_q"]) & (F.col("pep_q") <= settings["peptide_q"])
-    found = peptides(told.where(accepted))
-    write(found, f"{out}/peptides")
-    write(summary(told, accepted), f"{out}/summary")
-    done = spark.read.schema(found.schema).parquet(f"{out}/peptides")
-    log.info("read %d matches of %s; %s holds %d peptides", rows.count(), psms, out, done.count())
+    with lineage.passing(spark):
+        with lineage.passing(spark) as kept:
+            # written once: both reports read it, and each would rank the rows anew
+            told = kept(scored(rows.select(*dict.fromkeys([*NEEDED, *settings["tie"]])), settings["tie"]))
+        accepted = (F.col("is_decoy") == 0) & (F.col("q") <= settings["psm_q"]) & (F.col("pep_q") <= settings["peptide_q"])
+        found = peptides(told.where(accepted))
+        write(found, f"{out}/peptides")
+        write(summary(told, accepted), f"{out}/summary")
+        done = spark.read.schema(found.schema).parquet(f"{out}/peptides")
+        log.info("read %d matches of %s; %s holds %d peptides", rows.count(), psms, out, done.count())
     return done
 
 
